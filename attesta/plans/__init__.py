@@ -1,0 +1,6 @@
+"""The runnable queries. Importing this package registers all of them."""
+
+from attesta.plans import q_corpus, q_text  # noqa: F401
+from attesta.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

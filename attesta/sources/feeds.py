@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,37 +77,37 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return parse_feed(raw.select(F.to_xml(F.struct("*"), {"rowTag": "item"}).alias("item_xml")))
 
 
-def _unescape_leaves(col, kind: T.DataType, path=()):
-    """Entities decoded on every string leaf. The decode table is the built-in entity subset that JSON extracts carry."""
-    if isinstance(kind, T.StringType):
-        return decode_entities(col)
-    if isinstance(kind, T.ArrayType):
-        return F.transform(col, lambda x: _unescape_leaves(x, kind.elementType))
-    if isinstance(kind, T.StructType):
-        return F.when(col.isNotNull(), F.struct(*[_unescape_leaves(col[f.name], f.dataType).alias(f.name) for f in kind]))
-    return col
+def _decode(value):
+    """Entities decoded once on every string leaf of a JSON value."""
+    if isinstance(value, str):
+        return html.unescape(value)
+    if isinstance(value, list):
+        return [_decode(v) for v in value]
+    if isinstance(value, dict):
+        return {k: _decode(v) for k, v in value.items()}
+    return value
 
 
-# fixed values: entities that occur in extract text; numeric ones are decoded by rule
-NAMED_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&nbsp;": " ",
-                  "&ndash;": "–", "&mdash;": "—", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“",
-                  "&rdquo;": "”", "&hellip;": "…", "&bull;": "•", "&reg;": "®", "&trade;": "™"}
+def _decode_payload(text):
+    if text is None or "&" not in text:
+        return text
+    try:
+        return json.dumps(_decode(json.loads(text)), ensure_ascii=False)
+    except ValueError:
+        return None
 
 
-def decode_entities(col):
-    """The listed entities decoded once, the ampersand last, inside the JVM (usable in higher-order functions)."""
-    for name, char in NAMED_ENTITIES.items():
-        col = F.replace(col, F.lit(name), F.lit(char))
-    return F.replace(col, F.lit("&amp;"), F.lit("&"))
+@F.pandas_udf(T.StringType())
+def decode_leaves(s: pd.Series) -> pd.Series:
+    return s.map(_decode_payload)
 
 
 def parse_extracts(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per extracted posting of `{result: {postings}}` or `{postings}` payloads, entities decoded once on every
     string leaf."""
-    p = F.from_json(payload, PAYLOAD)
-    rows = df.select(*[c for c in df.columns if c != payload], F.explode(F.coalesce(p["result"]["postings"], p["postings"])).alias("e"))
-    kind = rows.schema["e"].dataType
-    return rows.withColumn("e", _unescape_leaves(F.col("e"), kind)).select(*[c for c in rows.columns if c != "e"], "e.*")
+    keep = [c for c in df.columns if c != payload]
+    d = df.select(*keep, decode_leaves(payload).alias("_json")).withColumn("_p", F.from_json("_json", PAYLOAD))
+    return d.select(*keep, F.explode(F.coalesce("_p.result.postings", "_p.postings")).alias("e")).select(*keep, "e.*")
 
 
 def read_extracts(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.operators.quality import guard_shrink
-from attesta.schemas import SCHEMAS
+from attesta.schemas import schema as schema_of
 
 ACCRETING = {"postings", "quotes", "units", "edges"}
 
@@ -21,7 +21,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def load(spark: SparkSession, path: str, name: str) -> DataFrame:
     """S3: a stored table, or an empty frame of its schema when the path does not exist."""
-    schema = SCHEMAS[name]
+    schema = schema_of(name)
     try:
         return conform(spark.read.parquet(path), schema)
     except AnalysisException as e:
@@ -35,7 +35,7 @@ def save(df: DataFrame, path: str, name: str, previous: DataFrame | None = None,
     is checked against its previous snapshot first (V6)."""
     if previous is not None and name in ACCRETING and not allow_shrink:
         guard_shrink(previous, df)
-    conform(df, SCHEMAS[name]).write.mode("errorifexists").parquet(path)
+    conform(df, schema_of(name)).write.mode("errorifexists").parquet(path)
 
 
 def from_text(c: str, kind: T.DataType) -> Column:
@@ -51,7 +51,7 @@ def from_text(c: str, kind: T.DataType) -> Column:
 def load_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     """S3: a CSV exchange file of a table as typed rows."""
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
-    schema = SCHEMAS[name]
+    schema = schema_of(name)
     have = {c.lstrip("﻿"): c for c in raw.columns}
     raw = raw.select(*[F.col(f"`{c}`").alias(n) for n, c in have.items()])
     return raw.select(*[(from_text(f.name, f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
@@ -76,6 +76,6 @@ def counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Obs
 
 def log_run(spark: SparkSession, path: str, record: dict) -> None:
     """Append one run to the ledger."""
-    schema = SCHEMAS["runs"]
+    schema = schema_of("runs")
     row = tuple(record.get(f.name) for f in schema)
     spark.createDataFrame([row], schema).write.mode("append").parquet(path)
