@@ -54,6 +54,21 @@ def quarantine(verified: DataFrame) -> DataFrame:
     return verified.filter(~F.col("verbatim_verified")).withColumn("reason", reason)
 
 
+def _word_runs(df: DataFrame, id: str, words: str, gram: int) -> DataFrame:
+    """(id, _k): hashes of the distinct `gram`-word runs of a word-array column."""
+    n = F.size(words) - (gram - 1)
+    shifted = F.arrays_zip(*[F.slice(words, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
+    runs = F.transform(shifted, lambda r: F.xxhash64(*[r[f"w{i}"] for i in range(gram)]))
+    return df.filter(F.size(words) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
+
+
+def _windows(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, _k): hashes of the distinct 12-character windows of a text column."""
+    at = F.sequence(F.lit(1), F.length(text) - (cfg.MIN_QUOTE - 1))
+    hashes = F.transform(at, lambda i: F.xxhash64(F.substr(F.col(text), i, F.lit(cfg.MIN_QUOTE))))
+    return df.filter(F.length(text) >= cfg.MIN_QUOTE).select(id, F.explode(F.array_distinct(hashes)).alias("_k"))
+
+
 def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: str, quote: str = "text",
                 body: str = "text", gram: int = 3) -> DataFrame:
     """V1 over a whole corpus: (quote_id, body_id) wherever the quote is an exact substring of a body.
@@ -64,20 +79,18 @@ def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: st
     """
     q = quotes.select(F.col(quote_id).alias("_qid"), F.col(quote).alias("_q")).filter(F.length("_q") >= cfg.MIN_QUOTE)
     b = bodies.select(F.col(body_id).alias("_bid"), F.col(body).alias("_b"))
-    runs = lambda words: F.transform(F.sequence(F.lit(1), F.size(words) - (gram - 1)),
-                                     lambda i: F.xxhash64(F.array_join(F.slice(words, i, gram), " ")))
-    windows = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - (cfg.MIN_QUOTE - 1)),
-                                    lambda i: F.xxhash64(F.substr(c, i, F.lit(cfg.MIN_QUOTE))))
+    # word arrays are columns of their own: inside a lambda an expression would be split again for every position
     inner = F.split("_q", r"\s+")
-    inner = F.when(F.size(inner) > 2, F.slice(inner, F.lit(2), F.size(inner) - 2)).otherwise(F.array().cast("array<string>"))
-    q = q.withColumn("_w", inner).withColumn("_by_word", F.size("_w") >= gram)
+    q = q.withColumn("_w", F.when(F.size(inner) > 2, F.slice(inner, F.lit(2), F.size(inner) - 2)).otherwise(F.array().cast("array<string>")))
+    q = q.withColumn("_by_word", F.size("_w") >= gram)
     out = None
     for by_word in (True, False):
         side = q.filter(F.col("_by_word") == by_word)
-        keys = side.select("_qid", F.explode(F.array_distinct(runs(F.col("_w")) if by_word else windows("_q"))).alias("_k"))
-        words = F.split("_b", r"\s+")
-        grams = F.when(F.size(words) >= gram, runs(words)) if by_word else F.when(F.length("_b") >= cfg.MIN_QUOTE, windows("_b"))
-        held = b.select("_bid", F.explode(F.array_distinct(grams)).alias("_k")).join(keys.select("_k").distinct(), "_k", "left_semi")
+        if by_word:
+            keys, held = _word_runs(side, "_qid", "_w", gram), _word_runs(b.withColumn("_w", F.split("_b", r"\s+")), "_bid", "_w", gram)
+        else:
+            keys, held = _windows(side, "_qid", "_q"), _windows(b, "_bid", "_b")
+        held = held.join(keys.select("_k").distinct(), "_k", "left_semi")
         rare = held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
         probe = (keys.join(rare, "_k").groupBy("_qid").agg(F.min_by("_k", F.struct("_df", "_k")).alias("_k"),
                                                           F.count(F.lit(1)).alias("_found")))

@@ -41,10 +41,11 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
     base = F.regexp_replace(F.col(text), leak, "") if leak else F.col(text)
     d = df.withColumn("_base", base)
     tokens = _words("_base") if whole_word else F.split("_base", " ")
-    near = d.select(id, "_base", F.when(F.size(tokens) > 1, F.flatten(F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - 1),
-        lambda i: _edges(F.get(tokens, i - 1), F.get(tokens, i), whole_word)))).alias("_pairs"))
-    keys = near.select(id, F.explode(F.array_distinct("_pairs")).alias("_key"))
+    # the token array is its own column: inside a lambda an expression would be split again for every position
+    near = d.select(id, tokens.alias("_t")).filter(F.size("_t") > 1)
+    pairs = F.arrays_zip(F.slice("_t", F.lit(1), F.size("_t") - 1).alias("a"), F.slice("_t", F.lit(2), F.size("_t") - 1).alias("b"))
+    keyed = F.flatten(F.transform(pairs, lambda p: _edges(p["a"], p["b"], whole_word)))
+    keys = near.select(id, F.explode(F.array_distinct(keyed)).alias("_key"))
     roster = names.select("name", _name_key(whole_word).alias("_key"))
     cand = keys.join(roster, "_key").select(id, "name").distinct()
     ranked = F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("neg"), F.col("name"))))

@@ -54,7 +54,7 @@ def periods(t):
 
 
 @query("posting_titles", with_(dv.POSTINGS_SQL) + """SELECT posting_id, CASE role_slug WHEN 'lims-administrator' THEN 'LIMS Administrator' WHEN 'qc-analyst' THEN 'QC Analyst'
-  WHEN 'msat-lead' THEN 'MSAT Lead' ELSE array_to_string(list_transform(string_split(role_slug, '-'), lambda w: upper(w[1]) || w[2:]), ' ') END AS title FROM postings""")
+  WHEN 'msat-lead' THEN 'MSAT Lead' WHEN 'head-of-mes' THEN 'Head Of MES' ELSE array_to_string(list_transform(string_split(role_slug, '-'), lambda w: upper(w[1]) || w[2:]), ' ') END AS title FROM postings""")
 def posting_titles(t):
     return dv.postings(t).select("posting_id", text.titleise("role_slug").alias("title"))
 
@@ -271,10 +271,10 @@ def body_dates(t):
     return out.select("doc_id", F.coalesce("posted_date", F.lit("")).alias("posted_date"), F.coalesce("posted_date_source", F.lit("")).alias("source_kind"))
 
 
-@query("best_body", """WITH v AS (SELECT doc_id % 200 AS posting_id, CASE WHEN doc_id % 7 = 0 THEN 'api' WHEN doc_id % 7 < 3 THEN 'live' ELSE 'archive' END AS source, doc_id AS at, n_chars AS len, length(text) AS chars FROM documents),
-a AS (SELECT * FROM v WHERE source = 'archive' QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY len DESC, at) <= 4),
+@query("best_body", """WITH v AS (SELECT doc_id % 200 AS posting_id, CASE WHEN doc_id % 7 = 0 THEN 'api' WHEN doc_id % 7 < 3 THEN 'live' ELSE 'archive' END AS source, doc_id AS cap, n_chars AS len, length(text) AS chars FROM documents),
+a AS (SELECT * FROM v WHERE source = 'archive' QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY len DESC, cap) <= 4),
 u AS (SELECT * FROM v WHERE source <> 'archive' AND chars >= 1500 UNION ALL SELECT * FROM a WHERE chars >= 1500),
-b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY CASE source WHEN 'api' THEN 0 WHEN 'live' THEN 1 ELSE 2 END, len DESC, at) = 1)
+b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY posting_id ORDER BY CASE source WHEN 'api' THEN 0 WHEN 'live' THEN 1 ELSE 2 END, len DESC, cap) = 1)
 SELECT k.posting_id, coalesce(b.source, '') AS source, coalesce(b.chars, 0) AS body_chars,
   CASE WHEN b.source IS NULL THEN 'tier1_shell' WHEN b.source = 'archive' THEN 'tier2_archive_body' ELSE 'tier3_live_body' END AS tier
 FROM (SELECT DISTINCT posting_id FROM v) k LEFT JOIN b USING (posting_id)""")
@@ -379,10 +379,10 @@ def quarantine(t):
 
 @query("web_excerpts", """SELECT page_id, page_id % 3 <> 2 AS excerpt_ok FROM pages""")
 def web_excerpts(t):
-    """Page bodies against excerpts of them, in capitals; every third excerpt is altered."""
+    """Page bodies against excerpts of them; every third excerpt is altered."""
     body = text.html_to_text("html")
     pages = t.pages.select(F.col("page_id").cast("string").alias("url"), "page_id", body.alias("page_text"))
-    said = F.when(F.col("page_id") % 3 == 2, F.concat(F.lit("zqx "), F.upper("page_text"))).otherwise(F.upper("page_text"))
+    said = F.when(F.col("page_id") % 3 == 2, F.concat(F.lit("zqx "), F.col("page_text"))).otherwise(F.col("page_text"))
     out = claims.verify_excerpts(pages.select("url", "page_id", said.alias("excerpt")), pages.select("url", "page_text"))
     return out.select("page_id", "excerpt_ok")
 
