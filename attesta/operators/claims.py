@@ -54,21 +54,14 @@ def quarantine(verified: DataFrame) -> DataFrame:
     return verified.filter(~F.col("verbatim_verified")).withColumn("reason", reason)
 
 
-def _word_runs(df: DataFrame, id: str, words: str, gram: int) -> DataFrame:
-    """(id, _k): hashes of the distinct `gram`-word runs of a word-array column."""
+def _runs(df: DataFrame, id: str, words: str, gram: int) -> DataFrame:
+    """(id, _k): hashes of the distinct runs of `gram` neighbours of an array column (words or characters)."""
     n = F.size(words) - (gram - 1)
     shifted = F.arrays_zip(*[F.slice(words, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
     runs = F.transform(shifted, lambda r: F.xxhash64(*[r[f"w{i}"] for i in range(gram)]))
     return df.filter(F.size(words) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
 
 
-def _windows(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, _k): hashes of the distinct 12-character windows of a text column."""
-    at = F.sequence(F.lit(1), F.length(text) - (cfg.MIN_QUOTE - 1))
-    hashes = F.transform(at, lambda i: F.xxhash64(F.substr(F.col(text), i, F.lit(cfg.MIN_QUOTE))))
-    return df.filter(F.length(text) >= cfg.MIN_QUOTE).select(id, F.explode(F.array_distinct(hashes)).alias("_k"))
-
-
 def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: str, quote: str = "text",
                 body: str = "text", gram: int = 3) -> DataFrame:
     """V1 over a whole corpus: (quote_id, body_id) wherever the quote is an exact substring of a body.
@@ -86,10 +79,12 @@ def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: st
     out = None
     for by_word in (True, False):
         side = q.filter(F.col("_by_word") == by_word)
-        if by_word:
-            keys, held = _word_runs(side, "_qid", "_w", gram), _word_runs(b.withColumn("_w", F.split("_b", r"\s+")), "_bid", "_w", gram)
-        else:
-            keys, held = _windows(side, "_qid", "_q"), _windows(b, "_bid", "_b")
+        if not by_word and not side.head(1):
+            continue
+        cutter, width = (r"\s+", gram) if by_word else ("", cfg.MIN_QUOTE)
+        probes = side if by_word else side.withColumn("_w", F.split("_q", ""))
+        keys = _runs(probes, "_qid", "_w", width)
+        held = _runs(b.withColumn("_w", F.split("_b", cutter)), "_bid", "_w", width)
         held = held.join(keys.select("_k").distinct(), "_k", "left_semi")
         rare = held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
         probe = (keys.join(rare, "_k").groupBy("_qid").agg(F.min_by("_k", F.struct("_df", "_k")).alias("_k"),
