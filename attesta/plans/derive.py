@@ -174,7 +174,8 @@ def extracts(t: Tables) -> DataFrame:
     parent = F.when(size % 4 == 0, F.concat(F.lit("Division "), (size % 5).cast("string"))).when(
         size % 4 == 1, F.concat(F.lit("Brand "), ((digits.cast("int") * 7 + 3) % 25 + 1).cast("string")))
     return d.select(
-        F.concat_ws("-", F.lit("x"), F.col("l_orderkey").cast("string"), ln.cast("string")).alias("posting_id"),
+        F.concat_ws("-", F.lit("x"), F.col("l_orderkey").cast("string"), ln.cast("string"), F.col("l_partkey").cast("string"),
+                    F.col("l_suppkey").cast("string")).alias("posting_id"),
         F.lower("n_name").alias("account_id"), team.alias("team_name"), slug.alias("team_slug"),
         F.when(F.col("l_quantity") > 45, F.concat(F.lit("BR"), digits)).alias("team_acronym"), parent.alias("parent_org"),
         F.array_compact(F.array(F.when(size % 3 == 0, F.concat(F.lit("Support "), (size % 7).cast("string"))))).alias("supports_teams"),
@@ -202,7 +203,7 @@ def quotes(ex: DataFrame) -> DataFrame:
         "match_method", F.when(F.col("verbatim_verified"), "exact").otherwise("not_found")).withColumn("date_kind", F.lit("capture"))
 
 
-EXTRACTS_SQL = f"""extracts AS (SELECT 'x-' || l_orderkey || '-' || l_linenumber AS posting_id, lower(n_name) AS account_id,
+EXTRACTS_SQL = f"""extracts AS (SELECT 'x-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS posting_id, lower(n_name) AS account_id,
   regexp_extract(p_brand, '(\\d+)', 1) AS digits,
   CASE WHEN l_linenumber = 7 THEN 'BR' || regexp_extract(p_brand, '(\\d+)', 1) WHEN l_linenumber = 3 THEN 'the ' || replace(p_brand, '#', ' ') || ' Team'
        ELSE replace(p_brand, '#', ' ') END AS team_name,

@@ -75,7 +75,7 @@ def title_groups(t):
     return tallies.title_groups(scored(t)).select("title_key", "n_postings", "n_accounts", "modal_account")
 
 
-SCOPE_SQL = f"""scope AS (SELECT DISTINCT role_title, {sql_spread("role_title || '|gs'")} AS g, {sql_spread("role_title || '|ss'")} AS s, {sql_spread("role_title || '|di'")} AS d, job_family <> '' AS ruled FROM scored)"""
+SCOPE_SQL = f"""scope AS (SELECT DISTINCT role_title, {sql_spread("role_title || '|gs'")} AS gp, {sql_spread("role_title || '|ss'")} AS sp, {sql_spread("role_title || '|di'")} AS dp, job_family <> '' AS ruled FROM scored)"""
 
 
 def scopes(t):
@@ -85,13 +85,13 @@ def scopes(t):
     return rules.title_scope(groups, answers)
 
 
-@query("digital_veto", with_(*CORPUS, SCOPE_SQL) + "SELECT posting_id FROM scored JOIN scope USING (role_title) WHERE NOT (ruled AND d <= 0.2)")
+@query("digital_veto", with_(*CORPUS, SCOPE_SQL) + "SELECT posting_id FROM scored JOIN scope USING (role_title) WHERE NOT (ruled AND dp <= 0.2)")
 def digital_veto(t):
     return rules.veto(scored(t), scopes(t)).select("posting_id")
 
 
-@query("scope_shares", with_(*CORPUS, SCOPE_SQL) + """SELECT account_id, count(*) AS n_rows, count(*) FILTER (g >= 0.8) AS n_global_titled, count(*) FILTER (s >= 0.8) AS n_site_titled, round(avg(g), 6) AS global_scope_p_mean,
-  round(count(*) FILTER (g >= 0.8) / count(*), 6) AS global_titled_share FROM scored JOIN scope USING (role_title) GROUP BY 1""")
+@query("scope_shares", with_(*CORPUS, SCOPE_SQL) + """SELECT account_id, count(*) AS n_rows, count(*) FILTER (gp >= 0.8) AS n_global_titled, count(*) FILTER (sp >= 0.8) AS n_site_titled, round(avg(gp), 6) AS global_scope_p_mean,
+  round(count(*) FILTER (gp >= 0.8) / count(*), 6) AS global_titled_share FROM scored JOIN scope USING (role_title) GROUP BY 1""")
 def scope_shares(t):
     d = tallies.scope_shares(scored(t), scopes(t), "account_id")
     return d.select("account_id", "n_rows", "n_global_titled", "n_site_titled", F.round("global_scope_p_mean", 6).alias("global_scope_p_mean"), F.round("global_titled_share", 6).alias("global_titled_share"))
@@ -121,9 +121,9 @@ def located(t):
 # ---------------------------------------------------------------- targets, people
 TARGET_SQL = f"""v AS (SELECT *, {sql_pick(['KEEP', 'FLAG', 'DROP'], sql_byte("site_id || '|v'") + ' % 3')} AS verdict, {sql_byte("site_id || '|c'")} < 25 AS closed,
   split_part(city, ' (', 1) AS proper FROM sites),
-ok AS (SELECT *, lower(proper) AS key, (CASE verdict WHEN 'FLAG' THEN '1' ELSE '0' END) || site_id AS at FROM v WHERE verdict IN ('KEEP', 'FLAG') AND verdict_manual = '' AND NOT closed),
-keys AS (SELECT account_id, key, min(at) AS at FROM ok GROUP BY ALL),
-picks AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY at) AS rank FROM keys QUALIFY rank <= 6)"""
+ok AS (SELECT *, lower(proper) AS key, (CASE verdict WHEN 'FLAG' THEN '1' ELSE '0' END) || site_id AS pos FROM v WHERE verdict IN ('KEEP', 'FLAG') AND verdict_manual = '' AND NOT closed),
+keys AS (SELECT account_id, key, min(pos) AS pos FROM ok GROUP BY ALL),
+picks AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY pos) AS rank FROM keys QUALIFY rank <= 6)"""
 
 
 @query("site_targets", with_(dv.SITES_SQL, TARGET_SQL) + "SELECT account_id, rank, key AS city_key, site_id FROM ok JOIN picks USING (account_id, key)")
