@@ -69,7 +69,7 @@ def sites(t: Tables) -> DataFrame:
         F.concat(F.lit("Town"), step(1000), F.lit(" (Old"), step(2000), F.lit("), ST")).alias("city"),
         F.concat(F.lit("Metro"), step(5000), F.lit(", ST")).alias("metro"), pick(FUNCTIONS, s % 8).alias("functions"),
         pick(MODALITY_TEXT, s % 5).alias("modality_text"), pick(VERDICTS, s % 4).alias("verdict_auto"),
-        manual.alias("verdict_manual"), fit.alias("icp_fit"), head.alias("named_site_head"), s.alias("s_suppkey"))
+        manual.alias("verdict_manual"), fit.alias("icp_fit"), head.alias("named_site_head"), s.alias("s_suppkey"), "s_acctbal")
 
 
 ACCOUNTS_SQL = f"""accounts AS (SELECT lower(n_name) AS account_id, n_name AS company, n_nationkey % 11 <> 10 AS in_universe,
@@ -86,7 +86,7 @@ SITES_SQL = f"""sites AS (SELECT 's' || s_suppkey AS site_id, lower(n_name) AS a
   {sql_pick(VERDICTS, 's_suppkey % 4')} AS verdict_auto, CASE WHEN s_suppkey % 13 = 0 THEN 'Drop' ELSE '' END AS verdict_manual,
   CASE WHEN s_suppkey % 13 = 0 THEN 'no' ELSE ['yes', 'soft', 'soft', 'no'][1 + CAST(s_suppkey % 4 AS INT)] END AS icp_fit,
   CASE WHEN s_suppkey % 6 >= 3 THEN {sql_pick(HEADS, 's_suppkey % 6')} || ' K' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', 'abcdefghij')
-    || ', VP Operations' ELSE {sql_pick(HEADS, 's_suppkey % 6')} END AS named_site_head, s_suppkey
+    || ', VP Operations' ELSE {sql_pick(HEADS, 's_suppkey % 6')} END AS named_site_head, s_suppkey, s_acctbal
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 
 
@@ -104,7 +104,8 @@ def postings(t: Tables) -> DataFrame:
         city.alias("city_slug"), city.alias("city_raw"), pick(TITLES, k % len(TITLES)).alias("role_slug"),
         F.replace(pick(TITLES, k % len(TITLES)), F.lit("-"), F.lit(" ")).alias("role_title"), day.alias("first_seen"),
         F.date_add(day, (k % 300).cast("int")).alias("last_seen"), (1 + k % 6).cast("long").alias("seen_count"),
-        pick(cfg.TIERS, k % 6).alias("extraction_tier"), F.concat(F.lit("https://jobs.example/"), k.cast("string")).alias("url"), k.alias("o_orderkey"))
+        pick(cfg.TIERS, k % 6).alias("extraction_tier"), F.concat(F.lit("https://jobs.example/"), k.cast("string")).alias("url"), k.alias("o_orderkey"),
+        "o_orderstatus", "o_orderpriority")
 
 
 POSTINGS_SQL = f"""postings AS (SELECT 'p' || o_orderkey AS posting_id, lower(n_name) AS account_id,
@@ -114,7 +115,7 @@ POSTINGS_SQL = f"""postings AS (SELECT 'p' || o_orderkey AS posting_id, lower(n_
   {sql_pick(TITLES, f'o_orderkey % {len(TITLES)}')} AS role_slug, replace({sql_pick(TITLES, f'o_orderkey % {len(TITLES)}')}, '-', ' ') AS role_title,
   CAST(o_orderdate AS DATE) AS first_seen, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 300 AS INT) AS last_seen,
   1 + o_orderkey % 6 AS seen_count, {sql_pick(cfg.TIERS, 'o_orderkey % 6')} AS extraction_tier,
-  'https://jobs.example/' || o_orderkey AS url, o_orderkey
+  'https://jobs.example/' || o_orderkey AS url, o_orderkey, o_orderstatus, o_orderpriority
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 

@@ -196,7 +196,7 @@ def read_spine(t):
     cells = F.when(k >= last * 0.9, F.array(F.lit("Known limits"), F.lit("x"), F.lit(""), F.lit("KEEP"))).otherwise(cells)
     file = F.when(k % 2 == 0, "a.csv").otherwise("b.csv")
     body = t.supplier.select(file.alias("file"), (k + 10).alias("row_no"), cells.alias("cells"))
-    top = t.supplier.filter(k < 2).select(file.alias("file"), F.inline(F.array(
+    top = t.supplier.select(file.alias("file")).distinct().select("file", F.inline(F.array(
         F.struct(F.lit(0).cast("long").alias("row_no"), F.array(F.lit("Site map"), F.lit(""), F.lit(""), F.lit("")).alias("cells")),
         F.struct(F.lit(2).cast("long").alias("row_no"), F.array(F.lit("Account"), F.lit("Site"), F.lit("City"), F.lit("Verdict (AUTO GEN)")).alias("cells")))))
     d = spine.parse_spine(top.unionByName(body))
@@ -214,10 +214,10 @@ def read_accounts(t):
     return spine.accounts_from(raw).select("account_id", "company", "active")
 
 
-@query("missing_parents", """SELECT lower(n_name) AS account_id, n_nationkey % 3 <> 0 AS in_universe FROM nation
-  WHERE n_nationkey % 3 <> 0 OR n_nationkey IN (SELECT s_nationkey FROM supplier)""")
+@query("missing_parents", """SELECT lower(n_name) AS account_id, n_regionkey <> 0 AS in_universe FROM nation
+  WHERE n_regionkey <> 0 OR n_nationkey IN (SELECT s_nationkey FROM supplier)""")
 def missing_parents(t):
-    known = dv.accounts(t).filter(F.col("n_nationkey") % 3 != 0).select("account_id", "company", F.lit(True).alias("in_universe"), "active", "exclude")
+    known = dv.accounts(t).filter(F.col("n_regionkey") != 0).select("account_id", "company", F.lit(True).alias("in_universe"), "active", "exclude")
     seen = dv.sites(t).select("account_id", F.upper("account_id").alias("company"))
     return dedupe.add_missing_parents(known, seen).select("account_id", "in_universe")
 
@@ -256,9 +256,9 @@ def accrete_sightings(t):
 
 @query("accrete_incremental", ACCRETED)
 def accrete_incremental(t):
-    """The same state built in two merges of alternating runs."""
+    """The same state built in two merges, the earlier runs last."""
     s = sightings(t)
-    late = F.substring("run_id", 8, 1).cast("int") % 2 == 1
+    late = F.col("run_id") < "20240116"
     state = upsert.accrete(s.filter(~late), "posting_id")
     return show_accreted(upsert.accrete_into(state, s.filter(late), "posting_id"))
 
@@ -279,12 +279,12 @@ def fold_duplicates(t):
 SELECT user_id, event_id AS run_seq, round(value, 4) AS value FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank DESC, event_id DESC) = 1""")
 def tier_upsert(t):
     tiers = F.create_map(*[F.lit(x) for kv in zip(["error", "view", "click", "signup", "purchase"], cfg.TIERS) for x in kv])
-    d = t.events.select("user_id", F.col("event_id").alias("run_seq"), F.round("value", 4).alias("value"), tiers[F.col("event_type")].alias("extraction_tier"))
-    half = F.col("run_seq") % 2 == 0
-    return upsert.tier_upsert(d.filter(half), d.filter(~half), "user_id").drop("extraction_tier")
+    d = t.events.select("user_id", "ts", F.col("event_id").alias("run_seq"), F.round("value", 4).alias("value"), tiers[F.col("event_type")].alias("extraction_tier"))
+    first = F.col("ts") < "2024-01-16"
+    return upsert.tier_upsert(d.filter(first), d.filter(~first), "user_id").drop("extraction_tier", "ts")
 
 
-@query("append_quotes", """WITH r AS (SELECT event_id, user_id, event_type, 'claim ' || CAST(floor(value) AS BIGINT) AS txt, event_id % 3 = 0 AS old FROM events),
+@query("append_quotes", """WITH r AS (SELECT event_id, user_id, event_type, 'claim ' || CAST(floor(value) AS BIGINT) AS txt, ts < TIMESTAMP '2024-01-10' AS old FROM events),
 st AS (SELECT * FROM r WHERE old QUALIFY row_number() OVER (PARTITION BY user_id, event_type, txt ORDER BY event_id) = 1),
 nw AS (SELECT * FROM r WHERE NOT old AND NOT EXISTS (SELECT 1 FROM st WHERE st.user_id = r.user_id AND st.event_type = r.event_type AND st.txt = r.txt)
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type, txt ORDER BY event_id) = 1)
@@ -292,7 +292,7 @@ SELECT event_id, old FROM st UNION ALL SELECT event_id, old FROM nw""")
 def append_quotes(t):
     key = ["posting_id", "claim_type", "subject_slug", "quote_head"]
     d = t.events.select("event_id", F.col("user_id").alias("posting_id"), F.col("event_type").alias("claim_type"), F.lit("").alias("subject_slug"),
-                        F.concat(F.lit("claim "), F.floor("value").cast("string")).alias("quote_text"), (F.col("event_id") % 3 == 0).alias("old"))
+                        F.concat(F.lit("claim "), F.floor("value").cast("string")).alias("quote_text"), (F.col("ts") < "2024-01-10").alias("old"))
     d = d.withColumn("quote_head", F.substring("quote_text", 1, 80))
     order = [F.col("event_id").asc()]
     empty = d.filter(F.lit(False))
@@ -318,7 +318,7 @@ def news_window(t):
     return t.events.filter(in_window(F.to_date("ts"), F.lit("2024-01-25"), 10)).select("event_id")
 
 
-@query("signal_append", """WITH r AS (SELECT event_id, 'a' || (user_id % 9) AS account_id, event_type, lower('T' || CAST(floor(value / 3) AS BIGINT)) AS k, event_id % 4 = 0 AS old FROM events),
+@query("signal_append", """WITH r AS (SELECT event_id, 'a' || (user_id % 9) AS account_id, event_type, lower('T' || CAST(floor(value / 3) AS BIGINT)) AS k, ts < TIMESTAMP '2024-01-08' AS old FROM events),
 st AS (SELECT * FROM r WHERE old QUALIFY row_number() OVER (PARTITION BY account_id, event_type, k ORDER BY event_id) = 1),
 nw AS (SELECT * FROM r WHERE NOT old AND NOT EXISTS (SELECT 1 FROM st WHERE st.account_id = r.account_id AND st.event_type = r.event_type AND st.k = r.k)
   QUALIFY row_number() OVER (PARTITION BY account_id, event_type, k ORDER BY event_id) = 1)
@@ -327,27 +327,27 @@ UNION ALL SELECT event_id, format('sig{:05d}', row_number() OVER (ORDER BY event
 def signal_append(t):
     d = t.events.select(F.lit(None).cast("string").alias("signal_id"), F.concat(F.lit("a"), (F.col("user_id") % 9).cast("string")).alias("account_id"),
                         F.col("event_type").alias("signal_type"), F.concat(F.lit("T"), F.floor(F.col("value") / 3).cast("string")).alias("title"),
-                        F.lit("").alias("url"), F.col("event_id").alias("seq"))
-    old = F.col("seq") % 4 == 0
+                        F.lit("").alias("url"), F.col("event_id").alias("seq"), "ts")
+    old = F.col("ts") < "2024-01-08"
     state = dedupe.append_signals(d.filter(F.lit(False)), d.filter(old))
     return dedupe.append_signals(state, d.filter(~old)).select("seq", "signal_id")
 
 
-@query("patch_and_fill", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'patched' ELSE c_name END AS c_name,
-  CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment || '; more' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+@query("patch_and_fill", """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'patched' ELSE c_name END AS c_name,
+  CASE WHEN c_acctbal < 0 THEN c_mktsegment || '; more' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def patch_and_fill(t):
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    edits = c.filter(F.col("c_custkey") % 3 == 0).select("c_custkey", F.lit("patched").alias("c_name"))
+    edits = c.filter("c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("patched").alias("c_name"))
     unknown = edits.select((-F.col("c_custkey") - 1).alias("c_custkey"), "c_name")
     out = upsert.patch(c, edits.unionByName(unknown), "c_custkey")
-    more = c.filter(F.col("c_custkey") % 2 == 0).select("c_custkey", F.lit("late").alias("c_name"), F.lit("more").alias("c_mktsegment"))
+    more = t.customer.filter("c_acctbal < 0").select("c_custkey", F.lit("late").alias("c_name"), F.lit("more").alias("c_mktsegment"))
     return upsert.fill_empty(out, more, "c_custkey", [], only_empty=["c_name"], append=["c_mktsegment"])
 
 
-@query("upsert_hosts", """SELECT lower(n_name) AS account_id, CASE WHEN n_nationkey % 2 = 0 AND n_nationkey % 3 = 0 THEN 'old' || n_nationkey
-    WHEN n_nationkey % 2 = 0 THEN 'api' || n_nationkey ELSE 'old' || n_nationkey END AS careers_host,
-  CASE WHEN n_nationkey % 2 = 0 THEN 'api' || n_nationkey ELSE '' END AS workday_host,
-  CASE WHEN n_nationkey % 2 = 0 AND n_nationkey % 3 <> 0 THEN 'workday_api' ELSE 'phenom' END AS pattern_kind FROM nation""")
+@query("upsert_hosts", """SELECT lower(n_name) AS account_id, CASE WHEN n_regionkey < 3 AND n_nationkey % 3 = 0 THEN 'old' || n_nationkey
+    WHEN n_regionkey < 3 THEN 'api' || n_nationkey ELSE 'old' || n_nationkey END AS careers_host,
+  CASE WHEN n_regionkey < 3 THEN 'api' || n_nationkey ELSE '' END AS workday_host,
+  CASE WHEN n_regionkey < 3 AND n_nationkey % 3 <> 0 THEN 'workday_api' ELSE 'phenom' END AS pattern_kind FROM nation""")
 def upsert_hosts(t):
     n = F.col("n_nationkey")
     null = F.lit(None).cast("string")
@@ -355,7 +355,7 @@ def upsert_hosts(t):
                             F.lit("phenom").alias("pattern_kind"), F.lit("10").alias("req_urls_found"),
                             F.when(n % 3 == 0, "ok").otherwise("needs_discovery").alias("probe_status"), null.alias("workday_host"),
                             null.alias("workday_site"), null.alias("notes"))
-    new = t.nation.filter(n % 2 == 0).select(F.lower("n_name").alias("account_id"), F.concat(F.lit("api"), n.cast("string")).alias("host"),
+    new = t.nation.filter("n_regionkey < 3").select(F.lower("n_name").alias("account_id"), F.concat(F.lit("api"), n.cast("string")).alias("host"),
                                              F.lit("Careers").alias("tenant_site"), F.lit("json api").alias("note"), n.alias("n_postings"))
     return upsert.upsert_hosts(state, new).select("account_id", "careers_host", F.coalesce("workday_host", F.lit("")).alias("workday_host"), "pattern_kind")
 
@@ -390,7 +390,7 @@ def api_postings(t):
                     F.coalesce(F.col("posted_date").cast("string"), F.lit("")).alias("posted_date"), "path")
 
 
-QUEUE_SQL = with_(*CORPUS) + """, open AS (SELECT posting_id, tier2_score AS score FROM scored WHERE tier2_admit AND o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0)
+QUEUE_SQL = with_(*CORPUS) + """, open AS (SELECT posting_id, tier2_score AS score FROM scored WHERE tier2_admit AND o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW')
 SELECT posting_id, score, row_number() OVER (ORDER BY score DESC, posting_id) AS rn,
   CAST((row_number() OVER (ORDER BY score DESC, posting_id) - 1) // 25 AS INT) AS shard, greatest((SELECT count(*) FROM open) - 200, 0) AS n_dropped
 FROM open QUALIFY rn <= 200"""
@@ -398,16 +398,15 @@ FROM open QUALIFY rn <= 200"""
 
 @query("extraction_queue", QUEUE_SQL)
 def extraction_queue(t):
-    p = scored(t).join(dv.postings(t).select("posting_id", F.col("o_orderkey").alias("k")), "posting_id")
-    bodies = dv.postings(t).select("posting_id", F.when(F.col("o_orderkey") % 3 == 0, "short").otherwise(F.repeat(F.col("role_title"), 400)).alias("text"))
-    done = dv.postings(t).filter(F.col("o_orderkey") % 7 == 0).select("posting_id")
-    d = exports.extraction_queue(p, bodies, done, shard=25, cap=8)
+    bodies = dv.postings(t).select("posting_id", F.when(F.col("o_orderstatus") == "P", "short").otherwise(F.repeat(F.col("role_title"), 400)).alias("text"))
+    done = dv.postings(t).filter("o_orderpriority = '5-LOW'").select("posting_id")
+    d = exports.extraction_queue(scored(t), bodies, done, shard=25, cap=8)
     return d.withColumn("rn", F.col("rn").cast("long"))
 
 
 @query("jobs_index", with_(*CORPUS) + """SELECT p.account_id AS shown_account, p.posting_id, p.role_title AS title, coalesce(s.city, p.city_slug) AS city,
-  p.tier2_score AS score, p.o_orderkey % 3 = 0 AS has_extract, CASE WHEN p.o_orderkey % 3 = 0 THEN 'Team ' || (p.o_orderkey % 11) ELSE '' END AS team,
-  CASE WHEN p.o_orderkey % 3 = 0 THEN 'LIMS · SAP' ELSE '' END AS tech
+  p.tier2_score AS score, p.o_orderstatus = 'F' AS has_extract, CASE WHEN p.o_orderstatus = 'F' THEN 'Team ' || (p.o_orderkey % 11) ELSE '' END AS team,
+  CASE WHEN p.o_orderstatus = 'F' THEN 'LIMS · SAP' ELSE '' END AS tech
 FROM scored p LEFT JOIN sites s USING (site_id) WHERE p.site_id IS NOT NULL OR p.tier2_admit""")
 def jobs_index(t):
     p = scored(t).withColumn("mirror_account_id", F.lit(None).cast("string"))
@@ -416,9 +415,9 @@ def jobs_index(t):
 
 
 def corpus_extracts(t):
-    """Extracts of every third posting."""
+    """Extracts of the filled postings."""
     k = F.col("o_orderkey")
-    return dv.postings(t).filter(k % 3 == 0).select(
+    return dv.postings(t).filter("o_orderstatus = 'F'").select(
         "posting_id", "account_id", F.concat(F.lit("Team "), (k % 11).cast("string")).alias("team_name"), F.lit("").alias("parent_org"),
         F.array(F.lit("LIMS"), F.lit("SAP")).alias("tech_stack"), dv.pick(["central_owned", "site_autonomous", "mixed"], k % 9 / 3).alias("autonomy_flag"))
 

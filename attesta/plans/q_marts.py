@@ -19,7 +19,7 @@ from attesta.sources import exports
 
 # ---------------------------------------------------------------- title labels, hiring
 LABELS_SQL = f"""labels_t AS (SELECT DISTINCT role_title AS title_key, {sql_list(cfg.FAMILY_NAMES + ['other', 'unsure'])}[1 + {sql_byte("role_title || '|f'")} % 9] AS f,
-  {sql_spread("role_title || '|d'")} AS d, {sql_spread("role_title || '|b'")} AS b FROM scored WHERE {sql_byte("role_title || '|h'")} < 200),
+  {sql_spread("role_title || '|d'")} AS d, {sql_spread("role_title || '|b'")} AS b FROM scored WHERE NOT contains(role_title, 'operator')),
 resolved_l AS (SELECT s.*, CASE WHEN job_family <> '' THEN job_family WHEN excluded <> '' THEN 'excluded' WHEN l.title_key IS NOT NULL THEN f ELSE 'not_labeled' END AS family,
   CASE WHEN job_family <> '' THEN job_family IN {tuple(cfg.CORE_FAMILIES)} WHEN excluded <> '' THEN false WHEN l.title_key IS NOT NULL THEN d >= 0.8 ELSE false END AS is_digital,
   CASE WHEN job_family <> '' THEN job_family IN {tuple(cfg.BIOPROCESS_CORE)} WHEN excluded <> '' THEN false WHEN l.title_key IS NOT NULL THEN b >= 0.8 ELSE false END AS is_bioprocess,
@@ -30,7 +30,7 @@ resolved_l AS (SELECT s.*, CASE WHEN job_family <> '' THEN job_family WHEN exclu
 def title_labels(t):
     b = lambda tag: dv.byte("title_key", F.lit(tag))
     keys = dv.postings(t).select(title_key("role_title").alias("title_key")).distinct()
-    return keys.filter(b("h") < 200).select("title_key", dv.pick(cfg.FAMILY_NAMES + ["other", "unsure"], b("f") % 9).alias("job_family_gated"),
+    return keys.filter(~F.contains("title_key", F.lit("operator"))).select("title_key", dv.pick(cfg.FAMILY_NAMES + ["other", "unsure"], b("f") % 9).alias("job_family_gated"),
                                             gate(dv.spread(b("d"))).alias("digital_data_it_gated"), gate(dv.spread(b("b"))).alias("bioprocess_core_gated"))
 
 
@@ -146,23 +146,22 @@ def people_targets(t):
 
 
 @query("people_fold", with_(dv.ACCOUNTS_SQL, dv.SITES_SQL, PEOPLE_SQL) + f"""SELECT t.target_id AS site_head_id, p.site_id, {sql_byte("t.target_id || '|f'")} < 180 AS found, 'Head & Lead' AS found_title FROM targets t JOIN people p
-  ON p.account_id || '--ct-' || substr(p.n, 1, 24) = t.target_id WHERE {sql_byte("t.target_id || '|l'")} < 230""")
+  ON p.account_id || '--ct-' || substr(p.n, 1, 24) = t.target_id""")
 def people_fold(t):
     targets, links = upsert.people_targets(dv.sites(t), dv.accounts(t))
-    b = lambda tag: dv.byte("target_id", F.lit(tag))
-    look = targets.filter(b("l") < 230).select("target_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("batch"), (b("f") < 180).alias("found"), F.lit("Head &amp; Lead").alias("found_title"))
+    look = targets.select("target_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("batch"), (dv.byte("target_id", F.lit("f")) < 180).alias("found"), F.lit("Head &amp; Lead").alias("found_title"))
     return upsert.fold_people(targets, links, look).select("site_head_id", "site_id", "found", "found_title")
 
 
 @query("role_fold", """SELECT 's' || s_suppkey || '--rh-' || substr('annlee' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', 'abcdefghij'), 1, 24) AS site_head_id, 'Plant & Site Lead' AS title,
-  CASE WHEN s_suppkey % 4 = 0 THEN '2024-06-02' ELSE '2024-06-01' END AS checked_at FROM supplier""")
+  CASE WHEN s_acctbal < 0 THEN '2024-06-02' ELSE '2024-06-01' END AS checked_at FROM supplier""")
 def role_fold(t):
     k = F.col("s_suppkey")
     name = F.concat(F.lit("Ann Lee "), F.translate(k.cast("string"), "0123456789", "abcdefghij"))
     person = lambda nm, chosen: F.struct(nm.alias("name"), F.lit("Plant &amp; Site Lead").alias("title"), F.lit("a.lee@x.example").alias("email"), F.lit(chosen).alias("chosen"))
-    s = t.supplier.select(F.concat(F.lit("s"), k.cast("string")).alias("site_id"), F.lit("a").alias("account_id"), F.array(person(name, True), person(F.lit("Other One"), False)).alias("candidates"), k)
+    s = t.supplier.select(F.concat(F.lit("s"), k.cast("string")).alias("site_id"), F.lit("a").alias("account_id"), F.array(person(name, True), person(F.lit("Other One"), False)).alias("candidates"), "s_acctbal")
     first = s.withColumn("ran_at", F.lit("2024-06-01T00:00:00"))
-    again = s.filter(k % 4 == 0).withColumn("ran_at", F.lit("2024-06-02T00:00:00"))
+    again = s.filter("s_acctbal < 0").withColumn("ran_at", F.lit("2024-06-02T00:00:00"))
     empty = t.spark.createDataFrame([], "site_head_id string, account_id string, site_id string, name string, title string, email string, source string, checked_at string")
     state = upsert.fold_roles(empty, first)
     return upsert.fold_roles(state, again).select("site_head_id", "title", "checked_at")
@@ -184,7 +183,7 @@ def pipeline_groups(t):
 
 
 @query("stale_rejection", """WITH bad AS (SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0 UNION SELECT c_custkey FROM customer WHERE c_custkey % 11 = 0)
-SELECT 'a' AS layer, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM bad) UNION ALL SELECT 'b', c_custkey FROM customer WHERE c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT c_custkey FROM bad)""")
+SELECT 'a' AS layer, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM bad) UNION ALL SELECT 'b', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM bad)""")
 def stale_rejection(t):
     k = F.col("c_custkey")
     spine = t.customer.select(k.alias("site_id"), F.col("c_nationkey").alias("account_id"), F.col("c_name").alias("site"))
@@ -194,7 +193,7 @@ def stale_rejection(t):
     b = spine.select("site_id", "account_id", renamed.alias("site"))
     out, _ = upsert.drop_stale({"a": (a, ["account_id"]), "b": (b, ["account_id", "site"])}, spine)
     return out["a"].select(F.lit("a").alias("layer"), F.col("site_id").alias("c_custkey")).unionByName(
-        out["b"].filter(F.col("site_id") % 2 == 0).select(F.lit("b").alias("layer"), F.col("site_id").alias("c_custkey")))
+        out["b"].select(F.lit("b").alias("layer"), F.col("site_id").alias("c_custkey")))
 
 
 @query("unflagged_notes", "SELECT CAST('' AS VARCHAR) AS account_id, CAST('' AS VARCHAR) AS period WHERE false")
@@ -220,7 +219,7 @@ def near_dup_documents(t):
 
 
 # ---------------------------------------------------------------- marts
-@query("central_ledger", with_(*CORPUS) + f""", p AS (SELECT s.account_id, s.site_id, CASE WHEN o_orderkey % 3 = 0 THEN {sql_pick(['central_owned', 'site_autonomous', 'mixed'], 'floor((o_orderkey % 9) / 3)')} END AS flag, lower(coalesce(t.functions, '')) AS f
+@query("central_ledger", with_(*CORPUS) + f""", p AS (SELECT s.account_id, s.site_id, CASE WHEN o_orderstatus = 'F' THEN {sql_pick(['central_owned', 'site_autonomous', 'mixed'], 'floor((o_orderkey % 9) / 3)')} END AS flag, lower(coalesce(t.functions, '')) AS f
   FROM scored s LEFT JOIN sites t USING (site_id) WHERE job_family IN {tuple(cfg.CORE_FAMILIES)}),
 c AS (SELECT account_id, count(*) FILTER (flag = 'central_owned') AS n_central, count(*) FILTER (flag = 'site_autonomous') AS n_local, count(*) FILTER (site_id IS NOT NULL AND (contains(f, 'commercial') OR contains(f, 'hq'))) AS n_hq_core,
   count(*) FILTER (site_id IS NOT NULL AND NOT (contains(f, 'commercial') OR contains(f, 'hq'))) AS n_site_core FROM p GROUP BY 1)
@@ -246,13 +245,14 @@ def publication_ranks(t):
   CASE WHEN {sql_byte("d.doc_id || '|rc'")} < 170 THEN 0.9e0 ELSE 0.4e0 END AS conf, {sql_spread("d.doc_id || '|pd'")} AS pd FROM documents d LEFT JOIN labels l USING (doc_id)),
 k AS (SELECT *, score >= 1.5 AND conf >= 0.6 AS keep FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY keep DESC, score DESC, pd DESC, year DESC, CAST(doc_id AS VARCHAR)) AS rk FROM k),
-s AS (SELECT doc_id, 'nation_' || replace(source, 'src', '') AS account_id, doc_id % 6 AS ko FROM documents)""") + f"""SELECT s.account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko] AS signal_type,
+s AS (SELECT doc_id, lang, 'nation_' || replace(source, 'src', '') AS account_id, doc_id % 6 AS ko FROM documents)""") + f"""SELECT s.account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko] AS signal_type,
   row_number() OVER (PARTITION BY s.account_id ORDER BY CASE WHEN keep IS NULL THEN 1 WHEN keep THEN 0 ELSE 2 END, coalesce(rk, 1000000), s.doc_id) AS position, CAST(s.doc_id AS VARCHAR) AS signal_id,
-  coalesce(NOT keep, false) AS below_bar FROM s LEFT JOIN r ON r.doc_id = s.doc_id AND s.doc_id % 12 = 0 WHERE ko = 0
+  coalesce(NOT keep, false) AS below_bar FROM s LEFT JOIN r ON r.doc_id = s.doc_id AND s.lang = 'en' WHERE ko = 0
 UNION ALL SELECT account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko], row_number() OVER (PARTITION BY account_id, ko ORDER BY doc_id) AS position, CAST(doc_id AS VARCHAR), false FROM s WHERE ko > 0 QUALIFY position <= 12""")
 def signal_mart(t):
-    """Half of the publications were scored."""
-    ranks = publication_ranks(t).filter(F.col("signal_id").cast("long") % 12 == 0)
+    """The English publications were scored."""
+    english = t.documents.filter("lang = 'en'").select(F.col("doc_id").cast("string").alias("signal_id"))
+    ranks = publication_ranks(t).join(english, "signal_id", "left_semi")
     return marts.signal_mart(signals(t), ranks).select("account_id", "signal_type", F.col("position").cast("long").alias("position"), "signal_id", "below_bar")
 
 
@@ -286,7 +286,7 @@ def site_mart(t):
 @query("account_mart", with_(dv.ACCOUNTS_SQL, *CORPUS, COVERAGE_SQL, PROFILE_SQL) + """SELECT a.account_id, CASE WHEN pipeline_status IN ('Active Pipeline', 'Active Prospect', 'Closed Won') THEN 0 WHEN pipeline_status = 'Closed Lost' THEN 2 ELSE 1 END AS group_rank,
   count(s.site_id) AS n_sites, count(s.site_id) FILTER ((CASE WHEN verdict_manual <> '' THEN upper(verdict_manual) ELSE verdict_auto END) = 'KEEP') AS n_keep, count(s.site_id) FILTER (s_suppkey % 6 >= 3) AS n_named,
   count(s.site_id) FILTER (s_suppkey % 6 >= 4) AS n_linked, (SELECT count(*) FROM documents d WHERE 'nation_' || replace(d.source, 'src', '') = a.account_id AND d.doc_id % 6 = 0) AS n_publications,
-  (SELECT count(*) FROM postings p WHERE p.account_id = a.account_id) AS n_postings, count(s.site_id) FILTER (s_suppkey % 3 = 0) AS n_units, count(s.site_id) FILTER (coverage_state = 'covered') AS n_covered
+  (SELECT count(*) FROM postings p WHERE p.account_id = a.account_id) AS n_postings, count(s.site_id) FILTER (s.s_acctbal > 0) AS n_units, count(s.site_id) FILTER (coverage_state = 'covered') AS n_covered
   FROM accounts a LEFT JOIN sites s USING (account_id) LEFT JOIN cover c ON c.site_id = s.site_id WHERE active AND in_universe GROUP BY ALL""")
 def account_mart(t):
     s, _, final, _, _, _, heads = mart_layers(t)
@@ -303,7 +303,7 @@ def hiring_mix(t):
     return served.get_hiring_mix(d, "NATION_7").records.select("period", "dim_key", "n", "denom", "bias_flag")
 
 
-@query("filter_corpus", with_(*CORPUS) + """SELECT posting_id, tier2_score AS score FROM scored WHERE (site_id IS NOT NULL OR tier2_admit) AND job_family = 'data_digital' AND last_seen >= DATE '1997-01-01' AND o_orderkey % 3 = 0
+@query("filter_corpus", with_(*CORPUS) + """SELECT posting_id, tier2_score AS score FROM scored WHERE (site_id IS NOT NULL OR tier2_admit) AND job_family = 'data_digital' AND last_seen >= DATE '1997-01-01' AND o_orderstatus = 'F'
   ORDER BY tier2_score DESC, posting_id LIMIT 120""")
 def filter_corpus(t):
     p = scored(t).withColumn("mirror_account_id", F.lit(None).cast("string"))

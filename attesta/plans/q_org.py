@@ -237,30 +237,29 @@ def drop_unsupported(t):
 
 
 # ---------------------------------------------------------------- coverage and served queries
-COVERAGE_SQL = """ex AS (SELECT posting_id FROM postings WHERE o_orderkey % 3 = 0),
-idx AS (SELECT site_id, count(*) AS n_indexed, count(*) FILTER (tier2_admit) AS n_admitted, count(*) FILTER (regexp_matches(extraction_tier, '^tier[234]_')) AS n_bodies, count(*) FILTER (o_orderkey % 3 = 0) AS n_extracts FROM scored WHERE site_id IS NOT NULL GROUP BY 1),
-cover AS (SELECT s.account_id, s.site_id, coalesce(n_indexed, 0) AS n_indexed, coalesce(n_admitted, 0) AS n_admitted, coalesce(n_bodies, 0) AS n_bodies, coalesce(n_extracts, 0) AS n_extracts,
+COVERAGE_SQL = """idx AS (SELECT site_id, count(*) AS n_indexed, count(*) FILTER (tier2_admit) AS n_admitted, count(*) FILTER (regexp_matches(extraction_tier, '^tier[234]_')) AS n_bodies, count(*) FILTER (o_orderstatus = 'F') AS n_extracts FROM scored WHERE site_id IS NOT NULL GROUP BY 1),
+cover AS (SELECT s.account_id, s.site_id, s.s_acctbal, coalesce(n_indexed, 0) AS n_indexed, coalesce(n_admitted, 0) AS n_admitted, coalesce(n_bodies, 0) AS n_bodies, coalesce(n_extracts, 0) AS n_extracts,
   CASE WHEN s.account_id NOT IN (SELECT account_id FROM postings) THEN 'never_scanned' WHEN n_indexed IS NULL THEN 'scanned_none_found' WHEN n_extracts = 0 THEN 'indexed_not_extracted' ELSE 'covered' END AS coverage_state
   FROM sites s LEFT JOIN idx USING (site_id))"""
 
 
 def site_units(t):
-    """One observed unit per third supplier."""
+    """One observed unit per supplier with a positive balance."""
     s = dv.sites(t)
-    return s.filter(F.col("s_suppkey") % 3 == 0).select("account_id", "site_id", F.lit("observed").alias("unit_kind"))
+    return s.filter("s_acctbal > 0").select("account_id", "site_id", F.lit("observed").alias("unit_kind"))
 
 
 def covered(t):
     return org.coverage(dv.sites(t), scored(t), corpus_extracts(t), site_units(t))
 
 
-@query("coverage", with_(*CORPUS, COVERAGE_SQL) + "SELECT site_id, n_indexed, n_admitted, n_bodies, n_extracts, CASE WHEN CAST(substr(site_id, 2) AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS n_units, coverage_state FROM cover")
+@query("coverage", with_(*CORPUS, COVERAGE_SQL) + "SELECT site_id, n_indexed, n_admitted, n_bodies, n_extracts, CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS n_units, coverage_state FROM cover")
 def coverage(t):
     return covered(t).select("site_id", "n_indexed", "n_admitted", "n_bodies", "n_extracts", "n_units", "coverage_state")
 
 
 @query("list_accounts", with_(dv.ACCOUNTS_SQL, *CORPUS, COVERAGE_SQL) + """SELECT a.account_id, a.company, count(DISTINCT c.site_id) AS sites, count(DISTINCT c.site_id) FILTER (coverage_state = 'covered') AS sites_covered,
-  count(DISTINCT c.site_id) FILTER (CAST(substr(c.site_id, 2) AS BIGINT) % 3 = 0) AS org_units, (SELECT count(*) FROM postings p WHERE p.account_id = a.account_id) AS postings_indexed
+  count(DISTINCT c.site_id) FILTER (c.s_acctbal > 0) AS org_units, (SELECT count(*) FROM postings p WHERE p.account_id = a.account_id) AS postings_indexed
   FROM accounts a LEFT JOIN cover c USING (account_id) WHERE active AND in_universe GROUP BY 1, 2""")
 def list_accounts(t):
     return served.list_accounts(dv.accounts(t), covered(t), site_units(t), dv.postings(t)).records
@@ -329,7 +328,7 @@ def vocabulary(t):
     return out.groupBy(F.col("quote_text").alias("phrase")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("query_postings", with_(*CORPUS) + """SELECT posting_id, tier2_score, 'Team ' || (o_orderkey % 11) AS team FROM scored WHERE account_id = 'nation_6' AND last_seen >= DATE '1998-01-01' AND seniority_rank >= 2 AND o_orderkey % 3 = 0
+@query("query_postings", with_(*CORPUS) + """SELECT posting_id, tier2_score, 'Team ' || (o_orderkey % 11) AS team FROM scored WHERE account_id = 'nation_6' AND last_seen >= DATE '1998-01-01' AND seniority_rank >= 2 AND o_orderstatus = 'F'
   ORDER BY tier2_score DESC, posting_id LIMIT 200""")
 def query_postings(t):
     p = scored(t).withColumn("mirror_account_id", F.lit(None).cast("string"))

@@ -156,7 +156,7 @@ _SAME = "({a} = {b} OR ({a} IN ('CLOSED', 'GAP', 'DROP') AND {b} IN ('CLOSED', '
 
 
 @query("check_merge", with_(*SITE, FIT_SQL) + f""", v AS (SELECT site_id, CASE {sql_byte("site_id || '|o'")} % 3 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'contradicted' ELSE 'source too thin' END AS outcome FROM site_fit),
-dec AS (SELECT site_id, {sql_pick(['KEEP', 'FLAG', 'CLOSED', 'NEEDS_PERSON'], sql_byte("site_id || '|d'") + ' % 4')} AS decision FROM site_fit WHERE {sql_byte("site_id || '|h'")} < 128),
+dec AS (SELECT site_id, {sql_pick(['KEEP', 'FLAG', 'CLOSED', 'NEEDS_PERSON'], sql_byte("site_id || '|d'") + ' % 4')} AS decision FROM site_fit JOIN v USING (site_id) WHERE outcome <> 'confirmed'),
 m AS (SELECT f.*, v.outcome, decision, {sql_byte("f.site_id || '|a'")} < 180 AS agree FROM site_fit f JOIN v USING (site_id) LEFT JOIN dec USING (site_id)),
 x AS (SELECT *, CASE WHEN decision IS NOT NULL AND agree THEN decision WHEN decision IS NULL AND outcome = 'confirmed' THEN policy_verdict ELSE 'NEEDS_PERSON' END AS final_verdict FROM m)
 SELECT site_id, final_verdict, CASE WHEN final_verdict = 'NEEDS_PERSON' THEN 'person needed' WHEN decision IS NULL THEN 'confirmed by source'
@@ -171,13 +171,13 @@ def merged_check(t):
     f = fit_rows(t)
     b = lambda tag: dv.byte("site_id", F.lit(tag))
     verification = f.select("site_id", F.when(b("o") % 3 == 0, "confirmed").when(b("o") % 3 == 1, "contradicted").otherwise("source too thin").alias("outcome"), F.lit("u").alias("best_url"))
-    decisions = f.filter(b("h") < 128).select("site_id", dv.pick(["KEEP", "FLAG", "CLOSED", "NEEDS_PERSON"], b("d") % 4).alias("decision"), F.lit("why").alias("decision_reason"))
+    decisions = f.join(verification.filter("outcome <> 'confirmed'"), "site_id", "left_semi").select("site_id", dv.pick(["KEEP", "FLAG", "CLOSED", "NEEDS_PERSON"], b("d") % 4).alias("decision"), F.lit("why").alias("decision_reason"))
     checks = f.select("site_id", (b("a") < 180).alias("agree"))
     return verdicts.check_merge(verification, f, decisions, checks)
 
 
 FINAL_SQL = f"""runs AS (SELECT site_id, CAST(substr(site_id, 1, 1) AS INT) % 3 + r AS run, {sql_pick(['KEEP', 'FLAG', 'DROP', 'NEEDS_PERSON'], sql_byte("site_id || '|r' || r") + ' % 4')} AS v,
-  CASE WHEN r = 1 THEN 'animal health only' ELSE 'animal, small molecule' END AS reason FROM site_fit, (SELECT unnest([1, 2]) AS r) WHERE {sql_byte("site_id || '|c' || r")} < 90),
+  CASE WHEN r = 1 THEN 'animal health only' ELSE 'animal, small molecule' END AS reason FROM site_fit, (SELECT unnest([1, 2]) AS r) WHERE policy_verdict <> model_verdict AND (r = 1 OR model_verdict <> 'REVIEW')),
 last AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY run DESC) = 1),
 final AS (SELECT f.site_id, f.account_id, CASE WHEN v = 'NEEDS_PERSON' THEN 'REVIEW' WHEN v = 'FLAG' AND reason = 'animal health only' THEN 'KEEP' WHEN v IS NOT NULL THEN v
     WHEN model_verdict <> 'REVIEW' AND {_SAME.format(a='policy_verdict', b='model_verdict')} THEN policy_verdict ELSE 'REVIEW' END AS verdict,
@@ -194,9 +194,11 @@ def final_verdict(t):
 
 def final_rows(t):
     f = fit_rows(t)
-    r = f.select("site_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("r"))
+    # a run checks where the readings differ; the second one only where the model decided
+    differ = f.filter(F.col("policy_verdict") != F.col("model_verdict"))
+    r = differ.select("site_id", "model_verdict", F.explode(F.array(F.lit(1), F.lit(2))).alias("r")).filter("r = 1 OR model_verdict <> 'REVIEW'")
     key = lambda tag: dv.byte("site_id", F.concat(F.lit(tag), F.col("r").cast("string")))
-    runs = r.filter(key("c") < 90).select(
+    runs = r.select(
         "site_id", (F.substring("site_id", 1, 1).cast("int") % 3 + F.col("r")).alias("run"), dv.pick(["KEEP", "FLAG", "DROP", "NEEDS_PERSON"], key("r") % 4).alias("final_verdict"),
         F.when(F.col("r") == 1, "animal health only").otherwise("animal, small molecule").alias("reason"), F.lit("u").alias("source_url"))
     return verdicts.final_verdict(f, runs)
@@ -444,12 +446,12 @@ def field_agreement(t):
 
 
 @query("tool_recall", """WITH g AS (SELECT DISTINCT l_orderkey, lower(p_name) AS term FROM lineitem JOIN part ON l_partkey = p_partkey),
-p AS (SELECT DISTINCT l_orderkey, lower(split_part(p_name, ' ', 2)) AS t FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 2 = 0)
+p AS (SELECT DISTINCT l_orderkey, lower(split_part(p_name, ' ', 2)) AS t FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')
 SELECT l_orderkey, term, EXISTS (SELECT 1 FROM p WHERE p.l_orderkey = g.l_orderkey AND (contains(t, term) OR contains(term, t))) AS found FROM g""")
 def tool_recall(t):
     d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     gold = d.select("l_orderkey", F.col("p_name").alias("term"))
-    pred = d.filter(F.col("l_linenumber") % 2 == 0).select("l_orderkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("term"))
+    pred = d.filter("l_returnflag = 'R'").select("l_orderkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("term"))
     return quality.recall_containment(gold, pred, "l_orderkey", "term")
 
 
