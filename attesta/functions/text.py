@@ -57,13 +57,15 @@ def _forms(s: pd.Series) -> pd.DataFrame:
 
 # ---------------------------------------------------------------- columns
 def afold(c) -> Column:
-    """NFKD, combining marks dropped."""
-    return _fold(as_col(c))
+    """NFKD, combining marks dropped. Only non-ASCII values travel to Python; the rest go as nulls."""
+    c = as_col(c)
+    return F.coalesce(_fold(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def unescape(c) -> Column:
-    """HTML entities decoded once."""
-    return _unescape(as_col(c))
+    """HTML entities decoded once. Only values with an ampersand travel to Python."""
+    c = as_col(c)
+    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def collapse(c) -> Column:
@@ -134,12 +136,12 @@ def titleise(c, acronyms=None) -> Column:
 def html_to_text(c, blocks: str = cfg.DROP_BLOCKS) -> Column:
     """Non-content blocks dropped, tags to spaces, entities decoded once, whitespace collapsed."""
     bare = F.regexp_replace(F.regexp_replace(as_col(c), blocks, " "), r"(?s)<[^>]+>", " ")
-    return collapse(_unescape(bare))
+    return collapse(unescape(bare))
 
 
 def strip_markup(c) -> Column:
     """N16 for feed fields: decode, drop tags, decode again, collapse."""
-    return collapse(_unescape(F.regexp_replace(_unescape(F.coalesce(as_col(c), F.lit(""))), r"<[^>]+>", " ")))
+    return collapse(unescape(F.regexp_replace(unescape(F.coalesce(as_col(c), F.lit(""))), r"<[^>]+>", " ")))
 
 
 def page_form(c) -> Column:

@@ -10,7 +10,7 @@ from attesta.functions.gates import confidence
 from attesta.functions.ids import edge_id, unit_id
 from attesta.functions.text import team_slug
 from attesta.operators.claims import GateFailed
-from attesta.operators.skew import first_per_group, modal, top_per_group
+from attesta.operators.skew import first_per_group, top_per_group
 
 
 def _date() -> Column:
@@ -40,15 +40,22 @@ def unit_quotes(extracts: DataFrame, quotes: DataFrame) -> DataFrame:
     return pairs.join(quotes, "posting_id")
 
 
+def unit_values(extracts: DataFrame, postings: DataFrame) -> DataFrame:
+    """(unit_id, facet, value, n, first_at): every named value of a unit, counted in one pass over the extracts. All lists,
+    modes and counts of distinct values of a unit come from this small table."""
+    one = lambda name, c: F.struct(F.lit(name).alias("facet"), F.col(c).alias("value"), F.lit(0).alias("pos"))
+    many = lambda name, c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda v, i: F.struct(
+        F.lit(name).alias("facet"), v.alias("value"), i.alias("pos")))
+    rows = F.concat(F.array(one("name", "team_name"), one("acronym", "team_acronym"), one("site", "site_id"), one("family", "job_family"),
+                            one("manager", "hiring_manager")), many("tech", "tech_stack"), many("phrase", "vocabulary"))
+    d = _with_posting(extracts, postings).select("unit_id", "posting_id", F.inline(rows))
+    return d.filter(F.coalesce("value", F.lit("")) != "").groupBy("unit_id", "facet", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("posting_id", "pos")).alias("first_at"))
+
+
 def unit_facets(extracts: DataFrame, postings: DataFrame) -> DataFrame:
     """A5: (unit_id, facet, value, n) for sites, families, tools and managers; the most frequent first when ordered by n."""
-    d = _with_posting(extracts, postings)
-    one = lambda name, c: F.struct(F.lit(name).alias("facet"), F.col(c).alias("value"))
-    tools = F.transform(F.coalesce("tech_stack", F.array().cast("array<string>")),
-                        lambda t: F.struct(F.lit("tech").alias("facet"), t.alias("value")))
-    rows = F.concat(F.array(one("site", "site_id"), one("family", "job_family"), one("manager", "hiring_manager")), tools)
-    return (d.select("unit_id", F.inline(rows)).filter(F.coalesce("value", F.lit("")) != "")
-            .groupBy("unit_id", "facet", "value").agg(F.count(F.lit(1)).alias("n")))
+    return unit_values(extracts, postings).filter(F.col("facet").isin("site", "family", "tech", "manager")).drop("first_at")
 
 
 def assemble_units(extracts: DataFrame, postings: DataFrame, quotes: DataFrame) -> DataFrame:
@@ -58,32 +65,30 @@ def assemble_units(extracts: DataFrame, postings: DataFrame, quotes: DataFrame)
     in order of posting, evidence dates and counts, and a derived confidence. Site candidates, tools and managers stay in
     `unit_facets`, quote ids in `unit_evidence`; only their counts are on the row.
     """
-    d = _with_posting(extracts, postings)
     by = ["unit_id"]
-    base = d.groupBy("unit_id", "account_id", F.col("team_slug").alias("unit_slug")).agg(
+    base = _with_posting(extracts, postings).groupBy("unit_id", "account_id", F.col("team_slug").alias("unit_slug")).agg(
         F.count_distinct("posting_id").alias("n_postings"),
         F.count_if(F.col("extraction_tier").isin(cfg.RICH_TIERS)).alias("n_postings_tier3plus"),
         F.max(F.coalesce("seniority_rank", F.lit(1))).alias("seniority_max"),
         F.min("evidence_date").alias("first_evidence_date"), F.max("evidence_date").alias("last_evidence_date"))
-    facets = unit_facets(extracts, postings)
-    best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("value")))
-    sites = facets.filter(F.col("facet") == "site").groupBy("unit_id").agg(
-        best["value"].alias("site_id"), F.count(F.lit(1)).alias("n_site_candidates"))
-    counts = facets.groupBy("unit_id").agg(F.count_if(F.col("facet") == "tech").alias("n_tech"),
-                                           F.count_if(F.col("facet") == "manager").alias("n_managers"))
-    fams = facets.filter(F.col("facet") == "family").groupBy("unit_id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "value"))), lambda s: s["value"]).alias("job_families"))
-    said = d.select("unit_id", "posting_id", F.posexplode("vocabulary").alias("pos", "phrase")).groupBy("unit_id", "phrase").agg(
-        F.min(F.struct("posting_id", "pos")).alias("_at"))
-    vocab = top_per_group(said, by, [F.col("_at").asc()], 6, "rn").groupBy("unit_id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("rn", "phrase"))), lambda s: s["phrase"]).alias("vocabulary"))
+    values = unit_values(extracts, postings)
+    of = lambda facet: F.col("facet") == facet
+    ranked = F.struct((-F.col("n")).alias("neg"), F.col("value").alias("v"))
+    mode = lambda facet, out: F.min(F.when(of(facet), ranked))["v"].alias(out)
+    # seven families at most, so this list is bounded
+    families = F.transform(F.array_sort(F.collect_list(F.when(of("family"), ranked))), lambda s: s["v"])
+    facts = values.groupBy("unit_id").agg(
+        mode("name", "unit_name"), mode("acronym", "acronym"), mode("site", "site_id"), F.count_if(of("site")).alias("n_site_candidates"),
+        F.count_if(of("tech")).alias("n_tech"), F.count_if(of("manager")).alias("n_managers"), families.alias("job_families"))
+    phrases = top_per_group(values.filter(of("phrase")), by, [F.col("first_at").asc(), F.col("value").asc()], 6, "rn")
+    vocab = phrases.groupBy("unit_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("rn", "value"))), lambda s: s["value"]).alias("vocabulary"))
     cited = unit_evidence(extracts, quotes).groupBy("unit_id").agg(F.count_distinct("quote_id").alias("n_quotes"))
-    u = (base.join(modal(d, by, "team_name", "unit_name"), by)
-         .join(modal(d.filter(F.coalesce("team_acronym", F.lit("")) != ""), by, "team_acronym", "acronym"), by, "left"))
-    for side in (sites, counts, fams, vocab, cited):
+    u = base
+    for side in (facts, vocab, cited):
         u = u.join(side, by, "left")
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_site_candidates", "n_tech", "n_managers", "n_quotes")}
-    u = u.withColumns(zero).withColumn("_c", confidence("n_postings", "n_postings_tier3plus", "n_quotes"))
+    u = u.withColumn("n_quotes", F.coalesce("n_quotes", F.lit(0)))
+    u = u.withColumn("_c", confidence("n_postings", "n_postings_tier3plus", "n_quotes"))
     return (u.withColumn("unit_kind", F.lit("observed"))
             .withColumn("site_resolution", F.when(F.col("n_site_candidates") > 1, "modal_of_postings")
                         .when(F.col("n_site_candidates") == 1, "single_site"))

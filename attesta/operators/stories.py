@@ -45,10 +45,12 @@ def suppress_near_dups(df: DataFrame, block, words: str | None = None, thr: floa
     block = [block] if isinstance(block, str) else list(block)
     order = [F.col(newest).desc(), F.col(id).asc()]
     bag = F.array_sort(F.col(words) if words else word_set(title))
-    d = df.withColumn("_w", bag)
-    loose = d.filter(F.size("_w") == 0).select(id)
-    full = d.filter(F.size("_w") > 0).withColumn("_sig", F.sha2(F.array_join("_w", " "), 256))
-    open_ = cut(top_per_group(full, [*block, "_sig"], order, 1).select(*block, id, newest, "_w"))
+    bags = df.select(*block, id, newest, bag.alias("_w")).withColumn("_sig", F.sha2(F.array_join("_w", " "), 256))
+    # the newest row of each word set; rows without words stand for themselves
+    alone = F.when(F.size("_w") == 0, F.col(id).cast("string")).otherwise(F.col("_sig"))
+    bags = cut(top_per_group(bags.withColumn("_sig", alone), [*block, "_sig"], order, 1).drop("_sig"))
+    loose = bags.filter(F.size("_w") == 0).select(id)
+    open_ = bags.filter(F.size("_w") > 0)
     schema_keep = open_.select(id).schema
     kept = []
     while True:

@@ -97,7 +97,7 @@ def postings(t: Tables) -> DataFrame:
     step = lambda d: F.floor(level / d).cast("string")
     city = (F.when(c % 17 == 0, "").when(c % 5 == 0, F.concat(F.lit("metro"), step(5000)))
             .when(c % 5 == 1, F.concat(F.lit("old"), step(2000))).otherwise(F.concat(F.lit("town"), step(1000))))
-    d = t.orders.join(t.customer, F.col("o_custkey") == c).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    d = t.spread("orders", "o_orderkey").join(t.customer, F.col("o_custkey") == c).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     day = F.to_date("o_orderdate")
     return d.select(
         F.concat(F.lit("p"), k.cast("string")).alias("posting_id"), F.lower("n_name").alias("account_id"),
@@ -170,7 +170,7 @@ def extracts(t: Tables) -> DataFrame:
     team = (F.when(ln == 7, F.concat(F.lit("BR"), digits)).when(ln == 3, F.concat(F.lit("the "), brand, F.lit(" Team")))
             .otherwise(brand))
     slug = F.when(ln == 7, F.concat(F.lit("br"), digits)).otherwise(F.replace(F.lower(brand), F.lit(" "), F.lit("-")))
-    d = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    d = (t.spread("lineitem", "l_orderkey").join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")))
     parent = F.when(size % 4 == 0, F.concat(F.lit("Division "), (size % 5).cast("string"))).when(
         size % 4 == 1, F.concat(F.lit("Brand "), ((digits.cast("int") * 7 + 3) % 25 + 1).cast("string")))

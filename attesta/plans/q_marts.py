@@ -214,7 +214,7 @@ def near_dup_stories(t):
 @query("near_dup_documents")
 def near_dup_documents(t):
     """Documents as stories, in blocks of language and source."""
-    d = t.documents.select(F.col("doc_id").alias("item_id"), "lang", "source", F.col("doc_id").alias("published"), F.col("text").alias("title"))
+    d = t.spread("documents", "doc_id").select(F.col("doc_id").alias("item_id"), "lang", "source", F.col("doc_id").alias("published"), F.col("text").alias("title"))
     return stories.suppress_near_dups(d, ["lang", "source"], thr=0.5).select("item_id", "lang", "source")
 
 

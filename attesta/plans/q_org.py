@@ -10,6 +10,7 @@ from attesta.plans import derive as dv
 from attesta.plans.base import query
 from attesta.plans.derive import with_
 from attesta.plans.q_corpus import CORPUS, corpus_extracts, scored
+from attesta.session import land
 
 POSTING_COLS = ["posting_id", "account_id", "site_id", "job_family", "seniority_rank", "posted_date", "first_seen"]
 
@@ -18,7 +19,7 @@ class Org:
     """The derived org inputs, and the assembled layers."""
 
     def __init__(self, t):
-        raw = dv.extracts(t)
+        raw = land(dv.extracts(t))  # extracts are a stored table; every layer reads some of its columns
         self.postings = raw.select(*POSTING_COLS)
         self.quotes = dv.quotes(raw)
         self.extracts = raw.drop("site_id", "job_family", "seniority_rank", "posted_date", "first_seen", "l_linestatus", "l_returnflag", "p_size", "p_name")

@@ -22,13 +22,13 @@ FOLD = "strip_accents(text)"
 def text_keys(t):
     """N2, N3, N4, N9, N10, N18 over whole texts; the long keys are shown as their md5."""
     d = F.md5
-    return t.documents.select("doc_id", d(text.norm("text")).alias("norm"), d(text.slug("text")).alias("slug"), d(text.ckey("text")).alias("ckey"),
+    return t.spread("documents", "doc_id").select("doc_id", d(text.norm("text")).alias("norm"), d(text.slug("text")).alias("slug"), d(text.ckey("text")).alias("ckey"),
                               d(text.title_key("text")).alias("title_key"), d(text.nname("text")).alias("nname"), ids.h10("source", "lang").alias("h10"))
 
 
 @query("folded_text", f"SELECT doc_id, md5({FOLD}) AS folded FROM documents")
 def folded_text(t):
-    return t.documents.select("doc_id", F.md5(text.afold("text")).alias("folded"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(text.afold("text")).alias("folded"))
 
 
 @query("place_keys", with_(dv.SITES_SQL) + """SELECT site_id, city_key AS "primary", alias_key AS alias, metro_key AS metro, city_key || 'side' AS from_slug,
@@ -71,7 +71,7 @@ def _strip_sql(col: str) -> str:
 
 @query("html_text", f"SELECT page_id, length({_strip_sql('html')}) AS n_chars, md5({_strip_sql('html')}) AS body FROM pages")
 def html_text(t):
-    body = t.pages.select("page_id", text.html_to_text("html").alias("b"))
+    body = t.spread("pages", "page_id").select("page_id", text.html_to_text("html").alias("b"))
     return body.select("page_id", F.length("b").cast("long").alias("n_chars"), F.md5("b").alias("body"))
 
 
@@ -143,7 +143,7 @@ def parse_feed(t):
     clean = F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")
     xml = F.concat(F.lit("<item><title>Story "), k, F.lit(" - "), F.col("source"), F.lit("</title><link>"), link, F.lit("</link><pubDate>"), pub, F.lit("</pubDate><source>"),
                    F.col("source"), F.lit("</source><description>"), esc(esc(clean)), F.lit("</description></item>"))
-    d = feeds.parse_feed(t.documents.select("doc_id", xml.alias("item_xml")))
+    d = feeds.parse_feed(t.spread("documents", "doc_id").select("doc_id", xml.alias("item_xml")))
     return d.select("doc_id", "item_id", "title", "source", F.coalesce(F.col("published").cast("string"), F.lit("")).alias("published"), F.md5("snippet").alias("snippet"))
 
 
@@ -188,7 +188,7 @@ def people_append(t):
 # ---------------------------------------------------------------- segments, phrases, people
 @query("segment")
 def segment(t):
-    d = parse.segment(t.documents, "doc_id", "text")
+    d = parse.segment(t.spread("documents", "doc_id"), "doc_id", "text")
     return d.select("doc_id", "seg_no", "seg_id", F.md5("text").alias("text"), "start", "end")
 
 
@@ -196,24 +196,24 @@ def doc_quotes(t):
     """A slice of every document, with its span."""
     n = F.length("text")
     start = F.floor(n / 3)
-    return t.documents.filter(n >= 60).select("doc_id", F.lit("q").alias("quote_id"), start.cast("int").alias("q_start"), (start + 40).cast("int").alias("q_end"))
+    return t.spread("documents", "doc_id").filter(n >= 60).select("doc_id", F.lit("q").alias("quote_id"), start.cast("int").alias("q_start"), (start + 40).cast("int").alias("q_end"))
 
 
 @query("segment_spans")
 def segment_spans(t):
     """Quotes whose best segment holds all of their span, or the largest share of it."""
-    d = parse.span_overlap(parse.segment(t.documents, "doc_id", "text"), doc_quotes(t), "doc_id", "quote_id")
+    d = parse.span_overlap(parse.segment(t.spread("documents", "doc_id"), "doc_id", "text"), doc_quotes(t), "doc_id", "quote_id")
     return d.withColumn("share", F.round("share", 6))
 
 
 @query("segment_coverage")
 def segment_coverage(t):
-    return quality.segment_coverage(parse.segment(t.documents, "doc_id", "text"), doc_quotes(t), "doc_id", "quote_id")
+    return quality.segment_coverage(parse.segment(t.spread("documents", "doc_id"), "doc_id", "text"), doc_quotes(t), "doc_id", "quote_id")
 
 
 @query("candidate_phrases")
 def candidate_phrases(t):
-    return parse.candidates(t.documents, "doc_id", "text")
+    return parse.candidates(t.spread("documents", "doc_id"), "doc_id", "text")
 
 
 @query("suppress_phrases", """WITH r AS (SELECT o_custkey AS seg, lower(o_orderpriority) AS n, o_orderpriority AS phrase, (o_orderkey % 7) / 10.0e0 AS p, o_orderkey FROM orders),
@@ -293,7 +293,7 @@ KW = [("and_word", r"\band\b"), ("the_word", r"\bthe\b")]
 SELECT doc_id, label, count(*) AS n FROM h GROUP BY ALL""")
 def keyword_hits(t):
     """Match counts over whole texts; the negation flag is covered by the tests."""
-    return parse.kw_hits(t.documents, "doc_id", ["text"], KW).groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return parse.kw_hits(t.spread("documents", "doc_id"), "doc_id", ["text"], KW).groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 STOP = "', '".join(cfg.STORY_STOPWORDS)
@@ -312,8 +312,8 @@ def scrub_names(t):
     """Whole texts signed with the name of their source's editor; longer words that merely contain a name stay."""
     letters = F.translate(F.regexp_replace("source", "src", ""), "0123456789", "abcdefghij")
     name = F.concat(F.lit("Ann Lee"), letters, F.lit(" Vo"))
-    d = t.documents.select("doc_id", F.concat(F.col("text"), F.lit(" by "), name, F.lit(", and Jo Ann Leely")).alias("text"))
-    names = dedupe.roster(t.documents.select(name.alias("name")), t.documents.select(F.lit("Ann Lee").alias("name")))
+    d = t.spread("documents", "doc_id").select("doc_id", F.concat(F.col("text"), F.lit(" by "), name, F.lit(", and Jo Ann Leely")).alias("text"))
+    names = dedupe.roster(t.spread("documents", "doc_id").select(name.alias("name")), t.spread("documents", "doc_id").select(F.lit("Ann Lee").alias("name")))
     out = scrub.scrub(d, "doc_id", "text", names)
     return out.select("doc_id", F.md5("text_scrubbed").alias("scrubbed"), "changed")
 
@@ -333,13 +333,13 @@ def gate_quotes(t):
     kinds = F.array(F.struct(F.lit("exact").alias("kind"), piece.alias("q")), F.struct(F.lit("entity").alias("kind"), F.concat(F.lit("&quot;"), piece).alias("q")),
                     F.struct(F.lit("upper").alias("kind"), F.upper(piece).alias("q")),
                     F.struct(F.lit("reworded").alias("kind"), F.concat(F.lit("zq "), piece).alias("q")), F.struct(F.lit("short").alias("kind"), F.substr("text", at, F.lit(5)).alias("q")))
-    d = t.documents.select(F.col("doc_id").alias("posting_id"), F.inline(kinds))
+    d = t.spread("documents", "doc_id").select(F.col("doc_id").alias("posting_id"), F.inline(kinds))
     return d.select("posting_id", "kind", F.col("q").alias("quote_text"))
 
 
 @query("verbatim_gate")
 def verbatim_gate(t):
-    bodies = t.documents.select(F.col("doc_id").alias("posting_id"), "text")
+    bodies = t.spread("documents", "doc_id").select(F.col("doc_id").alias("posting_id"), "text")
     return claims.verify_quotes(gate_quotes(t), bodies).select("posting_id", "kind", "match_method", "verbatim_verified")
 
 
@@ -355,7 +355,7 @@ def verbatim_exact(t):
 @query("corpus_quotes", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def corpus_quotes(t):
     """Every benchmark text that is an exact substring of any document."""
-    return claims.find_quotes(t.benchmark, t.documents, "item_id", "doc_id")
+    return claims.find_quotes(t.benchmark, t.spread("documents", "doc_id"), "item_id", "doc_id")
 
 
 @query("gate_stats", """WITH q AS (SELECT doc_id, text, trim(substr(text, greatest(length(text) // 2, 1), 60)) AS x FROM documents),

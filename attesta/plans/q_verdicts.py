@@ -400,8 +400,8 @@ def agreement(t):
 
 
 def keyword_states(t):
-    labels = t.documents.select("doc_id", F.lit("and_word").alias("label"), gate(dv.spread(dv.byte(F.col("doc_id").cast("string"), F.lit("kw")))).alias("state"))
-    return labels, kw_hits(t.documents, "doc_id", ["text"], [("and_word", r"\band\b")])
+    labels = t.spread("documents", "doc_id").select("doc_id", F.lit("and_word").alias("label"), gate(dv.spread(dv.byte(F.col("doc_id").cast("string"), F.lit("kw")))).alias("state"))
+    return labels, kw_hits(t.spread("documents", "doc_id"), "doc_id", ["text"], [("and_word", r"\band\b")])
 
 
 @query("disagreements", r"""WITH s AS (SELECT doc_id, """ + f"""CASE WHEN {sql_spread("doc_id || '|kw'")} >= 0.8 THEN 'yes' WHEN {sql_spread("doc_id || '|kw'")} <= 0.2 THEN 'no' ELSE 'unsure' END AS state, """ + r"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder; survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def land(df: DataFrame) -> DataFrame:
+    """Write `df` as a table in the shared folder and read it back: for a frame that several later plans read in part."""
+    path = f"{shared_dir(df.sparkSession)}/landed/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
