@@ -74,6 +74,7 @@ def city_proper(c) -> Column:
     """The city to search for; 'n/a', 'various' and the like give null."""
     t = F.split_part(F.coalesce(as_col(c), F.lit("")), F.lit(","), F.lit(1))
     t = F.trim(F.split_part(F.regexp_replace(t, r"\([^)]*\)", ""), F.lit("/"), F.lit(1)))
-    low = F.lower(t)
-    empty = (t == "") | low.isin("n/a", "na", "tbd", "unknown") | low.startswith("various")
+    nothing = ["n/a", "na", "tbd", "unknown"]
+    low, whole = F.lower(t), F.lower(F.trim(as_col(c)))
+    empty = (t == "") | low.isin(nothing) | F.coalesce(whole.isin(nothing), F.lit(False)) | low.startswith("various")
     return F.when(~empty, t)

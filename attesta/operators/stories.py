@@ -83,16 +83,17 @@ def _survivors(rest: DataFrame, leaders: DataFrame, block, id: str, thr: float,
     (at most one batch per block) are repeated per cell."""
     cells = rest.groupBy(*block).agg((F.floor(F.count(F.lit(1)) / cell) + 1).cast("int").alias("_cells"))
     left = rest.join(cells, block).withColumn("_cell", F.pmod(F.xxhash64(id), F.col("_cells")).cast("int")).drop("_cells")
-    right = leaders.select(*block, id, "_w").join(cells, block).withColumn(
-        "_cell", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1))).drop("_cells")
+    # the two sides share their origin, so the leaders get names of their own
+    right = leaders.select(*block, id, "_w").join(cells, block).select(
+        *[F.col(c).alias(f"h_{c}") for c in block], F.col(id).alias("h_id"), F.col("_w").alias("h_w"),
+        F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("h_cell"))
+    columns = rest.columns
 
     def sift(items: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
         index, sizes = defaultdict(list), {}
-        for key, w in heads[[id, "_w"]].itertuples(index=False):
+        for key, w in heads[["h_id", "h_w"]].itertuples(index=False):
             _index(key, w, index, sizes)
         stay = [not _overlaps(w, index, sizes, thr) for w in items["_w"]]
-        return items[stay][rest.columns] if len(items) else items.reindex(columns=rest.columns)
-
-    by = [*block, "_cell"]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(sift, rest.schema)
+        return items.loc[stay, columns]
 
+    return left.groupBy(*block, "_cell").cogroup(right.groupBy(*[f"h_{c}" for c in block], "h_cell")).applyInPandas(sift, rest.schema)
