@@ -94,7 +94,7 @@ def test_classify_admit_score(spark):
     assert got["director-commercial-data-platform"] == ("data_digital", 5, "soft:commercial", True)
     assert got["qc-analyst"][3] is False and got["lead-formulation-scientist"][3] is True
     assert got["downstream-scientist-unicorn"][0] == "lab_systems"
-    assert got["sales-manager"][:3] == ("", 3, "soft:sales") and got["senior-data-engineer"][3] is False
+    assert got["sales-manager"][:3] == ("", 1, "soft:sales") and got["senior-data-engineer"][3] is False
 
 
 def test_email_status(spark):
