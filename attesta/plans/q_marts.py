@@ -171,7 +171,7 @@ def role_fold(t):
 def email_status(t):
     k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
     mail = (F.when(k % 5 == 0, F.concat(F.lit("a.b@corp"), n, F.lit(".com"))).when(k % 5 == 1, F.concat(F.lit("ann.lee@mail.corp"), n, F.lit(".co.jp")))
-            .when(k % 5 == 2, F.lit("ann.lee@shire.org")).when(k % 5 == 3, F.concat(F.lit("ann.lee@corp"), n, F.lit("labs.com"))).otherwise(""))
+            .when(k % 5 == 2, F.lit("ann.lee@oldco.org")).when(k % 5 == 3, F.concat(F.lit("ann.lee@corp"), n, F.lit("labs.com"))).otherwise(""))
     d = t.customer.select("c_custkey", n.alias("account_id"), mail.alias("email"), F.when(k % 5 == 4, "not_found").otherwise("found").alias("email_status"))
     domains = t.nation.select(F.col("n_nationkey").cast("string").alias("account_id"), F.concat(F.lit("corp"), F.col("n_nationkey").cast("string"), F.lit(".com")).alias("domain"))
     return rules.email_status(d, domains).select("c_custkey", "email_checked")
