@@ -8,7 +8,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,54 +138,6 @@ def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-# --- Packed rows: items (document, place, payload) of one group as a few binary columns. ---
-
-ITEMS = "grp int, n int, docs binary, places binary, payload binary"
-#: One object each for a Python worker.
-_press, _unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    """Differences of small size: byte planes, compressed."""
-    return _press.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
-
-
-def _unsqueeze(data: bytes, n: int, kind) -> np.ndarray:
-    planes = np.frombuffer(_unpress.decompress(data), np.uint8).reshape(-1, n)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
-
-
-def pack(group: np.ndarray, docs: np.ndarray, places: np.ndarray, payload: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of `ITEMS`, one for each group that occurs. docs: ids (int64); places: int64; payload: any fixed-size dtype."""
-    if not len(group):
-        return
-    order = np.lexsort((places, docs, group)) if len(docs) else np.zeros(0, np.int64)
-    group, docs, places, payload = group[order], docs[order], places[order], payload[order]
-    cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
-    rows: list[list] = [[], [], [], [], []]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        d, p = docs[a:b], places[a:b]
-        same = np.concatenate([[False], d[1:] == d[:-1]])
-        before = np.concatenate([[0], p[:-1]])
-        for col, value in zip(rows, (int(group[a]), int(b - a), _squeeze(np.diff(d, prepend=np.int64(0))), _squeeze(np.where(same, p - before, p)), payload[a:b].tobytes()), strict=True):
-            col.append(value)
-    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[2:])], names=["grp", "n", "docs", "places", "payload"])
-
-
-def unpack(table: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(docs, places, payload) of all rows of one group."""
-    docs, places, payload = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, kind)]
-    for n, d, p, x in zip(*(table.column(c).to_pylist() for c in ("n", "docs", "places", "payload")), strict=True):
-        ids, steps = np.cumsum(_unsqueeze(d, n, np.int64)), _unsqueeze(p, n, np.int64)
-        run = np.cumsum(steps)
-        firsts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1])
-        base = run[firsts] - steps[firsts]
-        docs.append(ids)
-        places.append(run - np.repeat(base, np.diff(np.concatenate([firsts, [n]]))))
-        payload.append(np.frombuffer(x, kind))
-    return np.concatenate(docs), np.concatenate(places), np.concatenate(payload)
-
-
 def runs(values: np.ndarray) -> np.ndarray:
     """Where each run of equal values starts in a sorted array."""
     return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1]) if len(values) else np.zeros(0, np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm import decontaminate, language, licenses, mixing, secrets, tokens
+from attesta.llm import decontaminate, language, licenses, mixing, secrets, substrings, suffixes, tokens
 from attesta.llm.session import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,43 @@ def op2(docs: DataFrame, folder: str) -> DataFrame:
     return tokens.digest(tokens.count_tokens(docs))
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+occ AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT r, doc_id, w, unnest(range(1, CAST(len(w) - 11 AS BIGINT))) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT s, min(doc_id) AS first FROM occ GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM occ JOIN firsts USING (s) WHERE doc_id > first),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, CAST(len(w) + 1 AS BIGINT))) AS p FROM d),
+kept AS (SELECT r, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY p) AS kept FROM words LEFT JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@query("op3_substring_dedup", sql=OP3_SQL)
+def op3(docs: DataFrame, folder: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(docs))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+occ AS (SELECT r, doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT r, doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+firsts AS (SELECT s, min((doc_id, i)) AS first FROM occ GROUP BY s),
+gone AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM occ JOIN firsts USING (s) WHERE (doc_id, i) > first),
+runs AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM gone),
+cuts AS (SELECT r, run, min(i) AS s, max(i) + 100 AS e FROM runs GROUP BY r, run),
+parts AS (SELECT d.r, cuts.run, cuts.s, cuts.e, substr(d.h, 2 * coalesce(lag(cuts.e) OVER (PARTITION BY d.r ORDER BY cuts.run), 0) + 1, 2 * (cuts.s - coalesce(lag(cuts.e) OVER (PARTITION BY d.r ORDER BY cuts.run), 0))) AS part
+          FROM d JOIN cuts ON d.r = cuts.r),
+kept AS (SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, string_agg(part, '' ORDER BY run) AS head, max(e) AS tail FROM parts GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r
+"""
+
+
+@query("op4_suffix_dedup", sql=OP4_SQL)
+def op4(docs: DataFrame, folder: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(docs))
+
+
 @query("op6_language_id")
 def op6(docs: DataFrame, folder: str) -> DataFrame:
     return language.digest(language.classify(docs, language.train(docs)))
