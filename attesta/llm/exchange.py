@@ -31,13 +31,14 @@ def unpressed(z: bytes | None) -> bytes:
     return b"" if z is None else _unpress.decompress(z)
 
 
-def _squeeze(values: np.ndarray) -> bytes:
+def squeeze(values: np.ndarray) -> bytes:
     """The planes of equal bytes of small numbers compress well."""
     return _press.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
 
 
-def _unsqueeze(data: bytes, n: int, kind) -> np.ndarray:
-    planes = np.frombuffer(_unpress.decompress(data), np.uint8).reshape(-1, n)
+def unsqueeze(data: bytes, n: int | None, kind) -> np.ndarray:
+    planes = np.frombuffer(_unpress.decompress(data), np.uint8)
+    planes = planes.reshape(np.dtype(kind).itemsize, -1) if n is None else planes.reshape(-1, n)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
@@ -60,7 +61,7 @@ def pack(kind: int, group: np.ndarray, docs: np.ndarray, places: np.ndarray, pay
     rows: list[list] = [[] for _ in _FIELDS]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         d, p = np.diff(docs[a:b], prepend=np.int64(0)), np.diff(places[a:b], prepend=np.int64(0))
-        for column, value in zip(rows, (kind, int(group[a]), int(b - a), _squeeze(_unsigned(d)), _squeeze(_unsigned(p)), _squeeze(payload[a:b])), strict=True):
+        for column, value in zip(rows, (kind, int(group[a]), int(b - a), squeeze(_unsigned(d)), squeeze(_unsigned(p)), squeeze(payload[a:b])), strict=True):
             column.append(value)
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(rows, _FIELDS, strict=True)], names=[n for n, _ in _FIELDS])
 
@@ -70,9 +71,9 @@ def unpack(table: pa.Table, kind: int, payload) -> tuple[np.ndarray, np.ndarray,
     docs, places, load = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, payload)]
     for k, n, d, p, x in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "docs", "places", "payload")), strict=True):
         if k == kind:
-            docs.append(np.cumsum(_signed(_unsqueeze(d, n, np.uint64))))
-            places.append(np.cumsum(_signed(_unsqueeze(p, n, np.uint64))))
-            load.append(_unsqueeze(x, n, payload))
+            docs.append(np.cumsum(_signed(unsqueeze(d, n, np.uint64))))
+            places.append(np.cumsum(_signed(unsqueeze(p, n, np.uint64))))
+            load.append(unsqueeze(x, n, payload))
     return np.concatenate(docs), np.concatenate(places), np.concatenate(load)
 
 

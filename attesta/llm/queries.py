@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm import decontaminate, language, licenses, mixing, secrets, substrings, suffixes, tokens
+from attesta.llm import decontaminate, language, licenses, minhash, mixing, secrets, substrings, suffixes, tokens
 from attesta.llm.session import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ def op4(docs: DataFrame, folder: str) -> DataFrame:
     return suffixes.digest(suffixes.remove_repeats(docs))
 
 
+@query("op5_minhash_dedup")
+def op5(docs: DataFrame, folder: str) -> DataFrame:
+    return minhash.near_duplicates(docs)
+
+
 @query("op6_language_id")
 def op6(docs: DataFrame, folder: str) -> DataFrame:
     return language.digest(language.classify(docs, language.train(docs)))
