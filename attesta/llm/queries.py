@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attesta.llm import decontaminate, language, licenses, minhash, mixing, secrets, substrings, suffixes, tokens
+from attesta.llm import decontaminate, language, licenses, minhash, mixing, neighbours, secrets, substrings, suffixes, tokens
 from attesta.llm.session import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,11 @@ def op6(docs: DataFrame, folder: str) -> DataFrame:
     return language.digest(language.classify(docs, language.train(docs)))
 
 
+@query("op7_nearest_neighbours", table="embeddings")
+def op7(vectors: DataFrame, folder: str) -> DataFrame:
+    return neighbours.nearest(vectors, F.col("id") % 50 == 0)
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
