@@ -158,5 +158,12 @@ def texts_only(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that the table doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def quoted(name: str) -> Column:
     return F.col(f"`{name}`")

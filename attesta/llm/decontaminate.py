@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +11,11 @@ from pyspark.sql import functions as F
 
 from attesta.llm import arrays as A
 
-#: Windows of one broadcast hash set. A larger benchmark is scanned in so many sets, one pass over the texts each.
+#: Windows of one broadcast hash set. A larger benchmark is scanned in so many sets.
 MAX_WINDOWS = 2_000_000
 #: Bits of the table that is asked before the sorted set.
 TABLE_BITS = 22
-FOUND = "doc_id long, n_words long, hits array<long>, items array<string>"
+FOUND = "doc_id long, text string, n_words long, hits array<long>, items array<string>"
 
 
 def benchmark_windows(items: list[tuple[str, str]], width: int) -> list[tuple[int, int, list[bytes], str]]:
@@ -65,8 +64,9 @@ def _scan(sets: dict[int, HashSet]):
                 starts, ends, first = A.words_of(data, offsets, A.ALNUM)
                 hashes = A.word_hashes(data, starts, ends)
                 last = np.repeat(first[1:], np.diff(first))
-                hits: dict[int, set[int]] = {}
-                items: dict[int, set[str]] = {}
+                # what sets before this one have found
+                hits = {k: set(x) for k, x in enumerate(batch.column(3).slice(a, b - a).to_pylist()) if x} if batch.num_columns > 3 else {}
+                items = {k: set(x) for k, x in enumerate(batch.column(4).slice(a, b - a).to_pylist()) if x} if batch.num_columns > 3 else {}
                 for width, known in sets.items():
                     for i in known.candidates(A.window_hashes(hashes, width)):
                         if i + width > last[i]:
@@ -77,8 +77,8 @@ def _scan(sets: dict[int, HashSet]):
                             hits.setdefault(row, set()).update(range(int(i - first[row]), int(i - first[row]) + width))
                             items.setdefault(row, set()).update(found)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(a, b - a), pa.array(np.diff(first), pa.int64()), pa.array([sorted(hits.get(k, ())) for k in range(b - a)], pa.list_(pa.int64())),
-                    pa.array([sorted(items.get(k, ())) for k in range(b - a)], pa.list_(pa.string()))], names=["doc_id", "n_words", "hits", "items"])
+                    ids.slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(first), pa.int64()), pa.array([sorted(hits.get(k, ())) for k in range(b - a)], pa.list_(pa.int64())),
+                    pa.array([sorted(items.get(k, ())) for k in range(b - a)], pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "hits", "items"])
     return run
 
 
@@ -89,38 +89,32 @@ def hit_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
 
     A-Z are lowered; words are runs of digits, letters and characters beyond ASCII. An item of fewer than `width` words, but not none, is one window.
     Hash hits are verified word by word. Null or empty texts have no words; items with a null id or without words take no part; repeated items
-    and documents count as they stand. The hash set holds `max_windows` windows at most: a larger benchmark is read in that many sets, each of which scans all texts.
+    and documents count as they stand. The hash set holds `max_windows` windows at most: a larger benchmark is read in so many sets, each of which scans all texts, one after the other in the same pass.
     """
     small = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).filter("item is not null and text is not null")
-    texts = A.texts_only(docs, id_col, text_col)
-    found: DataFrame | None = None
+    found = A.texts_only(docs, id_col, text_col)
     pending: list[tuple[str, str]] = []
-    windows = 0
+    windows, scanned = 0, False
 
-    def scan(items: list[tuple[str, str]]) -> DataFrame:
+    def scan(df: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
         sets: dict[int, list] = {}
         for w in benchmark_windows(items, width):
             sets.setdefault(w[1], []).append(w)
-        return texts.mapInArrow(_scan({w: HashSet(x) for w, x in sets.items()}), FOUND)
+        return df.mapInArrow(_scan({w: HashSet(x) for w, x in sets.items()}), FOUND)
 
     for row in small.toLocalIterator():  # one partition of the benchmark at a time, never more than one set of it
         pending.append((row["item"], row["text"]))
         windows += len(row["text"]) // 2 + 1
         if windows >= max_windows:
-            found = scan(pending) if found is None else found.unionByName(scan(pending))
-            pending, windows = [], 0
-    if found is None:
-        return scan(pending)
-    if pending:
-        found = found.unionByName(scan(pending))
-    return (found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
-                                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+            found, pending, windows, scanned = scan(found, pending), [], 0, True
+    return (scan(found, pending) if pending or not scanned else found).drop("text")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without those that hold a benchmark window. All columns stay; documents with a null id stay, as they can't be named."""
-    dirty = hit_words(docs, benchmark, id_col, text_col, **options).filter(F.size("hits") > 0).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, A.quoted(id_col).cast("long") == F.col("_dirty"), "left_anti")
+    name = A.unused(docs, "dirty")
+    dirty = hit_words(docs, benchmark, id_col, text_col, **options).filter(F.size("hits") > 0).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dirty, A.quoted(id_col).cast("long") == F.col(name), "left_anti")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -128,5 +122,3 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
-
-NONE_SHA256 = hashlib.sha256(b"").hexdigest()

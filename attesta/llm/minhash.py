@@ -287,5 +287,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, without those of a class that has a smaller id. Rows with a null id stay."""
-    copies = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("doc_id != class_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, A.quoted(id_col).cast("long") == F.col("_copy"), "left_anti")
+    name = A.unused(docs, "copy")
+    copies = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("doc_id != class_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(copies, A.quoted(id_col).cast("long") == F.col(name), "left_anti")

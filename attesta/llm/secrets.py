@@ -22,7 +22,7 @@ KINDS, MIN_VALUE, MIN_ACCESS, MIN_HEX = ("assign", "access", "hex", "guess"), 6,
 _HEX24 = re.compile("[0-9a-f]{24,}")
 
 #: More names that announce a credential; their values count by guess cost alone.
-CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|account|client)[_-]?(?:key|id|secret|token)|credentials?|bearer|authorization|auth)["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})""", re.I | re.A)
+CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|account|client)[_-]?(?:key|id|secret|token)|credentials?|bearer|authorization|auth)["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?(?:(?:bearer|basic)\x20+)?([^\s"'<>,;]{6,})""", re.I | re.A)
 #: log10 of the guesses from which a value counts as a secret rather than a word or a placeholder.
 LEAST_COST = 8.0
 
@@ -124,6 +124,7 @@ def find_spans(text: str, least_cost: float = LEAST_COST) -> list[tuple[int, int
     spans += [(m.start(), m.end(), 2, 0.0) for m in _HEX24.finditer(text)]
     if ":" in text or "=" in text:
         spans += [(m.start(), m.end(), 0, 0.0) for m in ASSIGN.finditer(text) if m.end() - m.start(1) >= MIN_VALUE]
+    if ":" in text or "=" in text or " is " in text:
         for m in CONTEXT.finditer(text):
             cost, _ = guess_cost(m[1])
             if cost >= least_cost:

@@ -34,12 +34,12 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the columns of documents, `copies` (how often each is taken) and the words taken.
+    """The documents that the mix takes, with the columns of documents, and `copies`, how often each is taken.
     An id may stand in several rows: their texts are mixed alike, so the copies are joined once per id and source."""
     prepared(spark)
-    mixed = mixing.mix(docs).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies").distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    return docs.join(mixed, on).drop("_id", "_source")
+    mixed = mixing.mix(docs).filter("copies > 0").select(F.col("doc_id").alias("mixed_id"), F.col("source").alias("mixed_source"), "copies").distinct()
+    on = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & F.col("source").eqNullSafe(F.col("mixed_source"))
+    return docs.join(mixed, on).drop("mixed_id", "mixed_source")
 
 
 STAGES = [("language_id", language_stage), ("near_duplicates", near_duplicate_stage), ("decontamination", decontamination_stage), ("secrets", secret_stage), ("mixing", mixing_stage)]
