@@ -144,8 +144,9 @@ def runs(values: np.ndarray) -> np.ndarray:
 
 
 def groups_for(df: DataFrame) -> int:
-    """How many groups packed items are dealt into: four for each shuffle partition the session asks for, so that they grow with the cluster's setting."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """How many groups packed items are dealt into: one for each shuffle partition the session asks for, so that they grow with the cluster's setting
+    and a task that deals its items again writes as many rows as there are partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def doc_group(ids: np.ndarray, groups: int) -> np.ndarray:
