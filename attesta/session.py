@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -42,6 +44,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder of this application in the shared folder, deleted when the driver's Python ends."""
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark)}/attesta-{sc.applicationId}"
+    if path not in _scratch:
+        _scratch.add(path)
+        atexit.register(_remove, sc, path)
+    return path
+
+
+_scratch: set[str] = set()
+
+
+def _remove(sc, path: str) -> None:
+    with contextlib.suppress(Exception):  # a session that has ended takes nothing more
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder; survives the loss of any executor."""
     shared_dir(df.sparkSession)
@@ -50,6 +71,6 @@ def cut(df: DataFrame) -> DataFrame:
 
 def land(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: for a frame that several later plans read in part."""
-    path = f"{shared_dir(df.sparkSession)}/landed/{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
