@@ -1,35 +1,33 @@
-"""Connected components of links by alternating stars; nothing reaches the driver but counts."""
+"""Connected components of links; nothing reaches the driver but counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.session import stored
+from attesta.llm.session import observed
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Every node's neighbours and the node itself are tied to the least of them: large star, then small star. Edges are (a, b)."""
+def _to_least(edges: DataFrame) -> DataFrame:
+    """Every node ties its neighbours and itself to the least of them. Edges are (a, b), b below a."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
-    tied = large.join(least, "a")
-    return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
+    tied = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+    return tied.filter("a != b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node that has a link; label is the least node of its component. links: (a, b), in any order, repeated or not.
 
-    Each round is written and read back. A round halves the distance to the least node at least, and a node with a third of all links is a sum and a join, never one group.
+    A round ties every neighbourhood to its least node and is written and read back; the distance to the least node of a component halves at least, and the rounds end when one changes
+    nothing. A node with a third of all links is a sum and a join, never one group.
     """
-    edges = stored(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
-    while True:
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if not now["n"] or (now["n"], now["h"]) == state:
+    seen = {"n": F.count(F.lit(1)), "h": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    edges, state = observed(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), **seen)
+    while state["n"]:
+        before = state
+        edges, state = observed(_to_least(edges), **seen)
+        if state == before:
             break
-        state = (now["n"], now["h"])
-        edges = stored(_star(edges))
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

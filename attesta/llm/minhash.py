@@ -9,13 +9,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.llm import arrays as A
 from attesta.llm import exchange as X
 from attesta.llm.components import components
-from attesta.llm.session import stored
+from attesta.llm.session import counted, stored
 
 WIDTH, THRESHOLD = 5, 0.8
 #: Shingles in more documents than a share 1 / HEAVY of all (document, shingle) pairs are weighed by their own count; there are fewer than HEAVY such, whatever the corpus.
@@ -26,8 +26,11 @@ IDF = 0.5
 #: in 80 % of the samples share a band in all but 1 of 28,000 cases.
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
+#: Of the SAMPLES two documents must share so many, by four bits of each, before their texts are compared: fewer are shared once in 50,000 times at a similarity of 0.8, so many once in
+#: a hundred times by documents of a bucket that share a fifth.
+ALIKE = 17
 #: Documents of a bucket that the others are compared with in each round.
-PIVOTS = (1, 16, 64, 256)
+PIVOTS = (1, 64, 512)
 
 
 @lru_cache(1)
@@ -62,6 +65,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
 # --- Document frequencies ---
 
 _COUNTS = "grp int, n long, names binary, counts binary"
+SHORT = A.U(0xFFFFFFFF)
 
 
 def _count_block(width: int, groups: int):
@@ -70,31 +74,38 @@ def _count_block(width: int, groups: int):
             for _, _, data, offsets in A.text_blocks(A.as_texts(batch.column(1))):
                 names, _, _ = shingles(data, offsets, width)
                 names, counts = np.unique(names, return_counts=True)
-                group = ((names >> A.U(40)) % A.U(groups)).astype(np.int64)
+                group = (names >> A.U(32)) % A.U(groups)
                 order = np.argsort(group.astype(np.uint16) if groups < 1 << 16 else group, kind="stable")
-                group, short, counts = group[order], (names[order] & A.U(0xFFFFFFFFFF)).astype(np.int64), counts[order].astype(np.uint32)
+                group, counts = group[order], counts[order].astype(np.uint32)
+                short = (names[order] & SHORT).astype(np.int64)
                 cuts = np.append(A.runs(group), len(group))
-                pairs = list(itertools.pairwise(cuts)) if len(group) else []
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([int(group[a]) for a, _ in pairs], pa.int32()), pa.array([int(counts[a:b].sum()) for a, b in pairs], pa.int64()),
-                    pa.array([X.squeeze(np.diff(short[a:b], prepend=np.int64(0))) for a, b in pairs], pa.binary()), pa.array([X.squeeze(counts[a:b]) for a, b in pairs], pa.binary())], names=["grp", "n", "names", "counts"])
+                rows: list[list] = [[], [], [], []]
+                for a, b in itertools.pairwise(cuts) if len(group) else ():
+                    by = np.argsort(short[a:b], kind="stable")
+                    for column, value in zip(rows, (int(group[a]), int(counts[a:b].sum()), X.squeeze(np.diff(short[a:b][by], prepend=np.int64(0)).astype(np.uint32)), X.squeeze(counts[a:b][by])), strict=True):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.binary())], names=["grp", "n", "names", "counts"])
     return run
 
 
-def _sum_counts(least: float):
+def _sum_counts(most: int):
+    """The `most` names of a group with the highest counts; as name -1 all its pairs, as -2 the count of the first name that is left out."""
     def run(table: pa.Table) -> pa.Table:
         names, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for x, y in zip(table.column("names").to_pylist(), table.column("counts").to_pylist(), strict=True):
-            c = X.unsqueeze(y, None, np.uint32)
-            names.append(np.cumsum(X.unsqueeze(x, len(c), np.int64)))
-            counts.append(c)
+            names.append(np.cumsum(X.unsqueeze(x, None, np.uint32), dtype=np.int64))
+            counts.append(X.unsqueeze(y, None, np.uint32))
         name, count = np.concatenate(names), np.concatenate(counts)
         order = np.argsort(name, kind="stable")
         name, starts = name[order], A.runs(name[order])
         total = np.add.reduceat(count[order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
-        hit = total > least
-        group = int(table.column("grp")[0].as_py())
-        return pa.table([pa.array(np.full(int(hit.sum()), group), pa.int32()), pa.array(name[starts][hit], pa.int64()), pa.array(total[hit], pa.int64())], names=["grp", "short", "df"])
+        top = np.lexsort((name[starts], -total))[:most + 1]
+        top = top[total[top] > 1]
+        left = int(total[top[most]]) if len(top) > most else 0
+        kept = top[:most]
+        rows = len(kept) + 2
+        return pa.table([pa.array(np.full(rows, table.column("grp")[0].as_py()), pa.int32()), pa.array(np.concatenate([name[starts][kept], [-1, -2]]), pa.int64()),
+                         pa.array(np.concatenate([total[kept], [int(total.sum()), left]]), pa.int64())], names=["grp", "short", "df"])
     return run
 
 
@@ -103,14 +114,14 @@ class Weights:
 
     def __init__(self, groups: int, documents: int, floor: float, group: np.ndarray, short: np.ndarray, df: np.ndarray):
         self.groups, self.documents, self.floor = groups, documents, floor
-        keys = (group.astype(np.int64) << 40) | short.astype(np.int64)
+        keys = (group.astype(np.int64) << 32) | short.astype(np.int64)
         order = np.argsort(keys)
         self.keys, self.df = keys[order], df.astype(np.float64)[order]
 
     def __call__(self, names: np.ndarray, copies: np.ndarray) -> np.ndarray:
         df = np.full(len(names), self.floor)
         if len(self.keys):
-            own = ((((names >> A.U(40)) % A.U(self.groups)) << A.U(40)) | (names & A.U(0xFFFFFFFFFF))).astype(np.int64)
+            own = ((((names >> A.U(32)) % A.U(self.groups)) << A.U(32)) | (names & SHORT)).astype(np.int64)
             at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
             df = np.where(self.keys[at] == own, self.df[at], df)
         if self.documents <= self.floor:
@@ -121,13 +132,19 @@ class Weights:
 def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
     """Counts, over all documents, in how many each shingle stands, and keeps the counts above the floor: fewer than HEAVY by their sum.
 
-    A block of texts sends its distinct shingles with their counts, 40 bits of a name beside its group, as sorted differences.
+    A block of texts sends its distinct shingles with their counts, 32 bits of a name beside its group, as sorted differences. A group answers with its most frequent
+    names, twice as many as its even share of HEAVY; should one have left out a name above the floor, all are asked for more.
     """
     groups = A.groups_for(docs)
-    counted = stored(A.texts_only(docs, id_col, text_col).mapInArrow(_count_block(width, groups), _COUNTS))
-    pairs = counted.agg(F.sum("n")).first()[0] or 0
-    floor = max(1.0, pairs / HEAVY)
-    heavy = counted.groupBy("grp").applyInArrow(_sum_counts(floor), "grp int, short long, df long").toPandas()  # fewer than HEAVY rows, as their counts sum to `pairs`
+    blocks = A.texts_only(docs, id_col, text_col).mapInArrow(_count_block(width, groups), _COUNTS)
+    most = 2 * HEAVY // groups + 16
+    while True:
+        told = blocks.groupBy("grp").applyInArrow(_sum_counts(most), "grp int, short long, df long").toPandas()
+        floor = max(1.0, float(told["df"][told["short"] == -1].sum()) / HEAVY)
+        if not (told["df"][told["short"] == -2] > floor).any():
+            break
+        most *= 8
+    heavy = told[(told["short"] >= 0) & (told["df"] > floor)]
     return Weights(groups, docs.count(), floor, *(heavy[c].to_numpy() for c in ("grp", "short", "df")))
 
 
@@ -136,7 +153,7 @@ def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
 @lru_cache(1)
 def _gamma() -> tuple[np.ndarray, np.ndarray]:
     """65,536 quantiles of the Gamma(2, 1) distribution, and their logarithms."""
-    x = np.concatenate([np.geomspace(1e-5, 1, 200_000), np.linspace(1, 40, 800_000)[1:]])
+    x = np.concatenate([np.geomspace(1e-5, 1, 50_000), np.linspace(1, 40, 150_000)[1:]])
     q = np.interp((np.arange(65536) + 0.5) / 65536, 1 - (1 + x) * np.exp(-x), x)
     return q, np.log(q)
 
@@ -196,7 +213,8 @@ def _sign(width: int, weights: Weights):
                         part = [data[offsets[k]:offsets[k + 1]] for k in fresh]
                         data, offsets = np.concatenate(part), np.cumsum([0, *map(len, part)])
                     names, rows, copies = shingles(data, offsets, width)
-                    keys = band_keys(signatures(names, rows, weights(names, copies), len(offsets) - 1)).view(np.int64)
+                    samples = signatures(names, rows, weights(names, copies), len(offsets) - 1)
+                    keys = np.hstack([nibbles(samples), band_keys(samples)]).view(np.int64)
                     row_of = range(b - a) if len(fresh) == b - a else range(len(fresh))
                     for k, r in zip(fresh, (r for r in row_of if len(fresh) < b - a or same[r]), strict=True):
                         done[same[k]] = keys[r].tolist()
@@ -204,6 +222,24 @@ def _sign(width: int, weights: Weights):
     return run
 
 
+def nibbles(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each sample, as two 64-bit values for each row."""
+    out = np.zeros((len(signature), 2), A.U)
+    for k in range(SAMPLES):
+        out[:, k // 16] |= (signature[:, k] & A.U(15)) << A.U(4 * (k % 16))
+    return out
+
+
+def shared_samples(a: tuple[str, str], b: tuple[str, str]) -> Column:
+    """How many samples two rows share, by their four bits: nibbles whose exclusive or is 0."""
+    differ = F.lit(0)
+    for x, y in zip(a, b, strict=True):
+        d = F.col(x).bitwiseXOR(F.col(y))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
+        differ = differ + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+    return F.lit(SAMPLES) - differ
+
+
 # --- Verification ---
 
 def weighted(raw: bytes, width: int, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +277,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     """One row per document: doc_id and class_id, the smallest id of its near-duplicate class; documents alone have their own.
 
     Two documents are linked if the weighted Jaccard similarity of their shingles of `width` words is `threshold` or more; classes are what links connect. Texts with the same words are one
-    text to begin with. Documents that share a band meet in its bucket. There the first is compared with all others; then, where a bucket still holds documents of
+    text to begin with. Documents that share a band meet in its bucket; texts are compared of those that share ALIKE samples in all. There the first is compared with all others; then, where a bucket still holds documents of
     several classes, more and more of its documents with those of other classes, until every document of such a bucket has been compared or belongs to the same class. So no bucket, of whatever
     size, is cut, and a group of copies costs one comparison each.
     Null, empty and blank texts are alone; rows with a null id get a null class; rows of one id are one document.
@@ -249,37 +285,39 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     weights = weigh(docs, width, id_col, text_col)
     signed = stored(A.texts_only(docs, id_col, text_col).mapInArrow(_sign(width, weights), "doc_id long, same binary, keys array<long>"))
     distinct = stored(signed.filter("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")))
-    entries = distinct.select(F.explode("keys").alias("key"), F.col("rep").alias("doc"))
+    entries = distinct.select(F.explode(F.slice("keys", 3, len(bands()))).alias("key"), F.col("rep").alias("doc"), F.col("keys")[0].alias("s0"), F.col("keys")[1].alias("s1"))
     shared = entries.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high").select("key")
     buckets = stored(entries.join(shared, "key", "left_semi"))
     members = buckets.select(F.col("doc").alias("doc_id")).distinct()
     bodies = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame) -> tuple[DataFrame, int]:
         a, b = (bodies.select(F.col("doc_id").alias(x), F.col("z").alias(f"z{x}")) for x in "ab")
-        return stored(pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long"))
+        return counted(pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long"))
 
-    spark, labels = docs.sparkSession, None
-    links = spark.createDataFrame([], "a long, b long")
-    tested = links
+    empty = docs.sparkSession.createDataFrame([], "a long, b long")
+    tested, labels = empty, empty.toDF("node", "label")
     active = buckets.withColumn("label", F.col("doc"))
     for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
         order = Window.partitionBy("key").orderBy("doc" if not round_ else F.xxhash64("doc"), "doc")
-        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("key", F.col("doc").alias("p"), F.col("label").alias("p_label"))
-        meets = chosen.join(active, "key").filter("p != doc and p_label != label").select(F.least("p", "doc").alias("a"), F.greatest("p", "doc").alias("b")).distinct()
+        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("key", F.col("doc").alias("p"), F.col("label").alias("p_label"), F.col("s0").alias("p0"), F.col("s1").alias("p1"))
+        like = shared_samples(("s0", "s1"), ("p0", "p1")) >= ALIKE
+        meets = chosen.join(active, "key").filter((F.col("p") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like).select(F.least("p", "doc").alias("a"), F.greatest("p", "doc").alias("b")).distinct()
         if round_:
             meets = meets.join(tested, ["a", "b"], "left_anti")
         pairs = stored(meets)
         tested = tested.unionByName(pairs)
-        links = links.unionByName(verified(pairs))
-        labels = stored(components(links))
-        left = active.select("key", "doc").join(chosen.select("key", F.col("p").alias("doc")), ["key", "doc"], "left_anti") if round_ else active.select("key", "doc")
-        left = left.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
+        links, new = verified(pairs)
+        if new:  # what earlier rounds have tied hangs on its label
+            labels = components(links.unionByName(labels.toDF("a", "b")))
+        left = active.drop("label")
+        left = left.join(chosen.select("key", F.col("p").alias("doc")), ["key", "doc"], "left_anti") if round_ else left
+        left = left.join(labels.toDF("doc", "label"), "doc", "left").select("key", "doc", "s0", "s1", F.coalesce("label", "doc").alias("label"))
         mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-        active = stored(left.join(mixed, "key", "left_semi"))
-        if active.isEmpty():
+        active, open_ = counted(left.join(mixed, "key", "left_semi"))
+        if not open_:
             break
-    reps = distinct.select("same", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("label", "rep").alias("class_id"))
+    reps = distinct.select("same", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("class_id"))
     classed = signed.select("doc_id", "same").join(reps, "same", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     nameless = docs.filter(A.quoted(id_col).cast("long").isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
     return classed.unionByName(nameless)

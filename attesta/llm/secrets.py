@@ -129,7 +129,7 @@ def find_spans(text: str, least_cost: float = LEAST_COST) -> list[tuple[int, int
             cost, _ = guess_cost(m[1])
             if cost >= least_cost:
                 spans.append((m.start(1), m.end(1), 3, cost))
-    return sorted(spans)
+    return sorted(spans, key=lambda s: (s[0], s[2]))
 
 
 SCHEMA = "doc_id long, spans array<struct<start: long, end: long, kind: string, cost: double>>, base_sha256 string, redacted string"

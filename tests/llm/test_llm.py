@@ -350,6 +350,33 @@ def test_samples_agree_as_often_as_weights_overlap(monkeypatch):
     assert (s[0] == s[1]).mean() == pytest.approx(minhash.similarity((a, wa), (b, wb)), abs=0.04)
 
 
+def test_shared_samples_are_counted_natively(spark):
+    rng = np.random.default_rng(12)
+    s = rng.integers(0, 1 << 62, (40, minhash.SAMPLES)).astype(np.uint64)
+    s[1::2] = np.where(rng.random((20, minhash.SAMPLES)) < 0.6, s[::2], s[1::2])
+    n = minhash.nibbles(s).view(np.int64)
+    pairs = spark.createDataFrame([(*n[i].tolist(), *n[i + 1].tolist(), int(((s[i] ^ s[i + 1]) & np.uint64(15) == 0).sum())) for i in range(0, 40, 2)], "a0 long, a1 long, b0 long, b1 long, want int")
+    assert pairs.filter(minhash.shared_samples(("a0", "a1"), ("b0", "b1")) != F.col("want")).count() == 0
+
+
+def test_a_hot_passage_makes_few_pairs(spark, monkeypatch):
+    """Documents that share a third of their words meet in buckets, but their texts aren't compared pair by pair."""
+    rng = random.Random(13)
+    passage = prose(rng, 50)
+    table = spark.createDataFrame([(i, prose(rng, 50) + " " + passage + " " + prose(rng, 50)) for i in range(400)], "doc_id long, text string")
+    compared = []
+    real = minhash.counted
+
+    def counted(df):
+        out = real(df)
+        if df.columns == ["a", "b"]:
+            compared.append(out[1])
+        return out
+    monkeypatch.setattr(minhash, "counted", counted)
+    got = minhash.near_duplicates(table).collect()
+    assert all(r["doc_id"] == r["class_id"] for r in got) and sum(compared) == 0
+
+
 def test_every_two_samples_of_a_square_share_a_band():
     for square in range(minhash.SQUARES):
         own = range(square * 16, square * 16 + 16)
@@ -383,7 +410,7 @@ def _one_bucket(width, weights):
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary()), pa.array([[9]] * len(texts), pa.list_(pa.int64()))], names=["doc_id", "same", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary()), pa.array([[0, 0, 9]] * len(texts), pa.list_(pa.int64()))], names=["doc_id", "same", "keys"])
     return run
 
 
