@@ -89,14 +89,12 @@ def by_name(names: np.ndarray, docs: np.ndarray, places: np.ndarray, sorted_item
     return order, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(names))))
 
 
-def dealt(rows: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str = ROWS) -> DataFrame:
-    """`work` on the rows of each group."""
-    empty = pa.RecordBatch.from_arrays([pa.array([], t) for _, t in _FIELDS], names=[n for n, _ in _FIELDS])
-
-    def run(table: pa.Table) -> pa.Table:
-        batches = list(work(table))
-        return pa.Table.from_batches(batches) if batches else pa.Table.from_batches([empty])
-    return rows.groupBy("grp").applyInArrow(run, schema)
+def dealt(rows: DataFrame, groups: int, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str = ROWS) -> DataFrame:
+    """`work` on the rows of each group: a partition for each, by its number, so that hashing puts no two groups into one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if own := [b for b in batches if b.num_rows]:
+            yield from work(pa.Table.from_batches(own))
+    return rows.repartitionById(groups, F.col("grp")).mapInArrow(run, schema)
 
 
 def ask_first(names: np.ndarray, docs: np.ndarray, places: np.ndarray, groups: int, whole_docs: bool, sorted_items: bool) -> Iterator[pa.RecordBatch]:
@@ -132,11 +130,11 @@ def answer_first(groups: int, whole_docs: bool) -> Callable[[pa.Table], Iterator
     return work
 
 
-def per_document(rows: DataFrame, kinds: dict[int, tuple[str, type]]) -> DataFrame:
+def per_document(rows: DataFrame, groups: int, kinds: dict[int, tuple[str, type]]) -> DataFrame:
     """One row per document: doc_id and, for each kind, the sorted places and their payload as two binary columns (int64 and bytes)."""
     columns = [(f"{name}_{x}", kind) for kind, (name, _) in kinds.items() for x in ("at", "load")]
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
         parts = {}
         for kind, (_, load) in kinds.items():
             docs, places, payload = unpack(table, kind, load)
@@ -147,8 +145,8 @@ def per_document(rows: DataFrame, kinds: dict[int, tuple[str, type]]) -> DataFra
         for docs, places, payload in parts.values():
             a, b = np.searchsorted(docs, ids), np.searchsorted(docs, ids, "right")
             out += [[places[x:y].tobytes() for x, y in zip(a, b, strict=True)], [payload[x:y].tobytes() for x, y in zip(a, b, strict=True)]]
-        return pa.table([pa.array(ids, pa.int64()), *(pa.array(c, pa.binary()) for c in out)], names=["doc_id", *(c for c, _ in columns)])
-    return rows.filter(F.col("kind").isin(list(kinds))).groupBy("grp").applyInArrow(run, "doc_id long, " + ", ".join(f"{c} binary" for c, _ in columns))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.binary()) for c in out)], names=["doc_id", *(c for c, _ in columns)])
+    return dealt(rows.filter(F.col("kind").isin(list(kinds))), groups, run, "doc_id long, " + ", ".join(f"{c} binary" for c, _ in columns))
 
 
 def pressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -16,6 +16,7 @@ from attesta.llm import arrays as A
 from attesta.llm import exchange as X
 from attesta.llm.components import components
 from attesta.llm.session import counted, stored
+from attesta.llm.substrings import answer_repeated, ask_repeated, short_names
 
 WIDTH, THRESHOLD = 5, 0.8
 #: Shingles in more documents than a share 1 / HEAVY of all (document, shingle) pairs are weighed by their own count; there are fewer than HEAVY such, whatever the corpus.
@@ -30,7 +31,7 @@ SAMPLES = SQUARES * SIDE * SIDE
 #: a hundred times by documents of a bucket that share a fifth.
 ALIKE = 17
 #: Documents of a bucket that the others are compared with in each round.
-PIVOTS = (1, 64, 512)
+PIVOTS = (1, 256, 4096)
 
 
 @lru_cache(1)
@@ -90,7 +91,7 @@ def _count_block(width: int, groups: int):
 
 def _sum_counts(most: int):
     """The `most` names of a group with the highest counts; as name -1 all its pairs, as -2 the count of the first name that is left out."""
-    def run(table: pa.Table) -> pa.Table:
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         names, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for x, y in zip(table.column("names").to_pylist(), table.column("counts").to_pylist(), strict=True):
             names.append(np.cumsum(X.unsqueeze(x, None, np.uint32), dtype=np.int64))
@@ -104,9 +105,9 @@ def _sum_counts(most: int):
         left = int(total[top[most]]) if len(top) > most else 0
         kept = top[:most]
         rows = len(kept) + 2
-        return pa.table([pa.array(np.full(rows, table.column("grp")[0].as_py()), pa.int32()), pa.array(np.concatenate([name[starts][kept], [-1, -2]]), pa.int64()),
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows, table.column("grp")[0].as_py()), pa.int32()), pa.array(np.concatenate([name[starts][kept], [-1, -2]]), pa.int64()),
                          pa.array(np.concatenate([total[kept], [int(total.sum()), left]]), pa.int64())], names=["grp", "short", "df"])
-    return run
+    return work
 
 
 class Weights:
@@ -139,7 +140,7 @@ def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
     blocks = A.texts_only(docs, id_col, text_col).mapInArrow(_count_block(width, groups), _COUNTS)
     most = 2 * HEAVY // groups + 16
     while True:
-        told = blocks.groupBy("grp").applyInArrow(_sum_counts(most), "grp int, short long, df long").toPandas()
+        told = X.dealt(blocks, groups, _sum_counts(most), "grp int, short long, df long").toPandas()
         floor = max(1.0, float(told["df"][told["short"] == -1].sum()) / HEAVY)
         if not (told["df"][told["short"] == -2] > floor).any():
             break
@@ -151,11 +152,11 @@ def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
 # --- Signatures ---
 
 @lru_cache(1)
-def _gamma() -> tuple[np.ndarray, np.ndarray]:
-    """65,536 quantiles of the Gamma(2, 1) distribution, and their logarithms."""
+def _gamma() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """65,536 quantiles of the Gamma(2, 1) distribution, their inverses and their logarithms."""
     x = np.concatenate([np.geomspace(1e-5, 1, 50_000), np.linspace(1, 40, 150_000)[1:]])
     q = np.interp((np.arange(65536) + 0.5) / 65536, 1 - (1 + x) * np.exp(-x), x)
-    return q, np.log(q)
+    return q.astype(np.float32), (1 / q).astype(np.float32), np.log(q).astype(np.float32)
 
 
 def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows: int) -> np.ndarray:
@@ -167,8 +168,8 @@ def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows:
     out = np.zeros((n_rows, SAMPLES), A.U)
     if not len(names):
         return out
-    gamma, log_gamma = _gamma()
-    logs, starts = np.log(weights), A.runs(rows)
+    gamma, inverse, log_gamma = _gamma()
+    logs, starts = np.log(weights).astype(np.float32), A.runs(rows)
     which, sizes = rows[starts], np.diff(np.append(starts, len(rows)))
     seeds = A.mix(np.arange(1, SAMPLES + 1, dtype=A.U) * A.U(0x2545F4914F6CDD1D)) | A.U(1)
     for k in range(SAMPLES):
@@ -176,10 +177,17 @@ def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows:
         h ^= h >> A.U(29)
         h *= A.U(0xBF58476D1CE4E5B9)
         h ^= h >> A.U(32)
-        r = gamma[(h & A.U(0xFFFF)).astype(np.int64)]
-        b = (h >> A.U(32)).astype(np.float64) * 2.0 ** -32
-        t = np.floor(logs / r + b)
-        a = log_gamma[((h >> A.U(16)) & A.U(0xFFFF)).astype(np.int64)] - r * (t - b + 1)
+        quarters, halves = h.view(np.uint16).reshape(-1, 4), h.view(np.uint32).reshape(-1, 2)  # lowest bits first
+        low = quarters[:, 0].astype(np.intp)
+        b = halves[:, 1].astype(np.float32)
+        b *= np.float32(2.0 ** -32)
+        t = logs * inverse[low]
+        t += b
+        np.floor(t, out=t)
+        a = t - b
+        a += np.float32(1)
+        a *= gamma[low]
+        np.subtract(log_gamma[quarters[:, 1]], a, out=a)
         least = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), sizes))
         _, first = np.unique(rows[least], return_index=True)
         at = least[first]
@@ -240,6 +248,42 @@ def shared_samples(a: tuple[str, str], b: tuple[str, str]) -> Column:
     return F.lit(SAMPLES) - differ
 
 
+# --- What a document can share at all ---
+
+def _ask_shared(width: int, groups: int):
+    """Asks which shingles of the documents of the buckets stand in another of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            texts = pa.array([X.unpressed(z) for z in batch.column("z").to_pylist()], pa.large_binary())
+            for a, _, data, offsets in A.text_blocks(texts):
+                names, rows, _ = shingles(data, offsets, width)
+                docs, first = ids[a + rows], np.searchsorted(rows, np.arange(len(offsets)))
+                yield from ask_repeated(short_names(names, groups), docs, np.arange(len(rows)) - first[rows], groups, bool((np.diff(ids[a:a + len(offsets) - 1]) > 0).all()))
+    return run
+
+
+def _weigh_shared(width: int, weights: Weights):
+    """total and shared: the weight of all shingles of a document, and of those that another document has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, shared = [], []
+            for z, at in zip(batch.column("z").to_pylist(), batch.column("found_at").to_pylist(), strict=True):
+                _, own = weighted(X.unpressed(z), width, weights)
+                total.append(float(own.sum()))
+                shared.append(float(own[np.unique(np.frombuffer(at or b"", np.int64))].sum()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("z"), pa.array(total, pa.float64()), pa.array(shared, pa.float64())], names=["doc_id", "z", "total", "shared"])
+    return run
+
+
+def measured(bodies: DataFrame, width: int, weights: Weights, groups: int) -> DataFrame:
+    """bodies (doc_id, z) with `total` and `shared`. A similarity can't exceed what is shared: m / (total_a + total_b - m), with m the smaller `shared` of two, so a document that
+    shares a passage, or was edited much, has no partner whoever it meets."""
+    asked = X.dealt(bodies.mapInArrow(_ask_shared(width, groups), X.ROWS), groups, answer_repeated(groups))
+    found = X.per_document(asked, groups, {X.FOUND: ("found", A.U)}).select("doc_id", "found_at")
+    return bodies.join(found, "doc_id", "left").select("doc_id", "z", "found_at").mapInArrow(_weigh_shared(width, weights), "doc_id long, z binary, total double, shared double")
+
+
 # --- Verification ---
 
 def weighted(raw: bytes, width: int, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +306,7 @@ def _verify(width: int, weights: Weights, threshold: float):
 
         def of(doc: int, z: bytes) -> tuple[np.ndarray, np.ndarray]:
             if doc not in known:
-                if len(known) >= 64:
+                if len(known) >= 500:
                     known.pop(next(iter(known)))
                 known[doc] = weighted(X.unpressed(z), width, weights)
             return known[doc]
@@ -277,9 +321,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     """One row per document: doc_id and class_id, the smallest id of its near-duplicate class; documents alone have their own.
 
     Two documents are linked if the weighted Jaccard similarity of their shingles of `width` words is `threshold` or more; classes are what links connect. Texts with the same words are one
-    text to begin with. Documents that share a band meet in its bucket; texts are compared of those that share ALIKE samples in all. There the first is compared with all others; then, where a bucket still holds documents of
-    several classes, more and more of its documents with those of other classes, until every document of such a bucket has been compared or belongs to the same class. So no bucket, of whatever
-    size, is cut, and a group of copies costs one comparison each.
+    text to begin with. Documents that share a band meet in its bucket. Those go that have too much of their own to be like any other (`measured`). Of each bucket the least edited one is compared with
+    all others; then, where a bucket still holds documents of several classes, more and more of its documents with those of other classes, until every document of such a bucket has
+    been compared or belongs to the same class. Texts are compared of pairs that share ALIKE samples and whose bound allows the threshold. So no bucket, of whatever size, is cut, and
+    a group of copies costs one comparison each.
     Null, empty and blank texts are alone; rows with a null id get a null class; rows of one id are one document.
     """
     weights = weigh(docs, width, id_col, text_col)
@@ -289,7 +334,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     shared = entries.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high").select("key")
     buckets = stored(entries.join(shared, "key", "left_semi"))
     members = buckets.select(F.col("doc").alias("doc_id")).distinct()
-    bodies = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
+    found = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
+    able = F.col("shared") >= F.lit(threshold - 1e-9) * F.col("total")
+    bodies = stored(measured(found, width, weights, A.groups_for(docs)).filter(able))
 
     def verified(pairs: DataFrame) -> tuple[DataFrame, int]:
         a, b = (bodies.select(F.col("doc_id").alias(x), F.col("z").alias(f"z{x}")) for x in "ab")
@@ -297,11 +344,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
 
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     tested, labels = empty, empty.toDF("node", "label")
-    active = buckets.withColumn("label", F.col("doc"))
+    active = buckets.join(bodies.select(F.col("doc_id").alias("doc"), "total", "shared"), "doc").withColumn("label", F.col("doc"))
     for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
-        order = Window.partitionBy("key").orderBy("doc" if not round_ else F.xxhash64("doc"), "doc")
-        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("key", F.col("doc").alias("p"), F.col("label").alias("p_label"), F.col("s0").alias("p0"), F.col("s1").alias("p1"))
-        like = shared_samples(("s0", "s1"), ("p0", "p1")) >= ALIKE
+        order = Window.partitionBy("key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
+        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("key", F.col("doc").alias("p"), F.col("label").alias("p_label"), F.col("s0").alias("p0"), F.col("s1").alias("p1"), F.col("total").alias("p_total"), F.col("shared").alias("p_shared"))
+        most = F.least("shared", "p_shared")
+        like = (shared_samples(("s0", "s1"), ("p0", "p1")) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
         meets = chosen.join(active, "key").filter((F.col("p") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like).select(F.least("p", "doc").alias("a"), F.greatest("p", "doc").alias("b")).distinct()
         if round_:
             meets = meets.join(tested, ["a", "b"], "left_anti")
@@ -312,7 +360,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
             labels = components(links.unionByName(labels.toDF("a", "b")))
         left = active.drop("label")
         left = left.join(chosen.select("key", F.col("p").alias("doc")), ["key", "doc"], "left_anti") if round_ else left
-        left = left.join(labels.toDF("doc", "label"), "doc", "left").select("key", "doc", "s0", "s1", F.coalesce("label", "doc").alias("label"))
+        left = left.join(labels.toDF("doc", "label"), "doc", "left").select("key", "doc", "s0", "s1", "total", "shared", F.coalesce("label", "doc").alias("label"))
         mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
         active, open_ = counted(left.join(mixed, "key", "left_semi"))
         if not open_:

@@ -40,16 +40,16 @@ def _first_level(length: int, groups: int, last: bool):
                 row = np.searchsorted(first, at, "right") - 1
                 docs, places = ids[a + row], at - first[row]
                 sorted_items = bool((np.diff(ids[a:a + len(first) - 1]) > 0).all())
-                yield from (X.ask_first(names, docs, places, groups, True, sorted_items) if last else _ask_repeated(_short(names, groups), docs, places, groups, sorted_items))
+                yield from (X.ask_first(names, docs, places, groups, True, sorted_items) if last else ask_repeated(short_names(names, groups), docs, places, groups, sorted_items))
     return run
 
 
-def _short(names: np.ndarray, groups: int) -> np.ndarray:
+def short_names(names: np.ndarray, groups: int) -> np.ndarray:
     """group and 31 bits, with bit 0 free."""
     return ((names >> A.U(32)) % A.U(groups)) << A.U(32) | (names & A.U(0xFFFFFFFE))
 
 
-def _ask_repeated(names: np.ndarray, docs: np.ndarray, places: np.ndarray, groups: int, sorted_items: bool) -> Iterator[pa.RecordBatch]:
+def ask_repeated(names: np.ndarray, docs: np.ndarray, places: np.ndarray, groups: int, sorted_items: bool) -> Iterator[pa.RecordBatch]:
     """Items of one name behind its first document are FOUND to repeat; the first document asks, and says so if it knows already."""
     order, run = X.by_name(names, docs, places, sorted_items)
     lead = docs[order] == docs[order][A.runs(names[order])][run] if len(order) else np.zeros(0, bool)
@@ -63,7 +63,7 @@ def _ask_repeated(names: np.ndarray, docs: np.ndarray, places: np.ndarray, group
     yield from X.pack(X.FOUND, A.doc_group(docs[late], groups), docs[late], places[late], names[late])
 
 
-def _answer_repeated(groups: int):
+def answer_repeated(groups: int):
     """FOUND rows, with their names, for the asking items whose name stands in two documents."""
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         docs, places, short = X.unpack(table, X.ASK, np.uint32)
@@ -97,7 +97,7 @@ def _next_level(length: int, longer: int, groups: int, last: bool):
         both = key[other] == key + (longer - length)
         names = A.mix(names[both] * A.STEP + names[other[both]])
         docs, places = docs[both], places[both]
-        yield from X.ask_first(names, docs, places, groups, True, True) if last else _ask_repeated(_short(names, groups), docs, places, groups, True)
+        yield from X.ask_first(names, docs, places, groups, True, True) if last else ask_repeated(short_names(names, groups), docs, places, groups, True)
     return work
 
 
@@ -131,10 +131,10 @@ def repeated_windows(docs: DataFrame, width: int = 13, start: int = START, id_co
     groups, levels = A.groups_for(docs), lengths(width, start)
     rows = texts.mapInArrow(_first_level(levels[0], groups, len(levels) == 1), X.ROWS)
     for k, length in enumerate(levels[:-1]):
-        rows = X.dealt(rows, _answer_repeated(groups))
-        rows = X.dealt(rows, _next_level(length, levels[k + 1], groups, k == len(levels) - 2))
-    rows = X.dealt(rows, X.answer_first(groups, True))
-    return X.per_document(rows, {X.FOUND: ("cut", np.uint8)}).drop("cut_load")
+        rows = X.dealt(rows, groups, answer_repeated(groups))
+        rows = X.dealt(rows, groups, _next_level(length, levels[k + 1], groups, k == len(levels) - 2))
+    rows = X.dealt(rows, groups, X.answer_first(groups, True))
+    return X.per_document(rows, groups, {X.FOUND: ("cut", np.uint8)}).drop("cut_load")
 
 
 def remove_repeats(docs: DataFrame, width: int = 13, start: int = START, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -224,12 +224,12 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
         raise ValueError(f"strings of fewer than {SPAN + GRAM} bytes may have no trigger")
     groups = A.groups_for(docs)
     texts = A.texts_only(docs, id_col, text_col)
-    rows = X.dealt(texts.mapInArrow(_parse(width, groups), X.ROWS), _dictionary(groups))
-    found = X.per_document(rows, {X.FOUND: ("found", np.uint8), X.OPEN: ("open", np.uint8)})
+    rows = X.dealt(texts.mapInArrow(_parse(width, groups), X.ROWS), groups, _dictionary(groups))
+    found = X.per_document(rows, groups, {X.FOUND: ("found", np.uint8), X.OPEN: ("open", np.uint8)})
     found = stored(found)
     z = X.pressed(docs, id_col, text_col)
     asked = z.join(found.filter(F.length("open_at") > 0).select("doc_id", "open_at", "open_load"), "doc_id").mapInArrow(_corpus_order(width, groups), X.ROWS)
-    late = X.per_document(X.dealt(asked, X.answer_first(groups, False)), {X.FOUND: ("late", np.uint8)}).select("doc_id", "late_at")
+    late = X.per_document(X.dealt(asked, groups, X.answer_first(groups, False)), groups, {X.FOUND: ("late", np.uint8)}).select("doc_id", "late_at")
     joined = z.join(found.select("doc_id", "found_at", "found_load").join(late, "doc_id", "full"), "doc_id", "left")
     return joined.mapInArrow(_kept(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
