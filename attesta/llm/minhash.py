@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from attesta.llm import arrays as A
 from attesta.llm import exchange as X
 from attesta.llm.components import components
-from attesta.llm.session import counted, stored
+from attesta.llm.session import counted, observed, stored
 from attesta.llm.substrings import answer_repeated, ask_repeated, short_names
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -27,9 +27,9 @@ IDF = 0.5
 #: in 80 % of the samples share a band in all but 1 of 28,000 cases.
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
-#: Of the SAMPLES two documents must share so many, by four bits of each, before their texts are compared: fewer are shared once in 50,000 times at a similarity of 0.8, so many once in
-#: a hundred times by documents of a bucket that share a fifth.
-ALIKE = 17
+#: Of the SAMPLES two documents must share so many, by four bits of each, before their texts are compared: fewer are shared twice in 10,000 times at a similarity of 0.8, twice in
+#: 100,000 at 0.85; so many twice in a thousand times by documents of a bucket that share a fifth.
+ALIKE = 18
 #: Documents of a bucket that the others are compared with in each round.
 PIVOTS = (1, 256, 4096)
 
@@ -313,7 +313,7 @@ def _verify(width: int, weights: Weights, threshold: float):
         for batch in batches:
             a, b, za, zb = (batch.column(c).to_pylist() for c in ("a", "b", "za", "zb"))
             hit = [similarity(of(x, p), of(y, q)) >= threshold for x, y, p, q in zip(a, b, za, zb, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(hit, pa.bool_())], names=["a", "b", "hit"])
     return run
 
 
@@ -330,39 +330,44 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     weights = weigh(docs, width, id_col, text_col)
     signed = stored(A.texts_only(docs, id_col, text_col).mapInArrow(_sign(width, weights), "doc_id long, same binary, keys array<long>"))
     distinct = stored(signed.filter("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")))
-    entries = distinct.select(F.explode(F.slice("keys", 3, len(bands()))).alias("key"), F.col("rep").alias("doc"), F.col("keys")[0].alias("s0"), F.col("keys")[1].alias("s1"))
-    shared = entries.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high").select("key")
-    buckets = stored(entries.join(shared, "key", "left_semi"))
+    entries = distinct.select(F.posexplode(F.slice("keys", 3, len(bands()))).alias("band", "key"), F.col("rep").alias("doc"))
+    shared = entries.groupBy("band", "key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high").select("band", "key")
+    buckets = stored(entries.join(shared, ["band", "key"], "left_semi"))
     members = buckets.select(F.col("doc").alias("doc_id")).distinct()
     found = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
     able = F.col("shared") >= F.lit(threshold - 1e-9) * F.col("total")
     bodies = stored(measured(found, width, weights, A.groups_for(docs)).filter(able))
 
-    def verified(pairs: DataFrame) -> tuple[DataFrame, int]:
+    def compared(pairs: DataFrame) -> tuple[DataFrame, dict]:
         a, b = (bodies.select(F.col("doc_id").alias(x), F.col("z").alias(f"z{x}")) for x in "ab")
-        return counted(pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long"))
-
-    empty = docs.sparkSession.createDataFrame([], "a long, b long")
-    tested, labels = empty, empty.toDF("node", "label")
-    active = buckets.join(bodies.select(F.col("doc_id").alias("doc"), "total", "shared"), "doc").withColumn("label", F.col("doc"))
+        both = pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long, hit boolean")
+        return observed(both, hits=F.count_if("hit"))
+
+    # what a member of a bucket carries: its bound, its samples, and the keys of all its bands, so that a pair is taken in the first of its buckets only
+    short = F.transform(F.slice("keys", 3, len(bands())), lambda k: k.bitwiseAND(F.lit(0xFFFFFFF)).cast("int"))
+    carried = distinct.select(F.col("rep").alias("doc"), F.col("keys")[0].alias("s0"), F.col("keys")[1].alias("s1"), short.alias("own")).join(
+        bodies.select(F.col("doc_id").alias("doc"), "total", "shared"), "doc")
+    empty = docs.sparkSession.createDataFrame([], "a long, b long, hit boolean")
+    tested, labels = empty.drop("hit"), empty.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    active = buckets.join(carried, "doc").withColumn("label", F.col("doc"))
+    kept = ["band", "key", "doc", "s0", "s1", "own", "total", "shared"]
     for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
-        order = Window.partitionBy("key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
-        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("key", F.col("doc").alias("p"), F.col("label").alias("p_label"), F.col("s0").alias("p0"), F.col("s1").alias("p1"), F.col("total").alias("p_total"), F.col("shared").alias("p_shared"))
+        order = Window.partitionBy("band", "key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
+        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("band", "key", *(F.col(c).alias(f"p_{c}") for c in (*kept[2:], "label")))
         most = F.least("shared", "p_shared")
-        like = (shared_samples(("s0", "s1"), ("p0", "p1")) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
-        meets = chosen.join(active, "key").filter((F.col("p") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like).select(F.least("p", "doc").alias("a"), F.greatest("p", "doc").alias("b")).distinct()
-        if round_:
-            meets = meets.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(meets)
-        tested = tested.unionByName(pairs)
-        links, new = verified(pairs)
-        if new:  # what earlier rounds have tied hangs on its label
-            labels = components(links.unionByName(labels.toDF("a", "b")))
+        like = (shared_samples(("s0", "s1"), ("p_s0", "p_s1")) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
+        first = F.array_position(F.zip_with("own", "p_own", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
+        meets = chosen.join(active, ["band", "key"]).filter((F.col("p_doc") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like & first)
+        meets = meets.select(F.least("p_doc", "doc").alias("a"), F.greatest("p_doc", "doc").alias("b")).distinct()
+        pairs, seen = compared(meets.join(tested, ["a", "b"], "left_anti") if round_ else meets)
+        tested = tested.unionByName(pairs.drop("hit"))
+        if seen["hits"]:  # what earlier rounds have tied hangs on its label
+            labels = components(pairs.filter("hit").drop("hit").unionByName(labels.toDF("a", "b")))
         left = active.drop("label")
-        left = left.join(chosen.select("key", F.col("p").alias("doc")), ["key", "doc"], "left_anti") if round_ else left
-        left = left.join(labels.toDF("doc", "label"), "doc", "left").select("key", "doc", "s0", "s1", "total", "shared", F.coalesce("label", "doc").alias("label"))
-        mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-        active, open_ = counted(left.join(mixed, "key", "left_semi"))
+        left = left.join(chosen.select("band", "key", F.col("p_doc").alias("doc")), ["band", "key", "doc"], "left_anti") if round_ else left
+        left = left.join(labels.toDF("doc", "label"), "doc", "left").select(*kept, F.coalesce("label", "doc").alias("label"))
+        mixed = left.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band", "key")
+        active, open_ = counted(left.join(mixed, ["band", "key"], "left_semi"))
         if not open_:
             break
     reps = distinct.select("same", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("class_id"))
