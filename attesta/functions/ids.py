@@ -35,12 +35,17 @@ def item_id(url) -> Column:
     return F.sha1(as_col(url))
 
 
+def _named(owner, mark: str, name) -> Column:
+    """Owner, the first letters of a name to read, and a hash of all of them to tell names apart."""
+    return F.concat(as_col(owner), F.lit(mark), F.substring(nname(name), 1, 24), F.lit("-"), h10(nname(name)))
+
+
 def role_head_id(site, name) -> Column:
-    return F.concat(as_col(site), F.lit("--rh-"), F.substring(nname(name), 1, 24))
+    return _named(site, "--rh-", name)
 
 
 def target_id(account, name) -> Column:
-    return F.concat(as_col(account), F.lit("--ct-"), F.substring(nname(name), 1, 24))
+    return _named(account, "--ct-", name)
 
 
 def request_hash(*parts) -> Column:

@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 
 from attesta import config as cfg
 
-FORMS = T.StructType([T.StructField("soft", T.StringType()), T.StructField("hard", T.StringType())])
-
 
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,19 +24,6 @@ def fold_value(s):
     return "".join(ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch))
 
 
-_LOOKALIKE = str.maketrans(cfg.LOOKALIKE)
-
-
-def soft_value(s):
-    text = html.unescape(s) if "&" in s else s
-    return " ".join(text.translate(_LOOKALIKE).split())
-
-
-def hard_value(soft):
-    kept = "".join(ch if ("a" <= ch <= "z" or "0" <= ch <= "9") else " " for ch in fold_value(soft.lower()))
-    return " ".join(kept.split())
-
-
 @F.pandas_udf(T.StringType())
 def _fold(s: pd.Series) -> pd.Series:
     return s.map(fold_value)
@@ -49,12 +34,6 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if v is not None and "&" in v else v)
 
 
-@F.pandas_udf(FORMS)
-def _forms(s: pd.Series) -> pd.DataFrame:
-    soft = s.map(soft_value, na_action="ignore")
-    return pd.DataFrame({"soft": soft, "hard": soft.map(hard_value, na_action="ignore")})
-
-
 # ---------------------------------------------------------------- columns
 def afold(c) -> Column:
     """NFKD, combining marks dropped. Only non-ASCII values travel to Python; the rest go as nulls."""
@@ -98,7 +77,12 @@ def ckey(c) -> Column:
 
 def team_slug(c) -> Column:
     """Article and parentheticals off, trailing organisation words off twice, `and` as `&`."""
-    s = F.regexp_replace(F.lower(afold(c)), r"^\s*(the|our|a)\s+", "")
+    return slug_of_team(afold(c))
+
+
+def slug_of_team(folded) -> Column:
+    """N8 of a folded text."""
+    s = F.regexp_replace(F.lower(folded), r"^\s*(the|our|a)\s+", "")
     s = F.regexp_replace(s, r"\(.*?\)", " ")
     s = F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))
     for _ in range(2):
@@ -118,10 +102,9 @@ def nname(c) -> Column:
 
 
 def dkey(title, url) -> Column:
-    """The first 80 title characters and 120 URL characters, lower case."""
-    left = F.substring(F.lower(F.trim(F.coalesce(as_col(title), F.lit("")))), 1, 80)
-    right = F.substring(F.lower(F.trim(F.coalesce(as_col(url), F.lit("")))), 1, 120)
-    return F.concat_ws("|", left, right)
+    """The whole title and URL, trimmed, lower case."""
+    low = lambda c: F.lower(F.trim(F.coalesce(as_col(c), F.lit(""))))
+    return F.concat_ws("|", low(title), low(url))
 
 
 def titleise(c, acronyms=None) -> Column:
@@ -150,8 +133,18 @@ def page_form(c) -> Column:
 
 
 def normal_forms(c) -> Column:
-    """struct(soft, hard). Soft unifies look-alike punctuation; hard also drops punctuation, case and marks."""
-    return _forms(as_col(c))
+    """struct(soft, hard). Soft unifies look-alike punctuation; hard also drops punctuation, case and marks.
+
+    Only values with an ampersand (entities) or beyond ASCII (folding) travel to Python.
+    """
+    one = {k: v for k, v in cfg.LOOKALIKE.items() if len(v) == 1}
+    soft = F.translate(unescape(c), "".join(one), "".join(one.values()))
+    for k, v in cfg.LOOKALIKE.items():
+        if len(v) != 1:
+            soft = F.replace(soft, F.lit(k), F.lit(v))
+    soft = collapse(soft)
+    hard = F.trim(F.regexp_replace(afold(F.lower(soft)), "[^a-z0-9]+", " "))
+    return F.struct(soft.alias("soft"), hard.alias("hard"))
 
 
 def word_set(c) -> Column:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attesta import config as cfg
 from attesta.functions.text import normal_forms, page_form, team_slug, unescape
 from attesta.operators.rules import drop_boilerplate
+from attesta.session import cut
 
 
 class GateFailed(RuntimeError):
@@ -55,46 +60,66 @@ def quarantine(verified: DataFrame) -> DataFrame:
 
 
 def _runs(df: DataFrame, id: str, words: str, gram: int) -> DataFrame:
-    """(id, _k): hashes of the distinct runs of `gram` neighbours of an array column (words or characters)."""
+    """(id, _k): hashes of the distinct runs of `gram` neighbouring words."""
     n = F.size(words) - (gram - 1)
     shifted = F.arrays_zip(*[F.slice(words, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
     runs = F.transform(shifted, lambda r: F.xxhash64(*[r[f"w{i}"] for i in range(gram)]))
     return df.filter(F.size(words) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
 
 
+def _scan_for(quotes: list[tuple], id_type: T.DataType, body_type: T.DataType):
+    """One pass over bodies that looks for all of these (id, text) at once; a text found once counts for all its ids."""
+    schema = T.StructType([T.StructField("_qid", id_type), T.StructField("_bid", body_type)])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+        known: dict[str, list] = {}
+        for key, text in quotes:
+            known.setdefault(text, []).append(key)
+        words = ahocorasick.Automaton()
+        for text, ids in known.items():
+            words.add_word(text, ids)
+        words.make_automaton()
+        for pdf in batches:
+            for body_id, body in zip(pdf["_bid"], pdf["_b"]):
+                if body is None:
+                    continue
+                hits = {id(ids): ids for _, ids in words.iter(body)}
+                rows = [(key, body_id) for ids in hits.values() for key in ids]
+                if rows:
+                    yield pd.DataFrame(rows, columns=schema.names)
+    return run, schema
+
+
 def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: str, quote: str = "text",
-                body: str = "text", gram: int = 3) -> DataFrame:
-    """V1 over a whole corpus: (quote_id, body_id) wherever the quote is an exact substring of a body.
+                body: str = "text", gram: int = 3, broadcast_rows: int = 100_000, block: int = 50_000) -> DataFrame:
+    """V1 over a whole corpus: (quote_id, body_id) wherever the quote, of any length but not empty, is an exact substring of a body.
 
-    Every complete inner word run of a quote is a run of the body, so each quote probes with its rarest inner
-    `gram`-word run and only bodies holding it are read for the exact check: no cross join, and a common phrase is
-    only probed when a quote has nothing rarer. Quotes too short to hold one probe with their rarest 12-character window.
+    Every complete inner word run of a quote is a run of the body. Each quote is looked for by the one of its inner `gram`-word runs that
+    fewest quotes have, and only bodies with that run are read for the exact check: no cross join. Up to `broadcast_rows` such keys go to the
+    scan itself, so a run that no quote asks for never leaves its task; more are joined by a shuffle. Quotes without
+    so long a run are looked for in blocks of `block`, all of a block in one pass over the bodies.
     """
-    q = quotes.select(F.col(quote_id).alias("_qid"), F.col(quote).alias("_q")).filter(F.length("_q") >= cfg.MIN_QUOTE)
+    q = quotes.select(F.col(quote_id).alias("_qid"), F.col(quote).alias("_q")).filter(F.length("_q") > 0)
     b = bodies.select(F.col(body_id).alias("_bid"), F.col(body).alias("_b"))
     # word arrays are columns of their own: inside a lambda an expression would be split again for every position
     inner = F.split("_q", r"\s+")
     q = q.withColumn("_w", F.when(F.size(inner) > 2, F.slice(inner, F.lit(2), F.size(inner) - 2)).otherwise(F.array().cast("array<string>")))
-    q = q.withColumn("_by_word", F.size("_w") >= gram)
-    out = None
-    for by_word in (True, False):
-        side = q.filter(F.col("_by_word") == by_word)
-        if not by_word and not side.head(1):
-            continue
-        cutter, width = (r"\s+", gram) if by_word else ("", cfg.MIN_QUOTE)
-        probes = side if by_word else side.withColumn("_w", F.split("_q", ""))
-        keys = _runs(probes, "_qid", "_w", width)
-        held = _runs(b.withColumn("_w", F.split("_b", cutter)), "_bid", "_w", width)
-        held = held.join(keys.select("_k").distinct(), "_k", "left_semi")
-        rare = held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
-        probe = (keys.join(rare, "_k").groupBy("_qid").agg(F.min_by("_k", F.struct("_df", "_k")).alias("_k"),
-                                                          F.count(F.lit(1)).alias("_found")))
-        # a quote with a run that no body holds cannot occur anywhere
-        total = keys.groupBy("_qid").agg(F.count(F.lit(1)).alias("_all"))
-        probe = probe.join(total, "_qid").filter(F.col("_found") == F.col("_all")).select("_qid", "_k")
-        pairs = held.join(probe, "_k").select("_qid", "_bid").join(side.select("_qid", "_q"), "_qid").join(b, "_bid")
-        hits = pairs.filter(F.contains(F.col("_b"), F.col("_q"))).select(F.col("_qid").alias(quote_id), F.col("_bid").alias(body_id))
-        out = hits if out is None else out.unionByName(hits)
+    keys = _runs(q, "_qid", "_w", gram)
+    rare = keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    probe = cut(keys.join(rare, "_k").groupBy("_qid").agg(F.min_by("_k", F.struct("_n", "_k")).alias("_k")))
+    side = F.broadcast(probe) if probe.count() <= broadcast_rows else probe
+    held = _runs(b.withColumn("_w", F.split("_b", r"\s+")), "_bid", "_w", gram)
+    pairs = held.join(side, "_k").select("_qid", "_bid").join(q.select("_qid", "_q"), "_qid").join(b, "_bid")
+    name = lambda d: d.select(F.col("_qid").alias(quote_id), F.col("_bid").alias(body_id))
+    out = name(pairs.filter(F.contains(F.col("_b"), F.col("_q"))))
+    pending = []
+    for row in q.filter(F.size("_w") < gram).select("_qid", "_q").toLocalIterator():
+        pending.append((row["_qid"], row["_q"]))
+        if len(pending) == block:
+            out, pending = out.unionByName(name(b.mapInPandas(*_scan_for(pending, q.schema["_qid"].dataType, b.schema["_bid"].dataType)))), []
+    if pending:
+        out = out.unionByName(name(b.mapInPandas(*_scan_for(pending, q.schema["_qid"].dataType, b.schema["_bid"].dataType))))
     return out
 
 
@@ -108,10 +133,10 @@ def require_pass_rate(verified: DataFrame, pct: float = cfg.PASS_RATE) -> None:
 
 
 def verify_excerpts(excerpts: DataFrame, pages: DataFrame, on: str = "url", excerpt: str = "excerpt", page: str = "page_text") -> DataFrame:
-    """V3: adds excerpt_ok: the first 400 normalised characters of a web excerpt occur in the page."""
+    """V3: adds excerpt_ok: the whole normalised text of a web excerpt occurs in the page."""
     p = pages.select(F.col(on).alias("_u"), page_form(page).alias("_p"))
     d = excerpts.join(p, F.col(on) == F.col("_u"), "left")
-    ok = F.contains(F.col("_p"), F.substring(page_form(excerpt), 1, 400))
+    ok = F.contains(F.col("_p"), page_form(excerpt))
     return d.withColumn("excerpt_ok", F.coalesce(ok, F.lit(False))).drop("_u", "_p")
 
 

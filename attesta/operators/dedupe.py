@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.functions.text import collapse, dkey, nname, norm, slug, split_head
+from attesta.functions.text import collapse, dkey, nname, norm, split_head
 from attesta.operators.skew import first_per_group, rank_within
 
 
@@ -15,7 +15,7 @@ def dedupe_spine(df: DataFrame, row: str = "row_no") -> DataFrame:
     The first row wins unless it lacks a named head and a later one has it; `row_no` keeps the first position.
     Pre-aggregated per partition, so a group of copies never travels whole.
     """
-    site = F.substring(norm(F.regexp_replace("site", r"\(.*?\)", "")), 1, 60)
+    site = norm(F.regexp_replace("site", r"\(.*?\)", ""))
     headless = F.coalesce(F.trim("named_site_head"), F.lit("")) == ""
     whole = F.struct(*[F.col(c) for c in df.columns if c != row])
     out = df.groupBy(F.col("account_id").alias("_a"), site.alias("_s"), norm(F.coalesce("city", F.lit(""))).alias("_c")).agg(
@@ -57,8 +57,8 @@ def append_dedupe(state: DataFrame, new: DataFrame, key, order) -> DataFrame:
 
 
 def quote_key() -> list[Column]:
-    """The four-part natural key of a quote."""
-    return [F.col("posting_id"), F.col("claim_type"), F.col("subject_slug"), F.substring("quote_text", 1, 80).alias("quote_head")]
+    """The four-part natural key of a quote; the text as its hash."""
+    return [F.col("posting_id"), F.col("claim_type"), F.col("subject_slug"), F.sha2("quote_text", 256).alias("quote_hash")]
 
 
 def prefer_site_rows(df: DataFrame, kind: str = "query_kind", seq: str = "seq") -> DataFrame:
@@ -67,38 +67,36 @@ def prefer_site_rows(df: DataFrame, kind: str = "query_kind", seq: str = "seq")
 
 
 def append_signals(state: DataFrame, new: DataFrame, seq: str = "seq", prefix: str = "sig") -> DataFrame:
-    """Signals with an unseen (account, type, title+url) key; ids continue the count of the state."""
+    """Signals with an unseen (account, type, title+url) key; ids are hashes of the key, so a rerun or a second writer gives the same."""
     keyed = lambda d: d.withColumn("_k", dkey("title", "url"))
     fresh = first_per_group(keyed(new.filter(F.coalesce(F.col("title"), F.lit("")) != "")),
                             ["account_id", "signal_type", "_k"], [F.col(seq).asc()])
     fresh = fresh.join(keyed(state).select("account_id", "signal_type", "_k").distinct(),
-                       ["account_id", "signal_type", "_k"], "left_anti").drop("_k")
-    return state.unionByName(_continue_ids(state, fresh, "signal_id", seq, prefix + "%05d").select(*state.columns))
+                       ["account_id", "signal_type", "_k"], "left_anti")
+    return state.unionByName(fresh.withColumn("signal_id", _key_id(prefix, "account_id", "signal_type", "_k")).select(*state.columns))
 
 
 def append_people(state: DataFrame, new: DataFrame, seq: str = "seq", prefix: str = "p") -> DataFrame:
     """People with an unseen (account, letters of the name) key."""
     keyed = lambda d: d.withColumn("_k", nname("name"))
     fresh = first_per_group(keyed(new.filter(F.coalesce(F.col("name"), F.lit("")) != "")), ["account_id", "_k"], [F.col(seq).asc()])
-    fresh = fresh.join(keyed(state).select("account_id", "_k").distinct(), ["account_id", "_k"], "left_anti").drop("_k")
-    return state.unionByName(_continue_ids(state, fresh, "person_id", seq, prefix + "%04d").select(*state.columns))
+    fresh = fresh.join(keyed(state).select("account_id", "_k").distinct(), ["account_id", "_k"], "left_anti")
+    return state.unionByName(fresh.withColumn("person_id", _key_id(prefix, "account_id", "_k")).select(*state.columns))
 
 
-def _continue_ids(state: DataFrame, fresh: DataFrame, id: str, seq: str, fmt: str) -> DataFrame:
-    start = state.agg(F.count(F.lit(1))).scalar()
-    ranked = rank_within(fresh.withColumn("_all", F.lit(0)), ["_all"], [F.col(seq).asc()], "_rn")
-    return ranked.withColumn(id, F.format_string(fmt, F.col("_rn") + start)).drop("_all", "_rn")
+def _key_id(prefix: str, *key: str) -> Column:
+    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *key), 256), 1, 16))
 
 
-def named_people(df: DataFrame, names: str, cap: int, seq: str = "seq") -> DataFrame:
-    """One row per named person, the first `cap` of each item (four authors, three speakers)."""
+def named_people(df: DataFrame, names: str, cap: int | None = None, seq: str = "seq") -> DataFrame:
+    """One row per named person, or per first `cap` of each item."""
     rest = [c for c in df.columns if c not in (names, seq)]
-    listed = df.select(*rest, F.col(seq), F.posexplode(F.slice(F.col(names), 1, cap)).alias("_pos", "name"))
-    return listed.withColumn(seq, F.format_string("%s.%02d", F.col(seq).cast("string"), F.col("_pos"))).drop("_pos")
+    listed = df.select(*rest, F.col(seq), F.posexplode(F.slice(F.col(names), 1, cap) if cap else F.col(names)).alias("_pos", "name"))
+    return listed.withColumn(seq, F.format_string("%s.%06d", F.col(seq).cast("string"), F.col("_pos"))).drop("_pos")
 
 
 def roster(*sources: DataFrame) -> DataFrame:
-    """Distinct person names with at least two tokens and under 60 characters, longest first.
+    """Distinct person names with at least two tokens, longest first.
 
     sources: single-column frames of names.
     """
@@ -106,9 +104,4 @@ def roster(*sources: DataFrame) -> DataFrame:
     names = one[0]
     for d in one[1:]:
         names = names.unionByName(d)
-    ok = (F.size(F.split(collapse("name"), " ")) >= 2) & (F.length("name") < 60)
-    return names.filter(ok).distinct().orderBy(F.length("name").desc(), "name")
-
-
-def account_slug(df: DataFrame, company: str = "company") -> DataFrame:
-    return df.withColumn("account_id", slug(company))
+    return names.filter(F.size(F.split(collapse("name"), " ")) >= 2).distinct().orderBy(F.length("name").desc(), "name")

@@ -99,8 +99,8 @@ def account_mart(accounts: DataFrame, sites: DataFrame, heads: DataFrame, signal
             .orderBy("group_rank", F.col("n_keep").desc(), F.col("n_units").desc(), "company"))
 
 
-def signal_mart(signals: DataFrame, ranks: DataFrame, per_kind: int = 12, kinds=None) -> DataFrame:
-    """Signals in display order. Kinds come in a fixed order with the first `per_kind` each; publications are all
+def signal_mart(signals: DataFrame, ranks: DataFrame, per_kind: int | None = None, kinds=None) -> DataFrame:
+    """Signals in display order. Kinds come in a fixed order, each whole or with its first `per_kind`; publications are all
     listed, kept ones by rank, unscored ones next, those below the bar last and marked.
 
     ranks: (signal_id, keep, rank_in_account). Signals need seq, their order on file.
@@ -110,9 +110,10 @@ def signal_mart(signals: DataFrame, ranks: DataFrame, per_kind: int = 12, kinds=
     s = signals.withColumn("kind_order", order.cast("int")).filter(F.col("kind_order") > 0)
     pubs = s.filter(F.col("signal_type") == "publication").join(ranks.select("signal_id", "keep", "rank_in_account"), "signal_id", "left")
     tier = F.when(F.col("keep").isNull(), 1).when(F.col("keep"), 0).otherwise(2)
-    place = [F.col("tier").asc(), F.coalesce("rank_in_account", F.lit(10 ** 6)).asc(), F.col("seq").asc()]
+    place = ["tier", F.coalesce("rank_in_account", F.lit(1 << 60)), "seq"]
     pubs = rank_within(pubs.withColumn("tier", tier), ["account_id"], place, "position")
-    others = top_per_group(s.filter(F.col("signal_type") != "publication"), ["account_id", "signal_type"], [F.col("seq").asc()], per_kind, "position")
+    rest, by = s.filter(F.col("signal_type") != "publication"), ["account_id", "signal_type"]
+    others = top_per_group(rest, by, [F.col("seq").asc()], per_kind, "position") if per_kind else rank_within(rest, by, ["seq"], "position")
     cols = ["account_id", "kind_order", "signal_type", "position", "signal_id", "title"]
     return (pubs.select(*cols, (F.col("tier") == 2).alias("below_bar"))
             .unionByName(others.select(*cols, F.lit(False).alias("below_bar"))))

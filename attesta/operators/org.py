@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from attesta import config as cfg
 from attesta.functions.gates import confidence
 from attesta.functions.ids import edge_id, unit_id
-from attesta.functions.text import team_slug
+from attesta.functions.text import afold, slug_of_team, team_slug
 from attesta.operators.claims import GateFailed
 from attesta.operators.skew import first_per_group, top_per_group
 
@@ -40,54 +40,60 @@ def unit_quotes(extracts: DataFrame, quotes: DataFrame) -> DataFrame:
     return pairs.join(quotes, "posting_id")
 
 
-def unit_values(extracts: DataFrame, postings: DataFrame) -> DataFrame:
-    """(unit_id, facet, value, n, first_at): every named value of a unit, counted in one pass over the extracts. All lists,
-    modes and counts of distinct values of a unit come from this small table."""
+def unit_values(extracts: DataFrame, postings: DataFrame, quotes: DataFrame | None = None) -> DataFrame:
+    """(unit_id, account_id, unit_slug, facet, value, n, first_at and the measures of the rows behind it): every named value of a unit, counted in
+    one pass over the extracts. All lists, modes and counts of a unit come from this small table.
+
+    Extracts hold one row per posting. Every extract of a unit has one `name`, so the measures of a unit are those of its names.
+    """
     one = lambda name, c: F.struct(F.lit(name).alias("facet"), F.col(c).alias("value"), F.lit(0).alias("pos"))
     many = lambda name, c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda v, i: F.struct(
         F.lit(name).alias("facet"), v.alias("value"), i.alias("pos")))
     rows = F.concat(F.array(one("name", "team_name"), one("acronym", "team_acronym"), one("site", "site_id"), one("family", "job_family"),
                             one("manager", "hiring_manager")), many("tech", "tech_stack"), many("phrase", "vocabulary"))
-    d = _with_posting(extracts, postings).select("unit_id", "posting_id", F.inline(rows))
-    return d.filter(F.coalesce("value", F.lit("")) != "").groupBy("unit_id", "facet", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("posting_id", "pos")).alias("first_at"))
+    d = _with_posting(extracts, postings)
+    cited = F.lit(0)
+    if quotes is not None:
+        q = quotes.filter("verbatim_verified AND claim_type = 'team_name'").groupBy("posting_id", F.col("subject_slug").alias("team_slug")).agg(
+            F.count_distinct("quote_id").alias("_q"))
+        d = d.join(q, ["posting_id", "team_slug"], "left")
+        cited = F.coalesce("_q", F.lit(0))
+    d = d.select("unit_id", "account_id", F.col("team_slug").alias("unit_slug"), "posting_id", F.col("extraction_tier").isin(cfg.RICH_TIERS).alias("_rich"),
+                 F.coalesce("seniority_rank", F.lit(1)).alias("_rank"), "evidence_date", cited.alias("_cited"), F.inline(rows))
+    return d.filter(F.coalesce("value", F.lit("")) != "").groupBy("unit_id", "account_id", "unit_slug", "facet", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("posting_id", "pos")).alias("first_at"), F.count_if("_rich").alias("n_rich"), F.max("_rank").alias("rank_max"),
+        F.min("evidence_date").alias("date_min"), F.max("evidence_date").alias("date_max"), F.sum("_cited").alias("n_cited"))
 
 
 def unit_facets(extracts: DataFrame, postings: DataFrame) -> DataFrame:
     """A5: (unit_id, facet, value, n) for sites, families, tools and managers; the most frequent first when ordered by n."""
-    return unit_values(extracts, postings).filter(F.col("facet").isin("site", "family", "tech", "manager")).drop("first_at")
+    return unit_values(extracts, postings).filter(F.col("facet").isin("site", "family", "tech", "manager")).select("unit_id", "facet", "value", "n")
+
+
+def unit_phrases(extracts: DataFrame, postings: DataFrame, shown: int | None = None) -> DataFrame:
+    """A5: (unit_id, account_id, first_at, phrase): the distinct vocabulary phrases of a unit with the posting and place of their first use, or the `shown` first."""
+    d = unit_values(extracts, postings).filter(F.col("facet") == "phrase").select("unit_id", "account_id", "first_at", F.col("value").alias("phrase"))
+    return top_per_group(d, ["unit_id"], [F.col("first_at").asc(), F.col("phrase").asc()], shown) if shown else d
 
 
 def assemble_units(extracts: DataFrame, postings: DataFrame, quotes: DataFrame) -> DataFrame:
     """A5: one observed unit per (account, team slug).
 
-    Modal name, acronym and site (lowest value on ties), families by frequency, the first six distinct vocabulary phrases
-    in order of posting, evidence dates and counts, and a derived confidence. Site candidates, tools and managers stay in
-    `unit_facets`, quote ids in `unit_evidence`; only their counts are on the row.
+    Modal name, acronym and site (lowest value on ties), families by frequency, evidence dates and counts, and a derived confidence, from one join, one
+    explode and one grouped pass. Site candidates, tools and managers stay in `unit_facets`, phrases in `unit_phrases`, quote ids in `unit_evidence`; only their counts are on the row.
     """
-    by = ["unit_id"]
-    base = _with_posting(extracts, postings).groupBy("unit_id", "account_id", F.col("team_slug").alias("unit_slug")).agg(
-        F.count_distinct("posting_id").alias("n_postings"),
-        F.count_if(F.col("extraction_tier").isin(cfg.RICH_TIERS)).alias("n_postings_tier3plus"),
-        F.max(F.coalesce("seniority_rank", F.lit(1))).alias("seniority_max"),
-        F.min("evidence_date").alias("first_evidence_date"), F.max("evidence_date").alias("last_evidence_date"))
-    values = unit_values(extracts, postings)
     of = lambda facet: F.col("facet") == facet
     ranked = F.struct((-F.col("n")).alias("neg"), F.col("value").alias("v"))
     mode = lambda facet, out: F.min(F.when(of(facet), ranked))["v"].alias(out)
+    named = lambda c: F.when(of("name"), F.col(c))
     # seven families at most, so this list is bounded
     families = F.transform(F.array_sort(F.collect_list(F.when(of("family"), ranked))), lambda s: s["v"])
-    facts = values.groupBy("unit_id").agg(
+    u = unit_values(extracts, postings, quotes).groupBy("unit_id", "account_id", "unit_slug").agg(
+        F.sum(named("n")).alias("n_postings"), F.sum(named("n_rich")).alias("n_postings_tier3plus"), F.max(named("rank_max")).alias("seniority_max"),
+        F.min(named("date_min")).alias("first_evidence_date"), F.max(named("date_max")).alias("last_evidence_date"),
         mode("name", "unit_name"), mode("acronym", "acronym"), mode("site", "site_id"), F.count_if(of("site")).alias("n_site_candidates"),
-        F.count_if(of("tech")).alias("n_tech"), F.count_if(of("manager")).alias("n_managers"), families.alias("job_families"))
-    phrases = top_per_group(values.filter(of("phrase")), by, [F.col("first_at").asc(), F.col("value").asc()], 6, "rn")
-    vocab = phrases.groupBy("unit_id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("rn", "value"))), lambda s: s["value"]).alias("vocabulary"))
-    cited = unit_evidence(extracts, quotes).groupBy("unit_id").agg(F.count_distinct("quote_id").alias("n_quotes"))
-    u = base
-    for side in (facts, vocab, cited):
-        u = u.join(side, by, "left")
-    u = u.withColumn("n_quotes", F.coalesce("n_quotes", F.lit(0)))
+        F.count_if(of("tech")).alias("n_tech"), F.count_if(of("manager")).alias("n_managers"), F.count_if(of("phrase")).alias("n_phrases"),
+        families.alias("job_families"), F.coalesce(F.sum(named("n_cited")), F.lit(0)).alias("n_quotes"))
     u = u.withColumn("_c", confidence("n_postings", "n_postings_tier3plus", "n_quotes"))
     return (u.withColumn("unit_kind", F.lit("observed"))
             .withColumn("site_resolution", F.when(F.col("n_site_candidates") > 1, "modal_of_postings")
@@ -126,36 +132,31 @@ def merge_acronyms(units: DataFrame, unit_postings: DataFrame) -> tuple[DataFram
 def gated_edges(extracts: DataFrame, postings: DataFrame, quotes: DataFrame) -> DataFrame:
     """G1: one row per (edge, posting, quote): no verified quote of the right type and subject, no reporting or support edge.
 
-    located_at comes from the posting's site and cites its site quote, else its team quote, else nothing (quote_id null).
+    located_at comes from the posting's site and cites its site quote, else its team quote, else nothing (quote_id null). The verified quotes of
+    a posting, which its text bounds, are gathered once and joined once; all edges of an extract come from one explode.
     """
-    d = _with_posting(extracts, postings)
-    q = quotes.filter("verbatim_verified").select("posting_id", "claim_type", F.col("subject_slug").alias("_qs"), "quote_id")
-    cols = ["account_id", "edge_type", "src_unit_id", "dst_unit_id", "dst_site_id", "src_label", "dst_label", "posting_id",
-            "quote_id", "evidence_date", "extraction_tier"]
-    null = F.lit(None).cast("string")
-
-    def cite(rows: DataFrame, slug: Column, claim: str, how: str = "inner") -> DataFrame:
-        keyed = rows.withColumn("_s", slug)
-        side = q.filter(F.col("claim_type") == claim).drop("claim_type").withColumnRenamed("posting_id", "_qp")
-        return keyed.join(side, (F.col("posting_id") == F.col("_qp")) & (F.col("_s") == F.col("_qs")), how)
-
-    def named(rows: DataFrame, kind: str, label: str) -> DataFrame:
-        return rows.select("account_id", F.lit(kind).alias("edge_type"), F.col("unit_id").alias("src_unit_id"),
-                           unit_id("account_id", "_s").alias("dst_unit_id"), null.alias("dst_site_id"),
-                           F.col("team_name").alias("src_label"), F.col(label).alias("dst_label"), *cols[7:])
-
-    parents = cite(d.filter(F.coalesce("parent_org", F.lit("")) != ""), team_slug("parent_org"), "parent_org")
-    lateral = d.withColumn("_label", F.explode("supports_teams")).filter(F.col("_label") != "")
-    lateral = cite(lateral, team_slug("_label"), "supports_team")
-    sited = d.filter(F.col("site_id").isNotNull())
-    by_site = cite(sited, team_slug("site_stated"), "site_stated")
-    rest = sited.join(by_site.select("posting_id", "unit_id").distinct(), ["posting_id", "unit_id"], "left_anti")
-    by_team = cite(rest, F.col("team_slug"), "team_name", "left")
-    at = lambda rows: rows.select("account_id", F.lit("located_at").alias("edge_type"), F.col("unit_id").alias("src_unit_id"),
-                                  null.alias("dst_unit_id"), F.col("site_id").alias("dst_site_id"),
-                                  F.col("team_name").alias("src_label"), F.col("site_id").alias("dst_label"), *cols[7:])
-    return (named(parents, "reports_to", "parent_org").unionByName(named(lateral, "supports", "_label"))
-            .unionByName(at(by_site)).unionByName(at(by_team)))
+    q = quotes.filter("verbatim_verified").groupBy("posting_id").agg(F.collect_list(F.struct("claim_type", F.col("subject_slug").alias("slug"), "quote_id")).alias("_q"))
+    # slugs are columns of their own, as folding can't run inside a lambda; the labels of an extract are folded as one text
+    d = _with_posting(extracts, postings).join(q, "posting_id", "left").withColumn("_q", F.coalesce("_q", F.array().cast(q.schema["_q"].dataType)))
+    d = d.withColumn("_parent", team_slug("parent_org")).withColumn("_stated", team_slug("site_stated"))
+    d = d.withColumn("_labels", F.filter(F.coalesce("supports_teams", F.array().cast("array<string>")), lambda l: F.coalesce(l, F.lit("")) != ""))
+    folded = F.split(afold(F.array_join("_labels", "\n")), "\n")
+    d = d.withColumn("_supports", F.transform(F.arrays_zip(F.col("_labels").alias("label"), folded.alias("folded")), lambda l: F.struct(slug_of_team(l["folded"]).alias("slug"), l["label"].alias("label"))))
+    d = d.withColumn("_supports", F.filter("_supports", lambda s: s["label"].isNotNull()))
+    cited = lambda kind, slug: F.transform(F.filter("_q", lambda x: (x["claim_type"] == kind) & (x["slug"] == slug)), lambda x: x["quote_id"])
+    row = lambda kind, slug, site, label, quote: F.struct(F.lit(kind).alias("edge_type"), slug.cast("string").alias("_slug"), site.cast("string").alias("dst_site_id"),
+                                                          label.cast("string").alias("dst_label"), quote.cast("string").alias("quote_id"))
+    null, none = F.lit(None), F.array()
+    parent = F.when(F.coalesce("parent_org", F.lit("")) != "", F.transform(cited("parent_org", F.col("_parent")), lambda c: row("reports_to", F.col("_parent"), null, F.col("parent_org"), c)))
+    support = F.flatten(F.transform("_supports", lambda s: F.transform(cited("supports_team", s["slug"]), lambda c: row("supports", s["slug"], null, s["label"], c))))
+    by_site, by_team = cited("site_stated", F.col("_stated")), cited("team_name", F.col("team_slug"))
+    sources = F.when(F.size(by_site) > 0, by_site).when(F.size(by_team) > 0, by_team).otherwise(F.array(F.lit(None).cast("string")))
+    located = F.when(F.col("site_id").isNotNull(), F.transform(sources, lambda c: row("located_at", null, F.col("site_id"), F.col("site_id"), c)))
+    kind = "array<struct<edge_type:string,_slug:string,dst_site_id:string,dst_label:string,quote_id:string>>"
+    edges = F.concat(*[F.coalesce(x.cast(kind), none.cast(kind)) for x in (parent, support, located)])
+    out = d.select("account_id", F.col("unit_id").alias("src_unit_id"), F.col("team_name").alias("src_label"), "posting_id", "evidence_date", "extraction_tier", F.inline(edges))
+    return out.select("account_id", "edge_type", "src_unit_id", F.when(F.col("_slug").isNotNull(), unit_id("account_id", "_slug")).alias("dst_unit_id"), "dst_site_id", "src_label",
+                      "dst_label", "posting_id", "quote_id", "evidence_date", "extraction_tier")
 
 
 def refold_edges(claims: DataFrame, folds: DataFrame) -> DataFrame:
@@ -168,15 +169,16 @@ def refold_edges(claims: DataFrame, folds: DataFrame) -> DataFrame:
 def assemble_edges(claims: DataFrame) -> DataFrame:
     """One edge per (account, type, source, destination) with distinct posting and quote counts, dates and confidence.
 
-    Quote ids stay in `claims`, which is the provenance table of an edge.
+    Claims are reduced to (edge, posting) first, so all counts are plain ones. Quote ids stay in `claims`, which is the provenance table of an edge.
     """
     dst = F.coalesce("dst_unit_id", "dst_site_id")
-    e = claims.withColumn("edge_id", edge_id("account_id", "edge_type", "src_unit_id", dst)).groupBy(
-        "edge_id", "account_id", "edge_type", "src_unit_id", "dst_unit_id", "dst_site_id").agg(
-        F.min("src_label").alias("src_label"), F.min("dst_label").alias("dst_label"),
-        F.count_distinct("posting_id").alias("n_postings"), F.count_distinct("quote_id").alias("n_quotes"),
-        F.count_distinct(F.when(F.col("extraction_tier").isin(cfg.RICH_TIERS), F.col("posting_id"))).alias("n_postings_tier3plus"),
-        F.min("evidence_date").alias("first_evidence_date"), F.max("evidence_date").alias("last_evidence_date"))
+    key = ["edge_id", "account_id", "edge_type", "src_unit_id", "dst_unit_id", "dst_site_id"]
+    per = claims.withColumn("edge_id", edge_id("account_id", "edge_type", "src_unit_id", dst)).groupBy(*key, "posting_id").agg(
+        F.min("src_label").alias("src_label"), F.min("dst_label").alias("dst_label"), F.size(F.collect_set("quote_id")).alias("_quotes"),
+        F.max(F.col("extraction_tier").isin(cfg.RICH_TIERS)).alias("_rich"), F.min("evidence_date").alias("_lo"), F.max("evidence_date").alias("_hi"))
+    e = per.groupBy(*key).agg(
+        F.min("src_label").alias("src_label"), F.min("dst_label").alias("dst_label"), F.count(F.lit(1)).alias("n_postings"), F.sum("_quotes").alias("n_quotes"),
+        F.count_if("_rich").alias("n_postings_tier3plus"), F.min("_lo").alias("first_evidence_date"), F.max("_hi").alias("last_evidence_date"))
     return (e.withColumn("_c", confidence("n_postings", "n_postings_tier3plus", "n_quotes"))
             .withColumn("confidence", F.col("_c.level")).withColumn("confidence_basis", F.col("_c.basis"))
             .withColumn("status", F.lit("candidate")).withColumn("human_state", F.lit(None).cast("string"))
@@ -192,7 +194,7 @@ def add_ghosts(units: DataFrame, edges: DataFrame) -> DataFrame:
     given = {"unit_id": F.col("unit_id"), "account_id": F.col("account_id"), "unit_name": F.col("unit_name"), "unit_slug": slug,
              "unit_kind": F.lit("named_not_mapped"), "status": F.lit("candidate"), "confidence": F.lit("low"),
              "confidence_basis": F.lit("named in a posting; no unit of its own was reconstructed")}
-    zeros = {"n_postings", "n_postings_tier3plus", "n_quotes", "n_site_candidates", "n_tech", "n_managers"}
+    zeros = {"n_postings", "n_postings_tier3plus", "n_quotes", "n_site_candidates", "n_tech", "n_managers", "n_phrases"}
     row = [given[f.name] if f.name in given else (F.lit(0) if f.name in zeros else F.lit(None)).cast(f.dataType) for f in units.schema]
     return units.unionByName(ghosts.select(*[c.alias(f.name) for c, f in zip(row, units.schema)]))
 
@@ -266,16 +268,15 @@ def coverage(spine: DataFrame, postings: DataFrame, extracts: DataFrame, units:
 
     first_seen and last_seen are the real minimum and maximum of the site's postings.
     """
-    at = postings.filter(F.col("site_id").isNotNull())
     key = ["account_id", "site_id"]
-    idx = at.groupBy(*key).agg(
+    done = extracts.select("posting_id").distinct().withColumn("_done", F.lit(True))
+    idx = postings.join(done, "posting_id", "left").groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_indexed"), F.count_if("tier2_admit").alias("n_admitted"),
-        F.count_if(F.col("extraction_tier").rlike("^tier[234]_")).alias("n_bodies"),
+        F.count_if(F.col("extraction_tier").rlike("^tier[234]_")).alias("n_bodies"), F.count("_done").alias("n_extracts"),
         F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
-    ex = at.join(extracts.select("posting_id").distinct(), "posting_id", "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n_extracts"))
     un = units.filter(F.col("site_id").isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n_units"))
-    swept = postings.select("account_id").distinct().withColumn("_swept", F.lit(True))
-    d = spine.join(idx, key, "left").join(ex, key, "left").join(un, key, "left").join(swept, "account_id", "left")
+    swept = idx.select("account_id").distinct().withColumn("_swept", F.lit(True))
+    d = spine.join(idx, key, "left").join(un, key, "left").join(swept, "account_id", "left")
     d = d.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_indexed", "n_admitted", "n_bodies", "n_extracts", "n_units")})
     state = (F.when(F.col("_swept").isNull(), "never_scanned").when(F.col("n_indexed") == 0, "scanned_none_found")
              .when(F.col("n_extracts") == 0, "indexed_not_extracted").otherwise("covered"))

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta import config as cfg
 from attesta.functions.places import slug_to_key
-from attesta.functions.text import as_col, collapse
+from attesta.functions.text import collapse
 from attesta.operators.skew import first_per_group, top_per_group
 
 
@@ -62,9 +63,10 @@ def first_match(df: DataFrame, col: str, rules, name: str = "rule", text: str =
 
 
 def detect_ats(df: DataFrame, html: str = "html") -> DataFrame:
-    """Applicant-tracking system named by the page, its marker, and what history it can give."""
-    rules = [(n, "(?i)" + p, b) for n, p, b in cfg.ATS_MARKERS]
-    return first_match(df, html, rules, "ats", "ats_host", ("bucket",))
+    """Applicant-tracking system named by the page, its marker, what history it can give, and the shape of its interface: JSON by a
+    get or a post, a feed, or pages rendered on the server."""
+    rules = [(n, "(?i)" + p, b, shape) for n, p, b, shape in cfg.ATS_MARKERS]
+    return first_match(df, html, rules, "ats", "ats_host", ("bucket", "api_shape"))
 
 
 # ---------------------------------------------------------------- X3 JSON-LD
@@ -121,6 +123,13 @@ _ABBREVIATION = re.compile(cfg.ABBREVIATION)
 _LIST = re.compile(cfg.LIST_BREAK)
 
 
+def in_blocks(rows: Iterator[tuple], names: list[str], size: int = 20_000) -> Iterator[pd.DataFrame]:
+    """Frames of at most `size` rows, so that what one batch of long texts yields is never held whole."""
+    rows = iter(rows)
+    while block := list(itertools.islice(rows, size)):
+        yield pd.DataFrame(block, columns=names)
+
+
 def sentence_spans(body: str, max_words: int = cfg.MAX_SEGMENT_WORDS) -> Iterator[tuple[int, int]]:
     """Slices of one text: sentences, with over-long ones cut again at list punctuation."""
     edges, begin = [], 0
@@ -149,9 +158,8 @@ def segment(df: DataFrame, id: str, text: str) -> DataFrame:
 
     def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(key, i, f"S{i:03d}", body[s:e], s, e) for key, body in zip(pdf[id], pdf[text])
-                    if body is not None for i, (s, e) in enumerate(sentence_spans(body))]
-            yield pd.DataFrame(rows, columns=schema.names)
+            yield from in_blocks(((key, i, f"S{i:03d}", body[s:e], s, e) for key, body in zip(pdf[id], pdf[text])
+                                  if body is not None for i, (s, e) in enumerate(sentence_spans(body))), schema.names)
 
     return df.select(id, text).mapInPandas(cut_batches, schema)
 
@@ -211,7 +219,7 @@ _SHAPE = re.compile(cfg.PHRASE_SHAPE)
 _STOP = frozenset(cfg.PHRASE_STOP)
 
 
-def phrases(text: str, longest: int = 3, max_chars: int = 40) -> list[str]:
+def phrases(text: str, longest: int = 3, max_chars: int | None = None) -> list[str]:
     """Distinct 1..longest token slices that could name a tool: slashed names first, then by position."""
     tokens = list(_TOKEN.finditer(text))
     named = {}
@@ -225,7 +233,7 @@ def phrases(text: str, longest: int = 3, max_chars: int = 40) -> list[str]:
             shaped = piece[0].isupper() or any(ch.isupper() for ch in piece) or _SHAPE.search(piece)
             if shaped and last.group().lower() not in _STOP and not _PHRASE_BREAK.search(piece):
                 named.setdefault(piece.lower(), piece)
-    return [p for p in named.values() if len(p) <= max_chars]
+    return [p for p in named.values() if max_chars is None or len(p) <= max_chars]
 
 
 def candidates(df: DataFrame, id: str, text: str) -> DataFrame:
@@ -235,9 +243,8 @@ def candidates(df: DataFrame, id: str, text: str) -> DataFrame:
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(key, i, p) for key, t in zip(pdf[id], pdf[text]) if t is not None
-                    for i, p in enumerate(phrases(t))]
-            yield pd.DataFrame(rows, columns=schema.names)
+            yield from in_blocks(((key, i, p) for key, t in zip(pdf[id], pdf[text]) if t is not None
+                                  for i, p in enumerate(phrases(t))), schema.names)
 
     return df.select(id, text).mapInPandas(spread, schema)
 
@@ -270,7 +277,7 @@ def names_in(df: DataFrame, text: str) -> DataFrame:
     words = F.transform(F.split(name, r"\s+"), lambda t: F.trim(F.lower(t), F.lit(".")))
     stop = F.array(*[F.lit(w) for w in cfg.NOT_A_PERSON])
     return (rows.filter(~F.arrays_overlap(words, stop) & title.rlike(cfg.PERSON_TITLE))
-            .select(*df.columns, name.alias("name"), F.substring(title, 1, 100).alias("title_hint")))
+            .select(*df.columns, name.alias("name"), title.alias("title_hint")))
 
 
 def lineage(df: DataFrame, text: str) -> DataFrame:
@@ -283,15 +290,17 @@ def lineage(df: DataFrame, text: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X12 best body
 def best_body(versions: DataFrame, id: str = "posting_id", min_chars: int = cfg.MIN_BODY,
-              captures: int = cfg.ARCHIVE_CAPTURES) -> DataFrame:
+              captures: int | None = None) -> DataFrame:
     """The usable version of each body: API, else live, else the fattest archive capture; else a shell row.
 
-    versions: (id, source api|live|archive, captured_at, length, text). Only the four fattest captures count.
+    versions: (id, source api|live|archive, captured_at, length, text). With `captures` only so many of the fattest
+    archive captures count.
     """
     usable = (F.length("text") >= min_chars) & (
         (F.col("source") == "api") | ~F.coalesce(F.col("text").rlike(cfg.EXPIRED_PAGE), F.lit(False)))
-    archive = top_per_group(versions.filter(F.col("source") == "archive"), [id],
-                            [F.col("length").desc(), F.col("captured_at").asc()], captures)
+    archive = versions.filter(F.col("source") == "archive")
+    if captures:
+        archive = top_per_group(archive, [id], [F.col("length").desc(), F.col("captured_at").asc()], captures)
     pool = versions.filter(F.col("source").isin("api", "live")).unionByName(archive).filter(usable)
     rank = F.when(F.col("source") == "api", 0).when(F.col("source") == "live", 1).otherwise(2)
     best = first_per_group(pool, [id], [rank.asc(), F.col("length").desc(), F.col("captured_at").asc()])
@@ -314,13 +323,9 @@ def kw_hits(df: DataFrame, id: str, fields, rules, window: int = 80) -> DataFram
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for field in fields:
-                for key, value in zip(pdf[id], pdf[field]):
-                    for label, rx in compiled if value else ():
-                        rows += [(key, label, field, m.start(), m.group(),
-                                  bool(cue.search(value[max(0, m.start() - window):m.start()])))
-                                 for m in rx.finditer(value)]
-            yield pd.DataFrame(rows, columns=schema.names)
+            hits = ((key, label, field, m.start(), m.group(), bool(cue.search(value[max(0, m.start() - window):m.start()])))
+                    for field in fields for key, value in zip(pdf[id], pdf[field])
+                    for label, rx in (compiled if value else ()) for m in rx.finditer(value))
+            yield from in_blocks(hits, schema.names)
 
     return df.select(id, *fields).mapInPandas(scan, schema)

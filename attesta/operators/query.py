@@ -47,7 +47,7 @@ def list_accounts(accounts: DataFrame, coverage: DataFrame, units: DataFrame, po
     return _answer(d.na.fill(0), None, F.col("org_units").desc(), F.col("account_id"))
 
 
-def list_org_units(units: DataFrame, account_id=None, site_id=None, min_confidence=None, include_unmapped: bool = True, limit: int = 200) -> Answer:
+def list_org_units(units: DataFrame, account_id=None, site_id=None, min_confidence=None, include_unmapped: bool = True, limit: int | None = None) -> Answer:
     """Q2: units that were not rejected."""
     d = _at_least(_where(units.filter(F.col("status") != "rejected"), account_id=account_id, site_id=site_id), min_confidence)
     if not include_unmapped:
@@ -62,19 +62,19 @@ def get_org_unit(units: DataFrame, edges: DataFrame, evidence: DataFrame, quotes
             "provenance": get_provenance(quotes, postings, evidence=evidence, unit_id=unit_id).records}
 
 
-def list_org_edges(edges: DataFrame, account_id=None, edge_type=None, min_confidence=None, limit: int = 400) -> Answer:
+def list_org_edges(edges: DataFrame, account_id=None, edge_type=None, min_confidence=None, limit: int | None = None) -> Answer:
     """Q4: edges that were not rejected."""
     d = _at_least(_where(edges.filter(F.col("status") != "rejected"), account_id=account_id, edge_type=edge_type), min_confidence)
     return _answer(d, limit, F.col("account_id"), F.col("edge_type"), F.col("src_unit_id"), F.col("edge_id"))
 
 
 def get_provenance(quotes: DataFrame, postings: DataFrame, quote_ids: DataFrame | None = None, evidence: DataFrame | None = None,
-                   unit_id: str | None = None, edge_claims: DataFrame | None = None, edge_id: str | None = None, limit: int | None = 60) -> Answer:
+                   unit_id: str | None = None, edge_claims: DataFrame | None = None, edge_id: str | None = None, limit: int | None = None) -> Answer:
     """Q5: verified quotes with their posting. Asking for ids that have no quotes returns nothing; asking for none returns
     all verified quotes. quote_ids: (quote_id); evidence: (unit_id, quote_id); edge_claims: (edge_id, quote_id)."""
     asked = None
-    for part in (quote_ids, evidence.filter(F.col("unit_id") == unit_id) if unit_id else None,
-                 edge_claims.filter(F.col("edge_id") == edge_id) if edge_id else None):
+    for part in (quote_ids, evidence.filter(F.col("unit_id") == unit_id) if unit_id is not None else None,
+                 edge_claims.filter(F.col("edge_id") == edge_id) if edge_id is not None else None):
         if part is not None:
             ids = part.select("quote_id")
             asked = ids if asked is None else asked.unionByName(ids)
@@ -86,7 +86,7 @@ def get_provenance(quotes: DataFrame, postings: DataFrame, quote_ids: DataFrame
 
 
 def query_postings(postings: DataFrame, extracts: DataFrame, account_id=None, site_id=None, job_family=None, seen_since=None,
-                   names_tool=None, has_org_structure: bool | None = None, min_seniority=None, limit: int | None = 200) -> Answer:
+                   names_tool=None, has_org_structure: bool | None = None, min_seniority=None, limit: int | None = None) -> Answer:
     """Q6: postings by score. The account matches itself or the mirror; a tool matches any part of a tool name."""
     ex = extracts.select("posting_id", "team_name", "parent_org", "tech_stack", F.lit(True).alias("has_extract"))
     d = _where(postings, site_id=site_id, job_family=job_family)
@@ -110,27 +110,27 @@ def get_hiring_mix(rollup: DataFrame, account_id, scope: str = "account_period_f
     return _answer(rollup.filter((F.col("account_id") == account_id) & (F.col("scope") == scope)), None)
 
 
-def list_gaps(units: DataFrame, coverage: DataFrame, account_id=None, limit: int | None = 400) -> tuple[Answer, Answer]:
+def list_gaps(units: DataFrame, coverage: DataFrame, account_id=None, limit: int | None = None) -> tuple[Answer, Answer]:
     """Q8: (units with gap flags, sites that are not covered)."""
     u = _where(units.filter(F.size("gap_flags") > 0), account_id=account_id)
     c = _where(coverage.filter(F.col("coverage_state") != "covered"), account_id=account_id)
     return _answer(u, limit, F.col("unit_id")), _answer(c, limit, F.col("site_id"))
 
 
-def get_vocabulary(quotes: DataFrame, units: DataFrame, unit_postings: DataFrame | None = None, account_id=None, unit_id=None,
-                   limit: int | None = 120) -> Answer:
-    """Q9: verified vocabulary quotes, then the vocabulary on the units."""
+def get_vocabulary(quotes: DataFrame, units: DataFrame, phrases: DataFrame, unit_postings: DataFrame | None = None, account_id=None, unit_id=None,
+                   limit: int | None = None) -> Answer:
+    """Q9: verified vocabulary quotes, then the phrases of the units. phrases: output of `unit_phrases`."""
     q = _where(quotes.filter("verbatim_verified AND claim_type = 'vocabulary'"), account_id=account_id)
     if unit_id is not None:
         q = q.join(unit_postings.filter(F.col("unit_id") == unit_id).select("posting_id").distinct(), "posting_id", "left_semi")
-    u = _where(units, account_id=account_id, unit_id=unit_id)
-    said = u.select(F.lit("").alias("quote_id"), F.lit("").alias("posting_id"), F.explode("vocabulary").alias("quote_text"),
-                    F.col("last_evidence_date").cast("string").alias("display_date"))
+    u = _where(units, account_id=account_id, unit_id=unit_id).select("unit_id", "last_evidence_date")
+    said = phrases.join(u, "unit_id").select(F.lit("").alias("quote_id"), F.lit("").alias("posting_id"), F.col("phrase").alias("quote_text"),
+                                             F.col("last_evidence_date").cast("string").alias("display_date"))
     both = q.select("quote_id", "posting_id", "quote_text", F.col("display_date").cast("string").alias("display_date")).unionByName(said)
     return _answer(both, limit, (F.col("quote_id") == "").asc(), F.col("quote_id"), F.col("quote_text"))
 
 
-def filter_corpus(index: DataFrame, site=None, family=None, since=None, tool=None, has_org: bool = False, limit: int | None = 120) -> Answer:
+def filter_corpus(index: DataFrame, site=None, family=None, since=None, tool=None, has_org: bool = False, limit: int | None = None) -> Answer:
     """Q10: the exported corpus filtered by site, family, window, tool substring and org structure; best scores first."""
     d = _where(index, site=site, family=family)
     if since is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.places import city_keys, city_place, metro_keys
-from attesta.functions.text import afold, ckey, collapse, norm, title_key
+from attesta.functions.text import ckey, norm, title_key
 from attesta.operators.skew import first_per_group
 
 TIER_NAMES = {1: "exact_city", 2: "alias", 3: "metro"}
@@ -33,18 +33,23 @@ def build_site_index(sites: DataFrame, synonyms: DataFrame | None = None) -> Dat
 
 
 def best_tier(index: DataFrame) -> DataFrame:
-    """One row per (account_id, key): the best tier with a hit and its sorted distinct candidates."""
-    per = index.groupBy("account_id", "key", "tier").agg(F.array_sort(F.collect_set("site_id")).alias("candidates"))
-    return per.groupBy("account_id", "key").agg(
-        F.min("tier").alias("tier"), F.min_by("candidates", "tier").alias("candidates"))
+    """One row per (account_id, key): the best tier with a hit, the number of its sites and the lowest of them."""
+    per = index.groupBy("account_id", "key", "tier").agg(F.count_distinct("site_id").alias("n"), F.min("site_id").alias("site"))
+    return per.groupBy("account_id", "key").agg(F.min("tier").alias("tier"), F.min_by("n", "tier").alias("n"), F.min_by("site", "tier").alias("site"))
+
+
+def site_candidates(index: DataFrame) -> DataFrame:
+    """(account_id, key, site_id): every site of the best tier of a place key; what an `ambiguous` row stands between."""
+    best = best_tier(index).select("account_id", "key", "tier")
+    return index.join(best, ["account_id", "key", "tier"]).select("account_id", "key", "site_id").distinct()
 
 
 def resolve(df: DataFrame, index: DataFrame, overrides: DataFrame | None = None, account: str = "account_id",
             key: str = "city_key") -> DataFrame:
-    """Adds site_id, site_resolution, site_candidates.
+    """Adds site_id, site_resolution, n_site_candidates.
 
-    A human pick wins; else the best tier with any hit: one candidate resolves, more are `ambiguous` with the
-    sorted list; no hit is `city_not_in_sites`; an empty key is `unmatched`. The index is reduced to one row
+    A human pick wins; else the best tier with any hit: one candidate resolves, more are `ambiguous`; no hit is `city_not_in_sites`; an empty key is
+    `unmatched`. The candidates themselves stay in `site_candidates`, by place key, as a metro may have any number. The index is reduced to one row
     per (account, key) first, so the join never multiplies postings.
     """
     k = F.coalesce(F.col(f"d.{key}"), F.lit(""))
@@ -56,17 +61,16 @@ def resolve(df: DataFrame, index: DataFrame, overrides: DataFrame | None = None,
         pick = F.when(k != "", F.col("_pick"))
     else:
         pick = F.lit(None).cast("string")
-    n = F.coalesce(F.size("h.candidates"), F.lit(0))
+    n = F.coalesce("h.n", F.lit(0))
     name = F.lit(None).cast("string")
     for t, label in TIER_NAMES.items():
         name = F.when(F.col("h.tier") == t, label).otherwise(name)
-    site = F.coalesce(pick, F.when(n == 1, F.col("h.candidates")[0]))
+    site = F.coalesce(pick, F.when(n == 1, F.col("h.site")))
     outcome = (F.when(k == "", "unmatched").when(pick.isNotNull(), "human").when(n == 0, "city_not_in_sites")
                .when(n > 1, "ambiguous").otherwise(name))
-    shown = F.when(pick.isNotNull(), F.array(pick)).otherwise(
-        F.coalesce(F.when(k != "", F.col("h.candidates")), F.array().cast("array<string>")))
+    shown = F.when(pick.isNotNull(), 1).when(k != "", n).otherwise(0).cast("long")
     return d.select("d.*", F.when(k != "", site).alias("site_id"), outcome.alias("site_resolution"),
-                    shown.alias("site_candidates"))
+                    shown.alias("n_site_candidates"))
 
 
 def mirror(df: DataFrame, index: DataFrame, subsidiaries: DataFrame, account: str = "account_id",
@@ -175,6 +179,7 @@ def location(df: DataFrame, sites: DataFrame, id: str = "posting_id") -> DataFra
     return d.select(*df.columns, kind.alias("loc_kind"), ident.alias("loc_id"), source.alias("loc_source"))
 
 
-def enrich(df: DataFrame, dim: DataFrame, on) -> DataFrame:
-    """Keyed left join; the dimension must hold one row per key, which `fk_violations` and tests check."""
-    return df.join(dim, on, "left")
+def enrich(df: DataFrame, dim: DataFrame, on, order) -> DataFrame:
+    """Keyed left join that never multiplies rows: of a key that the dimension holds more than once the first row by `order` counts."""
+    on = [on] if isinstance(on, str) else list(on)
+    return df.join(first_per_group(dim, on, order), on, "left")

@@ -104,16 +104,18 @@ def email_status(df: DataFrame, domains: DataFrame, email: str = "email", status
     """
     em = F.trim(F.col(email))
     local = F.split_part(em, F.lit("@"), F.lit(1))
-    roots = domains.groupBy("account_id").agg(F.collect_set(_root("domain")).alias("_roots"))
-    d = df.join(roots, "account_id", "left")
-    er = _root(F.split_part(em, F.lit("@"), F.lit(2)))
-    known = F.exists(F.coalesce("_roots", F.array().cast("array<string>")),
-                     lambda r: (r != "") & (er != "") & (F.contains(er, r) | F.contains(r, er)))
+    roots = domains.select("account_id", _root("domain").alias("_r")).filter("_r != ''").distinct()
+    # asked once per distinct (account, root of an address), against the account's own domains one by one
+    asked = df.select("account_id", _root(F.split_part(em, F.lit("@"), F.lit(2))).alias("_er")).filter("_er != ''").distinct()
+    near = asked.join(roots, "account_id").filter(F.contains("_er", F.col("_r")) | F.contains("_r", F.col("_er")))
+    near = near.select("account_id", "_er").distinct().withColumn("_known", F.lit(True))
+    d = df.withColumn("_er", _root(F.split_part(em, F.lit("@"), F.lit(2)))).join(near, ["account_id", "_er"], "left")
+    known = F.coalesce("_known", F.lit(False))
     start = F.coalesce(F.col(status), F.lit("found"))
     weak = local.rlike(r"(?i)^[a-z](\.[a-z])?$") | (F.length(local) <= 2)
     checked = (F.when(F.coalesce(em, F.lit("")) == "", F.col(status)).when(weak, "suspect")
                .when((start == "found") & F.contains(em, F.lit("@")) & ~known, "suspect_domain").otherwise(start))
-    return d.withColumn("email_checked", checked).drop("_roots")
+    return d.select(*df.columns, checked.alias("email_checked"))
 
 
 def drop_boilerplate(df: DataFrame, companies: DataFrame, parent: str = "parent_org") -> DataFrame:

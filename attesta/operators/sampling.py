@@ -41,6 +41,6 @@ def seeded_sample(df: DataFrame, key: str, n: int = cfg.TITLE_SAMPLE, seed: int
 def systematic_sample(df: DataFrame, by: str, order: str, n: int = 4) -> DataFrame:
     """M3: every k-th row of each group in order, k = max(1, rows // n), the first `n` of them."""
     size = df.groupBy(by).agg(F.greatest(F.floor(F.count(F.lit(1)) / n), F.lit(1)).alias("_step"))
-    d = rank_within(df, [by], [F.col(order).asc()], "_rn").join(size, by)
+    d = rank_within(df, [by], [order], "_rn").join(size, by)
     hit = F.pmod(F.col("_rn") - 1, F.col("_step")) == 0
     return d.filter(hit & ((F.col("_rn") - 1) < n * F.col("_step"))).drop("_rn", "_step")

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta import config as cfg
 from attesta.functions.ids import request_hash
 from attesta.session import cut
 
@@ -22,7 +21,8 @@ def question_bank(items: DataFrame, questions, options: DataFrame | None = None,
     """(item columns, question, kind, options): every question of a fixed set for every item.
 
     The set is a literal array exploded per row, so no cross join is planned. options (account_id, option_id) adds a
-    choice over the item's own account, with `company_wide` as the last option.
+    choice over the item's own account: `option_set` names the account whose options count, with `company_wide` as the last one. They are joined when
+    the question is scored (`with_options`), once per distinct request, so no list travels with every item.
     """
     rows = F.array(*[F.struct(F.lit(q).alias("question"), F.lit(k).alias("kind"),
                               F.array(*[F.lit(o) for o in opts]).cast("array<string>").alias("options"))
@@ -30,16 +30,27 @@ def question_bank(items: DataFrame, questions, options: DataFrame | None = None,
     bank = items.select("*", F.inline(rows))
     if options is None:
         return bank
-    own = options.groupBy("account_id").agg(F.array_sort(F.collect_set("option_id")).alias("options"))
-    more = items.join(own, "account_id").select(
-        *items.columns, F.lit(per_account).alias("question"), F.lit("choice").alias("kind"),
-        F.array_append("options", F.lit("company_wide")).alias("options"))
-    return bank.unionByName(more)
+    own = options.select("account_id").distinct()
+    more = items.join(own, "account_id", "left_semi").select(
+        *items.columns, F.lit(per_account).alias("question"), F.lit("choice").alias("kind"), F.array().cast("array<string>").alias("options"), F.col("account_id").alias("option_set"))
+    return bank.withColumn("option_set", F.lit(None).cast("string")).unionByName(more)
+
+
+def option_table(options: DataFrame) -> DataFrame:
+    """(option_set, option): the choices of each account, `company_wide` among them."""
+    own = options.select(F.col("account_id").alias("option_set"), F.col("option_id").alias("option"))
+    return own.unionByName(own.select("option_set", F.lit("company_wide").alias("option"))).distinct()
+
+
+def with_options(reqs: DataFrame, options: DataFrame) -> DataFrame:
+    """(request_hash, …, option): the requests over an account's options, one row for each option."""
+    return reqs.filter(F.col("option_set").isNotNull()).dropDuplicates(["request_hash"]).join(option_table(options), "option_set")
 
 
 def requests(bank: DataFrame, state) -> DataFrame:
     """Adds request_hash over the item state and the question; equal requests share one answer."""
-    return bank.withColumn("request_hash", request_hash(*[F.col(c) for c in sorted([*state, "kind", "options", "question"])]))
+    parts = [*state, "kind", "options", "question", *(c for c in ("option_set",) if c in bank.columns)]
+    return bank.withColumn("request_hash", request_hash(*[F.col(c) for c in sorted(parts)]))
 
 
 def misses(reqs: DataFrame, cache: DataFrame) -> DataFrame:

@@ -36,8 +36,9 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
 
     Names of the roster are replaced longest first, as whole words or anywhere; `leak` words are removed
     before. Candidates come from an equi join on adjacent token pairs, so neither side is broadcast; each text
-    then replaces only the names found in it. Names and texts must carry single spaces.
+    then replaces only the names found in it. Spaces of names are collapsed; texts must carry single spaces.
     """
+    names = names.select(collapse("name").alias("name")).distinct()
     base = F.regexp_replace(F.col(text), leak, "") if leak else F.col(text)
     d = df.withColumn("_base", base)
     tokens = _words("_base") if whole_word else F.split("_base", " ")
@@ -50,7 +51,7 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
     cand = keys.join(roster, "_key").select(id, "name").distinct()
     ranked = F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("neg"), F.col("name"))))
     listed = cand.groupBy(id).agg(F.transform(ranked, lambda s: s["name"]).alias("_names"))
-    swap = (lambda acc, n: F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b\Q"), n, F.lit(r"\E\b")), F.lit(mask))) if whole_word \
+    swap = (lambda acc, n: F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\b")), F.lit(mask))) if whole_word \
         else (lambda acc, n: F.replace(acc, n, F.lit(mask)))
     joined = d.join(listed, id, "left")
     done = F.when(F.col("_names").isNull(), F.col("_base")).otherwise(F.aggregate("_names", F.col("_base"), swap))
@@ -62,7 +63,3 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
 def scrub_site(df: DataFrame, id: str, text: str, names: DataFrame) -> DataFrame:
     """N21 for site texts: verdict words that would leak a label go first, then names anywhere."""
     return scrub(df, id, text, names, whole_word=False, leak=cfg.VERDICT_WORDS)
-
-
-def clean_names(names: DataFrame) -> DataFrame:
-    return names.select(collapse("name").alias("name")).distinct()

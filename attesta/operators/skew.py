@@ -46,18 +46,23 @@ def modal(df: DataFrame, by, value: str, out: str | None = None, count: str | No
 def rank_within(df: DataFrame, by, order, rank: str = "rank") -> DataFrame:
     """Exact row numbers of unbounded groups without one task per group.
 
-    Rows are range-partitioned on (group, order), numbered inside each range, and shifted by the count of
-    the ranges before. `order` must end in a unique key. The ranges are checkpointed because their bounds
-    come from a sample: both uses below must see the same ones.
+    order: columns, or (column, "desc"); together with the group they must tell rows apart. Only these keys are range-partitioned, numbered inside each
+    range and shifted by the count of the ranges before; the rows take their number by a join. The ranges are checkpointed because their bounds come from a sample:
+    both uses below must see the same ones. There are as many as the session has shuffle partitions, whatever the groups.
     """
-    by, order = list(by), list(order)
-    ranged = cut(df.repartitionByRange(*_cols(by), *_cols(order)).withColumn("_range", F.spark_partition_id()))
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_range", *_cols(by)).orderBy(*_cols(order))))
+    by, keys, sorts, d = list(by), [], [], df
+    for i, o in enumerate(order):
+        column, down = o if isinstance(o, tuple) else (o, "asc")
+        d = d.withColumn(f"_o{i}", *_cols([column]))
+        keys.append(f"_o{i}")
+        sorts.append(F.col(f"_o{i}").desc() if down == "desc" else F.col(f"_o{i}").asc())
+    ranged = cut(d.select(*by, *keys).repartitionByRange(*_cols(by), *sorts).withColumn("_range", F.spark_partition_id()))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_range", *_cols(by)).orderBy(*sorts)))
     counts = ranged.groupBy("_range", *by).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*_cols(by)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    on = [F.col("l._range") == F.col("s._range")] + [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
-    joined = local.alias("l").join(shift.alias("s"), on)
-    kept = [F.col(f"l.{c}") for c in df.columns]
-    return joined.select(*kept, (F.col("l._local") + F.col("s._shift")).cast("long").alias(rank))
+    same = lambda x, y, cols: [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in cols]
+    place = (F.col("l._local") + F.col("s._shift")).cast("long").alias("_rank")
+    numbers = local.alias("l").join(shift.alias("s"), [F.col("l._range") == F.col("s._range"), *same("l", "s", by)]).select(*[F.col(f"l.{c}") for c in (*by, *keys)], place)
+    joined = d.alias("d").join(numbers.alias("r"), same("d", "r", [*by, *keys]))
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("r._rank").alias(rank))

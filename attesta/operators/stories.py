@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
@@ -13,87 +10,71 @@ from attesta.functions.text import word_set
 from attesta.operators.skew import top_per_group
 from attesta.session import cut
 
-BATCH = 4096
-CELL = 20_000
+#: The newest open items of a bucket that all its others are compared with in a round.
+PIVOTS = 32
 
 
-def _overlaps(words, index: dict, sizes: dict, thr: float) -> bool:
-    """Whether a word list reaches the threshold against any indexed leader."""
-    shared = defaultdict(int)
-    for w in words:
-        for leader in index.get(w, ()):
-            shared[leader] += 1
-    return any(n / (len(words) + sizes[leader] - n) >= thr for leader, n in shared.items())
+def _probes(bags: DataFrame, block: list[str], id: str, thr: float) -> DataFrame:
+    """The rarest words of each item in its block, so many that two items of the wanted likeness share one of them: |x| - ceil(t |x|) + 1."""
+    words = bags.select(*block, id, F.size("_w").alias("_n"), F.explode("_w").alias("_word"))
+    rare = words.groupBy(*block, "_word").agg(F.count(F.lit(1)).alias("_f"))
+    ranked = words.join(rare, [*block, "_word"]).withColumn("_at", F.row_number().over(Window.partitionBy(id).orderBy("_f", "_word")))
+    # the small term keeps t * n on its own side of a whole number
+    return ranked.filter(F.col("_at") <= F.col("_n") - F.ceil(F.lit(thr) * F.col("_n") - 1e-9) + 1).select(id, "_word")
 
 
-def _index(leader, words, index: dict, sizes: dict) -> None:
-    sizes[leader] = len(words)
-    for w in words:
-        index[w].append(leader)
+def _alike(a: str, b: str, thr: float) -> Column:
+    both = F.size(F.array_intersect(a, b))
+    return both >= F.lit(thr) * (F.size(a) + F.size(b) - both) - 1e-12
 
 
 def suppress_near_dups(df: DataFrame, block, words: str | None = None, thr: float = cfg.STORY_JACCARD, id: str = "item_id",
-                       newest: str = "published", title: str = "title", batch: int = BATCH, cell: int = CELL) -> DataFrame:
+                       newest: str = "published", title: str = "title", pivots: int = PIVOTS, rounds: list[int] | None = None) -> DataFrame:
     """Within a block (account, trigger, calendar month) the newest copy stays: an item is dropped when its word set has a
     Jaccard of at least `thr` with an item that stays and is newer. Items without words always stay.
 
-    The rule is greedy in time order, so a block is decided in rounds. Items with equal word sets collapse to their newest
-    first; each round then decides the newest `batch` open items of every block (a bounded group), and removes the rest
-    that match one of their keepers, block by block in cells of about `cell` rows. No pair is ever emitted and no group
-    grows with the block. Order: `newest` descending, then the unique id.
+    The rule is greedy in time order, yet all blocks and most items are decided at once. Items with equal word sets collapse to their newest
+    first. Items that can match share one of their rarest words, and meet in its bucket. In each round the newest `pivots` open items of every bucket are
+    compared with the others of it. An item that is among them in all its buckets and has no open newer match stays; one
+    that matches an item that stays is dropped; then the next links are decided, until none can be. So rounds follow the length of chains of matches and the size of a bucket over
+    `pivots`, not the size of a block, no bucket is cut, and a group of copies costs one comparison each. rounds: gets the number of open items of each round.
+    Order: `newest` descending, then the unique id.
     """
     block = [block] if isinstance(block, str) else list(block)
     order = [F.col(newest).desc(), F.col(id).asc()]
-    bag = F.array_sort(F.col(words) if words else word_set(title))
+    bag = F.array_sort(F.array_distinct(F.col(words) if words else word_set(title)))
     bags = df.select(*block, id, newest, bag.alias("_w")).withColumn("_sig", F.sha2(F.array_join("_w", " "), 256))
     # the newest row of each word set; rows without words stand for themselves
     alone = F.when(F.size("_w") == 0, F.col(id).cast("string")).otherwise(F.col("_sig"))
     bags = cut(top_per_group(bags.withColumn("_sig", alone), [*block, "_sig"], order, 1).drop("_sig"))
-    loose = bags.filter(F.size("_w") == 0).select(id)
-    open_ = bags.filter(F.size("_w") > 0)
-    schema_keep = open_.select(id).schema
-    kept = []
+    stay = [bags.filter(F.size("_w") == 0).select(id)]
+    open_ = cut(bags.filter(F.size("_w") > 0).join(_probes(bags.filter(F.size("_w") > 0), block, id, thr), id))
     while True:
-        head = cut(top_per_group(open_, block, order, batch, "_rn"))
-
-        def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-            index, sizes, stay = defaultdict(list), {}, []
-            for key, w in pdf.sort_values("_rn")[[id, "_w"]].itertuples(index=False):
-                if not _overlaps(w, index, sizes, thr):
-                    _index(key, w, index, sizes)
-                    stay.append(key)
-            return pd.DataFrame({id: stay}).astype(pdf[[id]].dtypes.to_dict())
-
-        leaders = cut(head.select(*block, id, "_w", "_rn").groupBy(*block).applyInPandas(decide, schema_keep))
-        kept.append(leaders)
-        rest = open_.join(head.select(id), id, "left_anti")
-        if not rest.head(1):
-            break
-        open_ = cut(_survivors(rest, head.join(leaders, id, "left_semi"), block, id, thr, cell))
-        if not open_.head(1):
+        n = open_.count()
+        if rounds is not None and n:
+            rounds.append(n)
+        if not n:
             break
-    ids = loose
-    for k in kept:
+        top = top_per_group(open_, [*block, "_word"], order, pivots)
+        asked = open_.groupBy(id).agg(F.count(F.lit(1)).alias("_all")).join(top.groupBy(id).agg(F.count(F.lit(1)).alias("_in")), id)
+        whole = cut(asked.filter("_all = _in").select(id))  # all newer items of its buckets are pivots, and so is it
+        right = top.select(*[F.col(c).alias(f"_b_{c}") for c in block], F.col("_word").alias("_b_word"), F.col(id).alias("_p"), F.col(newest).alias("_pn"), F.col("_w").alias("_pw"))
+        later = (F.col("_pn") > F.col(newest)) | ((F.col("_pn") == F.col(newest)) & (F.col("_p") < F.col(id)))
+        on = [*(F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in block), F.col("_word") == F.col("_b_word"), later, _alike("_w", "_pw", thr)]
+        links = cut(open_.join(right, on).select(id, "_p").distinct())
+        kept, gone = whole.limit(0), whole.limit(0)
+        while True:
+            held = links.join(gone.withColumnRenamed(id, "_p"), "_p", "left_anti")
+            now = whole.join(held.select(id), id, "left_anti").join(gone, id, "left_anti")
+            fallen = links.join(now.withColumnRenamed(id, "_p"), "_p", "left_semi").select(id).distinct()
+            now, fallen = cut(now), cut(fallen)
+            same = now.count() == kept.count() and fallen.count() == gone.count()
+            kept, gone = now, fallen
+            if same:
+                break
+        stay.append(kept)
+        open_ = cut(open_.join(kept, id, "left_anti").join(gone, id, "left_anti"))
+    ids = stay[0]
+    for k in stay[1:]:
         ids = ids.unionByName(k)
     return df.join(ids, id, "left_semi")
-
-
-def _survivors(rest: DataFrame, leaders: DataFrame, block, id: str, thr: float, cell: int) -> DataFrame:
-    """The open items that match no leader of their block. Each block is split into cells by item hash and the leaders
-    (at most one batch per block) are repeated per cell."""
-    cells = rest.groupBy(*block).agg((F.floor(F.count(F.lit(1)) / cell) + 1).cast("int").alias("_cells"))
-    left = rest.join(cells, block).withColumn("_cell", F.pmod(F.xxhash64(id), F.col("_cells")).cast("int")).drop("_cells")
-    # the two sides share their origin, so the leaders get names of their own
-    right = leaders.select(*block, id, "_w").join(cells, block).select(
-        *[F.col(c).alias(f"h_{c}") for c in block], F.col(id).alias("h_id"), F.col("_w").alias("h_w"),
-        F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("h_cell"))
-    columns = rest.columns
-
-    def sift(items: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
-        index, sizes = defaultdict(list), {}
-        for key, w in heads[["h_id", "h_w"]].itertuples(index=False):
-            _index(key, w, index, sizes)
-        stay = [not _overlaps(w, index, sizes, thr) for w in items["_w"]]
-        return items.loc[stay, columns]
-
-    return left.groupBy(*block, "_cell").cogroup(right.groupBy(*[f"h_{c}" for c in block], "h_cell")).applyInPandas(sift, rest.schema)

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.text import title_key
-from attesta.operators.skew import modal, rank_within, top_per_group
+from attesta.operators.skew import first_per_group, modal, rank_within, top_per_group
 
 BUCKETS = cfg.FAMILY_NAMES + ["other", "unsure", "excluded", "not_labeled"]
 
 
-def hiring_tally(df: DataFrame, by: str, buckets=None, window: int = cfg.HIRING_WINDOW_DAYS) -> DataFrame:
+def hiring_tally(df: DataFrame, by: str, buckets=None, window: int = cfg.HIRING_WINDOW_DAYS, newest: Column | None = None) -> DataFrame:
     """A3: counts per family bucket, of digital and bioprocess rows, of the last `window` days before the newest row of the
     whole corpus, and per label source. Rows without the grouping key are out.
 
-    df: output of `resolve_label` with last_seen (date). One grouped pass with conditional counts.
+    df: output of `resolve_label` with last_seen (date). One grouped pass with conditional counts. newest: the newest date, where the caller has
+    it from a plainer table; else it is taken from `df`, whose plan then runs twice.
     """
-    newest = df.agg(F.max("last_seen")).scalar()
+    newest = df.agg(F.max("last_seen")).scalar() if newest is None else newest
     cutoff = F.date_sub(newest, window)
     recent = F.coalesce(F.col("last_seen") >= cutoff, F.lit(False))
     named = F.col("family").isin(cfg.FAMILY_NAMES if buckets is None else buckets)
@@ -34,9 +35,9 @@ def hiring_tally(df: DataFrame, by: str, buckets=None, window: int = cfg.HIRING_
     return df.filter(F.col(by).isNotNull()).groupBy(by).agg(*aggs).withColumn("window_from", cutoff)
 
 
-def account_hiring(df: DataFrame, buckets=None) -> DataFrame:
+def account_hiring(df: DataFrame, buckets=None, newest: Column | None = None) -> DataFrame:
     """A3 per account, with the distinct sites and the rows that mirror into it from another account."""
-    tally = hiring_tally(df, "account_id", buckets)
+    tally = hiring_tally(df, "account_id", buckets, newest=newest)
     sites = df.groupBy("account_id").agg(F.count_distinct("site_id").alias("sites_with_postings"))
     mirrors = (df.filter(F.col("mirror_account_id").isNotNull()).groupBy(F.col("mirror_account_id").alias("account_id"))
                .agg(F.count(F.lit(1)).alias("mirror_postings")))
@@ -45,9 +46,9 @@ def account_hiring(df: DataFrame, buckets=None) -> DataFrame:
 
 
 def location_concentration(df: DataFrame, by: str, loc: str, min_n: int = cfg.LOCATION_MIN_N, top: float = cfg.LOCATION_TOP_SHARE,
-                           cov: float = cfg.LOCATION_COVERAGE, kind: str = "loc_kind", shown: int = 10) -> DataFrame:
+                           cov: float = cfg.LOCATION_COVERAGE, kind: str = "loc_kind") -> DataFrame:
     """A4: where a group's rows sit. Thin below `min_n` located rows or below `cov` located; concentrated when the top
-    location holds `top` of the located rows; else spread. location_shares lists the top ten.
+    location holds `top` of the located rows; else spread. `location_shares` lists the locations.
 
     Counted per (group, location) first; ranks run over locations, not rows.
     """
@@ -58,14 +59,12 @@ def location_concentration(df: DataFrame, by: str, loc: str, min_n: int = cfg.LO
     per = df.filter(placed).groupBy(by, loc, kind).agg(F.count(F.lit(1)).alias("n"))
     spread = per.groupBy(by).agg(F.count(F.lit(1)).alias("n_locations"), F.count_if(F.col(kind) == "site").alias("n_sites"),
                                  F.count_if(F.col(kind) == "city").alias("n_cities"))
-    ranked = top_per_group(per, [by], [F.col("n").desc(), F.col(loc).asc()], shown, "rn")
+    ranked = top_per_group(per, [by], [F.col("n").desc(), F.col(loc).asc()], 3, "rn")
     total = F.col("n_located")
-    tops = ranked.join(base.select(by, "n_located"), by).groupBy(by).agg(
+    tops = ranked.groupBy(by).agg(
         F.max(F.when(F.col("rn") == 1, F.col(loc))).alias("top_id"), F.max(F.when(F.col("rn") == 1, F.col(kind))).alias("top_kind"),
         F.max(F.when(F.col("rn") == 1, F.col("n"))).alias("top_n"),
-        F.sum(F.when(F.col("rn") <= 3, F.col("n"))).alias("_top3"),
-        F.array_sort(F.collect_list(F.struct("rn", F.col(loc).alias("id"), F.col(kind).alias("kind"), "n",
-                                             (F.col("n") / total).alias("share")))).alias("location_shares"))
+        F.sum("n").alias("_top3"))
     d = base.join(spread, by, "left").join(tops, by, "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     for c in ("n_locations", "n_sites", "n_cities", "top_n"):
@@ -80,6 +79,13 @@ def location_concentration(df: DataFrame, by: str, loc: str, min_n: int = cfg.LO
         "caveat", F.when(gone > 0, F.format_string("no location on %d of %d", gone, F.col("n_rows"))).otherwise(""))
 
 
+def location_shares(df: DataFrame, by: str, loc: str, kind: str = "loc_kind", shown: int | None = None) -> DataFrame:
+    """A4: (group, location, kind, n, share): every location of a group with its share of the located rows, or the `shown` largest."""
+    per = df.filter(F.col(kind).isin("site", "city")).groupBy(by, loc, kind).agg(F.count(F.lit(1)).alias("n"))
+    d = per.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(by)))
+    return top_per_group(d, [by], [F.col("n").desc(), F.col(loc).asc()], shown) if shown else d
+
+
 def scope_shares(df: DataFrame, scope: DataFrame, by: str, min_n: int = cfg.LOCATION_MIN_N, title: str = "role_title") -> DataFrame:
     """A4: shares and means of the title scope answers over a group's rows; shown only from `min_n` rows."""
     s = scope.select(F.col("title_key").alias("_tk"), "global_scope_p", "global_scope_gated", "site_scope_p", "site_scope_gated")
@@ -125,14 +131,22 @@ def publication_rollup(df: DataFrame, bands=None) -> DataFrame:
         F.count_if((F.col("source_confidence") == "low") & ~F.col("keep")).alias("source_low_below_bar"))
 
 
-def news_rollup(labels: DataFrame, by: str, top: int = 6) -> DataFrame:
-    """Per group the kept items, the fields of the latest one, the newest `top` items, and `trigger:count` pairs."""
-    kept = labels.filter("keep").filter(F.col(by).isNotNull())
-    order = [F.col("published").desc(), F.col("item_id").asc()]
-    newest = top_per_group(kept, [by], order, top, "rn").groupBy(by).agg(
-        *[F.max(F.when(F.col("rn") == 1, F.col(c))).alias(f"latest_{o}") for c, o in
-          (("published", "date"), ("trigger", "trigger"), ("title", "title"), ("url", "url"), ("source", "source"))],
-        F.array_sort(F.collect_list(F.struct("rn", "published", "trigger", "title", "source", "url"))).alias("top_items"))
+def _kept_news(labels: DataFrame, by: str) -> tuple[DataFrame, list[Column]]:
+    return labels.filter("keep").filter(F.col(by).isNotNull()), [F.col("published").desc(), F.col("item_id").asc()]
+
+
+def newest_items(labels: DataFrame, by: str, top: int | None = None) -> DataFrame:
+    """(group, rn, item_id, published, trigger, title, source, url): the kept items of each group, newest first, or the `top` newest."""
+    kept, order = _kept_news(labels, by)
+    d = top_per_group(kept, [by], order, top, "rn") if top else rank_within(kept, [by], [("published", "desc"), "item_id"], "rn")
+    return d.select(by, F.col("rn").cast("long").alias("rn"), "item_id", "published", "trigger", "title", "source", "url")
+
+
+def news_rollup(labels: DataFrame, by: str) -> DataFrame:
+    """Per group the kept items, the fields of the latest one, and `trigger:count` pairs. The items are in `newest_items`."""
+    kept, order = _kept_news(labels, by)
+    newest = first_per_group(kept, [by], order).select(by, *[F.col(c).alias(f"latest_{o}") for c, o in (
+        ("published", "date"), ("trigger", "trigger"), ("title", "title"), ("url", "url"), ("source", "source"))])
     per = kept.groupBy(by, "trigger").agg(F.count(F.lit(1)).alias("n"))
     pairs = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "trigger")))
     counts = per.groupBy(by).agg(F.sum("n").alias("n_items"), F.array_join(F.transform(
@@ -195,11 +209,11 @@ def best_host(parsed: DataFrame, account: str = "account_id", host: str = "host"
                        F.col("_b.pattern_kind").isin("phenom", "workday").alias("city_from_url"))
 
 
-def corpus_stats(postings: DataFrame, facets=("site_resolution", "job_family", "extraction_tier", "mirror_basis"), top: int = 9) -> DataFrame:
-    """(facet, value, n): rows per value of each facet, the `top` largest per facet."""
+def corpus_stats(postings: DataFrame, facets=("site_resolution", "job_family", "extraction_tier", "mirror_basis"), top: int | None = None) -> DataFrame:
+    """(facet, value, n): rows per value of each facet, or of the `top` largest per facet."""
     rows = F.array(*[F.struct(F.lit(f).alias("facet"), F.coalesce(F.col(f).cast("string"), F.lit("")).alias("value")) for f in facets])
     n = postings.select(F.inline(rows)).groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
-    return top_per_group(n, ["facet"], [F.col("n").desc(), F.col("value").asc()], top)
+    return top_per_group(n, ["facet"], [F.col("n").desc(), F.col("value").asc()], top) if top else n
 
 
 def query_stats(queries: DataFrame, items: DataFrame) -> DataFrame:
@@ -222,6 +236,5 @@ def gate_stats(verified: DataFrame) -> DataFrame:
 def rank_publications(df: DataFrame, score: float = cfg.KEEP_SCORE, conf: float = cfg.KEEP_CONFIDENCE) -> DataFrame:
     """C20: adds keep and rank_in_account by keep, score, process-data probability, year; the signal id breaks ties."""
     d = df.withColumn("keep", (F.col("relevance_score") >= score) & (F.col("relevance_conf") >= conf))
-    order = [F.col("keep").desc(), F.col("relevance_score").desc(), F.col("process_data_p").desc(),
-             F.coalesce("year", F.lit(0)).desc(), F.col("signal_id").asc()]
+    order = [("keep", "desc"), ("relevance_score", "desc"), ("process_data_p", "desc"), (F.coalesce("year", F.lit(0)), "desc"), "signal_id"]
     return rank_within(d, ["account_id"], order, "rank_in_account")

@@ -17,30 +17,41 @@ from attesta.operators.rules import admit, classify, score
 from attesta.operators.skew import first_per_group, top_per_group
 
 
+def per_run(sightings: DataFrame, key, run: str = "run_id", ts: str = "seen_at") -> DataFrame:
+    """(key, run, first_seen, last_seen): the sightings of each key in each run. The durable form of U1: unions of such logs, in any order and with
+    repeats, reduce to the same log.
+    """
+    return sightings.groupBy(*key, run).agg(F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"))
+
+
+def _from_log(log: DataFrame, key, run: str) -> DataFrame:
+    """The accreted state of a log with one row per (key, run)."""
+    d = log.groupBy(*key).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+                              F.count(F.lit(1)).alias("seen_count"), F.max(run).alias("last_run_id"))
+    return d.withColumn("period_first", quarter("first_seen")).withColumn("period_last", quarter("last_seen"))
+
+
 def accrete(sightings: DataFrame, key, run: str = "run_id", ts: str = "seen_at") -> DataFrame:
     """U1 over all sightings: first_seen = min, last_seen = max, seen_count = distinct runs, with their quarters.
 
-    Partial aggregation runs before the shuffle, so a key with a third of all sightings is one row per partition.
+    Partial aggregation runs before each shuffle, so a key with a third of all sightings is one row per run and partition.
     """
     key = [key] if isinstance(key, str) else list(key)
-    d = sightings.groupBy(*key).agg(F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"),
-                                    F.count_distinct(run).alias("seen_count"), F.max(run).alias("last_run_id"))
-    return d.withColumn("period_first", quarter("first_seen")).withColumn("period_last", quarter("last_seen"))
+    return _from_log(per_run(sightings, key, run, ts), key, run)
+
 
+def accrete_into(state: DataFrame, log: DataFrame, sightings: DataFrame, key, run: str = "run_id", ts: str = "seen_at") -> tuple[DataFrame, DataFrame]:
+    """U1 incremental: (state, additions to the log). Only keys that were sighted again are accreted anew, from their rows of the log.
 
-def accrete_into(state: DataFrame, sightings: DataFrame, key, run: str = "run_id", ts: str = "seen_at") -> DataFrame:
-    """U1 incremental: merge new sightings into an accreted state. A run the state already counted for a key (its
-    last_run_id) does not count again; a key is never lost and a window never narrows."""
+    log: `per_run` rows of everything that `state` holds, appended to, never rewritten; a replay of any old run, late sightings of one, or
+    a file read twice leaves the counts as they are.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    per_run = sightings.groupBy(*key, F.col(run).alias("_run")).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    known = state.select(*key, F.col("last_run_id").alias("_last"))
-    fresh = per_run.join(known, key, "left").select(
-        *key, F.col("_lo").alias("first_seen"), F.col("_hi").alias("last_seen"),
-        F.when(F.col("_run").eqNullSafe(F.col("_last")), 0).otherwise(1).cast("long").alias("seen_count"), F.col("_run").alias("last_run_id"))
-    old = state.select(*key, "first_seen", "last_seen", F.col("seen_count").cast("long"), "last_run_id")
-    d = old.unionByName(fresh).groupBy(*key).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
-                                                 F.sum("seen_count").alias("seen_count"), F.max("last_run_id").alias("last_run_id"))
-    return d.withColumn("period_first", quarter("first_seen")).withColumn("period_last", quarter("last_seen"))
+    new = per_run(sightings, key, run, ts)
+    touched = new.select(*key).distinct()
+    both = log.join(touched, key, "left_semi").select(*new.columns).unionByName(new)
+    merged = both.groupBy(*key, run).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    return state.join(touched, key, "left_anti").unionByName(_from_log(merged, key, run).select(*state.columns)), new
 
 
 def fold_duplicates(df: DataFrame) -> DataFrame:
@@ -108,7 +119,7 @@ def upsert_hosts(state: DataFrame, new: DataFrame) -> DataFrame:
     return d.select(*[out.get(c, F.col(c)).alias(c) for c in state.columns])
 
 
-DERIVED = ["site_id", "site_resolution", "site_candidates", "mirror_account_id", "mirror_site_id", "mirror_basis", "icp_fit",
+DERIVED = ["site_id", "site_resolution", "n_site_candidates", "mirror_account_id", "mirror_site_id", "mirror_basis", "icp_fit",
            "job_family", "job_family_rule", "seniority_rank", "seniority_rule", "excluded", "tier2_admit", "tier2_score"]
 
 

@@ -21,13 +21,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A table for CPU-heavy row work. A scan with fewer splits than the cluster has slots is hashed on its key, so one
-        small file does not pin the work to one core; a large table has splits enough and is read as it lies."""
-        df = getattr(self, name)
-        slots = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
-
 
 def query(name: str, sql: str | None = None):
     """Register a query over `Tables`, with the SQL that must give the same rows when there is one."""

@@ -26,7 +26,7 @@ FUNCTIONS = ["Commercial HQ and admin", "Drug substance manufacturing; process d
 MODALITY_TEXT = ["mAbs and ADCs", "small molecule tablets", "mRNA vaccine", "oral solid and biologics", "not given"]
 VERDICTS = ["KEEP", "FLAG", "GAP", "DROP"]
 STATUSES = ["Active Pipeline", "No Deal Found", "Closed Lost", "", "Closed Won", "Active Prospect"]
-HEADS = ["n/a", "PENDING-CLAY", "", "Ann", "Jon", "Mia"]
+HEADS = ["n/a", "PENDING", "", "Ann", "Jon", "Mia"]
 FAMILY_CYCLE = ["data_digital", "process_dev", "lab_systems", "", "analytical", "msat_mfg_sci", "automation_mes", "cell_gene"]
 
 
@@ -97,7 +97,7 @@ def postings(t: Tables) -> DataFrame:
     step = lambda d: F.floor(level / d).cast("string")
     city = (F.when(c % 17 == 0, "").when(c % 5 == 0, F.concat(F.lit("metro"), step(5000)))
             .when(c % 5 == 1, F.concat(F.lit("old"), step(2000))).otherwise(F.concat(F.lit("town"), step(1000))))
-    d = t.spread("orders", "o_orderkey").join(t.customer, F.col("o_custkey") == c).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    d = t.orders.join(t.customer, F.col("o_custkey") == c).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     day = F.to_date("o_orderdate")
     return d.select(
         F.concat(F.lit("p"), k.cast("string")).alias("posting_id"), F.lower("n_name").alias("account_id"),
@@ -140,14 +140,13 @@ classified AS (SELECT *, {_first_rule('s', [(n, p) for n, p in cfg.FAMILIES], 0,
 
 INDEX_SQL = """site_index AS (SELECT DISTINCT account_id, 1 AS tier, city_key AS key, site_id FROM sites
   UNION SELECT account_id, 2, alias_key, site_id FROM sites UNION SELECT account_id, 3, metro_key, site_id FROM sites),
-per_tier AS (SELECT account_id, key, tier, count(DISTINCT site_id) AS n, min(site_id) AS one,
-  string_agg(DISTINCT site_id, '|' ORDER BY site_id) AS candidates FROM site_index GROUP BY ALL),
+per_tier AS (SELECT account_id, key, tier, count(DISTINCT site_id) AS n, min(site_id) AS one FROM site_index GROUP BY ALL),
 best AS (SELECT * FROM per_tier QUALIFY row_number() OVER (PARTITION BY account_id, key ORDER BY tier) = 1)"""
 
 _RESOLVED = """resolved AS (SELECT p.*, CASE WHEN b.n = 1 AND city_slug <> '' THEN b.one END AS site_id,
   CASE WHEN city_slug = '' THEN 'unmatched' WHEN b.n IS NULL THEN 'city_not_in_sites' WHEN b.n > 1 THEN 'ambiguous'
        WHEN b.tier = 1 THEN 'exact_city' WHEN b.tier = 2 THEN 'alias' ELSE 'metro' END AS site_resolution,
-  CASE WHEN city_slug = '' THEN '' ELSE coalesce(b.candidates, '') END AS site_candidates
+  CASE WHEN city_slug = '' THEN 0 ELSE coalesce(b.n, 0) END AS n_site_candidates
   FROM classified p LEFT JOIN best b ON p.account_id = b.account_id AND p.city_slug = b.key)"""
 
 SCORED_SQL = f"""{_RESOLVED},
@@ -170,7 +169,7 @@ def extracts(t: Tables) -> DataFrame:
     team = (F.when(ln == 7, F.concat(F.lit("BR"), digits)).when(ln == 3, F.concat(F.lit("the "), brand, F.lit(" Team")))
             .otherwise(brand))
     slug = F.when(ln == 7, F.concat(F.lit("br"), digits)).otherwise(F.replace(F.lower(brand), F.lit(" "), F.lit("-")))
-    d = (t.spread("lineitem", "l_orderkey").join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    d = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")))
     parent = F.when(size % 4 == 0, F.concat(F.lit("Division "), (size % 5).cast("string"))).when(
         size % 4 == 1, F.concat(F.lit("Brand "), ((digits.cast("int") * 7 + 3) % 25 + 1).cast("string")))

@@ -100,10 +100,15 @@ def admit_score(t):
     return scored(t).select("posting_id", "icp_fit", "job_family", "tier2_admit", "tier2_score")
 
 
-@query("resolve_sites", with_(*CORPUS) + """SELECT posting_id, account_id, coalesce(site_id, '') AS site_id, site_resolution, site_candidates FROM scored""")
+@query("resolve_sites", with_(*CORPUS) + """SELECT posting_id, account_id, coalesce(site_id, '') AS site_id, site_resolution, n_site_candidates FROM scored""")
 def resolve_sites(t):
-    return resolved(t).select("posting_id", "account_id", F.coalesce("site_id", F.lit("")).alias("site_id"), "site_resolution",
-                              F.array_join("site_candidates", "|").alias("site_candidates"))
+    return resolved(t).select("posting_id", "account_id", F.coalesce("site_id", F.lit("")).alias("site_id"), "site_resolution", "n_site_candidates")
+
+
+@query("site_candidates", with_(dv.SITES_SQL, dv.INDEX_SQL) + "SELECT account_id, key, site_id FROM best JOIN site_index USING (account_id, key, tier) GROUP BY ALL")
+def site_candidates(t):
+    """What an ambiguous place stands between, by place key."""
+    return resolve.site_candidates(resolve.build_site_index(dv.sites(t)))
 
 
 @query("unmatched_places", with_(*CORPUS) + """SELECT account_id, city_slug AS city_raw, city_slug AS key, count(*) AS n, count(*) FILTER (tier2_admit) AS n_admitted,
@@ -180,7 +185,7 @@ def spine_dedupe(t):
   FROM deduped""")
 def ordinal_ids(t):
     d = dedupe.dedupe_spine(spine_rows(t))
-    return dedupe.ordinal_ids(d, "account_id", [F.col("row_no").asc()]).select("row_no", "site_id")
+    return dedupe.ordinal_ids(d, "account_id", ["row_no"]).select("row_no", "site_id")
 
 
 @query("read_spine", """WITH r AS (SELECT s_suppkey AS k, s_name, s_nationkey, s_acctbal, max(s_suppkey) OVER () AS mx FROM supplier)
@@ -190,7 +195,7 @@ def read_spine(t):
     """Supplier rows as two messy exports: a banner, a header on the third row, blank, junk and site-less rows, an appendix."""
     last = t.supplier.agg(F.max("s_suppkey")).scalar()
     k = F.col("s_suppkey")
-    account = F.when(k % 10 == 7, "Total site nodes").otherwise(F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")))
+    account = F.when(k % 10 == 7, "Total").otherwise(F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")))
     cells = (F.when(k % 10 == 3, F.array(F.lit(""), F.lit(""), F.lit(""), F.lit("")))
              .otherwise(F.array(account, F.when(k % 10 == 8, "").otherwise(F.col("s_name")), F.lit("Town"), pick_verdict(k))))
     cells = F.when(k >= last * 0.9, F.array(F.lit("Known limits"), F.lit("x"), F.lit(""), F.lit("KEEP"))).otherwise(cells)
@@ -198,7 +203,7 @@ def read_spine(t):
     body = t.supplier.select(file.alias("file"), (k + 10).alias("row_no"), cells.alias("cells"))
     top = t.supplier.select(file.alias("file")).distinct().select("file", F.inline(F.array(
         F.struct(F.lit(0).cast("long").alias("row_no"), F.array(F.lit("Site map"), F.lit(""), F.lit(""), F.lit("")).alias("cells")),
-        F.struct(F.lit(2).cast("long").alias("row_no"), F.array(F.lit("Account"), F.lit("Site"), F.lit("City"), F.lit("Verdict (AUTO GEN)")).alias("cells")))))
+        F.struct(F.lit(2).cast("long").alias("row_no"), F.array(F.lit("Account"), F.lit("Site"), F.lit("City"), F.lit("Verdict")).alias("cells")))))
     d = spine.parse_spine(top.unionByName(body))
     return d.select("file", "account", "site", spine.spine_fit().alias("fit"))
 
@@ -256,11 +261,14 @@ def accrete_sightings(t):
 
 @query("accrete_incremental", ACCRETED)
 def accrete_incremental(t):
-    """The same state built in two merges, the earlier runs last."""
+    """The same state built in three merges: the later runs, the earlier ones with some of the later again, and all of them a second time."""
     s = sightings(t)
     late = F.col("run_id") < "20240116"
-    state = upsert.accrete(s.filter(~late), "posting_id")
-    return show_accreted(upsert.accrete_into(state, s.filter(late), "posting_id"))
+    state, log = upsert.accrete(s.filter(~late), "posting_id"), upsert.per_run(s.filter(~late), ["posting_id"])
+    for part in (s.filter(late | (F.col("run_id") > "20240124")), s):
+        state, more = upsert.accrete_into(state, log, part, "posting_id")
+        log = log.unionByName(more)
+    return show_accreted(state)
 
 
 @query("fold_duplicates", """WITH r AS (SELECT o_orderkey, 'a' || (o_custkey % 40) AS account_id, 'c' || (o_custkey % 7) AS city_slug, o_orderpriority AS role_slug,
@@ -290,10 +298,10 @@ nw AS (SELECT * FROM r WHERE NOT old AND NOT EXISTS (SELECT 1 FROM st WHERE st.u
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type, txt ORDER BY event_id) = 1)
 SELECT event_id, old FROM st UNION ALL SELECT event_id, old FROM nw""")
 def append_quotes(t):
-    key = ["posting_id", "claim_type", "subject_slug", "quote_head"]
+    key = ["posting_id", "claim_type", "subject_slug", "quote_hash"]
     d = t.events.select("event_id", F.col("user_id").alias("posting_id"), F.col("event_type").alias("claim_type"), F.lit("").alias("subject_slug"),
                         F.concat(F.lit("claim "), F.floor("value").cast("string")).alias("quote_text"), (F.col("ts") < "2024-01-10").alias("old"))
-    d = d.withColumn("quote_head", F.substring("quote_text", 1, 80))
+    d = d.withColumn("quote_hash", dedupe.quote_key()[-1])
     order = [F.col("event_id").asc()]
     empty = d.filter(F.lit(False))
     state = dedupe.append_dedupe(empty, d.filter("old"), key, order)
@@ -322,8 +330,7 @@ def news_window(t):
 st AS (SELECT * FROM r WHERE old QUALIFY row_number() OVER (PARTITION BY account_id, event_type, k ORDER BY event_id) = 1),
 nw AS (SELECT * FROM r WHERE NOT old AND NOT EXISTS (SELECT 1 FROM st WHERE st.account_id = r.account_id AND st.event_type = r.event_type AND st.k = r.k)
   QUALIFY row_number() OVER (PARTITION BY account_id, event_type, k ORDER BY event_id) = 1)
-SELECT event_id AS seq, format('sig{:05d}', row_number() OVER (ORDER BY event_id)) AS signal_id FROM st
-UNION ALL SELECT event_id, format('sig{:05d}', row_number() OVER (ORDER BY event_id) + (SELECT count(*) FROM st)) FROM nw""")
+SELECT event_id AS seq, 'sig' || substr(sha256(account_id || '|' || event_type || '|' || k || '|'), 1, 16) AS signal_id FROM (SELECT * FROM st UNION ALL SELECT * FROM nw)""")
 def signal_append(t):
     d = t.events.select(F.lit(None).cast("string").alias("signal_id"), F.concat(F.lit("a"), (F.col("user_id") % 9).cast("string")).alias("account_id"),
                         F.col("event_type").alias("signal_type"), F.concat(F.lit("T"), F.floor(F.col("value") / 3).cast("string")).alias("title"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.gates import gate, pipeline_group
 from attesta.functions.text import title_key
-from attesta.operators import marts, mix, quality, query as served, rules, stories, tallies, upsert
+from attesta.operators import claims, marts, mix, org, quality, query as served, resolve, rules, scoring, stories, tallies, upsert
+from attesta.operators.claims import GateFailed
 from attesta.plans import derive as dv
 from attesta.plans.base import query
 from attesta.plans.derive import sql_byte, sql_list, sql_pick, sql_spread, with_
@@ -15,7 +18,9 @@ from attesta.plans.q_corpus import CORPUS, FACTS_SQL, MIX_SQL, corpus_extracts,
 from attesta.plans.q_org import COVERAGE_SQL, covered, site_units
 from attesta.plans.q_verdicts import (FINAL_SQL, FIT_SQL, NEWS_SQL, PROFILE_SQL, SITE, final_rows, fit_rows, news, profile,
                                       ranked_publications)
-from attesta.sources import exports
+from attesta.plans.q_text import GATE_SQL, VERIFIED_SQL, gate_bodies, gate_quotes
+from attesta.session import cut, scratch
+from attesta.sources import exports, tables
 
 # ---------------------------------------------------------------- title labels, hiring
 LABELS_SQL = f"""labels_t AS (SELECT DISTINCT role_title AS title_key, {sql_list(cfg.FAMILY_NAMES + ['other', 'unsure'])}[1 + {sql_byte("role_title || '|f'")} % 9] AS f,
@@ -56,13 +61,17 @@ _CUT = ", r AS (SELECT *, (SELECT max(last_seen) FROM resolved_l) - 365 AS cut F
 
 @query("hiring_tally", with_(*CORPUS, LABELS_SQL) + _CUT + _tally_sql("site_id") + " FROM r WHERE site_id IS NOT NULL GROUP BY 1")
 def hiring_tally(t):
-    return _shown_tally(tallies.hiring_tally(labeled(t), "site_id"))
+    return _shown_tally(tallies.hiring_tally(labeled(t), "site_id", newest=newest_posting(t)))
+
+
+def newest_posting(t):
+    return dv.postings(t).agg(F.max("last_seen")).scalar()
 
 
 @query("account_hiring", with_(*CORPUS, LABELS_SQL) + _CUT + _tally_sql("account_id") + ", count(DISTINCT site_id) AS sites_with_postings FROM r GROUP BY 1")
 def account_hiring(t):
     d = labeled(t).withColumn("mirror_account_id", F.lit(None).cast("string"))
-    return _shown_tally(tallies.account_hiring(d)).drop("mirror_postings")
+    return _shown_tally(tallies.account_hiring(d, newest=newest_posting(t))).drop("mirror_postings")
 
 
 def _shown_tally(d):
@@ -111,6 +120,13 @@ def location_concentration(t):
                       F.round("top3_share", 6).alias("top3_share"), "location_label")
 
 
+@query("location_shares", """WITH r AS (SELECT c_mktsegment AS account, n_name AS loc, CASE WHEN c_nationkey % 2 = 0 THEN 'site' ELSE 'city' END AS loc_kind FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE c_custkey % 9 <> 0 AND c_custkey % 11 <> 0)
+SELECT account, loc, loc_kind, n, round(n / sum(n) OVER (PARTITION BY account), 6) AS share FROM (SELECT account, loc, loc_kind, count(*) AS n FROM r GROUP BY ALL)""")
+def location_shares(t):
+    return tallies.location_shares(located(t), "account", "loc").withColumn("share", F.round("share", 6))
+
+
 def located(t):
     c = F.col("c_custkey")
     kind = F.when(c % 9 == 0, "remote").when(c % 11 == 0, "none").when(F.col("c_nationkey") % 2 == 0, "site").otherwise("city")
@@ -136,7 +152,7 @@ def site_targets(t):
 
 PEOPLE_SQL = """people AS (SELECT s.account_id, regexp_replace(lower(regexp_extract(named_site_head, '^(.*), VP', 1)), '[^a-z]', '', 'g') AS n, site_id, regexp_extract(named_site_head, '^(.*), VP', 1) AS name, company, pipeline_status
   FROM sites s JOIN accounts a USING (account_id) WHERE active AND in_universe AND (CASE WHEN verdict_manual <> '' THEN verdict_manual ELSE verdict_auto END) = 'KEEP' AND s_suppkey % 6 >= 3),
-targets AS (SELECT account_id || '--ct-' || substr(n, 1, 24) AS target_id, account_id, min(name) AS name, min(pipeline_status) AS pipeline_status, count(DISTINCT site_id) AS n_sites FROM people GROUP BY account_id, n)"""
+targets AS (SELECT account_id || '--ct-' || substr(n, 1, 24) || '-' || substr(sha1(n), 1, 10) AS target_id, account_id, min(name) AS name, min(pipeline_status) AS pipeline_status, count(DISTINCT site_id) AS n_sites FROM people GROUP BY account_id, n)"""
 
 
 @query("people_targets", with_(dv.ACCOUNTS_SQL, dv.SITES_SQL, PEOPLE_SQL) + "SELECT target_id, name, n_sites, CASE pipeline_status WHEN 'Closed Lost' THEN 3 WHEN 'No Deal Found' THEN 2 WHEN '' THEN 2 ELSE 1 END AS priority FROM targets")
@@ -146,14 +162,14 @@ def people_targets(t):
 
 
 @query("people_fold", with_(dv.ACCOUNTS_SQL, dv.SITES_SQL, PEOPLE_SQL) + f"""SELECT t.target_id AS site_head_id, p.site_id, {sql_byte("t.target_id || '|f'")} < 180 AS found, 'Head & Lead' AS found_title FROM targets t JOIN people p
-  ON p.account_id || '--ct-' || substr(p.n, 1, 24) = t.target_id""")
+  ON p.account_id || '--ct-' || substr(p.n, 1, 24) || '-' || substr(sha1(p.n), 1, 10) = t.target_id""")
 def people_fold(t):
     targets, links = upsert.people_targets(dv.sites(t), dv.accounts(t))
     look = targets.select("target_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("batch"), (dv.byte("target_id", F.lit("f")) < 180).alias("found"), F.lit("Head &amp; Lead").alias("found_title"))
     return upsert.fold_people(targets, links, look).select("site_head_id", "site_id", "found", "found_title")
 
 
-@query("role_fold", """SELECT 's' || s_suppkey || '--rh-' || substr('annlee' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', 'abcdefghij'), 1, 24) AS site_head_id, 'Plant & Site Lead' AS title,
+@query("role_fold", """SELECT 's' || s_suppkey || '--rh-' || substr('annlee' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', 'abcdefghij'), 1, 24) || '-' || substr(sha1('annlee' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', 'abcdefghij')), 1, 10) AS site_head_id, 'Plant & Site Lead' AS title,
   CASE WHEN s_acctbal < 0 THEN '2024-06-02' ELSE '2024-06-01' END AS checked_at FROM supplier""")
 def role_fold(t):
     k = F.col("s_suppkey")
@@ -196,26 +212,45 @@ def stale_rejection(t):
         out["b"].select(F.lit("b").alias("layer"), F.col("site_id").alias("c_custkey")))
 
 
-@query("unflagged_notes", "SELECT CAST('' AS VARCHAR) AS account_id, CAST('' AS VARCHAR) AS period WHERE false")
+@query("unflagged_notes", with_(FACTS_SQL, MIX_SQL) + "SELECT account_id, period, dim_key FROM mix WHERE bias_flag <> '' AND n % 3 = 0")
 def unflagged_notes(t):
-    """Every flagged rollup row carries its note, so nothing is left."""
-    return quality.unflagged_notes(rollup(t)).select("account_id", "period")
+    """Flagged rollup rows that lack their note: those of every third count, whose notes were taken off."""
+    broken = rollup(t).withColumn("bias_note", F.when(F.col("n") % 3 != 0, F.col("bias_note")))
+    return quality.unflagged_notes(broken).select("account_id", "period", "dim_key")
 
 
 # ---------------------------------------------------------------- near-duplicate stories
-@query("near_dup_stories")
+def _stories_sql(bags: str, thr: float) -> str:
+    """The newest-first rule as a recursion over the places of a block. bags: CTE `items` with id, block, newest, w (the word set)."""
+    return with_(bags, f"""sized AS (SELECT * FROM items WHERE len(w) > 0), words AS (SELECT id, block, newest, len(w) AS n, unnest(w) AS word FROM sized),
+pairs AS (SELECT a.id, b.id AS newer FROM words a JOIN words b ON a.block = b.block AND a.word = b.word AND (b.newest > a.newest OR (b.newest = a.newest AND b.id < a.id)) GROUP BY a.id, b.id, a.n, b.n
+  HAVING count(*) / (a.n + b.n - count(*)) >= {thr}),
+near AS (SELECT id, list(newer) AS newer FROM pairs GROUP BY id),
+line AS (SELECT sized.id, block, coalesce(newer, []) AS newer, row_number() OVER (PARTITION BY block ORDER BY newest DESC, sized.id) AS k FROM sized LEFT JOIN near ON near.id = sized.id),
+told(block, k, kept) AS (SELECT block, 1, [id] FROM line WHERE k = 1
+  UNION ALL SELECT t.block, t.k + 1, CASE WHEN list_has_any(t.kept, l.newer) THEN t.kept ELSE list_append(t.kept, l.id) END FROM told t JOIN line l ON l.block = t.block AND l.k = t.k + 1),
+ends AS (SELECT unnest(kept) AS id FROM told QUALIFY row_number() OVER (PARTITION BY block ORDER BY k DESC) = 1)""").replace("WITH", "WITH RECURSIVE", 1) + """SELECT id AS item_id, block FROM items WHERE len(w) = 0 UNION ALL SELECT ends.id, block FROM ends JOIN items ON items.id = ends.id"""
+
+
+def _words_sql(c: str) -> str:
+    stop = "', '".join(cfg.STORY_STOPWORDS)
+    return f"list_distinct(list_filter(regexp_extract_all(lower({c}), '[a-z0-9$]+'), lambda w: length(w) > 2 AND w NOT IN ('{stop}')))"
+
+
+@query("near_dup_stories", _stories_sql(f"""items AS (SELECT conv_id || '-' || turn AS id, role || '-' || month(DATE '2025-01-01' + CAST(conv_id % 300 AS INT)) AS block, DATE '2025-01-01' + CAST(conv_id % 300 AS INT) AS newest, {_words_sql('text')} AS w FROM conversations)""", cfg.STORY_JACCARD))
 def near_dup_stories(t):
-    """Conversation turns as stories: blocks of role and turn, whole texts as headlines, the newest copy stays."""
-    d = t.conversations.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("item_id"), "role",
-                               F.col("conv_id").alias("published"), F.col("text").alias("title"))
-    return stories.suppress_near_dups(d, ["role"]).select("item_id", "role")
+    """Conversation turns as stories: blocks of role and calendar month, whole texts as headlines, the newest copy stays."""
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("conv_id") % 300).cast("int"))
+    d = t.conversations.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("item_id"),
+                               F.concat_ws("-", "role", F.month(day).cast("string")).alias("block"), day.alias("published"), F.col("text").alias("title"))
+    return stories.suppress_near_dups(d, "block").select("item_id", "block")
 
 
-@query("near_dup_documents")
+@query("near_dup_documents", _stories_sql(f"""items AS (SELECT doc_id AS id, lang || '-' || source AS block, doc_id AS newest, {_words_sql('text')} AS w FROM documents)""", 0.5))
 def near_dup_documents(t):
     """Documents as stories, in blocks of language and source."""
-    d = t.spread("documents", "doc_id").select(F.col("doc_id").alias("item_id"), "lang", "source", F.col("doc_id").alias("published"), F.col("text").alias("title"))
-    return stories.suppress_near_dups(d, ["lang", "source"], thr=0.5).select("item_id", "lang", "source")
+    d = t.documents.select(F.col("doc_id").alias("item_id"), F.concat_ws("-", "lang", "source").alias("block"), F.col("doc_id").alias("published"), F.col("text").alias("title"))
+    return stories.suppress_near_dups(d, "block", thr=0.5).select("item_id", "block")
 
 
 # ---------------------------------------------------------------- marts
@@ -247,13 +282,10 @@ k AS (SELECT *, score >= 1.5 AND conf >= 0.6 AS keep FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY keep DESC, score DESC, pd DESC, year DESC, CAST(doc_id AS VARCHAR)) AS rk FROM k),
 s AS (SELECT doc_id, lang, 'nation_' || replace(source, 'src', '') AS account_id, doc_id % 6 AS ko FROM documents)""") + f"""SELECT s.account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko] AS signal_type,
   row_number() OVER (PARTITION BY s.account_id ORDER BY CASE WHEN keep IS NULL THEN 1 WHEN keep THEN 0 ELSE 2 END, coalesce(rk, 1000000), s.doc_id) AS position, CAST(s.doc_id AS VARCHAR) AS signal_id,
-  coalesce(NOT keep, false) AS below_bar FROM s LEFT JOIN r ON r.doc_id = s.doc_id AND s.lang = 'en' WHERE ko = 0
-UNION ALL SELECT account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko], row_number() OVER (PARTITION BY account_id, ko ORDER BY doc_id) AS position, CAST(doc_id AS VARCHAR), false FROM s WHERE ko > 0 QUALIFY position <= 12""")
+  coalesce(NOT keep, false) AS below_bar FROM s LEFT JOIN r ON r.doc_id = s.doc_id WHERE ko = 0
+UNION ALL SELECT account_id, {sql_list(cfg.SIGNAL_KINDS)}[1 + ko], row_number() OVER (PARTITION BY account_id, ko ORDER BY doc_id) AS position, CAST(doc_id AS VARCHAR), false FROM s WHERE ko > 0""")
 def signal_mart(t):
-    """The English publications were scored."""
-    english = t.documents.filter("lang = 'en'").select(F.col("doc_id").cast("string").alias("signal_id"))
-    ranks = publication_ranks(t).join(english, "signal_id", "left_semi")
-    return marts.signal_mart(signals(t), ranks).select("account_id", "signal_type", F.col("position").cast("long").alias("position"), "signal_id", "below_bar")
+    return marts.signal_mart(signals(t), publication_ranks(t)).select("account_id", "signal_type", F.col("position").cast("long").alias("position"), "signal_id", "below_bar")
 
 
 def mart_layers(t):
@@ -263,7 +295,7 @@ def mart_layers(t):
     fit = at(fit_rows(t), "site_id").select("site_id", F.col("model_verdict").alias("verdict"), "reason_tag")
     final = at(final_rows(t), "site_id").select("site_id", "account_id", "verdict", "reason")
     prof = at(profile(t), "item_id").select("site_id", "function_chips", "modality_chips")
-    hire = tallies.hiring_tally(labeled(t), "site_id")
+    hire = tallies.hiring_tally(labeled(t), "site_id", newest=newest_posting(t))
     items = news(t).withColumn("label_site", F.concat(F.lit("s"), "item_id")).withColumn("title", F.col("item_id"))
     heads = s.filter(F.col("s_suppkey") % 6 >= 3).select(F.col("site_id").alias("site_head_id"), "site_id", "account_id", (F.col("s_suppkey") % 6 >= 4).alias("found"))
     return s, fit, final, prof, hire, tallies.news_rollup(items, "label_site").withColumnRenamed("label_site", "site_id"), heads
@@ -303,8 +335,7 @@ def hiring_mix(t):
     return served.get_hiring_mix(d, "NATION_7").records.select("period", "dim_key", "n", "denom", "bias_flag")
 
 
-@query("filter_corpus", with_(*CORPUS) + """SELECT posting_id, tier2_score AS score FROM scored WHERE (site_id IS NOT NULL OR tier2_admit) AND job_family = 'data_digital' AND last_seen >= DATE '1997-01-01' AND o_orderstatus = 'F'
-  ORDER BY tier2_score DESC, posting_id LIMIT 120""")
+@query("filter_corpus", with_(*CORPUS) + """SELECT posting_id, tier2_score AS score FROM scored WHERE (site_id IS NOT NULL OR tier2_admit) AND job_family = 'data_digital' AND last_seen >= DATE '1997-01-01' AND o_orderstatus = 'F'""")
 def filter_corpus(t):
     p = scored(t).withColumn("mirror_account_id", F.lit(None).cast("string"))
     index = exports.jobs_index(p, corpus_extracts(t), dv.sites(t))
@@ -319,3 +350,74 @@ def query_stats(t):
     i = t.events.select(acct, F.when(F.col("event_type") == "signup", "site").otherwise("account").alias("query_kind"))
     return tallies.query_stats(q, i)
 
+
+# ---------------------------------------------------------------- guards and tables
+def _outcome(check, *args, **kw) -> str:
+    try:
+        check(*args, **kw)
+    except (GateFailed, scoring.BudgetExceeded):
+        return "refused"
+    return "passed"
+
+
+@query("guards", with_(GATE_SQL) + f"""SELECT * FROM (SELECT 'pass_rate' AS guard, 'all quotes' AS input, CASE WHEN 100.0 * count(*) FILTER ({VERIFIED_SQL}) / count(*) < {cfg.PASS_RATE} THEN 'refused' ELSE 'passed' END AS outcome, count(*) AS n FROM gated
+  UNION ALL SELECT 'pass_rate', 'exact quotes', CASE WHEN 100.0 * count(*) FILTER ({VERIFIED_SQL}) / count(*) < {cfg.PASS_RATE} THEN 'refused' ELSE 'passed' END, count(*) FROM gated WHERE kind = 'exact'
+  UNION ALL SELECT 'pass_rate', 'no quotes', 'refused', 0
+  UNION ALL SELECT 'shrink', 'one in fifty gone', CASE WHEN count(*) FILTER (o_orderkey % 100 > 0) < count(*) * {1 - cfg.SHRINK_TOLERANCE} THEN 'refused' ELSE 'passed' END, count(*) FROM orders
+  UNION ALL SELECT 'shrink', 'one in ten gone', CASE WHEN count(*) FILTER (o_orderkey % 10 > 0) < count(*) * {1 - cfg.SHRINK_TOLERANCE} THEN 'refused' ELSE 'passed' END, count(*) FROM orders
+  UNION ALL SELECT 'edges', 'all', 'refused', count(*) FROM lineitem UNION ALL SELECT 'edges', 'quoted', 'passed', count(*) FROM lineitem WHERE l_returnflag <> 'N')""")
+def guards(t):
+    """V2, V6, V7: what each guard says to good and to broken data, and how many rows it was asked about."""
+    gated = cut(claims.verify_quotes(gate_quotes(t), gate_bodies(t)))
+    exact = gated.filter("kind = 'exact'")
+    edges = t.lineitem.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("edge_id"), F.when(F.col("l_returnflag") != "N", 1).otherwise(0).alias("n_quotes"),
+                              F.lit(None).cast("string").alias("human_state"))
+    key = F.col("o_orderkey")
+    told = [("pass_rate", "all quotes", _outcome(claims.require_pass_rate, gated), gated), ("pass_rate", "exact quotes", _outcome(claims.require_pass_rate, exact), exact),
+            ("pass_rate", "no quotes", _outcome(claims.require_pass_rate, gated.limit(0)), gated.limit(0)),
+            ("shrink", "one in fifty gone", _outcome(quality.guard_shrink, t.orders, t.orders.filter(key % 100 > 0)), t.orders),
+            ("shrink", "one in ten gone", _outcome(quality.guard_shrink, t.orders, t.orders.filter(key % 10 > 0)), t.orders),
+            ("edges", "all", _outcome(org.guard_edges, edges), edges), ("edges", "quoted", _outcome(org.guard_edges, edges.filter("n_quotes > 0")), edges.filter("n_quotes > 0"))]
+    out = None
+    for guard, given, outcome, df in told:
+        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(guard).alias("guard"), F.lit(given).alias("input"), F.lit(outcome).alias("outcome"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("table_round_trip", """SELECT CAST(doc_id AS VARCHAR) AS signal_id, 'nation_' || replace(source, 'src', '') AS account_id, md5(text) AS title, CAST(NULL AS VARCHAR) AS site_id, 2 AS n_people FROM documents""")
+def table_round_trip(t):
+    """A snapshot written and loaded again: the table's own columns alone, missing ones null; then its CSV form, read back typed."""
+    d = signals(t).withColumn("named_people", F.array(F.lit("A B"), F.lit("C D"))).withColumn("other", F.lit(1))
+    base = f"{scratch(t.spark)}/tables/{uuid.uuid4().hex}"
+    tables.save(d, base + "/snapshot", "signals")
+    tables.to_text(tables.load(t.spark, base + "/snapshot", "signals")).write.option("header", True).csv(base + "/csv")
+    back = tables.load_csv(t.spark, base + "/csv", "signals")
+    return back.select("signal_id", "account_id", "title", "site_id", F.size("named_people").alias("n_people"))
+
+
+@query("run_ledger", """SELECT 'r1' AS run_id, count(*) AS urls_seen, count(*) FILTER (page_id % 3 = 0) AS new_urls FROM pages UNION ALL SELECT 'r2', NULL, NULL""")
+def run_ledger(t):
+    """Counters taken while the pages are written, appended to the ledger and loaded."""
+    base = f"{scratch(t.spark)}/runs/{uuid.uuid4().hex}"
+    d, seen = tables.counted(t.pages, f"pages-{uuid.uuid4().hex}", n=F.count(F.lit(1)), new=F.count_if(F.col("page_id") % 3 == 0))
+    d.write.format("noop").mode("overwrite").save()
+    tables.log_run(t.spark, base, {"run_id": "r1", "kind": "index", "urls_seen": seen.get["n"], "new_urls": seen.get["new"]})
+    tables.log_run(t.spark, base, {"run_id": "r2"})
+    return tables.load(t.spark, base, "runs").select("run_id", "urls_seen", "new_urls")
+
+
+@query("enriched", """SELECT s_suppkey, first.c_custkey AS first_customer FROM supplier LEFT JOIN (SELECT c_nationkey, min(c_custkey) AS c_custkey FROM customer GROUP BY 1) AS first ON s_nationkey = c_nationkey""")
+def enriched(t):
+    """Suppliers with the first customer of their nation; a key that the dimension holds many times multiplies nothing."""
+    dim = t.customer.select(F.col("c_nationkey").alias("s_nationkey"), F.col("c_custkey").alias("first_customer"))
+    return resolve.enrich(t.supplier.select("s_suppkey", "s_nationkey"), dim, "s_nationkey", [F.col("first_customer").asc()]).select("s_suppkey", "first_customer")
+
+
+@query("mix_pivot", with_(FACTS_SQL, MIX_SQL) + """SELECT account_id, dim_key, round(max(share) FILTER (period = '1996Q1'), 6) AS a, round(max(share) FILTER (period = '1996Q2'), 6) AS b FROM mix
+  WHERE period IN ('1996Q1', '1996Q2') GROUP BY ALL""")
+def mix_pivot(t):
+    """A13 as one column per period."""
+    two = rollup(t).filter(F.col("period").isin("1996Q1", "1996Q2"))
+    d = mix.pivot_matrix(two, ["1996Q1", "1996Q2"])
+    return d.select("account_id", "dim_key", F.round("1996Q1", 6).alias("a"), F.round("1996Q2", 6).alias("b"))

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from attesta.operators import claims as claim_ops
 from attesta.operators import graph, org, quality, query as served
+from attesta.operators.skew import first_per_group
 from attesta.plans import derive as dv
 from attesta.plans.base import query
 from attesta.plans.derive import with_
 from attesta.plans.q_corpus import CORPUS, corpus_extracts, scored
-from attesta.session import land
 
 POSTING_COLS = ["posting_id", "account_id", "site_id", "job_family", "seniority_rank", "posted_date", "first_seen"]
 
@@ -19,7 +19,7 @@ class Org:
     """The derived org inputs, and the assembled layers."""
 
     def __init__(self, t):
-        raw = land(dv.extracts(t))  # extracts are a stored table; every layer reads some of its columns
+        raw = dv.extracts(t)
         self.postings = raw.select(*POSTING_COLS)
         self.quotes = dv.quotes(raw)
         self.extracts = raw.drop("site_id", "job_family", "seniority_rank", "posted_date", "first_seen", "l_linestatus", "l_returnflag", "p_size", "p_name")
@@ -33,6 +33,13 @@ class Org:
     def edges(self):
         return org.assemble_edges(self.claims())
 
+    def phrases(self):
+        return org.unit_phrases(self.extracts, self.postings)
+
+    def folded_edges(self):
+        _, folds = org.merge_acronyms(self.units(), self.unit_postings())
+        return org.assemble_edges(org.refold_edges(self.claims(), folds))
+
     def unit_postings(self):
         return self.extracts.select(org.unit_id("account_id", "team_slug").alias("unit_id"), "posting_id")
 
@@ -46,10 +53,9 @@ names AS (SELECT unit_id, team_name AS unit_name FROM (SELECT unit_id, team_name
 acros AS (SELECT unit_id, team_acronym AS acronym FROM (SELECT unit_id, team_acronym, count(*) AS n FROM e WHERE team_acronym IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY n DESC, team_acronym) = 1),
 tops AS (SELECT unit_id, site_id FROM (SELECT unit_id, site_id, count(*) AS n FROM e GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY n DESC, site_id) = 1),
 fams AS (SELECT unit_id, string_agg(job_family, '|' ORDER BY n DESC, job_family) AS job_families FROM (SELECT unit_id, job_family, count(*) AS n FROM e WHERE job_family <> '' GROUP BY ALL) GROUP BY 1),
-vocab AS (SELECT unit_id, string_agg(p_name, '|' ORDER BY rn) AS vocabulary FROM (SELECT unit_id, p_name, row_number() OVER (PARTITION BY unit_id ORDER BY m) AS rn FROM
-  (SELECT unit_id, p_name, min(posting_id) AS m FROM e GROUP BY ALL)) WHERE rn <= 6 GROUP BY 1),
+vocab AS (SELECT unit_id, count(DISTINCT p_name) AS n_phrases FROM e GROUP BY 1),
 cited AS (SELECT unit_id, count(*) AS n_quotes FROM e JOIN quotes q ON q.posting_id = e.posting_id AND q.claim_type = 'team_name' AND q.ok AND q.subject_slug = e.team_slug GROUP BY 1),
-units AS (SELECT base.*, unit_name, acronym, site_id, job_families, vocabulary, coalesce(n_quotes, 0) AS n_quotes,
+units AS (SELECT base.*, unit_name, acronym, site_id, job_families, n_phrases, coalesce(n_quotes, 0) AS n_quotes,
   CASE WHEN n_postings >= 3 OR (n_postings >= 2 AND n_postings_tier3plus >= 2) THEN 'high' WHEN n_postings >= 2 OR n_postings_tier3plus >= 1 THEN 'medium' ELSE 'low' END AS confidence
   FROM base JOIN names USING (unit_id) JOIN tops USING (unit_id) LEFT JOIN acros USING (unit_id) LEFT JOIN fams USING (unit_id) LEFT JOIN vocab USING (unit_id) LEFT JOIN cited USING (unit_id))"""
 CLAIMS_SQL = """claims AS (
@@ -66,17 +72,21 @@ ORG = (*BASE, UNITS_SQL, CLAIMS_SQL)
 RECURSIVE = "WITH RECURSIVE"
 
 
+FOLD_SQL = """pairs AS (SELECT u.unit_id, u.unit_name, h.unit_id AS host_id, h.n_postings AS hn FROM units u JOIN units h ON h.account_id = u.account_id AND lower(h.acronym) = u.unit_slug AND h.unit_id <> u.unit_id),
+folds AS (SELECT * FROM (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY hn DESC, host_id) = 1) WHERE host_id NOT IN (SELECT unit_id FROM pairs))"""
+
+
 def text_dates(d, *cols):
     return d.withColumns({c: F.col(c).cast("string") for c in cols})
 
 
 @query("unit_assembly", with_(*BASE, UNITS_SQL) + """SELECT unit_id, unit_name, coalesce(acronym, '') AS acronym, site_id, n_site_candidates, n_postings, n_postings_tier3plus, n_quotes, seniority_max, n_tech, n_managers,
-  first_evidence_date, last_evidence_date, coalesce(job_families, '') AS job_families, vocabulary, confidence FROM units""")
+  first_evidence_date, last_evidence_date, coalesce(job_families, '') AS job_families, n_phrases, confidence FROM units""")
 def unit_assembly(t):
     u = text_dates(Org(t).units(), "first_evidence_date", "last_evidence_date")
     return u.select("unit_id", "unit_name", F.coalesce("acronym", F.lit("")).alias("acronym"), "site_id", "n_site_candidates", "n_postings", "n_postings_tier3plus", "n_quotes",
                     "seniority_max", "n_tech", "n_managers", "first_evidence_date", "last_evidence_date",
-                    F.coalesce(F.array_join("job_families", "|"), F.lit("")).alias("job_families"), F.array_join("vocabulary", "|").alias("vocabulary"), "confidence")
+                    F.coalesce(F.array_join("job_families", "|"), F.lit("")).alias("job_families"), "n_phrases", "confidence")
 
 
 @query("unit_facets", with_(*BASE, UNITS_SQL) + """SELECT unit_id, 'site' AS facet, site_id AS value, count(*) AS n FROM e GROUP BY ALL UNION ALL SELECT unit_id, 'family', job_family, count(*) FROM e WHERE job_family <> '' GROUP BY ALL
@@ -98,10 +108,6 @@ def unit_quotes(t):
     return org.unit_quotes(o.extracts, o.quotes).groupBy("unit_id", "claim_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-FOLD_SQL = """pairs AS (SELECT u.unit_id, u.unit_name, h.unit_id AS host_id, h.n_postings AS hn FROM units u JOIN units h ON h.account_id = u.account_id AND lower(h.acronym) = u.unit_slug AND h.unit_id <> u.unit_id),
-folds AS (SELECT * FROM (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY hn DESC, host_id) = 1) WHERE host_id NOT IN (SELECT unit_id FROM pairs))"""
-
-
 @query("acronym_merge", with_(*BASE, UNITS_SQL, FOLD_SQL) + """, moved AS (SELECT coalesce(host_id, e.unit_id) AS unit_id, posting_id FROM e LEFT JOIN folds USING (unit_id)),
 n AS (SELECT unit_id, count(DISTINCT posting_id) AS n_postings FROM moved GROUP BY 1), a AS (SELECT host_id, string_agg(DISTINCT unit_name, '|' ORDER BY unit_name) AS aliases FROM folds GROUP BY 1)
 SELECT u.unit_id, coalesce(aliases, '') AS aliases, n.n_postings FROM units u JOIN n USING (unit_id) LEFT JOIN a ON a.host_id = u.unit_id WHERE u.unit_id NOT IN (SELECT unit_id FROM folds)""")
@@ -124,6 +130,19 @@ def ghosts(t):
     return org.add_ghosts(o.units(), o.edges()).filter(F.col("unit_kind") == "named_not_mapped").select("unit_id", "unit_name")
 
 
+@query("unit_phrases", with_(*BASE, UNITS_SQL) + "SELECT unit_id, p_name AS phrase, min(posting_id) AS first_posting FROM e GROUP BY ALL")
+def unit_phrases(t):
+    return Org(t).phrases().select("unit_id", "phrase", F.col("first_at.posting_id").alias("first_posting"))
+
+
+@query("folded_edges", with_(*ORG, FOLD_SQL) + """, kept AS (SELECT c.edge_type, c.src, coalesce(f.host_id, c.dst) AS dst, c.posting_id, c.quote_id FROM claims c LEFT JOIN folds f ON f.unit_id = c.dst AND c.edge_type <> 'located_at'
+  WHERE c.src NOT IN (SELECT unit_id FROM folds))
+SELECT edge_type, src, dst, count(DISTINCT posting_id) AS n_postings, count(DISTINCT quote_id) AS n_quotes FROM kept GROUP BY ALL""")
+def folded_edges(t):
+    """Edges after acronyms are folded: the claims of a folded unit fall away, claims that point at it point at its host."""
+    return Org(t).folded_edges().select("edge_type", F.col("src_unit_id").alias("src"), F.coalesce("dst_unit_id", "dst_site_id").alias("dst"), "n_postings", "n_quotes")
+
+
 @query("unquoted_edges", with_(*ORG) + "SELECT edge_id FROM edges WHERE n_quotes = 0")
 def unquoted_edges(t):
     """The quarantine side of the edge guard."""
@@ -161,6 +180,18 @@ def forest_places(t):
     return graph.roots_orphans(org.add_ghosts(o.units(), edges), org.first_parent(edges)).select("unit_id", "place")
 
 
+@query("first_roots", with_(*ORG, PARENTS_SQL) + """, n AS (SELECT unit_id, account_id, unit_name, n_postings, confidence FROM units
+  UNION ALL SELECT dst, account_id, min(dst_label), 0, 'low' FROM edges WHERE edge_type <> 'located_at' AND dst NOT IN (SELECT unit_id FROM units) GROUP BY 1, 2)
+SELECT account_id, unit_id FROM n WHERE unit_id NOT IN (SELECT unit_id FROM parents) AND unit_id IN (SELECT parent_id FROM parents)
+  QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY n_postings DESC, CASE confidence WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END DESC, unit_name, unit_id) = 1""")
+def first_roots(t):
+    """The first root of each account in the order of the forest."""
+    o = Org(t)
+    edges = o.edges()
+    placed = graph.roots_orphans(org.add_ghosts(o.units(), edges), org.first_parent(edges))
+    return first_per_group(placed.filter("place = 'root'"), ["account_id"], graph.forest_order()).select("account_id", "unit_id")
+
+
 @query("supports_labels", with_(*ORG) + "SELECT DISTINCT src AS unit_id, dst_label AS label FROM edges WHERE edge_type = 'supports'")
 def supports_labels(t):
     return org.supports_labels(Org(t).edges())
@@ -212,12 +243,12 @@ def forest_depths(t):
     return graph.depths(part_parents(t).select("unit_id"), parents)
 
 
-@query("forest_ancestors", f"""{RECURSIVE} {_FOREST_SQL}, r(site_id, x) AS (SELECT DISTINCT 's' || l_suppkey, l_partkey FROM lineitem WHERE l_quantity = 50 UNION SELECT site_id, up.y FROM r JOIN up USING (x))
+@query("forest_ancestors", f"""{RECURSIVE} {_FOREST_SQL}, r(site_id, x) AS (SELECT DISTINCT 's' || l_suppkey, l_partkey FROM lineitem UNION SELECT site_id, up.y FROM r JOIN up USING (x))
 SELECT site_id, CAST(x AS VARCHAR) AS unit_id FROM r""")
 def forest_ancestors(t):
-    """The parts each supplier ships in full lots, with all their ancestors."""
+    """The parts each supplier ships, with all their ancestors."""
     parents, _ = graph.break_cycles(part_parents(t))
-    seed = t.lineitem.filter("l_quantity = 50").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("site_id"), F.col("l_partkey").cast("string").alias("unit_id"))
+    seed = t.lineitem.select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("site_id"), F.col("l_partkey").cast("string").alias("unit_id"))
     return graph.ancestors(seed, parents)
 
 
@@ -266,9 +297,9 @@ def list_accounts(t):
     return served.list_accounts(dv.accounts(t), covered(t), site_units(t), dv.postings(t)).records
 
 
-@query("list_org_units", with_(*BASE, UNITS_SQL) + """SELECT unit_id, n_postings, confidence FROM units WHERE account_id = 'nation_3' AND confidence = 'high' ORDER BY n_postings DESC, unit_id LIMIT 20""")
+@query("list_org_units", with_(*BASE, UNITS_SQL) + """SELECT unit_id, n_postings, confidence FROM units WHERE account_id = 'nation_3' AND confidence = 'high'""")
 def list_org_units(t):
-    return served.list_org_units(Org(t).units(), account_id="nation_3", min_confidence="high", include_unmapped=False, limit=20).records.select("unit_id", "n_postings", "confidence")
+    return served.list_org_units(Org(t).units(), account_id="nation_3", min_confidence="high", include_unmapped=False).records.select("unit_id", "n_postings", "confidence")
 
 
 @query("list_org_units_count", with_(*BASE, UNITS_SQL) + "SELECT count(*) AS count FROM units WHERE confidence IN ('high', 'medium')")
@@ -276,7 +307,7 @@ def list_org_units_count(t):
     return served.list_org_units(Org(t).units(), min_confidence="medium").count
 
 
-@query("list_org_edges", with_(*ORG) + "SELECT edge_id, n_postings FROM edges WHERE account_id = 'nation_2' AND edge_type = 'reports_to' ORDER BY src, edge_id LIMIT 400")
+@query("list_org_edges", with_(*ORG) + "SELECT edge_id, n_postings FROM edges WHERE account_id = 'nation_2' AND edge_type = 'reports_to'")
 def list_org_edges(t):
     return served.list_org_edges(Org(t).edges(), account_id="nation_2", edge_type="reports_to").records.select("edge_id", "n_postings")
 
@@ -293,7 +324,7 @@ def served_postings(o):
 
 
 @query("provenance", with_(*ORG) + """SELECT posting_id || '--team_name' AS quote_id, 'team_name' AS claim_type, team_name AS subject, site_id FROM e
-  WHERE unit_id = 'nation_1--ou-brand-1' AND l_returnflag <> 'N' AND l_linestatus = 'F' ORDER BY 1 LIMIT 60""")
+  WHERE unit_id = 'nation_1--ou-brand-1' AND l_returnflag <> 'N' AND l_linestatus = 'F'""")
 def provenance(t):
     o = Org(t)
     out = served.get_provenance(o.quotes, served_postings(o), evidence=org.unit_evidence(o.extracts, o.quotes), unit_id="nation_1--ou-brand-1")
@@ -301,36 +332,35 @@ def provenance(t):
 
 
 @query("edge_provenance", with_(*ORG) + """, w AS (SELECT min(edge_id) AS edge_id FROM edges WHERE account_id = 'nation_1' AND edge_type = 'supports')
-SELECT DISTINCT quote_id FROM claims JOIN edges USING (account_id, edge_type, src, dst) WHERE edge_id = (SELECT edge_id FROM w) ORDER BY 1 LIMIT 60""")
+SELECT DISTINCT quote_id FROM claims JOIN edges USING (account_id, edge_type, src, dst) WHERE edge_id = (SELECT edge_id FROM w) AND quote_id IS NOT NULL""")
 def edge_provenance(t):
     o = Org(t)
     cited = o.claims().withColumn("edge_id", org.edge_id("account_id", "edge_type", "src_unit_id", F.coalesce("dst_unit_id", "dst_site_id")))
-    first = o.edges().filter("account_id = 'nation_1' AND edge_type = 'supports'").agg(F.min("edge_id")).first()[0]
+    first = o.edges().filter("account_id = 'nation_1' AND edge_type = 'supports'").agg(F.min("edge_id")).scalar()
     return served.get_provenance(o.quotes, served_postings(o), edge_claims=cited, edge_id=first).records.select("quote_id")
 
 
 @query("list_gaps", with_(*ORG, PARENTS_SQL) + """SELECT u.unit_id FROM units u LEFT JOIN parents p USING (unit_id) WHERE account_id = 'nation_4' AND (p.unit_id IS NULL OR n_site_candidates > 1 OR u.n_postings = 1 OR n_managers = 0 OR n_postings_tier3plus = 0)
   UNION SELECT dst FROM edges WHERE account_id = 'nation_4' AND edge_type <> 'located_at' AND dst NOT IN (SELECT unit_id FROM units)""")
 def list_gaps(t):
-    return served.list_gaps(flagged(t), covered(t), account_id="nation_4", limit=None)[0].records.select("unit_id")
+    return served.list_gaps(flagged(t), covered(t), account_id="nation_4")[0].records.select("unit_id")
 
 
 @query("uncovered_sites", with_(*CORPUS, COVERAGE_SQL) + "SELECT site_id, coverage_state FROM cover WHERE coverage_state <> 'covered'")
 def uncovered_sites(t):
-    empty = Org(t).units().withColumn("gap_flags", F.array().cast("array<string>"))
-    return served.list_gaps(empty, covered(t), limit=None)[1].records.select("site_id", "coverage_state")
+    return served.list_gaps(flagged(t), covered(t))[1].records.select("site_id", "coverage_state")
 
 
 @query("vocabulary", with_(*BASE, UNITS_SQL) + """SELECT p_name AS phrase, count(*) AS n FROM (SELECT 'The posting names ' || p_name || ' in its own words.' AS p_name FROM extracts WHERE account_id = 'nation_5' AND l_linestatus = 'F'
-  UNION ALL SELECT unnest(string_split(vocabulary, '|')) FROM units WHERE account_id = 'nation_5') GROUP BY 1""")
+  UNION ALL SELECT p_name FROM (SELECT DISTINCT unit_id, p_name FROM e WHERE account_id = 'nation_5')) GROUP BY 1""")
 def vocabulary(t):
     o = Org(t)
-    out = served.get_vocabulary(o.quotes, o.units(), account_id="nation_5", limit=None).records
+    out = served.get_vocabulary(o.quotes, o.units(), o.phrases(), account_id="nation_5").records
     return out.groupBy(F.col("quote_text").alias("phrase")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("query_postings", with_(*CORPUS) + """SELECT posting_id, tier2_score, 'Team ' || (o_orderkey % 11) AS team FROM scored WHERE account_id = 'nation_6' AND last_seen >= DATE '1998-01-01' AND seniority_rank >= 2 AND o_orderstatus = 'F'
-  ORDER BY tier2_score DESC, posting_id LIMIT 200""")
+""")
 def query_postings(t):
     p = scored(t).withColumn("mirror_account_id", F.lit(None).cast("string"))
     out = served.query_postings(p, corpus_extracts(t), account_id="nation_6", seen_since="1998-01-01", names_tool="lim", has_org_structure=True, min_seniority=2)

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from attesta.functions.dates import quarter
 from attesta.plans.base import query
 from attesta.plans.derive import with_
+from attesta.plans.q_text import GATE_SQL, gate_bodies, gate_quotes
 from attesta.plans.q_corpus import ACCRETED, FACTS_SQL, SIGHTINGS_SQL, show_accreted
-from attesta.session import shared_dir
+from attesta.session import scratch
 from attesta.streaming import streams
 
 
 def places(t) -> tuple[str, str]:
     """A fresh sink and checkpoint folder in the shared folder."""
-    base = f"{shared_dir(t.spark)}/streams/{uuid.uuid4().hex}"
+    base = f"{scratch(t.spark)}/streams/{uuid.uuid4().hex}"
     return base + "/out", base + "/checkpoint"
 
 
@@ -33,7 +34,7 @@ def accrete_stream(t):
 
 @query("once_per_run", with_(SIGHTINGS_SQL) + "SELECT posting_id, count(DISTINCT run) AS n_runs FROM sightings GROUP BY 1")
 def once_per_run(t):
-    landed = streams.run_available(streams.once_per_run(events(t), "posting_id"), *places(t))
+    landed = streams.once_per_run(events(t), "posting_id", *places(t))
     return landed.groupBy("posting_id").agg(F.count(F.lit(1)).alias("n_runs"))
 
 
@@ -43,19 +44,19 @@ def mix_counts_stream(t):
     d = orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     d = d.select(F.col("n_name").alias("account_id"), quarter("o_orderdate").alias("period"), F.col("o_orderpriority").alias("dim_key"), "o_orderkey")
     by = ["account_id", "period", "dim_key"]
-    landed = streams.run_available(streams.mix_counts_stream(d, by, "o_orderkey", salts=4), *places(t))
-    return streams.mix_counts(landed, by)
+    out, checkpoint = places(t)
+    streams.mix_counts_stream(d, by, out, checkpoint)
+    return streams.mix_counts(t.spark, out, by)
 
 
-@query("verify_stream", """SELECT doc_id AS posting_id, CASE WHEN trim(substr(text, greatest(length(text) // 2, 1), 60)) = '' THEN 'empty'
-  WHEN length(trim(substr(text, greatest(length(text) // 2, 1), 60))) < 12 THEN 'too_short' ELSE 'exact' END AS match_method FROM documents""")
+@query("verify_stream", with_(GATE_SQL) + "SELECT posting_id, kind, match_method FROM gated")
 def verify_stream(t):
-    docs = streams.read_files(t.spark, t.folder, "documents", t.documents.schema)
-    n = F.greatest(F.floor(F.length("text") / 2).cast("int"), F.lit(1))
-    quotes = docs.select(F.col("doc_id").alias("posting_id"), F.substr("text", n, F.lit(60)).alias("quote_text"))
-    bodies = t.documents.select(F.col("doc_id").alias("posting_id"), "text")
-    landed = streams.run_available(streams.verify_stream(quotes, bodies), *places(t))
-    return streams.settle(landed, bodies).select("posting_id", "match_method")
+    """The quotes of the batch gate, as they land."""
+    class Landing:
+        documents = streams.read_files(t.spark, t.folder, "documents", t.documents.schema)
+    bodies = gate_bodies(t)
+    landed = streams.run_available(streams.verify_stream(gate_quotes(Landing), bodies), *places(t))
+    return streams.settle(landed, bodies).select("posting_id", "kind", "match_method")
 
 
 @query("dedupe_news_stream", "SELECT DISTINCT 'a' || (user_id % 20) AS account_id, sha1(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) AS item_id FROM events")

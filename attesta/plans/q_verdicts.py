@@ -72,10 +72,10 @@ def policy_labels(t):
   CASE WHEN verdict <> 'KEEP' THEN tag ELSE concat_ws('+', CASE WHEN pd_msat_p >= 0.8 THEN 'PD' END, CASE WHEN drug_substance_p >= 0.8 THEN 'DS' END, CASE WHEN drug_product_p >= 0.8 THEN 'DP' END)
     || CASE WHEN pd_msat_p < 0.8 AND drug_substance_p < 0.8 AND drug_product_p < 0.8 AND manufacturing_p >= 0.8 THEN 'MFG' ELSE '' END || ' biologics' || CASE WHEN tag = 'CDMO' THEN ' · CDMO' ELSE '' END END AS reason_tag,
   length(text) <= 40 AS short_text,
-  (CASE WHEN pd_msat_p >= 0.8 THEN 'PD/MSAT/CMC is based here' WHEN pd_msat_p <= 0.2 THEN 'no PD/MSAT/CMC named here' ELSE 'PD/MSAT/CMC here is unclear' END) AS pd_part FROM fit""")
+  'development=' || (CASE WHEN pd_msat_p >= 0.8 THEN 'yes' WHEN pd_msat_p <= 0.2 THEN 'no' ELSE 'open' END) AS pd_part FROM fit""")
 def site_fit(t):
     d = verdicts.site_fit(judged(t))
-    return d.select("item_id", "verdict", "policy_verdict", "new_fit", "agree_verdict", "reason_tag", "short_text", F.split_part("explanation", F.lit("; "), F.lit(1)).alias("pd_part"))
+    return d.select("item_id", "verdict", "policy_verdict", "new_fit", "agree_verdict", "reason_tag", "short_text", F.split_part("explanation", F.lit(" | "), F.lit(1)).alias("pd_part"))
 
 
 @query("gated_values", with_(sql_answers()) + """SELECT item_id, CASE WHEN support_p >= 0.8 THEN 'yes' WHEN support_p <= 0.2 THEN 'no' ELSE 'unsure' END AS support,
@@ -260,24 +260,39 @@ def news_label(t):
 @query("news_rollup", with_(NEWS_SQL) + """, k AS (SELECT * FROM news WHERE keep), c AS (SELECT source AS account_id, trigger, count(*) AS n FROM k GROUP BY 1, 2),
 g AS (SELECT account_id, CAST(sum(n) AS BIGINT) AS n_items, string_agg(trigger || ':' || n, '|' ORDER BY n DESC, trigger) AS triggers FROM c GROUP BY 1),
 f AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY published DESC, item_id) AS rn FROM k)
-SELECT g.*, CAST(max(published) FILTER (rn = 1) AS VARCHAR) AS latest_date, max(trigger) FILTER (rn = 1) AS latest_trigger,
-  string_agg(item_id, '|' ORDER BY rn) FILTER (rn <= 6) AS newest FROM g JOIN f ON f.source = g.account_id GROUP BY ALL""")
+SELECT g.*, CAST(published AS VARCHAR) AS latest_date, trigger AS latest_trigger FROM g JOIN f ON f.source = g.account_id AND rn = 1""")
 def news_rollup(t):
     d = tallies.news_rollup(news(t).withColumn("title", F.col("item_id")), "account_id")
-    return d.select("account_id", "n_items", "triggers", F.col("latest_date").cast("string").alias("latest_date"), "latest_trigger",
-                    F.array_join(F.transform("top_items", lambda i: i["title"]), "|").alias("newest"))
+    return d.select("account_id", "n_items", "triggers", F.col("latest_date").cast("string").alias("latest_date"), "latest_trigger")
+
+
+@query("newest_items", with_(NEWS_SQL) + "SELECT source AS account_id, row_number() OVER (PARTITION BY source ORDER BY published DESC, item_id) AS rn, item_id, trigger FROM news WHERE keep")
+def newest_items(t):
+    return tallies.newest_items(news(t), "account_id").select("account_id", "rn", "item_id", "trigger")
 
 
 # ---------------------------------------------------------------- scoring
 @query("question_bank", f"""SELECT item_id, q.question, q.kind, q.n FROM (SELECT CAST(doc_id AS VARCHAR) AS item_id, unnest([
   {', '.join("{'question': '" + q + "', 'kind': '" + k + "', 'n': " + str(len(o)) + "}" for q, k, o in cfg.SITE_QUESTIONS)}]) AS q FROM documents)
-UNION ALL SELECT CAST(doc_id AS VARCHAR), 'site', 'choice', 1 + count(DISTINCT s_suppkey) FROM documents JOIN supplier ON 'src' || s_nationkey = source GROUP BY 1""")
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'site', 'choice', 0 FROM documents WHERE source IN (SELECT 'src' || s_nationkey FROM supplier)""")
 def question_bank(t):
     """The site questions for every document, and a choice over the sites of the document's account."""
+    d, _ = site_bank(t)
+    return d.select("item_id", "question", "kind", F.size("options").cast("long").alias("n"))
+
+
+def site_bank(t):
     items = t.documents.select(F.col("doc_id").cast("string").alias("item_id"), F.col("source").alias("account_id"))
     options = t.supplier.select(F.concat(F.lit("src"), F.col("s_nationkey").cast("string")).alias("account_id"), F.col("s_suppkey").cast("string").alias("option_id"))
-    d = scoring.question_bank(items, cfg.SITE_QUESTIONS, options)
-    return d.select("item_id", "question", "kind", F.size("options").cast("long").alias("n"))
+    return scoring.question_bank(items, cfg.SITE_QUESTIONS, options), options
+
+
+@query("request_options", """WITH a AS (SELECT DISTINCT source FROM documents), s AS (SELECT 'src' || s_nationkey AS source, CAST(s_suppkey AS VARCHAR) AS option FROM supplier)
+SELECT source AS option_set, option FROM s JOIN a USING (source) UNION SELECT source, 'company_wide' FROM s JOIN a USING (source)""")
+def request_options(t):
+    """The options of each account's site question, joined when it is scored: once per distinct request."""
+    bank, options = site_bank(t)
+    return scoring.with_options(scoring.requests(bank, ["account_id"]), options).select("option_set", "option")
 
 
 def title_requests(t):
@@ -400,8 +415,8 @@ def agreement(t):
 
 
 def keyword_states(t):
-    labels = t.spread("documents", "doc_id").select("doc_id", F.lit("and_word").alias("label"), gate(dv.spread(dv.byte(F.col("doc_id").cast("string"), F.lit("kw")))).alias("state"))
-    return labels, kw_hits(t.spread("documents", "doc_id"), "doc_id", ["text"], [("and_word", r"\band\b")])
+    labels = t.documents.select("doc_id", F.lit("and_word").alias("label"), gate(dv.spread(dv.byte(F.col("doc_id").cast("string"), F.lit("kw")))).alias("state"))
+    return labels, kw_hits(t.documents, "doc_id", ["text"], [("and_word", r"\band\b")])
 
 
 @query("disagreements", r"""WITH s AS (SELECT doc_id, """ + f"""CASE WHEN {sql_spread("doc_id || '|kw'")} >= 0.8 THEN 'yes' WHEN {sql_spread("doc_id || '|kw'")} <= 0.2 THEN 'no' ELSE 'unsure' END AS state, """ + r"""

@@ -16,7 +16,7 @@ TABLES: dict[str, str] = {
     "signals": ("signal_id string, account_id string, site_id string, signal_type string, title string, date string, "
                   "named_people array<string>, topic string, confidence string, url string, source string"),
     "postings": ("posting_id string, account_id string, mirror_account_id string, mirror_site_id string, mirror_basis string, "
-                   "site_id string, site_resolution string, site_candidates array<string>, city_slug string, city_raw string, "
+                   "site_id string, site_resolution string, n_site_candidates bigint, city_slug string, city_raw string, "
                    "icp_fit string, role_title string, role_slug string, req_id string, url_form string, careers_host string, "
                    "job_family string, job_family_rule string, seniority_rank int, seniority_rule string, excluded string, "
                    "tier2_admit boolean, tier2_score int, url string, first_seen date, last_seen date, seen_count bigint, "

@@ -56,19 +56,19 @@ def postings_from_api(df: DataFrame, as_of, payload: str = "payload") -> DataFra
         "*", F.col("_d.date").alias("posted_date"), F.col("_d.kind").alias("posted_date_source")).drop("_d")
 
 
-def parse_feed(df: DataFrame, xml: str = "item_xml", snippet: int = 500) -> DataFrame:
+def parse_feed(df: DataFrame, xml: str = "item_xml", snippet: int | None = None) -> DataFrame:
     """The fields of RSS <item> texts: the source suffix comes off the title, the date is ISO, the description is plain text
-    of at most `snippet` characters. Malformed XML or no link drops the row."""
+    (of at most `snippet` characters, if given). Malformed XML or no link drops the row."""
     item = F.from_xml(F.col(xml), FEED_ITEM, {"mode": "PERMISSIVE", "rowTag": "item"})
     d = df.withColumn("_i", item)
     link, source = F.trim("_i.link"), F.trim(F.coalesce("_i.source", F.lit("")))
     d = d.filter(F.coalesce(link, F.lit("")) != "")
-    title = strip_markup("_i.title")
+    title, plain = strip_markup("_i.title"), strip_markup("_i.description")
     suffix = F.concat(F.lit(" - "), source)
     title = F.when((source != "") & F.endswith(title, suffix), F.left(title, F.length(title) - F.length(suffix))).otherwise(title)
     keep = [c for c in df.columns if c != xml]
     return d.select(*keep, item_id(link).alias("item_id"), title.alias("title"), source.alias("source"), link.alias("url"),
-                    feed_date("_i.pubDate").alias("published"), F.substring(strip_markup("_i.description"), 1, snippet).alias("snippet"))
+                    feed_date("_i.pubDate").alias("published"), (F.substring(plain, 1, snippet) if snippet else plain).alias("snippet"))
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:

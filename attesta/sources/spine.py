@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.gates import fit_from_verdict
 from attesta.functions.text import norm, slug
+from attesta.operators.parse import in_blocks
+
+#: Column titles and the names they get; a sheet with other titles gives its own map.
+COLUMNS = {"Account": "account", "Site": "site", "Pipeline": "pipeline", "City": "city", "Metro": "metro", "Functions": "functions", "Modality": "modality",
+           "Verdict": "verdict_auto", "Manual verdict": "verdict_manual", "Manual reason": "verdict_reason", "Site head": "named_site_head", "Evidence": "evidence_titles", "Source": "source"}
 
-COLUMNS = {"Account": "account", "Site": "site", "Pipeline": "pipeline", "City": "city", "Metro": "metro", "Functions": "functions",
-           "Modality": "modality", "Verdict (AUTO GEN)": "verdict_auto", "MANUAL VERDICT CONFIRM": "verdict_manual",
-           "MANUAL VERDICT CONFIRM - REASON": "verdict_reason", "Named Site Head": "named_site_head",
-           "Evidence (titles)": "evidence_titles", "Source": "source"}
 
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Spreadsheet exports as (file, row_no, cells), with as many cells as each row has. One task reads a file, as quoted cells may hold line ends."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(1 << 30)
+        for pdf in batches:
+            for file, text in zip(pdf["file"], pdf["value"]):
+                cells = ((file, i, [c.strip().replace("\ufeff", "") for c in row]) for i, row in enumerate(csv.reader(io.StringIO(text.lstrip("\ufeff"), newline=""))))
+                yield from in_blocks(cells, ["file", "row_no", "cells"])
 
-def read_cells(spark: SparkSession, path: str, width: int = 64) -> DataFrame:
-    """Spreadsheet exports as (file, row_no, cells). A file is read by one task, so row numbers follow the file order."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    raw = spark.read.csv(path, schema=schema, multiLine=True, escape='"', encoding="UTF-8", mode="PERMISSIVE")
-    cells = F.array(*[F.trim(F.coalesce(F.col(f"c{i}"), F.lit(""))) for i in range(width)])
-    return raw.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row_no"),
-                      F.transform(cells, lambda c: F.replace(c, F.lit("﻿"), F.lit(""))).alias("cells"))
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    return raw.mapInPandas(rows, "file string, row_no long, cells array<string>")
 
 
-def parse_spine(rows: DataFrame, required=("Account", "Site"), appendix_prefixes=None, junk=None, header_rows: int = 6) -> DataFrame:
+def parse_spine(rows: DataFrame, required=("Account", "Site"), appendix_prefixes=None, junk=None, header_rows: int = 6, columns=None) -> DataFrame:
     """The site rows of messy exports.
 
     The header is the first of the first six rows holding all required names. Reading stops at the first row whose account
@@ -37,7 +46,7 @@ def parse_spine(rows: DataFrame, required=("Account", "Site"), appendix_prefixes
     heads = heads.join(firsts, "file").filter(F.col("_h") - F.col("_first") < header_rows).drop("_first")
     at = lambda name: F.coalesce(F.try_element_at("cells", F.nullif(F.array_position("_header", name), F.lit(0)).cast("int")), F.lit(""))
     body = rows.join(heads, "file").filter((F.col("row_no") > F.col("_h")) & F.exists("cells", lambda c: c != ""))
-    body = body.select("file", "row_no", *[at(name).alias(col) for name, col in COLUMNS.items()]).withColumn("_a", norm("account"))
+    body = body.select("file", "row_no", *[at(name).alias(col) for name, col in (columns or COLUMNS).items()]).withColumn("_a", norm("account"))
     starts = F.lit(False)
     for p in appendix_prefixes or cfg.APPENDIX_PREFIXES:
         starts = starts | F.startswith("_a", F.lit(p))

@@ -6,16 +6,16 @@ order-free, so late sightings are always accepted: no watermark drops them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
 from attesta import config as cfg
 from attesta.operators.claims import verify_quotes
-from attesta.operators.upsert import accrete
+from attesta.operators.upsert import accrete, per_run
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by=()) -> DataFrame:
@@ -28,21 +28,54 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by=())
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
+def for_each_batch(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Process everything available now, each micro-batch by `work`, which must give the same files for the same batch number."""
+    query = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def accrete_stream(stream: DataFrame, key, out: str, checkpoint: str, run: str = "run_id", ts: str = "seen_at") -> DataFrame:
-    """Land the sightings in an append-only log, then accrete the log.
+    """Land one row per (key, run) and micro-batch in an append-only log, partitioned by run; then accrete the log.
 
-    The stream is stateless, so no state store grows with the number of postings; the log is partitioned by run, and
-    the batch aggregate over it equals `accrete` over all sightings by construction.
+    The stream keeps no state. A call reads the new files alone; the log that is accreted has a row per key and run, not per sighting, and replays of a
+    run, late rows and repeated files leave it equal to `accrete` over all sightings. `accrete_into` takes a state further by the new part of the log.
     """
     key = [key] if isinstance(key, str) else list(key)
-    landed = run_available(stream.select(*key, run, ts), out, checkpoint)
-    return accrete(landed, key, run, ts)
 
+    def land(batch: DataFrame, number: int) -> None:
+        # a folder per batch: a batch that is tried again replaces its own rows
+        per_run(batch, key, run, ts).write.mode("overwrite").partitionBy(run).parquet(f"{out}/batch={number}")
+
+    for_each_batch(stream.select(*key, run, ts), checkpoint, land)
+    landed = stream.sparkSession.read.option("basePath", out).parquet(out).withColumn(run, F.col(run).cast(stream.schema[run].dataType))
+    both = landed.select(*key, run, F.col("first_seen").alias(ts)).unionByName(landed.select(*key, run, F.col("last_seen").alias(ts)))
+    return accrete(both, key, run, ts)
+
+
+def once_per_run(stream: DataFrame, key, out: str, checkpoint: str, run: str = "run_id") -> DataFrame:
+    """The first sighting of each key in each run, appended to a log partitioned by run.
 
-def once_per_run(stream: DataFrame, key, run: str = "run_id") -> DataFrame:
-    """The first sighting of each key in each run."""
+    A micro-batch drops its own repeats and what the partitions of its runs hold already, so nothing is kept on the stream and only the runs that
+    a batch touches are read.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    return stream.select(*key, run).dropDuplicates([*key, run])
+    kinds = {c: stream.schema[c].dataType for c in (*key, run)}
+
+    def landed(spark: SparkSession, before: int | None = None) -> DataFrame:
+        try:
+            d = spark.read.option("basePath", out).parquet(out)
+        except AnalysisException:
+            return spark.createDataFrame([], T.StructType([T.StructField(c, k) for c, k in kinds.items()]))
+        return (d if before is None else d.filter(F.col("batch") < before)).select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+
+    def land(batch: DataFrame, number: int) -> None:
+        fresh = batch.select(*key, run).distinct()
+        runs = [r[0] for r in fresh.select(run).distinct().collect()]  # the runs of one micro-batch
+        old = landed(batch.sparkSession, number).filter(F.col(run).isin(runs))
+        fresh.join(old, [*key, run], "left_anti").write.mode("overwrite").partitionBy(run).parquet(f"{out}/batch={number}")
+
+    for_each_batch(stream.select(*key, run), checkpoint, land)
+    return landed(stream.sparkSession)
 
 
 def verify_stream(stream: DataFrame, bodies: DataFrame, quote: str = "quote_text", body: str = "text", on: str = "posting_id") -> DataFrame:
@@ -64,28 +97,20 @@ def settle(landed: DataFrame, bodies: DataFrame) -> DataFrame:
     return sure.unionByName(late.select(*cols, "match_method", "verbatim_verified"))
 
 
-def mix_counts_stream(stream: DataFrame, by, id: str, salts: int = 16) -> DataFrame:
-    """T4: running counts per (group, salt), one row per group and micro-batch; read them with `mix_counts`.
+def mix_counts_stream(stream: DataFrame, by, out: str, checkpoint: str) -> None:
+    """T4: the counts of each micro-batch per group, landed as they come; read them with `mix_counts`.
 
-    The salt spreads a hot group over `salts` states. Only counts are kept on the stream; shares, medians and indices are
-    not incremental and are finished in batch by `share_of_mix`.
+    A batch is counted natively and no count is kept on the stream. Only counts are incremental; shares, medians and indices are finished in batch by `share_of_mix`.
     """
-    by = list(by)
-    keyed = stream.select(*by, F.pmod(F.xxhash64(id), F.lit(salts)).cast("int").alias("salt"))
-    schema = ", ".join([f"{c} string" for c in by] + ["salt int", "n bigint"])
-
-    def grow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = (state.get[0] if state.exists else 0) + sum(len(b) for b in batches)
-        state.update((n,))
-        yield pd.DataFrame([(*key, n)], columns=[*by, "salt", "n"])
+    def land(batch: DataFrame, number: int) -> None:
+        batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return keyed.groupBy(*by, "salt").applyInPandasWithState(grow, schema, "n bigint", "append", GroupStateTimeout.NoTimeout)
+    for_each_batch(stream.select(*by), checkpoint, land)
 
 
-def mix_counts(landed: DataFrame, by) -> DataFrame:
-    """T4: the counts now: the largest running count per salt, summed per group."""
-    last = landed.groupBy(*by, "salt").agg(F.max("n").alias("n"))
-    return last.groupBy(*by).agg(F.sum("n").alias("n"))
+def mix_counts(spark: SparkSession, out: str, by) -> DataFrame:
+    """T4: the counts now: those of all batches summed per group."""
+    return spark.read.option("basePath", out).parquet(out).groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def dedupe_news_stream(stream: DataFrame, ts: str = "published", days: int = cfg.NEWS_WINDOW_DAYS) -> DataFrame:

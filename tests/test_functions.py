@@ -83,7 +83,7 @@ def test_html_to_text(spark):
 
 
 def test_head_cells(spark):
-    assert one(spark, "PENDING-CLAY", text.head_text) is None
+    assert one(spark, "PENDING", text.head_text) is None
     assert one(spark, "Ann Lee – Site Head – EU", text.split_head).asDict() == {"name": "Ann Lee", "title": "Site Head – EU"}
     assert one(spark, "None identified", text.split_head) is None
     assert one(spark, "Unassigned", text.owner_of) is None

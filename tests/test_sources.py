@@ -10,12 +10,18 @@ from attesta.sources import exports, feeds, spine, tables
 
 
 def test_read_spine_files(spark, tmp_path):
-    (tmp_path / "us.csv").write_text('﻿Site map,,,\n\nAccount,Site,City,Verdict (AUTO GEN)\nAcme,"Plant, big\nnew",Town,KEEP\n,,,\nKeep,legend,,\nAcme,,Town,\n'
+    (tmp_path / "us.csv").write_text('﻿Site map,,,\n\nAccount,Site,City,Verdict\nAcme,"Plant, big\nnew",Town,KEEP\n,,,\nKeep,legend,,\nAcme,,Town,\n'
                                      'Bio,Lab,City,Flag: R&D\nMethod notes,x,,\nLate,Row,,KEEP\n', encoding="utf-8")
     got = spine.read_spine(spark, str(tmp_path / "us.csv")).select("account", "site", spine.spine_fit().alias("fit")).collect()
     assert sorted((r["account"], r["site"], r["fit"]) for r in got) == [("Acme", "Plant, big\nnew", "yes"), ("Bio", "Lab", "soft")]
 
 
+def test_wide_sheet_keeps_its_columns(spark, tmp_path):
+    wide = lambda a, s: ",".join(["x"] * 70 + [a, s])
+    (tmp_path / "wide.csv").write_text("\n".join([wide("Account", "Site"), wide("Acme", "Plant")]))
+    assert [(r["account"], r["site"]) for r in spine.read_spine(spark, str(tmp_path / "wide.csv")).collect()] == [("Acme", "Plant")]
+
+
 def test_read_accounts(spark, tmp_path):
     p = tmp_path / "a.csv"
     p.write_text("﻿Company,Exclude,HQ\nAcme Bio,x,Basel\nNova,,\n,,\n", encoding="utf-8")
