@@ -427,7 +427,8 @@ def test_signal_mart_folds_below_bar(spark):
     s = spark.createDataFrame([(str(i), "a", "publication" if i < 4 else "capex", f"t{i}", i) for i in range(20)], "signal_id string, account_id string, signal_type string, title string, seq int")
     ranks = spark.createDataFrame([("0", False, 2), ("2", True, 1)], "signal_id string, keep boolean, rank_in_account int")
     got = [(r["signal_id"], r["below_bar"]) for r in marts.signal_mart(s, ranks).orderBy("kind_order", "position").collect()]
-    assert got[:4] == [("2", False), ("1", False), ("3", False), ("0", True)] and len(got) == 4 + 12
+    assert got[:4] == [("2", False), ("1", False), ("3", False), ("0", True)] and len(got) == 4 + 16
+    assert marts.signal_mart(s, ranks, per_kind=12).count() == 4 + 12
 
 
 def test_unit_gap_flags_for_ghosts(spark):
