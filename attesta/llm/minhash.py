@@ -27,9 +27,9 @@ IDF = 0.5
 #: in 80 % of the samples share a band in all but 1 of 28,000 cases.
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
-#: Of the SAMPLES two documents must share so many, by four bits of each, before their texts are compared: fewer are shared twice in 10,000 times at a similarity of 0.8, twice in
-#: 100,000 at 0.85; so many twice in a thousand times by documents of a bucket that share a fifth.
-ALIKE = 18
+#: Documents of the buckets that may have a partner get so many more samples. Of all, two documents must share ALIKE, by four bits of each, before their texts are compared: fewer are shared
+#: twice in 10,000 times at a similarity of 0.8 and never seen at 0.85; so many in one of three times at 0.66, and once in 40 at 0.6.
+MORE, ALIKE = 128, 112
 #: Documents of a bucket that the others are compared with in each round.
 PIVOTS = (1, 256, 4096)
 
@@ -159,20 +159,21 @@ def _gamma() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.float32), (1 / q).astype(np.float32), np.log(q).astype(np.float32)
 
 
-def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows: int) -> np.ndarray:
-    """SAMPLES 64-bit values for each row: sample k is the shingle and step of the least a_k, which two rows share with the probability of their
+def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows: int, samples: int | None = None, first: int = 0) -> np.ndarray:
+    """SAMPLES 64-bit values for each row, or so many from the sample `first` on: sample k is the shingle and step of the least a_k, which two rows share with the probability of their
     weighted Jaccard similarity. Rows without shingles stay 0.
 
     For a shingle of weight w, with r, c ~ Gamma(2, 1) and b ~ U(0, 1) from its hash under seed k: t = floor(ln w / r + b), ln a = ln c - r (t - b + 1).
     """
-    out = np.zeros((n_rows, SAMPLES), A.U)
+    samples = SAMPLES if samples is None else samples
+    out = np.zeros((n_rows, samples), A.U)
     if not len(names):
         return out
     gamma, inverse, log_gamma = _gamma()
     logs, starts = np.log(weights).astype(np.float32), A.runs(rows)
     which, sizes = rows[starts], np.diff(np.append(starts, len(rows)))
-    seeds = A.mix(np.arange(1, SAMPLES + 1, dtype=A.U) * A.U(0x2545F4914F6CDD1D)) | A.U(1)
-    for k in range(SAMPLES):
+    seeds = A.mix(np.arange(first + 1, first + samples + 1, dtype=A.U) * A.U(0x2545F4914F6CDD1D)) | A.U(1)
+    for k in range(samples):
         h = names * seeds[k]
         h ^= h >> A.U(29)
         h *= A.U(0xBF58476D1CE4E5B9)
@@ -189,8 +190,8 @@ def signatures(names: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows:
         a *= gamma[low]
         np.subtract(log_gamma[quarters[:, 1]], a, out=a)
         least = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), sizes))
-        _, first = np.unique(rows[least], return_index=True)
-        at = least[first]
+        _, one = np.unique(rows[least], return_index=True)
+        at = least[one]
         out[which, k] = A.mix(names[at] + t[at].astype(np.int64).view(A.U) * A.STEP)
     return out
 
@@ -231,21 +232,21 @@ def _sign(width: int, weights: Weights):
 
 
 def nibbles(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each sample, as two 64-bit values for each row."""
-    out = np.zeros((len(signature), 2), A.U)
-    for k in range(SAMPLES):
+    """Four bits of each sample, as 64-bit values of 16 samples for each row."""
+    out = np.zeros((len(signature), signature.shape[1] // 16), A.U)
+    for k in range(signature.shape[1]):
         out[:, k // 16] |= (signature[:, k] & A.U(15)) << A.U(4 * (k % 16))
     return out
 
 
-def shared_samples(a: tuple[str, str], b: tuple[str, str]) -> Column:
+def shared_samples(a: list[str], b: list[str]) -> Column:
     """How many samples two rows share, by their four bits: nibbles whose exclusive or is 0."""
     differ = F.lit(0)
     for x, y in zip(a, b, strict=True):
         d = F.col(x).bitwiseXOR(F.col(y))
         d = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
         differ = differ + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
-    return F.lit(SAMPLES) - differ
+    return F.lit(16 * len(a)) - differ
 
 
 # --- What a document can share at all ---
@@ -263,25 +264,40 @@ def _ask_shared(width: int, groups: int):
     return run
 
 
-def _weigh_shared(width: int, weights: Weights):
-    """total and shared: the weight of all shingles of a document, and of those that another document has."""
+_MEASURED = "doc_id long, z binary, total double, shared double, more array<long>"
+
+
+def _weigh_shared(width: int, weights: Weights, threshold: float):
+    """total and shared: the weight of all shingles of a document, and of those that another document has. Documents go whose shared part is below the threshold; the others get more samples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, shared = [], []
-            for z, at in zip(batch.column("z").to_pylist(), batch.column("found_at").to_pylist(), strict=True):
-                _, own = weighted(X.unpressed(z), width, weights)
-                total.append(float(own.sum()))
-                shared.append(float(own[np.unique(np.frombuffer(at or b"", np.int64))].sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("z"), pa.array(total, pa.float64()), pa.array(shared, pa.float64())], names=["doc_id", "z", "total", "shared"])
+            texts = pa.array([X.unpressed(z) for z in batch.column("z").to_pylist()], pa.large_binary())
+            found = batch.column("found_at").to_pylist()
+            for a, b, data, offsets in A.text_blocks(texts, A.PIECE):
+                names, rows, copies = shingles(data, offsets, width)
+                own, first = weights(names, copies), np.searchsorted(rows, np.arange(b - a))
+                known = np.zeros(len(names), bool)
+                for k in range(a, b):
+                    known[first[k - a] + np.frombuffer(found[k] or b"", np.int64)] = True
+                total, shared = np.bincount(rows, own, b - a), np.bincount(rows, own * known, b - a)
+                able = np.flatnonzero((shared >= (threshold - 1e-9) * total) & (total > 0))
+                if not len(able):
+                    continue
+                number = np.full(b - a, -1)
+                number[able] = np.arange(len(able))
+                mine = number[rows] >= 0
+                more = nibbles(signatures(names[mine], number[rows[mine]], own[mine], len(able), MORE, SAMPLES)).view(np.int64)
+                part = batch.take(pa.array(a + able))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("z"), pa.array(total[able]), pa.array(shared[able]), pa.array(more.tolist(), pa.list_(pa.int64()))], names=["doc_id", "z", "total", "shared", "more"])
     return run
 
 
-def measured(bodies: DataFrame, width: int, weights: Weights, groups: int) -> DataFrame:
-    """bodies (doc_id, z) with `total` and `shared`. A similarity can't exceed what is shared: m / (total_a + total_b - m), with m the smaller `shared` of two, so a document that
-    shares a passage, or was edited much, has no partner whoever it meets."""
+def measured(bodies: DataFrame, width: int, weights: Weights, groups: int, threshold: float) -> DataFrame:
+    """bodies (doc_id, z) that may have a partner, with `total`, `shared` and more samples. A similarity can't exceed what is shared: m / (total_a + total_b - m), with m the smaller `shared` of two, so a
+    document that shares a passage, or was edited much, has no partner whoever it meets."""
     asked = X.dealt(bodies.mapInArrow(_ask_shared(width, groups), X.ROWS), groups, answer_repeated(groups))
     found = X.per_document(asked, groups, {X.FOUND: ("found", A.U)}).select("doc_id", "found_at")
-    return bodies.join(found, "doc_id", "left").select("doc_id", "z", "found_at").mapInArrow(_weigh_shared(width, weights), "doc_id long, z binary, total double, shared double")
+    return bodies.join(found, "doc_id", "left").select("doc_id", "z", "found_at").mapInArrow(_weigh_shared(width, weights, threshold), _MEASURED)
 
 
 # --- Verification ---
@@ -335,8 +351,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     buckets = stored(entries.join(shared, ["band", "key"], "left_semi"))
     members = buckets.select(F.col("doc").alias("doc_id")).distinct()
     found = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
-    able = F.col("shared") >= F.lit(threshold - 1e-9) * F.col("total")
-    bodies = stored(measured(found, width, weights, A.groups_for(docs)).filter(able))
+    bodies = stored(measured(found, width, weights, A.groups_for(docs), threshold))
 
     def compared(pairs: DataFrame) -> tuple[DataFrame, dict]:
         a, b = (bodies.select(F.col("doc_id").alias(x), F.col("z").alias(f"z{x}")) for x in "ab")
@@ -345,17 +360,19 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
 
     # what a member of a bucket carries: its bound, its samples, and the keys of all its bands, so that a pair is taken in the first of its buckets only
     short = F.transform(F.slice("keys", 3, len(bands())), lambda k: k.bitwiseAND(F.lit(0xFFFFFFF)).cast("int"))
-    carried = distinct.select(F.col("rep").alias("doc"), F.col("keys")[0].alias("s0"), F.col("keys")[1].alias("s1"), short.alias("own")).join(
-        bodies.select(F.col("doc_id").alias("doc"), "total", "shared"), "doc")
+    samples = [f"s{i}" for i in range((SAMPLES + MORE) // 16)]
+    carried = distinct.select(F.col("rep").alias("doc"), F.slice("keys", 1, SAMPLES // 16).alias("some"), short.alias("own")).join(
+        bodies.select(F.col("doc_id").alias("doc"), "total", "shared", "more"), "doc").withColumn("all", F.concat("some", "more"))
+    carried = carried.select("doc", "own", "total", "shared", *(F.col("all")[i].alias(c) for i, c in enumerate(samples)))
     empty = docs.sparkSession.createDataFrame([], "a long, b long, hit boolean")
     tested, labels = empty.drop("hit"), empty.select(F.col("a").alias("node"), F.col("b").alias("label"))
     active = buckets.join(carried, "doc").withColumn("label", F.col("doc"))
-    kept = ["band", "key", "doc", "s0", "s1", "own", "total", "shared"]
+    kept = ["band", "key", "doc", "own", "total", "shared", *samples]
     for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
         order = Window.partitionBy("band", "key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
         chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("band", "key", *(F.col(c).alias(f"p_{c}") for c in (*kept[2:], "label")))
         most = F.least("shared", "p_shared")
-        like = (shared_samples(("s0", "s1"), ("p_s0", "p_s1")) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
+        like = (shared_samples(samples, [f"p_{c}" for c in samples]) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
         first = F.array_position(F.zip_with("own", "p_own", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
         meets = chosen.join(active, ["band", "key"]).filter((F.col("p_doc") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like & first)
         meets = meets.select(F.least("p_doc", "doc").alias("a"), F.greatest("p_doc", "doc").alias("b")).distinct()

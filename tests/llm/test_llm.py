@@ -356,7 +356,7 @@ def test_shared_samples_are_counted_natively(spark):
     s[1::2] = np.where(rng.random((20, minhash.SAMPLES)) < 0.6, s[::2], s[1::2])
     n = minhash.nibbles(s).view(np.int64)
     pairs = spark.createDataFrame([(*n[i].tolist(), *n[i + 1].tolist(), int(((s[i] ^ s[i + 1]) & np.uint64(15) == 0).sum())) for i in range(0, 40, 2)], "a0 long, a1 long, b0 long, b1 long, want int")
-    assert pairs.filter(minhash.shared_samples(("a0", "a1"), ("b0", "b1")) != F.col("want")).count() == 0
+    assert pairs.filter(minhash.shared_samples(["a0", "a1"], ["b0", "b1"]) != F.col("want")).count() == 0
 
 
 def test_a_hot_passage_makes_few_pairs(spark, monkeypatch):
