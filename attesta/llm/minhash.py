@@ -89,8 +89,8 @@ def _count_block(width: int, groups: int):
     return run
 
 
-def _sum_counts(most: int):
-    """The `most` names of a group with the highest counts; as name -1 all its pairs, as -2 the count of the first name that is left out."""
+def _sum_counts(groups: int, slack: float):
+    """The names of a group with a count above the floor that its own pairs let expect, divided by `slack`; as name -1 all its pairs, as -2 the highest count that is left out."""
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         names, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for x, y in zip(table.column("names").to_pylist(), table.column("counts").to_pylist(), strict=True):
@@ -100,10 +100,8 @@ def _sum_counts(most: int):
         order = np.argsort(name, kind="stable")
         name, starts = name[order], A.runs(name[order])
         total = np.add.reduceat(count[order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
-        top = np.lexsort((name[starts], -total))[:most + 1]
-        top = top[total[top] > 1]
-        left = int(total[top[most]]) if len(top) > most else 0
-        kept = top[:most]
+        above = total > max(1.0, float(total.sum()) * groups / HEAVY / slack)
+        left, kept = int(total[~above].max(initial=0)), np.flatnonzero(above)
         rows = len(kept) + 2
         yield pa.RecordBatch.from_arrays([pa.array(np.full(rows, table.column("grp")[0].as_py()), pa.int32()), pa.array(np.concatenate([name[starts][kept], [-1, -2]]), pa.int64()),
                          pa.array(np.concatenate([total[kept], [int(total.sum()), left]]), pa.int64())], names=["grp", "short", "df"])
@@ -133,18 +131,18 @@ class Weights:
 def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
     """Counts, over all documents, in how many each shingle stands, and keeps the counts above the floor: fewer than HEAVY by their sum.
 
-    A block of texts sends its distinct shingles with their counts, 32 bits of a name beside its group, as sorted differences. A group answers with its most frequent
-    names, twice as many as its even share of HEAVY; should one have left out a name above the floor, all are asked for more.
+    A block of texts sends its distinct shingles with their counts, 32 bits of a name beside its group, as sorted differences. A group answers with the names above a quarter of
+    the floor that it expects; should one have left out a name above the real floor, all are asked for more.
     """
     groups = A.groups_for(docs)
     blocks = A.texts_only(docs, id_col, text_col).mapInArrow(_count_block(width, groups), _COUNTS)
-    most = 2 * HEAVY // groups + 16
+    slack = 4.0
     while True:
-        told = X.dealt(blocks, groups, _sum_counts(most), "grp int, short long, df long").toPandas()
+        told = X.dealt(blocks, groups, _sum_counts(groups, slack), "grp int, short long, df long").toPandas()
         floor = max(1.0, float(told["df"][told["short"] == -1].sum()) / HEAVY)
         if not (told["df"][told["short"] == -2] > floor).any():
             break
-        most *= 8
+        slack *= 8
     heavy = told[(told["short"] >= 0) & (told["df"] > floor)]
     return Weights(groups, docs.count(), floor, *(heavy[c].to_numpy() for c in ("grp", "short", "df")))
 
