@@ -123,11 +123,13 @@ def detect(words: bytes) -> list[tuple[int, int, Rule]]:
     return sorted(kept, key=lambda k: k[:2])
 
 
-#: One of these has to stand in a text before its words are joined and the rules are tried.
-GATE = re.compile("|".join(sorted({r"licen[sc]e", "spdx", "creative", "rights", r"cc.{1,3}by", "cc0", "unlicense", "wtfpl", "odbl", "cddl", "public domain", "proprietary", "copyright", "berkeley", "gnu", "reproduced",
-                                   "domain", r"\.org"})).encode(), re.S)
+#: One of these has to stand among the joined words of a text before the rules are tried; the base phrases are looked for in every text.
+GATE = re.compile("|".join(sorted({r"licen[sc]e", "spdx", "creative", "rights", "cc by", "cc0", "unlicense", "wtfpl", "odbl", "cddl", "public domain", "proprietary", "copyright", "berkeley", "gnu", "reproduced",
+                                   "domain", " org "})).encode())
 SCHEMA = "doc_id long, n_words long, base array<struct<word: long, label: string>>, detections array<struct<first: long, last: long, label: string, form: string, confidence: double>>"
-_BASE = [(p.encode(), len(p.split()), label) for p, label in BASE.items()]
+_BASE = [(b" " + p.encode() + b" ", label) for p, label in BASE.items()]
+#: Lowers A-Z and makes a space of every byte outside words, so that one space is left between words once runs of them are shortened.
+_SPACED = bytes(np.where(A.ALNUM, A.LOWER, ord(" ")).astype(np.uint8))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,26 +138,27 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for a, b, data, offsets in A.text_blocks(A.as_texts(batch.column(1))):
-            data = A.LOWER[data]
-            starts, ends, first = A.words_of(data, offsets, A.ALNUM)
-            raw, base, detections = data.tobytes(), [], []
+            raw, sizes, base, detections = data.tobytes().translate(_SPACED), [], [], []
             for k in range(b - a):
-                places, found = [], []
-                if GATE.search(raw, offsets[k], offsets[k + 1]) or b"reserved" in raw[offsets[k]:offsets[k + 1]]:
-                    s, e = starts[first[k]:first[k + 1]], ends[first[k]:first[k + 1]]
-                    joined = b" ".join([raw[x:y] for x, y in zip(s, e, strict=True)])
-                    at = np.cumsum(np.concatenate([[0], e - s + 1]))  # where each word starts in what is joined
-                    padded = b" " + joined + b" "
-                    for phrase, _, label in _BASE:
-                        i = padded.find(needle := b" " + phrase + b" ")
+                joined, places, found = raw[offsets[k]:offsets[k + 1]].strip(), [], []
+                while b"  " in joined:
+                    joined = joined.replace(b"  ", b" ")
+                padded = b" " + joined + b" "
+                detected = detect(joined) if GATE.search(padded) else []
+                hits = [(needle, label) for needle, label in _BASE if needle in padded]
+                if hits or detected:
+                    at = np.concatenate([[0], np.flatnonzero(np.frombuffer(joined, np.uint8) == ord(" ")) + 1])  # where each word starts in what is joined
+                    for needle, label in hits:
+                        i = padded.find(needle)
                         while i >= 0:
                             places.append((int(np.searchsorted(at, i)), label))
                             i = padded.find(needle, i + 1)
                     places.sort()
-                    found = [(int(np.searchsorted(at, x)), int(np.searchsorted(at, y, "right")) - 1 if y < len(joined) else len(s) - 1, r.label, r.form, r.confidence) for x, y, r in detect(joined)]
+                    found = [(int(np.searchsorted(at, x)), int(np.searchsorted(at, y)) - 1, r.label, r.form, r.confidence) for x, y, r in detected]
+                sizes.append(joined.count(b" ") + 1 if joined else 0)
                 base.append([{"word": w, "label": x} for w, x in places])
                 detections.append([dict(zip(("first", "last", "label", "form", "confidence"), f, strict=True)) for f in found])
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(np.diff(first), pa.int64()), pa.array(base, pa.list_(kind)), pa.array(detections, pa.list_(kind2))],
+            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(base, pa.list_(kind)), pa.array(detections, pa.list_(kind2))],
                                              names=["doc_id", "n_words", "base", "detections"])
 
 

@@ -590,6 +590,20 @@ def test_base_phrases_equal_brute_force(spark, docs, rows):
         assert all(0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) for r in got)
 
 
+def test_words_of_a_base_phrase_stand_any_distance_apart(spark):
+    gaps = [" ", " -- ", "\n\n    ", " \t.;:!?-" * 50, "\r\n" * 3000]
+    texts = [start + gap.join(phrase.split()) + end for phrase in licenses.BASE for gap in gaps for start, end in (("", ""), ("under", ""), ("under ", " 4"), ("* Some WORDS, ", " --  "))]
+    given = [(i, t) for i, t in enumerate(texts)]
+    want = {}
+    for i, t in given:
+        w = ALNUM.findall(t.translate(LOWER))
+        want[i] = (len(w), [(k, label) for phrase, label in licenses.BASE.items() for k in range(len(w)) if w[k:k + len(phrase.split())] == phrase.split()])
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    assert {i: (r["n_words"], [tuple(b) for b in r["base"]]) for i, r in got.items()} == want
+    assert sum(bool(places) for _, places in want.values()) == len(texts) * 3 // 4
+    assert all({b["label"] for b in r["base"]} <= {d["label"] for d in r["detections"]} for r in got.values() if r["base"] and r["base"][0]["label"] != "gpl")
+
+
 def test_rules_and_suppression():
     assert len(licenses.rules()) > 300
     label = lambda t: [(r.label, r.form) for _, _, r in licenses.detect(" ".join(ALNUM.findall(t.translate(LOWER))).encode())]
