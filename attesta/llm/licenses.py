@@ -1,4 +1,4 @@
-"""License scans: ordered signature rules behind a keyword filter, with priorities and suppression of contained detections."""
+"""License scans: ordered signature rules behind literals that they contain, with priorities and suppression of contained detections."""
 
 from __future__ import annotations
 
@@ -16,52 +16,52 @@ from attesta.llm import arrays as A
 #: The phrases whose places every document reports, and their labels (fixed values).
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Licences by label: (keyword without which no rule of the licence is tried, names in running text as patterns over words, versions). The hundreds of
-#: rules come from these by `rules()`: a name, a name with each version, a notice, an SPDX tag, an address.
-LICENSES: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
-    "apache": ("apache", ("apache (?:software )?license",), ("1 0", "1 1", "2 0")),
-    "mit": ("mit", ("mit license", "mit licence", "expat license"), ("0",)),
-    "bsd": ("bsd", ("bsd license", "bsd style license", "berkeley software distribution"), ("2 clause", "3 clause", "4 clause", "0 clause")),
-    "gpl": ("gnu", ("gnu general public licen[sc]e", "gnu gpl"), ("1 0", "2", "2 0", "3", "3 0")),
-    "lgpl": ("gnu", ("gnu (?:lesser|library) general public licen[sc]e", "gnu lgpl"), ("2", "2 0", "2 1", "3", "3 0")),
-    "agpl": ("affero", ("(?:gnu )?affero general public licen[sc]e",), ("1 0", "3", "3 0")),
-    "gfdl": ("gnu", ("gnu free documentation licen[sc]e",), ("1 1", "1 2", "1 3")),
-    "mpl": ("mozilla", ("mozilla public licen[sc]e",), ("1 0", "1 1", "2 0")),
-    "epl": ("eclipse", ("eclipse public licen[sc]e",), ("1 0", "2 0")),
-    "cddl": ("cddl", ("common development and distribution licen[sc]e", "cddl"), ("1 0", "1 1")),
-    "cpl": ("common", ("common public licen[sc]e",), ("1 0",)),
-    "eupl": ("european", ("european union public licen[sc]e",), ("1 0", "1 1", "1 2")),
-    "isc": ("isc", ("isc licen[sc]e",), ()),
-    "zlib": ("zlib", ("zlib licen[sc]e", "zlib libpng licen[sc]e"), ()),
-    "artistic": ("artistic", ("artistic licen[sc]e",), ("1 0", "2 0")),
-    "boost": ("boost", ("boost software licen[sc]e",), ("1 0",)),
-    "unlicense": ("unlicense", ("the unlicense",), ()),
-    "wtfpl": ("wtfpl", ("wtfpl",), ("1", "2")),
-    "psf": ("python", ("python software foundation licen[sc]e", "psf licen[sc]e"), ("2",)),
-    "php": ("php", ("php licen[sc]e",), ("3 0", "3 01")),
-    "ofl": ("sil", ("sil open font licen[sc]e",), ("1 0", "1 1")),
-    "odbl": ("odbl", ("open database licen[sc]e", "odbl"), ("1 0",)),
-    "odc-by": ("odc", ("open data commons attribution licen[sc]e",), ("1 0",)),
-    "ogl": ("government", ("open government licen[sc]e",), ("1 0", "2 0", "3 0")),
-    "cc0": ("cc0", ("cc0", "creative commons zero"), ("1 0",)),
-    "cc-by-nc-nd": ("nc", ("cc by nc nd", "creative commons attribution non ?commercial no ?deriv(?:ative)?s"), ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by-nc-sa": ("nc", ("cc by nc sa", "creative commons attribution non ?commercial share ?alike"), ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by-nc": ("nc", ("cc by nc", "creative commons attribution non ?commercial"), ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by-nd": ("nd", ("cc by nd", "creative commons attribution no ?deriv(?:ative)?s"), ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by-sa": ("sa", ("cc by sa", "creative commons attribution share ?alike"), ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by": ("by", ("cc by", "creative commons attribution"), ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    "ms-pl": ("microsoft", ("microsoft public licen[sc]e",), ()),
-    "ms-rl": ("microsoft", ("microsoft reciprocal licen[sc]e",), ()),
-    "osl": ("open", ("open software licen[sc]e",), ("1 0", "2 0", "3 0")),
-    "afl": ("academic", ("academic free licen[sc]e",), ("2 0", "2 1", "3 0")),
-    "upl": ("universal", ("universal permissive licen[sc]e",), ("1 0",)),
-    "ncsa": ("ncsa", ("(?:university of illinois )?ncsa open source licen[sc]e",), ()),
-    "postgresql": ("postgresql", ("postgresql licen[sc]e",), ()),
-    "openssl": ("openssl", ("openssl licen[sc]e",), ()),
-    "public-domain": ("domain", ("released into the public domain", "(?:is|are) in the public domain", "public domain dedication"), ()),
-    "proprietary": ("proprietary", ("proprietary and confidential", "proprietary licen[sc]e"), ()),
-    "reserved": ("reserved", ("all rights reserved", "no part of this (?:work|publication|document) may be reproduced"), ()),
-    "copyright": ("copyright", (r"copyright(?: c)? (?:19|20)\d\d", "copyright notice"), ()),
+#: Licences by label: (names in running text as patterns over words, versions). The hundreds of rules come from these by `rules()`: a name, a name with each
+#: version, a notice, an SPDX tag, an address.
+LICENSES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "apache": (("apache (?:software )?license",), ("1 0", "1 1", "2 0")),
+    "mit": (("mit license", "mit licence", "expat license"), ("0",)),
+    "bsd": (("bsd license", "bsd style license", "berkeley software distribution"), ("2 clause", "3 clause", "4 clause", "0 clause")),
+    "gpl": (("gnu general public licen[sc]e", "gnu gpl"), ("1 0", "2", "2 0", "3", "3 0")),
+    "lgpl": (("gnu (?:lesser|library) general public licen[sc]e", "gnu lgpl"), ("2", "2 0", "2 1", "3", "3 0")),
+    "agpl": (("(?:gnu )?affero general public licen[sc]e",), ("1 0", "3", "3 0")),
+    "gfdl": (("gnu free documentation licen[sc]e",), ("1 1", "1 2", "1 3")),
+    "mpl": (("mozilla public licen[sc]e",), ("1 0", "1 1", "2 0")),
+    "epl": (("eclipse public licen[sc]e",), ("1 0", "2 0")),
+    "cddl": (("common development and distribution licen[sc]e", "cddl"), ("1 0", "1 1")),
+    "cpl": (("common public licen[sc]e",), ("1 0",)),
+    "eupl": (("european union public licen[sc]e",), ("1 0", "1 1", "1 2")),
+    "isc": (("isc licen[sc]e",), ()),
+    "zlib": (("zlib licen[sc]e", "zlib libpng licen[sc]e"), ()),
+    "artistic": (("artistic licen[sc]e",), ("1 0", "2 0")),
+    "boost": (("boost software licen[sc]e",), ("1 0",)),
+    "unlicense": (("the unlicense",), ()),
+    "wtfpl": (("wtfpl",), ("1", "2")),
+    "psf": (("python software foundation licen[sc]e", "psf licen[sc]e"), ("2",)),
+    "php": (("php licen[sc]e",), ("3 0", "3 01")),
+    "ofl": (("sil open font licen[sc]e",), ("1 0", "1 1")),
+    "odbl": (("open database licen[sc]e", "odbl"), ("1 0",)),
+    "odc-by": (("open data commons attribution licen[sc]e",), ("1 0",)),
+    "ogl": (("open government licen[sc]e",), ("1 0", "2 0", "3 0")),
+    "cc0": (("cc0", "creative commons zero"), ("1 0",)),
+    "cc-by-nc-nd": (("cc by nc nd", "creative commons attribution non ?commercial no ?deriv(?:ative)?s"), ("2 0", "2 5", "3 0", "4 0")),
+    "cc-by-nc-sa": (("cc by nc sa", "creative commons attribution non ?commercial share ?alike"), ("2 0", "2 5", "3 0", "4 0")),
+    "cc-by-nc": (("cc by nc", "creative commons attribution non ?commercial"), ("2 0", "2 5", "3 0", "4 0")),
+    "cc-by-nd": (("cc by nd", "creative commons attribution no ?deriv(?:ative)?s"), ("2 0", "2 5", "3 0", "4 0")),
+    "cc-by-sa": (("cc by sa", "creative commons attribution share ?alike"), ("2 0", "2 5", "3 0", "4 0")),
+    "cc-by": (("cc by", "creative commons attribution"), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    "ms-pl": (("microsoft public licen[sc]e",), ()),
+    "ms-rl": (("microsoft reciprocal licen[sc]e",), ()),
+    "osl": (("open software licen[sc]e",), ("1 0", "2 0", "3 0")),
+    "afl": (("academic free licen[sc]e",), ("2 0", "2 1", "3 0")),
+    "upl": (("universal permissive licen[sc]e",), ("1 0",)),
+    "ncsa": (("(?:university of illinois )?ncsa open source licen[sc]e",), ()),
+    "postgresql": (("postgresql licen[sc]e",), ()),
+    "openssl": (("openssl licen[sc]e",), ()),
+    "public-domain": (("released into the public domain", "(?:is|are) in the public domain", "public domain dedication"), ()),
+    "proprietary": (("proprietary and confidential", "proprietary licen[sc]e"), ()),
+    "reserved": (("all rights reserved", "no part of this (?:work|publication|document) may be reproduced"), ()),
+    "copyright": ((r"copyright(?: c)? (?:19|20)\d\d", "copyright notice"), ()),
 }
 
 #: Rule forms by rising priority: a longer, more specific statement outweighs the bare name inside it. (form, confidence)
@@ -70,41 +70,55 @@ FORMS = (("name", 0.6), ("version", 0.8), ("notice", 0.9), ("tag", 0.95), ("addr
 
 @dataclass(frozen=True)
 class Rule:
+    """`literal` stands in whatever `pattern` matches."""
+
     label: str
     form: str
     priority: int
     confidence: float
-    keyword: str
+    literal: str
     pattern: str
 
 
+def literal_of(pattern: str) -> str:
+    """The longest run of characters that every match of the pattern contains: neither in a group or a class nor optional."""
+    left, before = pattern, None
+    while left != before:
+        left, before = re.sub(r"\([^()]*\)[?*+]?", "\0", left), left
+    left = re.sub(r"(?:\[[^\]]*\]|\\.)[?*+]?|.[?*]", "\0", left)
+    if re.search(r"[][(){}|+\\^$.]", left):
+        raise ValueError(f"no literal can be read from {pattern!r}")
+    return max(left.split("\0"), key=len)
+
+
 @lru_cache(1)
 def rules() -> tuple[Rule, ...]:
-    """All rules in order. Patterns match the words of a text, lowered and joined by one space, from word to word."""
+    """All rules in order. Patterns match the words of a text, lowered and joined by one space, from word to word. The literal of a name, a version or a
+    notice is that of the name, which all three contain."""
     out = []
-    for label, (keyword, names, versions) in LICENSES.items():
+    for label, (names, versions) in LICENSES.items():
         spdx = re.escape(label.replace("-", " "))
         for p, (form, confidence) in enumerate(FORMS):
             if form == "name":
-                patterns = list(names)
+                patterns = [(literal_of(n), n) for n in names]
             elif form == "version":
-                patterns = [f"{n}(?: version)?(?: v)? v?{v}(?: only| or later| or any later version)?" for n in names for v in versions]
+                patterns = [(literal_of(n), f"{n}(?: version)?(?: v)? v?{v}(?: only| or later| or any later version)?") for n in names for v in versions]
             elif form == "notice":
-                patterns = [f"(?:licensed|released|distributed|published|available|provided|redistributed) under (?:the )?(?:terms of )?(?:the )?{n}(?: (?:version |v)?\\d[\\d ]*)?" for n in names]
+                patterns = [(literal_of(n), f"(?:licensed|released|distributed|published|available|provided|redistributed) under (?:the )?(?:terms of )?(?:the )?{n}(?: (?:version |v)?\\d[\\d ]*)?") for n in names]
             elif form == "tag":
-                patterns = [f"spdx license identifier {spdx}(?: [\\d.]+(?: \\d+)?)?(?: only| or later)?"]
+                patterns = [("spdx license identifier ", f"spdx license identifier {spdx}(?: [\\d.]+(?: \\d+)?)?(?: only| or later)?")]
             else:
-                patterns = [f"(?:https? )?(?:www )?(?:opensource org|spdx org|creativecommons org|gnu org|apache org) licen[sc]es {spdx}(?: \\d+ \\d+)?"]
-            out += [Rule(label, form, p, confidence, "spdx" if form == "tag" else " org " if form == "address" else keyword, x) for x in patterns]
+                patterns = [(" org licen", f"(?:https? )?(?:www )?(?:opensource org|spdx org|creativecommons org|gnu org|apache org) licen[sc]es {spdx}(?: \\d+ \\d+)?")]
+            out += [Rule(label, form, p, confidence, literal, x) for literal, x in patterns]
     return tuple(out)
 
 
 @lru_cache(1)
 def _compiled():
-    """Rules by keyword, patterns compiled over bytes and bounded by words."""
+    """Rules by literal, patterns compiled over bytes and bounded by words."""
     by: dict[bytes, list] = {}
     for order, r in enumerate(rules()):
-        by.setdefault(r.keyword.encode(), []).append((order, r, re.compile(b"(?:(?<=^)|(?<= ))(?:" + r.pattern.encode() + b")(?= |$)")))
+        by.setdefault(r.literal.encode(), []).append((order, r, re.compile(b"(?:(?<=^)|(?<= ))(?:" + r.pattern.encode() + b")(?= |$)")))
     return by
 
 
@@ -115,7 +129,7 @@ def detect(words: bytes) -> list[tuple[int, int, Rule]]:
     inside a notice gives one detection, and "cc by" inside "cc by sa" none of its own.
     """
     found = [(-r.priority, -(m.end() - m.start()), order, m.start(), m.end(), r)
-             for keyword, own in _compiled().items() if keyword in words for order, r, pattern in own for m in pattern.finditer(words)]
+             for literal, own in _compiled().items() if literal in words for order, r, pattern in own for m in pattern.finditer(words)]
     kept: list[tuple[int, int, Rule]] = []
     for _, _, _, s, e, r in sorted(found, key=lambda f: f[:5]):
         if not any(a <= s and e <= b for a, b, _ in kept):
@@ -123,9 +137,6 @@ def detect(words: bytes) -> list[tuple[int, int, Rule]]:
     return sorted(kept, key=lambda k: k[:2])
 
 
-#: One of these has to stand among the joined words of a text before the rules are tried; the base phrases are looked for in every text.
-GATE = re.compile("|".join(sorted({r"licen[sc]e", "spdx", "creative", "rights", "cc by", "cc0", "unlicense", "wtfpl", "odbl", "cddl", "public domain", "proprietary", "copyright", "berkeley", "gnu", "reproduced",
-                                   "domain", " org "})).encode())
 SCHEMA = "doc_id long, n_words long, base array<struct<word: long, label: string>>, detections array<struct<first: long, last: long, label: string, form: string, confidence: double>>"
 _BASE = [(b" " + p.encode() + b" ", label) for p, label in BASE.items()]
 #: Lowers A-Z and makes a space of every byte outside words, so that one space is left between words once runs of them are shortened.
@@ -144,7 +155,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 while b"  " in joined:
                     joined = joined.replace(b"  ", b" ")
                 padded = b" " + joined + b" "
-                detected = detect(joined) if GATE.search(padded) else []
+                detected = detect(joined)
                 hits = [(needle, label) for needle, label in _BASE if needle in padded]
                 if hits or detected:
                     at = np.concatenate([[0], np.flatnonzero(np.frombuffer(joined, np.uint8) == ord(" ")) + 1])  # where each word starts in what is joined

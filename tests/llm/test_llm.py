@@ -604,6 +604,38 @@ def test_words_of_a_base_phrase_stand_any_distance_apart(spark):
     assert all({b["label"] for b in r["base"]} <= {d["label"] for d in r["detections"]} for r in got.values() if r["base"] and r["base"][0]["label"] != "gpl")
 
 
+def written(pattern: str) -> set[str]:
+    """The texts that a rule's pattern stands for, with a digit for any digits."""
+    for found in (r"\(\?:([^()]*)\)(\?)?", r"\[([sc])([sc])\]", r"(?<!\\)([a-z ])(\?)"):
+        if m := re.search(found, pattern):
+            options = m[1].split("|") + ([""] if m[2] == "?" else [m[2]] if m[2] else [])
+            return set().union(*(written(pattern[:m.start()] + x + pattern[m.end():]) for x in options))
+    for part, text in ((r"[\d ]*", ""), (r"[\d.]+", "9"), (r"\d+", "9"), (r"\d", "9"), ("\\ ", " ")):
+        pattern = pattern.replace(part, text)
+    return {pattern}
+
+
+def test_every_name_is_found_in_a_text_that_holds_nothing_else():
+    import pyarrow as pa
+    wanted = {(r.label, text) for r in licenses.rules() if r.form == "name" for text in written(r.pattern)}
+    assert {"expat license", "psf licence", "creative commons zero", "creative commons attribution noncommercial noderivs", "no part of this work may be reproduced", "copyright 1999"} <= {t for _, t in wanted}
+    labels, texts = zip(*sorted(wanted), strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    found = [row["detections"] for out in licenses._scan(iter([batch])) for row in out.to_pylist()]
+    missed = [(label, text) for label, text, d in zip(labels, texts, found, strict=True) if (0, len(text.split()) - 1, label) not in {(x["first"], x["last"], x["label"]) for x in d}]
+    assert missed == []
+
+
+def test_a_rule_stands_behind_a_literal_of_its_own_pattern():
+    for r in licenses.rules():
+        texts = written(r.pattern)
+        assert all(re.fullmatch(r.pattern, t) and r.literal in t for t in texts) and len(r.literal) > 2, (r.label, r.form)
+    for pattern, literal in (("a licen[sc]e", "a licen"), ("ab?cd", "cd"), ("(?:x (?:y )?)?abc", "abc"), (r"ab \d+ c", "ab ")):
+        assert licenses.literal_of(pattern) == literal
+    with pytest.raises(ValueError):
+        licenses.literal_of("one licence|another")
+
+
 def test_rules_and_suppression():
     assert len(licenses.rules()) > 300
     label = lambda t: [(r.label, r.form) for _, _, r in licenses.detect(" ".join(ALNUM.findall(t.translate(LOWER))).encode())]
