@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,14 +16,15 @@ from attesta.llm import arrays as A
 
 #: Labelled rows of a language that the model is fitted to, and how many of them are landmarks. The bound is the sample's, not the corpus's.
 SAMPLE, LANDMARKS = 150, 40
-#: A labelled row in the sample counts in so many code points from a place that its hash gives: it is training material, predictions read whole texts.
+#: A labelled row in the sample counts in so many code points from a place that its hash gives: it is training material. Predictions read whole texts, in stretches
+#: of so many at most: what share of the features occurs depends on the length, so stretches are compared with stretches.
 SAMPLE_CHARS = 4000
 #: n-grams of 1 to GRAMS bytes of the lowered text, hashed to this many features.
 GRAMS, FEATURES = 3, 1 << 13
 RIDGE = 1e-2
 #: How steep the score rises with the margin between the two best classes.
 STEEP = 4.0
-#: Documents in one matrix product.
+#: Stretches of documents in one matrix product.
 ROWS = 128
 UNKNOWN = "und"
 
@@ -61,8 +63,10 @@ class Model:
     landmarks: np.ndarray
     weights: np.ndarray
 
-    def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        values = rows @ self.landmarks @ self.weights
+    def values(self, rows: np.ndarray) -> np.ndarray:
+        return rows @ self.landmarks @ self.weights
+
+    def predict(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best = values.argmax(axis=1)
         e = np.exp(STEEP * (values - values.max(axis=1, keepdims=True)))
         return best, 1 / e.sum(axis=1)
@@ -120,14 +124,28 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(sample["text"].tolist(), sample["label"].tolist())
 
 
+def stretches(text: str) -> Iterator[tuple[str, int]]:
+    """The whole text in stretches of about equal length, none longer than SAMPLE_CHARS but for the characters that n-grams over its end need, and the letters
+    of each: tables and ids between the prose of a long text have no say. A single stretch counts as it is."""
+    n = max(1, -(-len(text) // SAMPLE_CHARS))
+    for k in range(n):
+        part = text[len(text) * k // n:len(text) * (k + 1) // n + (GRAMS - 1 if n > 1 else 0)]
+        if weight := sum(map(str.isalpha, part)) if n > 1 else 1:
+            yield part, weight
+
+
 def classify_texts(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
-    """Label and score of whole texts, some at a time in one matrix product."""
+    """Label and score of whole texts by what the model gives their stretches, a mean by letters; some stretches at a time in one matrix product."""
     labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.languages else []
-    for a in range(0, len(known), ROWS):
-        part = known[a:a + ROWS]
-        best, score = model.predict(presence([texts[i] for i in part]))
-        for i, b, s in zip(part, best, score, strict=True):
+    if known:
+        values, weights = np.zeros((len(known), len(model.languages))), np.zeros(len(known))
+        parts = ((k, *x) for k, i in enumerate(known) for x in stretches(texts[i]))
+        while some := list(itertools.islice(parts, ROWS)):
+            of, part, weight = zip(*some, strict=True)
+            np.add.at(values, np.array(of), model.values(presence(list(part))) * np.array(weight)[:, None])
+            np.add.at(weights, np.array(of), weight)
+        for i, b, s in zip(known, *model.predict(values / weights[:, None]), strict=True):
             labels[i], scores[i] = model.languages[b], float(min(max(s, 0.0), 1.0))
     return labels, scores
 

@@ -429,6 +429,32 @@ def test_held_out_accuracy_and_odd_texts(spark):
     assert [r["doc_id"] for r in language.keep_languages(odd, model).orderBy("doc_id").collect()] == [4, 5]
 
 
+def test_long_texts_score_like_short_ones_and_stay(spark):
+    if not os.path.isdir(FOLDER):
+        pytest.skip("no test tables")
+    rng, table = random.Random(3), spark.read.parquet(f"{FOLDER}/documents.parquet")
+    words = collections.defaultdict(list)
+    for r in table.filter("lang is not null").orderBy("doc_id").collect():
+        words[r["lang"]] += r["text"].split(" ")
+    long, size = [], 15_000_000
+    for lang, w in sorted(words.items()):
+        plain = [x for _, x in zip(range(400_000), itertools.cycle(w))]
+        ids = [f"{x} {rng.getrandbits(128):032x}" if k % 12 == 0 else x for k, x in enumerate(plain)]
+        tables = [" ".join(plain[:100_000]), " ".join(f"{rng.random():.6f}" for _ in range(200_000))]
+        long += [(lang, " ".join(plain)), (lang, " ".join(ids)), (lang, "\n".join(tables))]
+    lang = "en" if "en" in words else min(words)
+    text = " ".join(f"{x} {rng.getrandbits(64):x}" if k % 12 == 0 else x for k, x in zip(range(size // 5), itertools.cycle(words[lang])))
+    long.append((lang, text[:size]))
+    assert len(words) >= 4 and all(len(t) > 2_000_000 for _, t in long)
+    model, labels = language.train(table), [x for x, _ in long]
+    predicted, scores = language.classify_texts([t for _, t in long], model)
+    short = np.mean(language.classify_texts([t[a:a + 4000] for _, t in long[::3] for a in range(0, 200_000, 4000)], model)[1])
+    assert predicted == labels and min(scores) > 0.8 and max(abs(s - short) for s in scores[::3]) < 0.1, (predicted, scores, short)
+    added = spark.createDataFrame([(10_000_000 + i, t, None, "src1", len(t)) for i, (_, t) in enumerate(long)], DOCS).repartition(4)
+    kept = corpus_pipeline.language_stage(spark, table.select("doc_id", "text", "lang", "source", "n_chars").union(added), FOLDER).filter("doc_id >= 10000000")
+    assert kept.count() == len(long)
+
+
 def test_training_never_sees_held_out_rows(spark):
     import zlib
     table = spark.createDataFrame([(i, f"word{i}", "en" if i % 2 else "fr") for i in range(300)], "doc_id long, text string, lang string")
