@@ -101,19 +101,25 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE) -> pd.DataFrame:
-    """At most `per_language` labelled rows of each language, those of the smallest hash among distinct texts with letters: text, label.
+    """At most `per_language` labelled rows of each language, those of the smallest hash among its distinct texts with letters: text, label. Of the rows of a
+    language with one text, that of the smallest doc_id stands for all.
 
-    Held-out rows, null labels and null texts take no part. A row_number with a constant bound keeps so many rows of a partition before the shuffle, so a frequent language
-    is no large group. Texts travel after the choice only as their sample stretch.
+    Held-out rows, null labels and null texts take no part. Rows are chosen by ids and 64-bit hashes of the texts; copies meet in partial aggregates first, and a row_number with a
+    constant bound keeps so many rows of a partition before the shuffle, so neither many copies nor a frequent language is a large group. The texts of the chosen are read in a second
+    pass, which they are broadcast to, and travel only as their sample stretch.
     """
     rows = (docs.select(A.quoted(id_col).cast("long").alias("doc_id"), A.quoted(text_col).cast("string").alias("text"), A.quoted(lang_col).cast("string").alias("label"))
             .filter("label is not null and text is not null and doc_id is not null").filter(~held_out(F.col("doc_id"))).filter(F.col("text").rlike(r"\p{L}")))
+    from pyspark.sql import Window
+    keyed = rows.withColumn("h", F.xxhash64("text"))
+    one = keyed.groupBy("label", "h").agg(F.min("doc_id").alias("doc_id"))
     order = F.xxhash64("doc_id")
+    top = one.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy(order, "doc_id", "h"))).filter(F.col("k") <= per_language)
     start = (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1).cast("int")
-    short = rows.select("doc_id", "label", order.alias("o"), F.substr("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
-    from pyspark.sql import Window
-    top = short.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy("o", "doc_id"))).filter(F.col("k") <= per_language)
-    return top.select("label", "k", "text").toPandas().sort_values(["label", "k"])
+    # rows that are repeated whole, id and all, are one
+    short = (keyed.join(F.broadcast(top), ["label", "h", "doc_id"]).select("label", "k", F.substr("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
+             .groupBy("label", "k").agg(F.min("text").alias("text")))
+    return short.select("label", "k", "text").toPandas().sort_values(["label", "k"])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE) -> Model:

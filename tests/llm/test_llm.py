@@ -464,6 +464,19 @@ def test_training_never_sees_held_out_rows(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in out)
 
 
+def test_the_training_sample_holds_a_text_once(spark):
+    given = [(i, "copied words" if i % 3 else f"own words {i}", "fr" if i % 2 else "en") for i in range(600)]
+    given += [given[0], given[9], (601, "copied words", None), (None, "copied words", "en")]
+    table = spark.createDataFrame(given, "doc_id long, text string, lang string").repartition(5)
+    import zlib
+    for most in (20, 10_000):
+        seen = language.training_sample(table, per_language=most)
+        for lang in ("en", "fr"):
+            texts = list(seen[seen["label"] == lang]["text"])
+            every = {t for i, t, x in given if x == lang and i is not None and zlib.crc32(str(i).encode()) % 3 != 1}
+            assert len(texts) == len(set(texts)) == min(most, len(every)) and set(texts) <= every
+
+
 def test_kernel_is_the_share_of_common_grams():
     a, b = "abc", "abd"
     grams = lambda t: {t[i:i + n].encode() for n in range(1, 4) for i in range(len(t) - n + 1)}
