@@ -1,5 +1,5 @@
 """Exact deduplication of byte strings by prefix-free parsing: rolling-hash triggers cut texts into phrases, equal phrases are looked at once, and only the
-suffixes of phrases that stand in several contexts are put in corpus order."""
+strings of phrases that stand in several contexts are looked up one by one, by hash. No suffix array is built."""
 
 from __future__ import annotations
 
@@ -160,7 +160,7 @@ def _string_names(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarra
 
 
 def _corpus_order(width: int, groups: int):
-    """Asks for the rank of every suffix of the open phrases: which of the equal ones comes first. Documents of a batch settle what they can."""
+    """Asks for every string of `width` bytes that starts in an open phrase which of the equal ones, by their 64-bit hashes, comes first. Documents of a batch settle what they can."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, docs, places = [np.zeros(0, A.U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     are one document: equal ones give equal rows. Strings are the same when their 64-bit hashes are.
 
     Trigger hashes cut every text into phrases alike wherever the same bytes stand. The dictionary, dealt by key, has each phrase with its context once: later occurrences are repeats as a whole.
-    Only phrases whose key has several contexts (the ends of repeated passages) have their suffixes ordered one by one.
+    Only phrases whose key has several contexts (the ends of repeated passages) have their strings looked up one by one, by the hashes of their `width` bytes.
     """
     if width < SPAN + GRAM:
         raise ValueError(f"strings of fewer than {SPAN + GRAM} bytes may have no trigger")
