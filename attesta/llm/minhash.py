@@ -356,23 +356,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long, hit boolean")
         return observed(both, hits=F.count_if("hit"))
 
-    # what a member of a bucket carries: its bound, its samples, and the keys of all its bands, so that a pair is taken in the first of its buckets only
-    short = F.transform(F.slice("keys", 3, len(bands())), lambda k: k.bitwiseAND(F.lit(0xFFFFFFF)).cast("int"))
+    # what a member of a bucket carries: its bound and its samples; a pair that meets in several buckets is one in `meets`
     samples = [f"s{i}" for i in range((SAMPLES + MORE) // 16)]
-    carried = distinct.select(F.col("rep").alias("doc"), F.slice("keys", 1, SAMPLES // 16).alias("some"), short.alias("own")).join(
+    carried = distinct.select(F.col("rep").alias("doc"), F.slice("keys", 1, SAMPLES // 16).alias("some")).join(
         bodies.select(F.col("doc_id").alias("doc"), "total", "shared", "more"), "doc").withColumn("all", F.concat("some", "more"))
-    carried = carried.select("doc", "own", "total", "shared", *(F.col("all")[i].alias(c) for i, c in enumerate(samples)))
+    carried = carried.select("doc", "total", "shared", *(F.col("all")[i].alias(c) for i, c in enumerate(samples)))
     empty = docs.sparkSession.createDataFrame([], "a long, b long, hit boolean")
     tested, labels = empty.drop("hit"), empty.select(F.col("a").alias("node"), F.col("b").alias("label"))
     active = buckets.join(carried, "doc").withColumn("label", F.col("doc"))
-    kept = ["band", "key", "doc", "own", "total", "shared", *samples]
+    kept = ["band", "key", "doc", "total", "shared", *samples]
     for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
         order = Window.partitionBy("band", "key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
         chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("band", "key", *(F.col(c).alias(f"p_{c}") for c in (*kept[2:], "label")))
         most = F.least("shared", "p_shared")
         like = (shared_samples(samples, [f"p_{c}" for c in samples]) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
-        first = F.array_position(F.zip_with("own", "p_own", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
-        meets = chosen.join(active, ["band", "key"]).filter((F.col("p_doc") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like & first)
+        meets = chosen.join(active, ["band", "key"]).filter((F.col("p_doc") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like)
         meets = meets.select(F.least("p_doc", "doc").alias("a"), F.greatest("p_doc", "doc").alias("b")).distinct()
         pairs, seen = compared(meets.join(tested, ["a", "b"], "left_anti") if round_ else meets)
         tested = tested.unionByName(pairs.drop("hit"))

@@ -403,6 +403,27 @@ def test_a_bucket_of_many_classes_is_worked_off(spark, monkeypatch):
     assert got == {i: stems.index(s) for i, s in enumerate(stems)}
 
 
+def test_a_pair_is_compared_whatever_other_bands_look_like(spark, monkeypatch):
+    """Keys of an earlier band that differ, but not in their lowest 28 bits."""
+    rng = random.Random(9)
+    bases = [prose(rng, 60) for _ in range(4)]
+    texts = [b + tail for b in bases for tail in ("", " tail", " other")]
+    monkeypatch.setattr(minhash, "_sign", _late_bucket)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 3 for i in range(len(texts))}
+
+
+def _late_bucket(width, weights):
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            same = [hashlib.md5(t.encode()).digest() for t in b.column(1).to_pylist()]
+            keys = [[0, 0, int.from_bytes(x[:4], "little") << 28, 9] for x in same]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "same", "keys"])
+    return run
+
+
 def _one_bucket(width, weights):
     import pyarrow as pa
 
