@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import decontaminate, language, licenses, minhash, mixing, neighbours, secrets, substrings, suffixes, tokens
+from attesta.llm import decontaminate, language, licenses, minhash, mixing, neighbours, prefix_trie, secrets, substrings, suffixes, tokens, whitening
 from attesta.llm.session import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,34 @@ def op9(docs: DataFrame, folder: str) -> DataFrame:
 @query("op10_license_scan")
 def op10(docs: DataFrame, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan_licenses(docs))
+
+
+@query("op12_embedding_whitening", table="embeddings")
+def op12(vectors: DataFrame, folder: str) -> DataFrame:
+    return whitening.whiten(vectors, whitening.fit_whitening(vectors))
+
+
+OP13_SQL = r"""
+WITH own AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS seq FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+-- crc32 of the decimal id: eight shifts for each byte
+h AS (SELECT conv_id, seq, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+         lambda a, b: list_reduce(list_prepend(xor(a, b), [1::BIGINT, 1, 1, 1, 1, 1, 1, 1]), lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT) % 9 AS h FROM own),
+built AS (SELECT h.conv_id, list_concat(coalesce(b.seq, [])[1:h.h], h.seq[h.h + 1:]) AS seq FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 5),
+steps AS (SELECT conv_id, len(seq) AS n, seq, unnest(range(0, CAST(len(seq) + 1 AS BIGINT))) AS depth FROM built),
+named AS (SELECT conv_id, n, depth, md5(CAST(seq[1:depth] AS VARCHAR)) AS path, CASE WHEN depth > 0 THEN md5(CAST(seq[1:depth - 1] AS VARCHAR)) END AS above,
+                 CASE WHEN depth > 0 THEN strlen(seq[depth].text) ELSE 0 END AS size FROM steps),
+node AS (SELECT path, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                string_agg(CASE WHEN n = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends FROM named GROUP BY path, depth),
+kids AS (SELECT above AS path, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+-- the nodes above a node, itself among them, are those of its smallest member down to its depth
+under AS (SELECT u.path, u.depth, sum(CASE WHEN kids.path IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((node.n_convs - 1) * node.size) AS saved
+          FROM node JOIN named u ON u.conv_id = node.conv_id AND u.depth <= node.depth LEFT JOIN kids ON kids.path = node.path AND kids.depth = node.depth GROUP BY u.path, u.depth)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN under USING (path, depth) LEFT JOIN kids USING (path, depth) LEFT JOIN node p ON p.path = node.above AND p.depth = node.depth - 1
+"""
+
+
+@query("op13_conversation_trie", table="conversations", sql=OP13_SQL)
+def op13(conversations: DataFrame, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(conversations)
