@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import decontaminate, language, licenses, minhash, mixing, neighbours, prefix_trie, secrets, substrings, suffixes, tokens, whitening
+from attesta.llm import decontaminate, language, licenses, markov, minhash, mixing, neighbours, prefix_trie, secrets, substrings, suffixes, tokens, whitening
 from attesta.llm.session import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +144,11 @@ def op10(docs: DataFrame, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan_licenses(docs))
 
 
+@query("op11_hmm_scores")
+def op11(docs: DataFrame, folder: str) -> DataFrame:
+    return markov.score_texts(docs)
+
+
 @query("op12_embedding_whitening", table="embeddings")
 def op12(vectors: DataFrame, folder: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit_whitening(vectors))

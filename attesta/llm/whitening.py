@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import arrays as A
+from attesta.llm.sums import summed
 
 #: An entry c becomes the integer floor(SCALE * c) + SHIFT. Entries beyond +-LIMIT count as LIMIT: doubles hold integers exactly up to there.
 SCALE, SHIFT, LIMIT = 1024.0, 100_000, 2.0 ** 53
@@ -207,21 +208,9 @@ def _squares(fit: Fit, of):
     return run
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of each place over all tasks: in the order of the tasks, so that reruns agree."""
-    parts: dict[int, list] = {}
-    for batch in batches:
-        for place, task, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            parts.setdefault(place, []).append((task, sums))
-    for place, rows in parts.items():
-        total = np.sum([np.frombuffer(s) for _, s in sorted(rows)], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["place", "sums"])
-
-
 def _moments(rows: DataFrame, fit: Fit, of) -> tuple[np.ndarray, np.ndarray]:
     """(mean of the products, mean) of `of`(x) over all vectors. A task sends a square matrix as large as the dimension; those of a place meet in one task."""
-    sums = rows.mapInArrow(_squares(fit, of), "place int, task int, sums binary").repartition("place").mapInArrow(_added, "place int, sums binary").toPandas().sort_values("place")
-    total = np.array([np.frombuffer(s) for s in sums["sums"]]) / fit.n
+    total = summed(rows.mapInArrow(_squares(fit, of), "place int, task int, sums binary")) / fit.n
     return total[:-1], total[-1]
 
 

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import os
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.llm import prefix_trie, whitening
+from attesta.llm import markov, prefix_trie, whitening
 from attesta.llm import queries as llm
 from attesta.llm.session import prepared
 from tests.oracle import compare, connect
@@ -186,3 +188,129 @@ def test_trie_of_nothing(spark):
 
 def test_trie_equals_sql(spark):
     assert compare(llm.QUERIES["op13_conversation_trie"](spark, FOLDER), connect(FOLDER), llm.ORACLE["op13_conversation_trie"]) is None
+
+
+# --- The hidden Markov model ---
+
+def small_model(k: int = 4, s: int = 30) -> markov.Model:
+    rng = np.random.default_rng(0)
+    return markov.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(s), k))
+
+
+def all_paths(model: markov.Model, text: np.ndarray) -> float:
+    """The chance of a text as a sum over all paths of states."""
+    k = len(model.start)
+    total = 0.0
+    for path in itertools.product(range(k), repeat=len(text)):
+        p = model.start[path[0]] * model.emit[path[0], text[0]]
+        for t in range(1, len(text)):
+            p *= model.move[path[t - 1], path[t]] * model.emit[path[t], text[t]]
+        total += p
+    return math.log(total)
+
+
+def plain_counts(model: markov.Model, text: np.ndarray) -> tuple[float, np.ndarray]:
+    """(log likelihood, Baum-Welch counts) of one short text, without scales."""
+    n, k = len(text), len(model.start)
+    a, b = np.zeros((n, k)), np.ones((n, k))
+    a[0] = model.start * model.emit[:, text[0]]
+    for i in range(1, n):
+        a[i] = (a[i - 1] @ model.move) * model.emit[:, text[i]]
+    for i in range(n - 2, -1, -1):
+        b[i] = model.move @ (model.emit[:, text[i + 1]] * b[i + 1])
+    z = a[-1].sum()
+    emitted, moves = np.zeros(model.emit.shape), np.zeros((k, k))
+    for i in range(n):
+        emitted[:, text[i]] += a[i] * b[i] / z
+    for i in range(n - 1):
+        moves += np.outer(a[i], model.emit[:, text[i + 1]] * b[i + 1]) * model.move / z
+    return math.log(z), np.hstack([emitted, moves, (a[0] * b[0] / z)[:, None]])
+
+
+@pytest.mark.parametrize("longest", [1000, 16, 3, 1])
+def test_forward_and_counts_equal_the_plain_recursions(longest):
+    model, rng = small_model(), np.random.default_rng(5)
+    texts = [rng.integers(0, 30, n).astype(np.uint16) for n in (1, 2, 5, 60, 33, 7, 1, 48)]
+    want = [plain_counts(model, t) for t in texts]
+    assert np.abs(markov.log_likelihoods(model, texts, longest) - [x for x, _ in want]).max() < 1e-10
+    assert np.abs(markov.expected_counts(model, texts, longest) - sum(c for _, c in want)).max() < 1e-10
+    assert abs(markov.log_likelihoods(model, texts[2:3], longest)[0] - all_paths(model, texts[2])) < 1e-10
+
+
+def test_long_texts_do_not_underflow():
+    model = small_model()
+    text = np.random.default_rng(2).integers(0, 30, 30_000).astype(np.uint16)
+    logs = [markov.log_likelihoods(model, [text], n)[0] for n in (40_000, 4096, 100)]
+    assert np.ptp(logs) < 1e-6 and -5 < logs[0] / len(text) < -2
+
+
+WORDS = re.compile("[^\\x20\\x09-\\x0D]+")
+TEXTS = "doc_id long, text string, row long, z string, train string"
+
+
+def prose(rng: random.Random, n: int) -> str:
+    """Two kinds of text, each with its own words, one word after the other by habit."""
+    kind = rng.choice(("ab", "xyz"))
+    return " ".join("".join(rng.choice(kind) for _ in range(rng.randint(1, 5))) for _ in range(n))
+
+
+def corpus_rows() -> list[tuple]:
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randint(0, 80))) for i in range(200)]
+    rows += [(300 + i, "THE Copy of the copy É\tthe") for i in range(100)]
+    rows += [(500, None), (501, ""), (502, " \n"), (503, prose(rng, 6000)), (504, "unheard"), (505, "w" * 70_000), (None, "never learned from the"), (None, None), rows[3], rows[3], (600, "the " * 3000)]
+    return rows
+
+
+def test_scores_equal_the_formula_and_the_model(spark, monkeypatch):
+    monkeypatch.setattr(markov, "OWN", 40)  # some words are symbols of their own, most are not
+    rows = corpus_rows()
+    table = spark.createDataFrame([(i, t, 1, "z", "y") for i, t in rows], TEXTS).repartition(5)
+    found = [r.asDict() for r in markov.score_texts(table, states=3, rounds=3).collect()]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    learns = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 != 0
+    tokens = lambda t: [*WORDS.findall((t or "").translate(lower)), None]
+    counts = collections.Counter(w for i, t in rows if learns(i) for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    want = collections.Counter()
+    for i, t in rows:
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t))
+        want[i, not learns(i), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(base, 6)] += 1
+    assert collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found) == want
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in found)
+
+
+def test_the_chances_of_all_short_texts_sum_to_one(spark, monkeypatch):
+    """All texts of up to six known words: what is missing is left for longer ones and unheard words."""
+    monkeypatch.setattr(markov, "OWN", 8)
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a", "b a", "a", "", "b c", "c c a b", "a b", "b", "c a", "a a"] * 3)], "doc_id long, text string")
+    heard = ["a", "b", "c"]
+    every = [" ".join(p) for n in range(7) for p in itertools.product(heard, repeat=n)]
+    probe = spark.createDataFrame([(None, t) for t in every], "doc_id long, text string")
+    mass = collections.Counter()
+    for r in markov.score_texts(table.unionByName(probe), states=2, rounds=2).filter("doc_id is null").collect():
+        mass[r["n_tokens"]] += 10 ** r["score"]
+    total = sum(mass.values())
+    assert 0.85 < total <= 1.0 + 1e-9 and mass[1] > 0.02
+
+
+def test_training_raises_the_likelihood_and_beats_the_base(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    logs = []
+    for rounds in (0, 1, 2, 5):
+        rows = markov.score_texts(docs, rounds=rounds).agg(F.sum(F.when(~F.col("held_out"), F.col("score"))).alias("train"), F.sum(F.when(F.col("held_out"), F.col("score"))).alias("held"),
+                                                           F.sum(F.when(F.col("held_out"), F.col("base_score"))).alias("base")).first()
+        logs.append(rows["train"])
+    assert logs == sorted(logs) and rows["held"] > rows["base"]
+
+
+def test_scores_of_little(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert markov.score_texts(none).collect() == []
+    only = markov.score_texts(spark.createDataFrame([(None, "a b")], none.schema)).first()  # nothing to learn from
+    assert only["held_out"] and only["n_tokens"] == 3 and only["n_known"] == 0 and only["train_tokens"] == 0 and only["base_score"] == pytest.approx(0.0) and math.isfinite(only["score"])
+
+
+def test_scores_of_the_table_have_every_row(spark):
+    found = llm.QUERIES["op11_hmm_scores"](spark, FOLDER)
+    assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
