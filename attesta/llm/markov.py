@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from attesta.llm import arrays as A
 from attesta.llm import exchange as X
 from attesta.llm.session import observed, stored
-from attesta.llm.sums import summed
+from attesta.llm.sums import summed, summed_parts
 
 STATES, ROUNDS = 8, 5
 #: Fewer than OWN words are symbols of their own; SHARED, a power of two, is the number of symbols of all others.
@@ -118,20 +118,34 @@ def _add_counts(table: pa.Table) -> Iterator[pa.RecordBatch]:
     yield from _packed(names[order][starts], np.add.reduceat(counts[order], starts), np.full(len(starts), table.column("grp")[0].as_py()))
 
 
-def _told(least: float):
-    """own: words with a count of `least` or more, with that in training texts. Otherwise: the tokens and the distinct words of training texts that a shared symbol has; symbol -1 has all."""
+def _words_of(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(names, counts, counts in training texts) of the words of each group."""
+    for names, counts in map(_unpacked, rows.column("names").to_pylist(), rows.column("counts").to_pylist()):
+        starts = A.runs(names >> _FLAG)
+        learned = np.where((names & _FLAG).astype(bool), counts, 0)
+        yield names[starts] & ~_FLAG, np.add.reduceat(counts, starts), np.add.reduceat(learned, starts)
+
+
+def _frequent(least: float):
+    """The words with a count of `least` or more, with that in training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names, counts in map(_unpacked, batch.column("names").to_pylist(), batch.column("counts").to_pylist()):
-                starts = A.runs(names >> _FLAG)
-                learned = np.where((names & _FLAG).astype(bool), counts, 0)
-                name, every, train = names[starts] & ~_FLAG, np.add.reduceat(counts, starts), np.add.reduceat(learned, starts)
+            for names, every, train in _words_of(batch):
                 own = every >= least
-                rest = shared_symbol(name[~own])
-                tokens, kinds = np.bincount(rest, train[~own], SHARED).astype(np.int64), np.bincount(rest, train[~own] > 0, SHARED).astype(np.int64)
-                keys = np.concatenate([name[own].view(np.int64), np.arange(SHARED), [-1]])
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(keys)) < own.sum()), pa.array(keys, pa.int64()), pa.array(np.concatenate([train[own], tokens, [train.sum()]]), pa.int64()),
-                                                  pa.array(np.concatenate([train[own] > 0, kinds, [(train > 0).sum()]]).astype(np.int64))], names=["own", "key", "tokens", "kinds"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[own].view(np.int64)), pa.array(train[own])], names=["name", "tokens"])
+    return run
+
+
+def _totals(least: float):
+    """Of all other words, the tokens and the distinct words of training texts by shared symbol; then both of all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, every_word = np.zeros((2, SHARED)), np.zeros(2)
+        for batch in batches:
+            for names, every, train in _words_of(batch):
+                rest, own = shared_symbol(names), every >= least
+                total += [np.bincount(rest, np.where(own, 0, x), SHARED) for x in (train, train > 0)]
+                every_word += [train.sum(), (train > 0).sum()]
+        yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array([TaskContext.get().partitionId()] * 3, pa.int32()), pa.array([r.tobytes() for r in (*total, every_word)], pa.binary())], names=["place", "task", "sums"])
     return run
 
 
@@ -176,13 +190,13 @@ class Vocabulary:
 def vocabulary(landed: DataFrame, groups: int, ends: int) -> Vocabulary:
     """Counts every word of all texts, in blocks first, then by name. The driver gets fewer than OWN words, and the totals of SHARED symbols."""
     counts, seen = observed(X.dealt(landed.mapInArrow(_count_block(groups), _COUNTS), groups, _add_counts, _COUNTS), n=F.coalesce(F.sum("n"), F.lit(0)))
-    told = counts.mapInArrow(_told(max(seen["n"], 1) / OWN), "own boolean, key long, tokens long, kinds long").groupBy("own", "key").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).toPandas()
-    own, rest = told[told["own"]], told[~told["own"].astype(bool)].set_index("key")
-    names = own["key"].to_numpy(np.int64).view(A.U)
+    least = max(seen["n"], 1) / OWN
+    own = counts.mapInArrow(_frequent(least), "name long, tokens long").toPandas()
+    names = own["name"].to_numpy(np.int64).view(A.U)
     order = np.argsort(names)
-    rest = rest.reindex(range(-1, SHARED), fill_value=0)
-    tokens, kinds = rest["tokens"].to_numpy(np.int64), rest["kinds"].to_numpy(np.int64)
-    return Vocabulary(names[order], np.concatenate([[ends], own["tokens"].to_numpy(np.int64)[order], tokens[1:]]), kinds[1:], int(tokens[0]) + ends, int(kinds[0]) + (ends > 0))
+    parts = summed_parts(counts.mapInArrow(_totals(least), "place int, task int, sums binary"))
+    tokens, kinds, every = (parts.get(k, np.zeros(SHARED)).astype(np.int64) for k in range(3))
+    return Vocabulary(names[order], np.concatenate([[ends], own["tokens"].to_numpy(np.int64)[order], tokens]), kinds, int(every[0]) + ends, int(every[1]) + (ends > 0))
 
 
 def _spelled(vocab: Vocabulary):

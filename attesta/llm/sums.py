@@ -20,7 +20,13 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["place", "sums"])
 
 
+def summed_parts(rows: DataFrame) -> dict[int, np.ndarray]:
+    """rows: place int, task int, sums binary (doubles). The sums of each place; a place's parts, one for each task, meet in one task. Their size is that of a model, not of the data."""
+    sums = rows.repartition("place").mapInArrow(_added, "place int, sums binary").toPandas()
+    return {int(p): np.frombuffer(s) for p, s in zip(sums["place"], sums["sums"], strict=True)}
+
+
 def summed(rows: DataFrame) -> np.ndarray:
-    """rows: place int, task int, sums binary (doubles). The matrix whose rows are the sums of the places; a place's parts, one for each task, meet in one task. Its size is that of a model, not of the data."""
-    sums = rows.repartition("place").mapInArrow(_added, "place int, sums binary").toPandas().sort_values("place")
-    return np.array([np.frombuffer(s) for s in sums["sums"]])
+    """The matrix whose rows are the sums of the places, in order."""
+    parts = summed_parts(rows)
+    return np.array([parts[p] for p in sorted(parts)])
