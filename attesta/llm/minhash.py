@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import arrays as A
@@ -19,19 +19,15 @@ from attesta.llm.session import counted, observed, stored
 from attesta.llm.substrings import answer_repeated, ask_repeated, short_names
 
 WIDTH, THRESHOLD = 5, 0.8
-#: Shingles in more documents than a share 1 / HEAVY of all (document, shingle) pairs are weighed by their own count; there are fewer than HEAVY such, whatever the corpus.
-HEAVY = 1_000_000
-#: The idf of a shingle adds so much to its count at most: rare shingles weigh 1 + IDF, those in every document 1.
-IDF = 0.5
+#: A shingle in a share of the documents of 1 / COMMON or less (or in one alone) weighs 1 + IDF times its count, one in all documents its count, others by the logarithm in between. So a weight
+#: follows from shares, not from the size of the corpus, and there are fewer than COMMON times the mean length of a document whose frequency has to be known.
+COMMON, IDF = 500, 0.5
 #: Samples of a document, in squares of 16. The bands are the 20 lines of each square (every two samples of a square share one), so two documents that agree
 #: in 80 % of the samples share a band in all but 1 of 28,000 cases.
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
-#: Documents of the buckets that may have a partner get so many more samples. Of all, two documents must share ALIKE, by four bits of each, before their texts are compared: fewer are shared
-#: twice in 10,000 times at a similarity of 0.8 and never seen at 0.85; so many in one of three times at 0.66, and once in 40 at 0.6.
-MORE, ALIKE = 128, 112
-#: Documents of a bucket that the others are compared with in each round.
-PIVOTS = (1, 256, 4096)
+#: Rounds in which all documents of a bucket are compared with one of them.
+PIVOTS = 3
 
 
 @lru_cache(1)
@@ -89,8 +85,8 @@ def _count_block(width: int, groups: int):
     return run
 
 
-def _sum_counts(groups: int, slack: float):
-    """The names of a group with a count above the floor that its own pairs let expect, divided by `slack`; as name -1 all its pairs, as -2 the highest count that is left out."""
+def _sum_counts(floor: float):
+    """The names of a group that more documents than `floor` have."""
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         names, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for x, y in zip(table.column("names").to_pylist(), table.column("counts").to_pylist(), strict=True):
@@ -100,16 +96,13 @@ def _sum_counts(groups: int, slack: float):
         order = np.argsort(name, kind="stable")
         name, starts = name[order], A.runs(name[order])
         total = np.add.reduceat(count[order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
-        above = total > max(1.0, float(total.sum()) * groups / HEAVY / slack)
-        left, kept = int(total[~above].max(initial=0)), np.flatnonzero(above)
-        rows = len(kept) + 2
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows, table.column("grp")[0].as_py()), pa.int32()), pa.array(np.concatenate([name[starts][kept], [-1, -2]]), pa.int64()),
-                         pa.array(np.concatenate([total[kept], [int(total.sum()), left]]), pa.int64())], names=["grp", "short", "df"])
+        kept = np.flatnonzero(total > floor)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), table.column("grp")[0].as_py()), pa.int32()), pa.array(name[starts][kept], pa.int64()), pa.array(total[kept], pa.int64())], names=["grp", "short", "df"])
     return work
 
 
 class Weights:
-    """The weight of a shingle: its count in the text times 1 + idf, the idf scaled to 0 for shingles in all documents and to IDF for those at or below the floor."""
+    """The weight of a shingle: its count in the text times 1 + idf, the idf scaled to 0 for shingles in all documents and to IDF for those in `floor` documents or fewer."""
 
     def __init__(self, groups: int, documents: int, floor: float, group: np.ndarray, short: np.ndarray, df: np.ndarray):
         self.groups, self.documents, self.floor = groups, documents, floor
@@ -129,22 +122,16 @@ class Weights:
 
 
 def weigh(docs: DataFrame, width: int, id_col: str, text_col: str) -> Weights:
-    """Counts, over all documents, in how many each shingle stands, and keeps the counts above the floor: fewer than HEAVY by their sum.
+    """Counts, over all documents, in how many each shingle stands, and keeps the counts of those in more than one and a share of 1 / COMMON.
 
-    A block of texts sends its distinct shingles with their counts, 32 bits of a name beside its group, as sorted differences. A group answers with the names above a quarter of
-    the floor that it expects; should one have left out a name above the real floor, all are asked for more.
+    A block of texts sends its distinct shingles with their counts, 32 bits of a name beside its group, as sorted differences. The counts that are kept sum to no more than all (document, shingle)
+    pairs, so they are fewer than COMMON times the shingles that a document has in the mean: it is these that reach the driver and the tasks.
     """
-    groups = A.groups_for(docs)
+    groups, documents = A.groups_for(docs), docs.count()
+    floor = max(1.0, documents / COMMON)
     blocks = A.texts_only(docs, id_col, text_col).mapInArrow(_count_block(width, groups), _COUNTS)
-    slack = 4.0
-    while True:
-        told = X.dealt(blocks, groups, _sum_counts(groups, slack), "grp int, short long, df long").toPandas()
-        floor = max(1.0, float(told["df"][told["short"] == -1].sum()) / HEAVY)
-        if not (told["df"][told["short"] == -2] > floor).any():
-            break
-        slack *= 8
-    heavy = told[(told["short"] >= 0) & (told["df"] > floor)]
-    return Weights(groups, docs.count(), floor, *(heavy[c].to_numpy() for c in ("grp", "short", "df")))
+    told = X.dealt(blocks, groups, _sum_counts(floor), "grp int, short long, df long").toPandas()
+    return Weights(groups, documents, floor, *(told[c].to_numpy() for c in ("grp", "short", "df")))
 
 
 # --- Signatures ---
@@ -221,7 +208,7 @@ def _sign(width: int, weights: Weights):
                         data, offsets = np.concatenate(part), np.cumsum([0, *map(len, part)])
                     names, rows, copies = shingles(data, offsets, width)
                     samples = signatures(names, rows, weights(names, copies), len(offsets) - 1)
-                    keys = np.hstack([nibbles(samples), band_keys(samples)]).view(np.int64)
+                    keys = band_keys(samples).view(np.int64)
                     row_of = range(b - a) if len(fresh) == b - a else range(len(fresh))
                     for k, r in zip(fresh, (r for r in row_of if len(fresh) < b - a or same[r]), strict=True):
                         done[same[k]] = keys[r].tolist()
@@ -229,24 +216,6 @@ def _sign(width: int, weights: Weights):
     return run
 
 
-def nibbles(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each sample, as 64-bit values of 16 samples for each row."""
-    out = np.zeros((len(signature), signature.shape[1] // 16), A.U)
-    for k in range(signature.shape[1]):
-        out[:, k // 16] |= (signature[:, k] & A.U(15)) << A.U(4 * (k % 16))
-    return out
-
-
-def shared_samples(a: list[str], b: list[str]) -> Column:
-    """How many samples two rows share, by their four bits: nibbles whose exclusive or is 0."""
-    differ = F.lit(0)
-    for x, y in zip(a, b, strict=True):
-        d = F.col(x).bitwiseXOR(F.col(y))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
-        differ = differ + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
-    return F.lit(16 * len(a)) - differ
-
-
 # --- What a document can share at all ---
 
 def _ask_shared(width: int, groups: int):
@@ -262,11 +231,11 @@ def _ask_shared(width: int, groups: int):
     return run
 
 
-_MEASURED = "doc_id long, z binary, total double, shared double, more array<long>"
+_MEASURED = "doc_id long, z binary, total double, shared double"
 
 
 def _weigh_shared(width: int, weights: Weights, threshold: float):
-    """total and shared: the weight of all shingles of a document, and of those that another document has. Documents go whose shared part is below the threshold; the others get more samples."""
+    """total and shared: the weight of all shingles of a document, and of those that another document has. Documents go whose shared part is below the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([X.unpressed(z) for z in batch.column("z").to_pylist()], pa.large_binary())
@@ -281,17 +250,13 @@ def _weigh_shared(width: int, weights: Weights, threshold: float):
                 able = np.flatnonzero((shared >= (threshold - 1e-9) * total) & (total > 0))
                 if not len(able):
                     continue
-                number = np.full(b - a, -1)
-                number[able] = np.arange(len(able))
-                mine = number[rows] >= 0
-                more = nibbles(signatures(names[mine], number[rows[mine]], own[mine], len(able), MORE, SAMPLES)).view(np.int64)
                 part = batch.take(pa.array(a + able))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("z"), pa.array(total[able]), pa.array(shared[able]), pa.array(more.tolist(), pa.list_(pa.int64()))], names=["doc_id", "z", "total", "shared", "more"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("z"), pa.array(total[able]), pa.array(shared[able])], names=["doc_id", "z", "total", "shared"])
     return run
 
 
 def measured(bodies: DataFrame, width: int, weights: Weights, groups: int, threshold: float) -> DataFrame:
-    """bodies (doc_id, z) that may have a partner, with `total`, `shared` and more samples. A similarity can't exceed what is shared: m / (total_a + total_b - m), with m the smaller `shared` of two, so a
+    """bodies (doc_id, z) that may have a partner, with `total` and `shared`. A similarity can't exceed what is shared: m / (total_a + total_b - m), with m the smaller `shared` of two, so a
     document that shares a passage, or was edited much, has no partner whoever it meets."""
     asked = X.dealt(bodies.mapInArrow(_ask_shared(width, groups), X.ROWS), groups, answer_repeated(groups))
     found = X.per_document(asked, groups, {X.FOUND: ("found", A.U)}).select("doc_id", "found_at")
@@ -314,7 +279,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(least / most) if most else 0.0
 
 
-def _verify(width: int, weights: Weights, threshold: float):
+def _verify(width: int, weights: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -326,66 +291,130 @@ def _verify(width: int, weights: Weights, threshold: float):
             return known[doc]
         for batch in batches:
             a, b, za, zb = (batch.column(c).to_pylist() for c in ("a", "b", "za", "zb"))
-            hit = [similarity(of(x, p), of(y, q)) >= threshold for x, y, p, q in zip(a, b, za, zb, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(hit, pa.bool_())], names=["a", "b", "hit"])
+            found = [similarity(of(x, p), of(y, q)) for x, y, p, q in zip(a, b, za, zb, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "sim"])
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id and class_id, the smallest id of its near-duplicate class; documents alone have their own.
+class Buckets:
+    """What is left to compare: a row for each document of a bucket that holds documents of several classes.
+
+    band, key, doc, label, total, shared; for each round so far `i<k>`, the exact weight of what the document shares with the pivot of its bucket in that round (null if they were not compared), and `hit`, whether one of them was like it.
+    """
+
+    def __init__(self, rows: DataFrame, threshold: float):
+        self.rows, self.threshold, self.rounds = rows, threshold, 0
+
+    def possible(self, a: str, b: str) -> Column:
+        """Whether two rows of a bucket may be alike, by bounds that lose no pair.
+
+        With m the smaller `shared` of two, what they share weighs m at most. With a pivot c of which x has the weight i_x and y has i_y, what x and y share inside c weighs min(i_x, i_y) at most, and what they share beyond c the smaller of
+        shared_x - i_x and shared_y - i_y. The similarity is at most that weight over total_x + total_y less that weight.
+        """
+        x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+        most = F.least(x("shared"), y("shared"))
+        for k in range(self.rounds):
+            by = F.least(x(f"i{k}"), y(f"i{k}")) + F.least(x("shared") - x(f"i{k}"), y("shared") - y(f"i{k}"))
+            most = F.least(most, F.when(x(f"i{k}").isNotNull() & y(f"i{k}").isNotNull(), by))  # least skips a null
+        return most >= F.lit(self.threshold - 1e-9) * (x("total") + y("total") - most)
+
+    def pivots(self) -> DataFrame:
+        """For each bucket the least edited document of the largest class in it among those that no pivot was like. Sums and maxima by class, so a bucket of whatever size is no task of its own."""
+        edited = F.struct((F.col("shared") / F.col("total")).alias("s"), (-F.col("doc")).alias("d"), "total", "shared")
+        classes = self.rows.filter("not hit").groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"), F.max(edited).alias("one"))
+        best = classes.groupBy("band", "key").agg(F.max(F.struct("n", "one")).alias("b")).select("band", "key", "b.one.*")
+        return best.select("band", "key", (-F.col("d")).alias("pivot"), F.col("total").alias("p_total"), F.col("shared").alias("p_shared"))
+
+    def met(self) -> DataFrame:
+        """Each row with the pivot of its bucket, and whether the two are to be compared."""
+        most = F.least("shared", "p_shared")
+        able = (F.col("doc") != F.col("pivot")) & (most >= F.lit(self.threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
+        return self.rows.join(self.pivots(), ["band", "key"], "left").withColumn("able", F.coalesce(able, F.lit(False)))
+
+    def told(self, met: DataFrame, sims: DataFrame, labels: DataFrame) -> Buckets:
+        """The rows after a round: what the comparisons said, new labels, and only the buckets that still hold several classes."""
+        one = sims.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), "sim").unionByName(sims.select(F.col("b").alias("doc"), F.col("a").alias("pivot"), "sim"))
+        own = F.when(F.col("doc") == F.col("pivot"), F.col("total")).otherwise(F.col("sim") / (1 + F.col("sim")) * (F.col("total") + F.col("p_total")))
+        like = F.col("hit") | F.coalesce((F.col("doc") == F.col("pivot")) | (F.col("sim") >= self.threshold), F.lit(False))
+        rows = met.join(one, ["doc", "pivot"], "left").select("band", "key", "doc", "label", "total", "shared", *(f"i{k}" for k in range(self.rounds)), own.alias(f"i{self.rounds}"), like.alias("hit"))
+        out = Buckets(relabelled(rows, labels), self.threshold)
+        out.rounds = self.rounds + 1
+        return out
+
+    def open(self) -> tuple[Buckets, int]:
+        """The rows of buckets with several classes, and their number."""
+        mixed = self.rows.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band", "key")
+        rows, n = counted(self.rows.join(mixed, ["band", "key"], "left_semi"))
+        out = Buckets(rows, self.threshold)
+        out.rounds = self.rounds
+        return out, n
+
+    def rest(self) -> DataFrame:
+        """All pairs (a, b) of documents of a bucket, of different classes, that the bounds leave: those outside the largest class of a bucket against all."""
+        sizes = self.rows.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
+        few = self.rows.join(largest, ["band", "key"]).filter("label != largest").drop("largest", "hit")
+        x, y = few.alias("x"), self.rows.drop("hit").alias("y")
+        on = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & self.possible("x", "y")
+        return x.join(y, on).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+
+
+def relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the labels that their documents have now."""
+    return rows.drop("label").join(labels.toDF("doc", "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", pivots: int = PIVOTS) -> DataFrame:
+    """One row per document: doc_id, class_id, the smallest id of its near-duplicate class (documents alone have their own), like_id and similarity: of the documents it was compared with and linked to, the most similar one (null without).
 
     Two documents are linked if the weighted Jaccard similarity of their shingles of `width` words is `threshold` or more; classes are what links connect. Texts with the same words are one
-    text to begin with. Documents that share a band meet in its bucket. Those go that have too much of their own to be like any other (`measured`). Of each bucket the least edited one is compared with
-    all others; then, where a bucket still holds documents of several classes, more and more of its documents with those of other classes, until every document of such a bucket has
-    been compared or belongs to the same class. Texts are compared of pairs that share ALIKE samples and whose bound allows the threshold. So no bucket, of whatever size, is cut, and
-    a group of copies costs one comparison each.
+    text to begin with. Documents that share a band meet in its bucket. Those go that have too much of their own to be like any other (`measured`). In each of a few rounds all documents of a bucket are compared with
+    one of them, which ties a group of copies by a comparison each; buckets of one class are done. What documents share with such a pivot also bounds what they can share with each other (`Buckets.possible`), so of
+    those of different classes that are left few pairs have to be compared; all of these are, in one join. No bucket is cut, and only bounds that lose no pair are applied.
     Null, empty and blank texts are alone; rows with a null id get a null class; rows of one id are one document.
     """
     weights = weigh(docs, width, id_col, text_col)
     signed = stored(A.texts_only(docs, id_col, text_col).mapInArrow(_sign(width, weights), "doc_id long, same binary, keys array<long>"))
     distinct = stored(signed.filter("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")))
-    entries = distinct.select(F.posexplode(F.slice("keys", 3, len(bands()))).alias("band", "key"), F.col("rep").alias("doc"))
+    entries = distinct.select(F.posexplode("keys").alias("band", "key"), F.col("rep").alias("doc"))
     shared = entries.groupBy("band", "key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high").select("band", "key")
     buckets = stored(entries.join(shared, ["band", "key"], "left_semi"))
     members = buckets.select(F.col("doc").alias("doc_id")).distinct()
     found = stored(X.pressed(docs, id_col, text_col).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("z").alias("z")))
     bodies = stored(measured(found, width, weights, A.groups_for(docs), threshold))
 
-    def compared(pairs: DataFrame) -> tuple[DataFrame, dict]:
+    def compared(pairs: DataFrame) -> tuple[DataFrame, int]:
         a, b = (bodies.select(F.col("doc_id").alias(x), F.col("z").alias(f"z{x}")) for x in "ab")
-        both = pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights, threshold), "a long, b long, hit boolean")
-        return observed(both, hits=F.count_if("hit"))
-
-    # what a member of a bucket carries: its bound and its samples; a pair that meets in several buckets is one in `meets`
-    samples = [f"s{i}" for i in range((SAMPLES + MORE) // 16)]
-    carried = distinct.select(F.col("rep").alias("doc"), F.slice("keys", 1, SAMPLES // 16).alias("some")).join(
-        bodies.select(F.col("doc_id").alias("doc"), "total", "shared", "more"), "doc").withColumn("all", F.concat("some", "more"))
-    carried = carried.select("doc", "total", "shared", *(F.col("all")[i].alias(c) for i, c in enumerate(samples)))
-    empty = docs.sparkSession.createDataFrame([], "a long, b long, hit boolean")
-    tested, labels = empty.drop("hit"), empty.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    active = buckets.join(carried, "doc").withColumn("label", F.col("doc"))
-    kept = ["band", "key", "doc", "total", "shared", *samples]
-    for round_, pivots in enumerate(itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1]))):
-        order = Window.partitionBy("band", "key").orderBy(F.desc(F.col("shared") / F.col("total")), "doc")  # the least edited first: what others were made from
-        chosen = active.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("band", "key", *(F.col(c).alias(f"p_{c}") for c in (*kept[2:], "label")))
-        most = F.least("shared", "p_shared")
-        like = (shared_samples(samples, [f"p_{c}" for c in samples]) >= ALIKE) & (most >= F.lit(threshold - 1e-9) * (F.col("total") + F.col("p_total") - most))
-        meets = chosen.join(active, ["band", "key"]).filter((F.col("p_doc") != F.col("doc")) & (F.col("p_label") != F.col("label")) & like)
-        meets = meets.select(F.least("p_doc", "doc").alias("a"), F.greatest("p_doc", "doc").alias("b")).distinct()
-        pairs, seen = compared(meets.join(tested, ["a", "b"], "left_anti") if round_ else meets)
-        tested = tested.unionByName(pairs.drop("hit"))
-        if seen["hits"]:  # what earlier rounds have tied hangs on its label
-            labels = components(pairs.filter("hit").drop("hit").unionByName(labels.toDF("a", "b")))
-        left = active.drop("label")
-        left = left.join(chosen.select("band", "key", F.col("p_doc").alias("doc")), ["band", "key", "doc"], "left_anti") if round_ else left
-        left = left.join(labels.toDF("doc", "label"), "doc", "left").select(*kept, F.coalesce("label", "doc").alias("label"))
-        mixed = left.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band", "key")
-        active, open_ = counted(left.join(mixed, ["band", "key"], "left_semi"))
-        if not open_:
+        both = pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify(width, weights), "a long, b long, sim double")
+        sims, seen = observed(both, hits=F.count_if(F.col("sim") >= threshold))
+        return sims, seen["hits"]
+
+    links = docs.sparkSession.createDataFrame([], "a long, b long, sim double")
+    labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    sizes = bodies.select(F.col("doc_id").alias("doc"), "total", "shared")
+    left, n = Buckets(buckets.join(sizes, "doc").select("band", "key", "doc", F.col("doc").alias("label"), "total", "shared", F.lit(False).alias("hit")), threshold).open()
+    for round_ in range(pivots + 1):
+        if not n:
             break
-    reps = distinct.select("same", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("class_id"))
-    classed = signed.select("doc_id", "same").join(reps, "same", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    nameless = docs.filter(A.quoted(id_col).cast("long").isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
+        if round_ < pivots:
+            met = stored(left.met())
+            pairs = met.filter("able").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
+        else:
+            pairs = left.rest()
+        sims, hits = compared(pairs)
+        if hits:
+            new = sims.filter(F.col("sim") >= threshold)
+            links, labels = links.unionByName(new), components(new.drop("sim").unionByName(labels.toDF("a", "b")))  # what earlier rounds have tied hangs on its label
+        if round_ < pivots:
+            left, n = left.told(met, sims, labels).open()
+    reps = distinct.select("same", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("same", "rep", F.coalesce("label", "rep").alias("class_id"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    best = both.groupBy(F.col("a").alias("rep")).agg(F.max(F.struct("sim", (-F.col("b")).alias("other"))).alias("best"))
+    classed = signed.select("doc_id", "same").join(reps.join(best, "rep", "left"), "same", "left")
+    copy = F.col("doc_id") != F.col("rep")  # its words are those of another document
+    classed = classed.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.when(copy, F.col("rep")).otherwise(-F.col("best.other")).alias("like_id"), F.when(copy, 1.0).otherwise(F.col("best.sim")).alias("similarity"))
+    null = lambda kind: F.lit(None).cast(kind)
+    nameless = docs.filter(A.quoted(id_col).cast("long").isNull()).select(null("long").alias("doc_id"), null("long").alias("class_id"), null("long").alias("like_id"), null("double").alias("similarity"))
     return classed.unionByName(nameless)
 
 
