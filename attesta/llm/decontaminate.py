@@ -110,11 +110,39 @@ def hit_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     return (scan(found, pending) if pending or not scanned else found).drop("text")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without those that hold a benchmark window. All columns stay; documents with a null id stay, as they can't be named."""
-    name = A.unused(docs, "dirty")
-    dirty = hit_words(docs, benchmark, id_col, text_col, **options).filter(F.size("hits") > 0).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dirty, A.quoted(id_col).cast("long") == F.col(name), "left_anti")
+def _clean(sets: dict[int, HashSet], at: int):
+    scan = _scan(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            two = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], names=["doc_id", "text"])
+            dirty = [bool(hits) for found in scan(iter([two])) for hits in found.column(3).to_pylist()]
+            yield batch.filter(pa.array([not x for x in dirty], pa.bool_()))
+    return run
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """The documents, with all their columns, without those whose text holds a benchmark window (see `hit_words`). Rows are dropped where they are scanned, none is shuffled.
+
+    Null and empty texts stay, whatever the id; of repeated rows all stay or none. An empty benchmark drops nothing.
+    """
+    small = benchmark.select(A.quoted(item_col).cast("string").alias("item"), A.quoted(item_text_col).cast("string").alias("text")).filter("item is not null and text is not null")
+    out, at = docs.withColumn(text_col, A.quoted(text_col).cast("string")), docs.columns.index(text_col)
+    pending: list[tuple[str, str]] = []
+
+    def cleaned(df: DataFrame) -> DataFrame:
+        sets: dict[int, list] = {}
+        for w in benchmark_windows(pending, width):
+            sets.setdefault(w[1], []).append(w)
+        return df.mapInArrow(_clean({w: HashSet(x) for w, x in sets.items()}, at), df.schema)
+    windows = 0
+    for row in small.toLocalIterator():  # one set of the benchmark at a time
+        pending.append((row["item"], row["text"]))
+        windows += len(row["text"]) // 2 + 1
+        if windows >= max_windows:
+            out, windows = cleaned(out), 0
+            pending.clear()
+    return cleaned(out) if pending else out
 
 
 def digest(found: DataFrame) -> DataFrame:

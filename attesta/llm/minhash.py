@@ -364,6 +364,16 @@ def relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.drop("label").join(labels.toDF("doc", "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after new links between documents; classes are tied once each, however many of their documents are."""
+    known = labels.toDF("doc", "label")
+    ends = links.join(known.toDF("a", "la"), "a", "left").join(known.toDF("b", "lb"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    ties = components(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    fresh = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    every = labels.unionByName(fresh).join(ties.toDF("label", "new"), "label", "left")
+    return stored(every.select("node", F.coalesce("new", "label").alias("label")))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", pivots: int = PIVOTS) -> DataFrame:
     """One row per document: doc_id, class_id, the smallest id of its near-duplicate class (documents alone have their own), like_id and similarity: of the documents it was compared with and linked to, the most similar one (null without).
 
@@ -404,7 +414,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
         sims, hits = compared(pairs)
         if hits:
             new = sims.filter(F.col("sim") >= threshold)
-            links, labels = links.unionByName(new), components(new.drop("sim").unionByName(labels.toDF("a", "b")))  # what earlier rounds have tied hangs on its label
+            links, labels = links.unionByName(new), merged(labels, new.select("a", "b"))
         if round_ < pivots:
             left, n = left.told(met, sims, labels).open()
     reps = distinct.select("same", "rep").join(labels.toDF("rep", "label"), "rep", "left").select("same", "rep", F.coalesce("label", "rep").alias("class_id"))

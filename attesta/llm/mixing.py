@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attesta.llm.arrays import quoted
+from attesta.llm.arrays import quoted, unused
 from attesta.llm.session import stored
 
 #: Levels of the hash that are refined, and hexadecimal digits of each: 4,096 cells a level, 2^36 in all.
@@ -13,12 +13,17 @@ LEVELS, DIGITS = 3, 3
 CELLS = 16 ** DIGITS
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """doc_id, source, size (words) and `cell`, the first 36 bits of the MD5 of the id: the place of a document among those of its source."""
+def cell_of(id_col: str) -> Column:
+    """The first 36 bits of the MD5 of the id: the place of a document among those of its source."""
     digits = F.substring(F.md5(F.coalesce(quoted(id_col).cast("string"), F.lit("")).cast("binary")), 1, LEVELS * DIGITS)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, size (words) and `cell` (see `cell_of`)."""
     return docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(source_col).cast("string").alias("source"),
                        F.coalesce(F.regexp_count(quoted(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
-                       F.conv(digits, 16, 10).cast("long").alias("cell"))
+                       cell_of(id_col).alias("cell"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -95,6 +100,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "d.doc_id", "d.source", "d.size", "e.source_size", "e.target", (F.col("e.rounds") + F.when(F.col("d.cell") < F.col("e.below"), 1).otherwise(0)).cast("long").alias("copies"))
 
 
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
+    """The rows that the mix takes, with all their columns, and `copies` (a longer name where the table has that column), how often each is taken.
+
+    A row's cell and its source's threshold decide, so nothing is joined by id and no text is shuffled. See `mix` for nulls, ties and repeated rows.
+    """
+    sizes = stored(sized(docs, id_col, text_col, source_col))
+    edges = thresholds(sizes, source_targets(sizes, weights, share, most)).withColumnRenamed("source", "of")
+    rows = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias("row"), quoted(source_col).cast("string").alias("source"), cell_of(id_col).alias("cell"))
+    copies = (F.col("rounds") + F.when(F.col("cell") < F.col("below"), 1).otherwise(0)).cast("long").alias(unused(docs, "copies"))
+    both = rows.join(F.broadcast(edges) if edges.count() <= 100_000 else edges, F.col("source").eqNullSafe(F.col("of")))
+    return both.select("row", copies).filter(F.col(unused(docs, "copies")) > 0).select("row.*", unused(docs, "copies"))
+
+
 def digest(mixed: DataFrame) -> DataFrame:
     """The columns of the query."""
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

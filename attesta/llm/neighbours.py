@@ -10,14 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.llm import arrays as A
 from attesta.llm.session import stored
 
-#: Dimensions of the projection (Gaussian, so 2-stable), and the chance with which each true neighbour is met before the search stops.
-PROJECTED, CHANCE = 8, 0.98
+#: Dimensions of the projection (Gaussian, so 2-stable), and the chance with which each true neighbour is met before the search stops. With more dimensions projected distances tell near from far more sharply.
+PROJECTED, CHANCE = 32, 0.93
 #: Vectors in a part of the index and in a leaf of its kd-tree; and the sample that the first cuts of the space are taken from.
-PART, LEAF, SAMPLE = 16_384, 32, 20_000
-#: Queries that one task answers against a part at a time.
-QUERIES = 20_000
+PART, LEAF, SAMPLE = 16_384, 256, 20_000
+#: Queries that one task answers against a part at a time, and that it works on together.
+QUERIES, TOGETHER = 20_000, 512
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -56,38 +57,91 @@ def kd_cells(points: np.ndarray, size: int) -> list[np.ndarray]:
     return out
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1. They are scaled by their largest component first, so squares of very large or small ones neither overflow nor vanish."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
+
+
+class Best:
+    """The k best (cosine, id) of each query so far, best first, ties to the smaller id; and its k-th squared distance."""
+
+    def __init__(self, queries: int, k: int, worst: np.ndarray):
+        self.cosines, self.ids, self.worst, self.k = np.full((queries, k), -np.inf), np.full((queries, k), np.iinfo(np.int64).max), worst.astype(np.float64).copy(), k
+
+    def add(self, query: np.ndarray, ids: np.ndarray, cosines: np.ndarray) -> None:
+        """Verified candidates, a query for each."""
+        near = cosines >= self.cosines[query, -1]
+        query, ids, cosines = query[near], ids[near], cosines[near]
+        if not len(query):
+            return
+        order = np.lexsort((ids, -cosines, query))
+        query, ids, cosines = query[order], ids[order], cosines[order]
+        starts = A.runs(query)
+        place = np.arange(len(query)) - np.repeat(starts, np.diff(np.append(starts, len(query))))
+        kept, own = place < self.k, query[starts]
+        row = np.searchsorted(own, query[kept])
+        more_cosines, more_ids = np.full((len(own), self.k), -np.inf), np.full((len(own), self.k), np.iinfo(np.int64).max)
+        more_cosines[row, place[kept]], more_ids[row, place[kept]] = cosines[kept], ids[kept]
+        both, names = np.hstack([self.cosines[own], more_cosines]), np.hstack([self.ids[own], more_ids])
+        order = np.lexsort((names, -both), axis=1)[:, :self.k]
+        self.cosines[own], self.ids[own] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
+        last = self.cosines[own, -1]
+        self.worst[own] = np.where(np.isfinite(last), np.minimum(self.worst[own], np.maximum(0.0, 2 - 2 * last)), self.worst[own])
+
+
 class Tree:
-    """A kd-tree of projected unit vectors, as the boxes of its leaves."""
+    """A kd-tree of projected unit vectors: its leaves hold vectors together, and the box around each."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, planes: np.ndarray, leaf: int = LEAF):
-        norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        cells = kd_cells(points := (vectors / norms[:, None]) @ planes, leaf)
+        vectors = unit(vectors)
+        points = vectors @ planes
+        cells = kd_cells(points, leaf)
         order = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-        self.ids, self.vectors, self.norms = ids[order], vectors[order], norms[order]
+        self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
+        self.squares = np.einsum("ij,ij->i", self.points, self.points)
         self.cuts = np.cumsum([0, *map(len, cells)])
-        self.low = np.array([points[c].min(axis=0) for c in cells]).reshape(-1, planes.shape[1])
-        self.high = np.array([points[c].max(axis=0) for c in cells]).reshape(-1, planes.shape[1])
-
-    def search(self, query: np.ndarray, norm: float, at: np.ndarray, k: int, limit: float, worst: float) -> list[tuple[float, int]]:
-        """Up to k of (-cosine, id), sorted: leaves are verified by rising projected distance until the next one is farther than the chi-square quantile allows for the
-        k-th distance so far. `worst`: the k-th squared distance that is known already."""
-        away = np.maximum(np.maximum(self.low - at, at - self.high), 0.0)
-        away = np.einsum("ij,ij->i", away, away)
-        best: list[tuple[float, int]] = []
-        order = np.argsort(away, kind="stable")
-        step = 8  # leaves in one product
-        for a in range(0, len(order), step):
-            if away[order[a]] > limit * worst:
+        self.low, self.high = (np.array([f(points[c], axis=0) for c in cells]).reshape(-1, planes.shape[1]) for f in (np.min, np.max))
+        self.verified = 0
+
+    def search(self, queries: np.ndarray, at: np.ndarray, k: int, limit: float, worst: np.ndarray) -> Best:
+        """The k best of each query (unit vectors, and their projections).
+
+        Leaves are visited by rising distance of their box, the nearest of every query in one go, then the next. A candidate is verified, its cosine taken, while its projected squared distance is at most the chi-square quantile
+        `limit` times the k-th squared distance so far: the first that is farther ends the search of a leaf, the first box that is farther that of the query. `worst`: the k-th squared distance that is known already.
+        """
+        best = Best(len(queries), k, worst)
+        away = np.zeros((len(queries), len(self.low)))
+        for d in range(at.shape[1]):
+            gap = np.maximum(np.maximum(self.low[:, d] - at[:, d, None], at[:, d, None] - self.high[:, d]), 0.0)
+            away += gap * gap
+        order = np.argsort(away, axis=1, kind="stable")
+        away = np.take_along_axis(away, order, 1)
+        squares = np.einsum("ij,ij->i", at, at)
+        active = np.arange(len(queries))
+        for step in range(order.shape[1]):
+            active = active[away[active, step] <= limit * best.worst[active]]
+            if not len(active):
                 break
-            rows = np.concatenate([np.arange(self.cuts[c], self.cuts[c + 1]) for c in order[a:a + step]])
-            cosine = (self.vectors[rows] @ query) / (self.norms[rows] * norm)
-            if len(best) == k:
-                near = cosine >= -best[-1][0]
-                rows, cosine = rows[near], cosine[near]
-            ids = self.ids[rows]
-            best = sorted([*best, *((-c, i) for c, i in zip(cosine.tolist(), ids.tolist(), strict=True))])[:k]
-            if len(best) == k:
-                worst = min(worst, max(0.0, 2 + 2 * best[-1][0]))
+            leaves = order[active, step]
+            turn = np.argsort(leaves, kind="stable")
+            for group in np.split(turn, A.runs(leaves[turn])[1:]):
+                own, leaf = active[group], leaves[group[0]]
+                rows = slice(self.cuts[leaf], self.cuts[leaf + 1])
+                far = squares[own, None] + self.squares[rows] - 2 * at[own] @ self.points[rows].T
+                if not np.isfinite(best.cosines[own, -1]).all() and step == 0:  # nothing is known yet: the nearest in projection, k of them, come first
+                    first = np.argsort(far, axis=1)[:, :k]
+                    q = np.repeat(own, first.shape[1])
+                    c = self.cuts[leaf] + first.ravel()
+                    best.add(q, self.ids[c], np.einsum("ij,ij->i", queries[q], self.vectors[c]))
+                    self.verified += len(q)
+                    np.put_along_axis(far, first, np.inf, 1)
+                q, c = np.nonzero(far <= limit * best.worst[own, None])
+                if len(q):
+                    self.verified += len(q)
+                    some = self.vectors[rows]
+                    cosines = (queries[own] @ some.T)[q, c] if 4 * len(q) > far.size else np.einsum("ij,ij->i", queries[own[q]], some[c])
+                    best.add(own[q], self.ids[rows][c], cosines)
         return best
 
 
@@ -108,8 +162,7 @@ def _located(dim: int, planes: np.ndarray, cuts: list[tuple[int, float, int, int
     """Adds to each row its cell: the leaf of the binary cuts (axis, value, child below, child above or on it; a child < 0 is a cell) where its projection lies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch.column(1), dim)
-            points = (v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]) @ planes
+            points = unit(_matrix(batch.column(1), dim)) @ planes
             node = np.zeros(len(points), np.int64) if cuts else np.full(len(points), -1)
             while (inside := np.flatnonzero(node >= 0)).size:
                 for n in np.unique(node[inside]):
@@ -150,18 +203,19 @@ _HITS = "query_id long, vec_id long, score double"
 def _answer(dim: int, planes: np.ndarray, k: int, limit: float):
     """The best k of one part for each of its queries."""
     def run(key: tuple, parts: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        out: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
         if parts.num_rows and queries.num_rows:
             tree = Tree(parts.column("id").to_numpy(), _matrix(parts.column("v"), dim), planes)
-            q = _matrix(queries.column("v"), dim)
-            norms = np.sqrt(np.einsum("ij,ij->i", q, q))
-            at = (q / norms[:, None]) @ planes
-            for i, (own, worst) in enumerate(zip(queries.column("id").to_pylist(), queries.column("worst").to_pylist(), strict=True)):
-                for minus, vec in tree.search(q[i], norms[i], at[i], k, limit, worst):
-                    out[0].append(own)
-                    out[1].append(vec)
-                    out[2].append(-minus)
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            names, worst = queries.column("id").to_numpy(), queries.column("worst").to_numpy()
+            q = unit(_matrix(queries.column("v"), dim))
+            at = q @ planes
+            for a in range(0, len(q), TOGETHER):
+                some = slice(a, a + TOGETHER)
+                best = tree.search(q[some], at[some], k, limit, worst[some])
+                row, place = np.nonzero(np.isfinite(best.cosines))
+                for column, value in zip(out, (names[some][row], best.ids[row, place], best.cosines[row, place]), strict=True):
+                    column.append(value)
+        return pa.table([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])
     return run
 
 
@@ -171,11 +225,11 @@ def _reach(projected: int, limit: float, low: np.ndarray, high: np.ndarray, cell
         for batch in batches:
             points, own, worst = _matrix(batch.column("p"), projected), batch.column("cell").to_numpy(), batch.column("worst").to_numpy()
             rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, p in enumerate(points):
-                away = np.maximum(np.maximum(low - p, p - high), 0.0)
-                hit = np.flatnonzero((np.einsum("ij,ij->i", away, away) <= limit * worst[i]) & (cells != own[i]))
-                found.append(cells[hit])
-                rows.append(np.full(len(hit), i))
+            for cell, lo, hi in zip(cells.tolist(), low, high, strict=True):
+                away = np.maximum(np.maximum(lo - points, points - hi), 0.0)
+                hit = np.flatnonzero((np.einsum("ij,ij->i", away, away) <= limit * worst) & (own != cell))
+                found.append(np.full(len(hit), cell))
+                rows.append(hit)
             take = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int32()), *(batch.column(c).take(take) for c in ("id", "v", "worst"))], names=["cell", "id", "v", "worst"])
     return run
@@ -190,7 +244,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     Equal vectors are one point of the index, which stands for its k + 1 smallest ids: no more of them can be an answer. Unit vectors are projected by a Gaussian matrix, so a projected squared
     distance is the true one times a chi-square variable. Cuts from a sample of about SAMPLE projections deal every point to a cell, and a cell of more than `part` points to several parts by hash.
     A query first searches its own cell; then every other cell whose box is not farther than the chi-square quantile allows for its k-th distance so far. Inside a part the
-    leaves of a kd-tree are verified by rising projected distance until the same test holds. Scores are the cosines of the original vectors.
+    leaves of a kd-tree are visited by rising distance until the same test holds, and of a leaf those points are verified that are not farther in projection. Scores are the cosines of the original vectors.
     """
     rows = usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -203,7 +257,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     planes, limit, wanted = projection(dim, projected), chi_square_quantile(chance, projected), k + 1
     sample = points.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE / total)))).select("v").toArrow()
     s = _matrix(sample.column("v"), dim)
-    cuts = top_cuts((s / np.sqrt(np.einsum("ij,ij->i", s, s))[:, None]) @ planes, max(1, -(-total // (part // 2))))
+    cuts = top_cuts((unit(s) if len(s) else s) @ planes, max(1, -(-total // (part // 2))))
     located = stored(points.select("id", "v").mapInArrow(_located(dim, planes, cuts), "id long, v array<double>, cell int, p array<double>"))
     # a row for each cell, of which there are about 2 * total / part: its box and the number of its parts
     box = located.groupBy("cell").agg(F.count("*").alias("n"), F.array(*(F.min(F.col("p")[i]) for i in range(projected))).alias("low"), F.array(*(F.max(F.col("p")[i]) for i in range(projected))).alias("high"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -21,12 +21,18 @@ KINDS, MIN_VALUE, MIN_ACCESS, MIN_HEX = ("assign", "access", "hex", "guess"), 6,
 #: Hexadecimal runs are long enough to be seen in steps: every run of 24 has a character of every 24th place.
 _HEX24 = re.compile("[0-9a-f]{24,}")
 
-#: More names that announce a credential; their values count by guess cost alone.
-CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|account|client)[_-]?(?:key|id|secret|token)|credentials?|bearer|authorization|auth)["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?(?:(?:bearer|basic)\x20+)?([^\s"'<>,;]{6,})""", re.I | re.A)
+#: More names that announce a credential; their values count by guess cost alone. Groups: what stands between, an opening quote, the value.
+CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|account|client)[_-]?(?:key|id|secret|token)|credentials?|bearer|authorization|auth)["']?\x20*([:=]|=>|\x20is\x20)\x20*(["']?)(?:(?:bearer|basic)\x20+)?([^\s"'<>,;]{6,})""", re.I | re.A)
+_IS = re.compile("\x20[Ii][Ss]\x20")
+#: Values that name a place where the secret is, rather than the secret: variables, templates, calls, members.
+REFERENCE = re.compile(r"\$\{?\w|\{\{|%[({]|@\w+@|[A-Za-z_][\w.]*[(\[]|[A-Za-z_]+(?:(?:\.|::|->)[A-Za-z_]+)+$")
+#: Ends of a sentence or of an expression, not of a value.
+CLOSING = ".!?)]}:`*"
 #: log10 of the guesses from which a value counts as a secret rather than a word or a placeholder.
 LEAST_COST = 8.0
 
-#: Words that people choose or that stand as placeholders, by falling frequency: the place is the number of guesses.
+#: Words that people choose or that stand as placeholders, by falling frequency: the place is the number of guesses. Words of the corpus follow them (`learn_words`), so many of the most frequent.
+RANKED = 50_000
 WORDS = ("password", "admin", "welcome", "letmein", "monkey", "dragon", "master", "login", "princess", "sunshine", "shadow", "football", "baseball", "secret", "changeme", "example", "test", "user", "guest",
          "root", "default", "none", "null", "true", "false", "token", "value", "string", "your", "my", "the", "this", "here", "key", "pass", "word", "required", "optional", "hidden", "placeholder", "summer", "winter",
          "spring", "autumn", "love", "hello", "world", "super", "star", "iloveyou", "trustno", "batman", "soccer", "killer", "michael", "jordan", "computer", "internet", "server", "service", "account", "access",
@@ -35,7 +41,11 @@ WORDS = ("password", "admin", "welcome", "letmein", "monkey", "dragon", "master"
 #: Rows of keys: runs along a row, either way, are cheap.
 KEY_ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 SWAPS = str.maketrans("@4830157$!", "aabeoist" + "si")
-DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+DATES = tuple(map(re.compile, (r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d", r"(?:19|20)\d\d")))
+#: A word of prose: letters with nothing of a name, path or number beside them.
+_PROSE = "(?<![a-z0-9+/_=.-])[a-z]{3,24}(?![a-z0-9+/_=-])"
+#: log10 of the guesses for where a segment ends, for a word in other case, and with letters swapped for signs.
+MORE, CASED, SWAPPED = 0.5, 0.3, 0.6
 
 
 @lru_cache(1)
@@ -43,9 +53,26 @@ def _steps() -> frozenset[str]:
     return frozenset(r[i:i + 2] for row in KEY_ROWS for r in (row, row[::-1]) for i in range(len(r) - 1))
 
 
+class Ranks:
+    """log10 of the guesses of each known word, and the length of the longest."""
+
+    def __init__(self, words: Sequence[str] = ()):
+        self.of: dict[str, float] = {}
+        for word in (*WORDS, *words):
+            self.of.setdefault(word, math.log10(len(self.of) + 2))
+        self.longest = max(map(len, self.of))
+
+
 @lru_cache(1)
-def _ranks() -> tuple[dict[str, float], int]:
-    return {w: math.log10(i + 2) for i, w in enumerate(WORDS)}, max(map(len, WORDS))
+def _fixed() -> Ranks:
+    return Ranks()
+
+
+def learn_words(docs: DataFrame, text_col: str = "text", most: int = RANKED) -> list[str]:
+    """The words of prose that most texts have, lowered, most frequent first: `most` of them at most, whatever the corpus. A word counts once a text, in partial sums before the shuffle."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_PROSE), F.lit(0)))
+    words = docs.select(A.quoted(text_col).cast("string").alias("text")).select(F.explode(found).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    return [r["w"] for r in words.filter("n > 1").orderBy(F.desc("n"), "w").limit(most).collect()]
 
 
 def _per_char(value: str) -> float:
@@ -56,79 +83,113 @@ def _per_char(value: str) -> float:
     return math.log10(max(size, 2))
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
+def guess_cost(value: str, ranks: Ranks | None = None) -> tuple[float, list[tuple[int, int, str]]]:
     """(log10 of the guesses, segments) of the cheapest way to split a value into words, dates, repeats, keyboard walks and brute-force spans.
 
-    Dynamic programming over prefixes: best[j] is the least over segments [i, j) of best[i] + cost(segment) + the cost of one more segment.
-    An empty value costs nothing. Linear in the length: words and dates are short, and of repeats and walks only maximal ones are tried.
+    Dynamic programming over prefixes, one state for a brute-force span that may go on and one for anything else. Each segment costs its guesses and MORE. An empty value costs nothing.
+    Inside a run of one character, of a repeated block or of a walk, few starts can be cheapest (`starts`): another one is dearer than the run's begin. Runs are tried from these, to every end, so
+    that the time follows the length of a value.
     """
-    n, (ranks, longest), steps = len(value), _ranks(), _steps()
-    plain, low, char = value.lower().translate(SWAPS) if len(value.lower()) == len(value) else value, value.lower() if len(value.lower()) == len(value) else value, _per_char(value)
-    best, back = [0.0] + [math.inf] * n, [(0, "")] * (n + 1)
-    more = 0.5  # where the segment ends has to be guessed too
+    n, ranks, steps, char = len(value), ranks or _fixed(), _steps(), _per_char(value)
+    low = value.lower() if len(value.lower()) == n else value
+    plain = low.translate(SWAPS)
+    inf = math.inf
+    free, brute = [0.0] + [inf] * n, [inf] * (n + 1)  # cheapest prefixes that end with another segment, or with a brute-force span
+    from_free: list[tuple[int, str, bool]] = [(0, "", False)] * (n + 1)  # start, kind, whether the prefix before ends in a brute-force span
+    from_brute = [0] * (n + 1)
 
     def put(i: int, j: int, cost: float, kind: str) -> None:
-        if best[i] + cost < best[j] - 1e-12:
-            best[j], back[j] = best[i] + cost, (i, kind)
-
-    i = 0
-    dates = {}
-    for m in DATE.finditer(value):
-        dates[m.start()] = m.end()
-    same = walk = period = 0  # ends of the maximal runs that hold i
+        before = min(free[i], brute[i])
+        if before + cost + MORE < free[j] - 1e-12:
+            free[j], from_free[j] = before + cost + MORE, (i, kind, brute[i] < free[i])
+
+    def starts(i: int, run, width: int = 1) -> bool:
+        """Whether a segment of a run may be cheapest from i: at its begin (in each phase), or behind a segment from before it, or a word out of phase."""
+        if i < begins[run] + width:
+            return True
+        at, kind, _ = from_free[i]
+        return free[i] <= brute[i] and (at < begins[run] or width > 1 and kind in ("word", "date") and (i - at) % width > 0)
+
+    def run_end(i: int, same) -> int:
+        j = i + 1
+        while j < n and same(j):
+            j += 1
+        return j
+    ends = {"repeat": 0, "walk": 0, 2: 0, 3: 0, 4: 0}
+    begins = dict.fromkeys(ends, 0)
     for i in range(n):
-        put(i, i + 1, char + (more if not i or back[i][1] != "brute" else 0.0), "brute")
-        for j in range(i + 3, min(n, i + longest) + 1):
-            word = low[i:j]
-            if (rank := ranks.get(word)) is not None:
-                put(i, j, rank + more + (0.3 if word != value[i:j] else 0.0), "word")
-            elif (rank := ranks.get(plain[i:j])) is not None:
-                put(i, j, rank + more + 0.6, "word")
-        if i in dates:
-            put(i, dates[i], (2.1 if dates[i] - i == 4 else 4.6) + more, "date")
-        if same <= i + 1:
-            same = i + 1
-            while same < n and value[same] == value[i]:
-                same += 1
-        if same - i >= 3:
-            put(i, same, char + math.log10(same - i) + more, "repeat")
-        for width in (2, 3, 4):  # a block said again
-            if i >= period and value[i:i + width] == value[i + width:i + 2 * width] != "":
-                j = i + 2 * width
-                while value[j:j + width] == value[i:i + width] and j + width <= n:
-                    j += width
-                put(i, j, width * char + math.log10((j - i) // width) + more, "repeat")
-                period = max(period, j - width)
-        if walk <= i + 1:
-            walk = i + 1
-            while walk < n and low[walk - 1:walk + 1] in steps:
-                walk += 1
-        if walk - i >= 3:
-            put(i, walk, 1.6 + math.log10(walk - i) + more, "walk")
-    out, j = [], n
+        if brute[i] + char < brute[i + 1]:
+            brute[i + 1], from_brute[i + 1] = brute[i] + char, from_brute[i]
+        if free[i] + MORE + char < brute[i + 1]:
+            brute[i + 1], from_brute[i + 1] = free[i] + MORE + char, i
+        for j in range(i + 3, min(n, i + ranks.longest) + 1):
+            if (rank := ranks.of.get(low[i:j])) is not None:
+                put(i, j, rank + (CASED if low[i:j] != value[i:j] else 0.0), "word")
+            elif (rank := ranks.of.get(plain[i:j])) is not None:
+                put(i, j, rank + SWAPPED, "word")
+        if value[i] in "0123":
+            for k, pattern in enumerate(DATES):
+                if m := pattern.match(value, i):
+                    put(i, m.end(), 2.1 if k == 2 else 4.6, "date")
+        if i + 1 >= ends["repeat"]:
+            begins["repeat"], ends["repeat"] = i, run_end(i, lambda j: value[j] == value[j - 1])
+        if ends["repeat"] - i >= 3 and starts(i, "repeat"):
+            for j in range(i + 3, ends["repeat"] + 1):
+                put(i, j, char + math.log10(j - i), "repeat")
+        if i + 1 >= ends["walk"]:
+            begins["walk"], ends["walk"] = i, run_end(i, lambda j: low[j - 1:j + 1] in steps)
+        if ends["walk"] - i >= 3 and starts(i, "walk"):
+            for j in range(i + 3, ends["walk"] + 1):
+                put(i, j, 1.6 + math.log10(j - i), "walk")
+        for width in (2, 3, 4):  # a block said again, if it is not a shorter one said several times
+            if value[i:i + width] in (value[i] * width, value[i:i + 2] * (width // 2) if width == 4 else ""):
+                continue
+            if i + width >= ends[width]:
+                begins[width], ends[width] = i, run_end(i + width - 1, lambda j: value[j] == value[j - width])
+            if ends[width] - i >= 2 * width and starts(i, width, width):
+                for j in range(i + 2 * width, ends[width] + 1, width):
+                    put(i, j, width * char + math.log10((j - i) // width), "repeat")
+    out, j, in_brute = [], n, n > 0 and brute[n] < free[n]
     while j:
-        i, kind = back[j]
-        if out and kind == "brute" and out[-1][2] == "brute" and out[-1][0] == j:
-            out[-1] = (i, out[-1][1], kind)
+        if in_brute:
+            i, kind, before = from_brute[j], "brute", False
         else:
-            out.append((i, j, kind))
-        j = i
-    return best[n] if n else 0.0, out[::-1]
+            i, kind, before = from_free[j]
+        out.append((i, j, kind))
+        j, in_brute = i, before
+    return min(free[n], brute[n]), out[::-1]
+
 
+def _is_placeholder(value: str) -> bool:
+    """Fixed words joined by signs, such as your_token_here."""
+    return all(not part.strip("x") or part in WORDS for part in re.split("[_.-]+", value.lower()))
 
-def find_spans(text: str, least_cost: float = LEAST_COST) -> list[tuple[int, int, int, float]]:
-    """(start, end, kind number, cost) of all spans, sorted by start, then kind. cost is 0 but for the method's own."""
+
+def _is_prose(value: str) -> bool:
+    """Letters alone, of one case but for the first."""
+    return value.isalpha() and (value[1:].islower() or not any(c.lower() != c.upper() for c in value))
+
+
+def find_spans(text: str, least_cost: float = LEAST_COST, ranks: Ranks | None = None) -> list[tuple[int, int, int, float]]:
+    """(start, end, kind number, cost) of all spans, sorted by start, then kind. cost is 0 but for the method's own.
+
+    A value in a credential context counts by its guess cost, without what closes the sentence behind it. A word of prose that stands without quotes does not count, nor does a value that
+    says where the secret is (`REFERENCE`).
+    """
     spans = []
     if "AKIA" in text:
         spans += [(m.start(), m.end(), 1, 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     spans += [(m.start(), m.end(), 2, 0.0) for m in _HEX24.finditer(text)]
     if ":" in text or "=" in text:
         spans += [(m.start(), m.end(), 0, 0.0) for m in ASSIGN.finditer(text) if m.end() - m.start(1) >= MIN_VALUE]
-    if ":" in text or "=" in text or " is " in text:
+    if ":" in text or "=" in text or _IS.search(text):
         for m in CONTEXT.finditer(text):
-            cost, _ = guess_cost(m[1])
+            value = m[3].rstrip(CLOSING)
+            if len(value) < MIN_VALUE or REFERENCE.match(value) or _is_placeholder(value) or not m[2] and _is_prose(value):
+                continue
+            cost, _ = guess_cost(value, ranks)
             if cost >= least_cost:
-                spans.append((m.start(1), m.end(1), 3, cost))
+                spans.append((m.start(3), m.start(3) + len(value), 3, cost))
     return sorted(spans, key=lambda s: (s[0], s[2]))
 
 
@@ -149,15 +210,16 @@ def redact(text: str, spans, mark: str = "[SECRET]") -> str:
     return "".join(out) + text[at:] if out else text
 
 
-def _scan(least_cost: float, with_text: bool):
+def _scan(least_cost: float, with_text: bool, words: Sequence[str]):
     kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("cost", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Ranks(words)
         for batch in batches:
             spans, hashes, texts = [], [], []
             for text in batch.column(1):
                 text = text.as_py()
-                found = find_spans(text or "", least_cost)
+                found = find_spans(text or "", least_cost, ranks)
                 spans.append([{"start": s, "end": e, "kind": KINDS[k], "cost": c} for s, e, k, c in found])
                 hashes.append(hashlib.sha256(_joined(f for f in found if f[2] < 3).encode()).hexdigest())
                 texts.append(redact(text, found) if with_text and text is not None else None)
@@ -165,24 +227,26 @@ def _scan(least_cost: float, with_text: bool):
     return run
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_cost: float = LEAST_COST, with_text: bool = True) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_cost: float = LEAST_COST, with_text: bool = True, words: Sequence[str] | None = None) -> DataFrame:
     """One row per document: doc_id, `spans` (start, end in code points, kind, cost) by start, then kind; base_sha256 of the base spans; and, unless left out, the text
     with all spans replaced by a mark.
 
     Base spans are assignments, access keys and hexadecimal runs; `guess` spans are values in a credential context whose guess cost is at least 10^`least_cost`. Null
-    texts have no spans and stay null; empty texts have none; repeated rows give repeated rows. One pass without a shuffle.
+    texts have no spans and stay null; empty texts have none; repeated rows give repeated rows. words: known words, most frequent first; without them those of the table are learned in a first pass. No text is shuffled.
     """
-    return A.texts_only(docs, id_col, text_col).mapInArrow(_scan(least_cost, with_text), SCHEMA)
+    known = learn_words(docs, text_col) if words is None else list(words)
+    return A.texts_only(docs, id_col, text_col).mapInArrow(_scan(least_cost, with_text, known), SCHEMA)
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", least_cost: float = LEAST_COST) -> DataFrame:
-    """All rows and columns, the text with its secrets masked and `chars_col`, where it exists, the new length. Null texts stay null."""
-    fields = docs.schema
-    at = docs.columns.index(text_col)
+def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", least_cost: float = LEAST_COST, words: Sequence[str] | None = None) -> DataFrame:
+    """All rows and columns, the text with its secrets masked and `chars_col`, where it exists, the new length. Null texts stay null. words: see `scan_secrets`."""
+    fields, at = docs.schema, docs.columns.index(text_col)
+    known = learn_words(docs, text_col) if words is None else list(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Ranks(known)
         for batch in batches:
-            texts = [t if t is None else redact(t, find_spans(t, least_cost)) for t in batch.column(at).to_pylist()]
+            texts = [t if t is None else redact(t, find_spans(t, least_cost, ranks)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.field(at), pa.array(texts, batch.schema.field(at).type))
 
     out = docs.mapInArrow(run, fields)
