@@ -3,43 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from attesta.llm import decontaminate, language, minhash, mixing, secrets
 from attesta.llm.session import prepared, stored
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled rows teach; those without letters, or unlike all of them, go."""
+    """Documents in a language that the labelled rows teach; those without letters, or unlike all of them, go.
+
+    Null, empty and letterless texts go; a null id, source or label does not matter for whether a row stays. Equal texts, however often they stand there, have one fate. Without labelled rows there is no language, and all go.
+    """
     prepared(spark)
     return language.keep_languages(docs, language.train(docs), least_score=0.4)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the smallest id."""
+    """One document of each near-duplicate class: the smallest id.
+
+    Rows of one id are one document and stay or go together, repeated rows with them; rows with a null id stay; null and empty texts are like no other.
+    """
     prepared(spark)
     return minhash.deduplicate(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of the benchmark."""
+    """Documents without any window of the benchmark. Null and empty texts stay, a null id does not matter, of repeated rows all stay or none."""
     prepared(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked in the text and n_chars set to the new length."""
+    """All documents, their secrets masked in the text and n_chars set to the new length. Null texts stay null; each row is masked by itself, so repeated rows stay equal."""
     prepared(spark)
     return secrets.redact_secrets(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the columns of documents, and `copies`, how often each is taken.
-    An id may stand in several rows: their texts are mixed alike, so the copies are joined once per id and source."""
+    """The documents that the mix takes, with their columns, and `copies`, how often each is taken (a longer name if the table has that column).
+
+    Null texts have no words, null sources are one source, the last; rows of one id stand at one place of their source, so repeated rows are taken alike.
+    """
     prepared(spark)
-    mixed = mixing.mix(docs).filter("copies > 0").select(F.col("doc_id").alias("mixed_id"), F.col("source").alias("mixed_source"), "copies").distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & F.col("source").eqNullSafe(F.col("mixed_source"))
-    return docs.join(mixed, on).drop("mixed_id", "mixed_source")
+    return mixing.take(docs)
 
 
 STAGES = [("language_id", language_stage), ("near_duplicates", near_duplicate_stage), ("decontamination", decontamination_stage), ("secrets", secret_stage), ("mixing", mixing_stage)]
