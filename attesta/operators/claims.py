@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from attesta import config as cfg
 from attesta.functions.text import normal_forms, page_form, team_slug, unescape
@@ -59,68 +55,66 @@ def quarantine(verified: DataFrame) -> DataFrame:
     return verified.filter(~F.col("verbatim_verified")).withColumn("reason", reason)
 
 
-def _runs(df: DataFrame, id: str, words: str, gram: int) -> DataFrame:
-    """(id, _k): hashes of the distinct runs of `gram` neighbouring words."""
-    n = F.size(words) - (gram - 1)
-    shifted = F.arrays_zip(*[F.slice(words, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
-    runs = F.transform(shifted, lambda r: F.xxhash64(*[r[f"w{i}"] for i in range(gram)]))
-    return df.filter(F.size(words) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
-
-
-def _scan_for(quotes: list[tuple], id_type: T.DataType, body_type: T.DataType):
-    """One pass over bodies that looks for all of these (id, text) at once; a text found once counts for all its ids."""
-    schema = T.StructType([T.StructField("_qid", id_type), T.StructField("_bid", body_type)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-        known: dict[str, list] = {}
-        for key, text in quotes:
-            known.setdefault(text, []).append(key)
-        words = ahocorasick.Automaton()
-        for text, ids in known.items():
-            words.add_word(text, ids)
-        words.make_automaton()
-        for pdf in batches:
-            for body_id, body in zip(pdf["_bid"], pdf["_b"]):
-                if body is None:
-                    continue
-                hits = {id(ids): ids for _, ids in words.iter(body)}
-                rows = [(key, body_id) for ids in hits.values() for key in ids]
-                if rows:
-                    yield pd.DataFrame(rows, columns=schema.names)
-    return run, schema
+#: Quotes are looked for by runs of WORDS neighbouring words, shorter ones by runs of CHARS characters, and those with fewer characters as they are.
+WORDS, CHARS = 3, 4
+#: Of the anchors that most bodies hold, so many are dealt over several keys, one for each SALT_ROWS bodies.
+HOT, SALT_ROWS = 10_000, 100_000
+
+
+def _runs(df: DataFrame, id: str, parts: str, gram: int) -> DataFrame:
+    """(id, _k): hashes of the distinct runs of `gram` neighbouring parts; `gram` itself is part of the hash."""
+    n = F.size(parts) - (gram - 1)
+    shifted = F.arrays_zip(*[F.slice(parts, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
+    runs = F.transform(shifted, lambda r: F.xxhash64(F.lit(gram), *[r[f"w{i}"] for i in range(gram)]))
+    return df.filter(F.size(parts) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
+
+
+def _grams(df: DataFrame, id: str, text: str, kinds, inner: bool) -> DataFrame:
+    """(id, _kind, _k): the runs of each kind that a text has: kind 0 of words, kind n of n characters. inner: words whose ends are inside the text only."""
+    out = None
+    for kind in kinds:
+        # arrays of words or characters are columns of their own: inside a lambda an expression would be split again for every position
+        parts = F.split(text, r"\s+") if kind == 0 else F.split(text, "")
+        if inner and kind == 0:
+            parts = F.when(F.size(parts) > 2, F.slice(parts, F.lit(2), F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
+        runs = _runs(df.select(id, parts.alias("_w")), id, "_w", kind or WORDS).select(id, F.lit(kind).alias("_kind"), "_k")
+        out = runs if out is None else out.unionByName(runs)
+    return out
 
 
 def find_quotes(quotes: DataFrame, bodies: DataFrame, quote_id: str, body_id: str, quote: str = "text",
-                body: str = "text", gram: int = 3, broadcast_rows: int = 100_000, block: int = 50_000) -> DataFrame:
+                body: str = "text", broadcast_rows: int = 100_000, salt_rows: int = SALT_ROWS) -> DataFrame:
     """V1 over a whole corpus: (quote_id, body_id) wherever the quote, of any length but not empty, is an exact substring of a body.
 
-    Every complete inner word run of a quote is a run of the body. Each quote is looked for by the one of its inner `gram`-word runs that
-    fewest quotes have, and only bodies with that run are read for the exact check: no cross join. Up to `broadcast_rows` such keys go to the
-    scan itself, so a run that no quote asks for never leaves its task; more are joined by a shuffle. Quotes without
-    so long a run are looked for in blocks of `block`, all of a block in one pass over the bodies.
+    Every complete inner word run of a quote is a run of the body, every run of its characters too. Each quote is looked for by its anchor: the one of its runs that fewest bodies have, counted over all
+    bodies for runs of quotes alone; a quote with a run that no body has is done. Only bodies with the anchor are read for the exact check. Up to `broadcast_rows` wanted runs go to the scan itself,
+    so a run that no quote asks for never leaves its task; more are joined by a shuffle, in which an anchor of many bodies is dealt over several keys. No quote reaches the driver, only how many there are of each kind.
     """
     q = quotes.select(F.col(quote_id).alias("_qid"), F.col(quote).alias("_q")).filter(F.length("_q") > 0)
     b = bodies.select(F.col(body_id).alias("_bid"), F.col(body).alias("_b"))
-    # word arrays are columns of their own: inside a lambda an expression would be split again for every position
-    inner = F.split("_q", r"\s+")
-    q = q.withColumn("_w", F.when(F.size(inner) > 2, F.slice(inner, F.lit(2), F.size(inner) - 2)).otherwise(F.array().cast("array<string>")))
-    keys = _runs(q, "_qid", "_w", gram)
-    rare = keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    probe = cut(keys.join(rare, "_k").groupBy("_qid").agg(F.min_by("_k", F.struct("_n", "_k")).alias("_k")))
-    side = F.broadcast(probe) if probe.count() <= broadcast_rows else probe
-    held = _runs(b.withColumn("_w", F.split("_b", r"\s+")), "_bid", "_w", gram)
-    pairs = held.join(side, "_k").select("_qid", "_bid").join(q.select("_qid", "_q"), "_qid").join(b, "_bid")
-    name = lambda d: d.select(F.col("_qid").alias(quote_id), F.col("_bid").alias(body_id))
-    out = name(pairs.filter(F.contains(F.col("_b"), F.col("_q"))))
-    pending = []
-    for row in q.filter(F.size("_w") < gram).select("_qid", "_q").toLocalIterator():
-        pending.append((row["_qid"], row["_q"]))
-        if len(pending) == block:
-            out, pending = out.unionByName(name(b.mapInPandas(*_scan_for(pending, q.schema["_qid"].dataType, b.schema["_bid"].dataType)))), []
-    if pending:
-        out = out.unionByName(name(b.mapInPandas(*_scan_for(pending, q.schema["_qid"].dataType, b.schema["_bid"].dataType))))
-    return out
+    kind = F.when(F.size(F.split("_q", r"\s+")) >= WORDS + 2, 0).otherwise(F.least(F.length("_q"), F.lit(CHARS)))
+    q = cut(q.withColumn("_of", kind))
+    kinds = [r[0] for r in q.select("_of").distinct().orderBy("_of").collect()]
+    if not kinds:
+        return q.join(b, F.lit(False)).select(F.col("_qid").alias(quote_id), F.col("_bid").alias(body_id))
+    asked = cut(_grams(q, "_qid", "_q", kinds, True).join(q.select("_qid", "_of"), "_qid").filter("_kind = _of").select("_qid", "_kind", "_k"))
+    near = lambda d, n: F.broadcast(d) if n <= broadcast_rows else d
+    wanted = cut(asked.select("_kind", "_k").distinct())
+    seen = _grams(b, "_bid", "_b", kinds, False)
+    spread = cut(seen.join(near(wanted, wanted.count()), ["_kind", "_k"]).groupBy("_kind", "_k").agg(F.count(F.lit(1)).alias("_n")))
+    rarest = asked.join(spread, ["_kind", "_k"], "left").groupBy("_qid").agg(F.min_by(F.struct("_kind", "_k", "_n"), F.struct(F.coalesce("_n", F.lit(0)), "_k")).alias("_a"))
+    probe = cut(rarest.filter("_a._n is not null").select("_qid", "_a.*"))
+    n = probe.count()
+    if n <= broadcast_rows:
+        pairs = seen.join(F.broadcast(probe.drop("_n")), ["_kind", "_k"])
+    else:
+        hot = probe.filter(F.col("_n") > salt_rows).select("_kind", "_k", F.ceil(F.col("_n") / salt_rows).cast("int").alias("_salts")).distinct().orderBy(F.desc("_salts"), "_k").limit(HOT)
+        salts = F.coalesce("_salts", F.lit(1))
+        held = seen.join(probe.select("_kind", "_k").distinct(), ["_kind", "_k"], "left_semi").join(F.broadcast(hot), ["_kind", "_k"], "left").withColumn("_salt", F.pmod(F.xxhash64("_bid"), salts).cast("int"))
+        each = probe.join(F.broadcast(hot), ["_kind", "_k"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        pairs = held.drop("_salts").join(each.drop("_salts", "_n"), ["_kind", "_k", "_salt"])
+    found = pairs.select("_qid", "_bid").join(q.select("_qid", "_q"), "_qid").join(b, "_bid").filter(F.contains(F.col("_b"), F.col("_q")))
+    return found.select(F.col("_qid").alias(quote_id), F.col("_bid").alias(body_id))
 
 
 def require_pass_rate(verified: DataFrame, pct: float = cfg.PASS_RATE) -> None:

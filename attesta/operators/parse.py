@@ -100,21 +100,18 @@ def sitemap_urls(df: DataFrame, text: str = "text", pattern: str = cfg.JOB_URL)
 def robots_allows(df: DataFrame, text: str = "text", pattern: str = cfg.JOB_URL) -> DataFrame:
     """allows_jobs and the directive count, from the rules that follow a `User-agent: *` line.
 
-    A rule belongs to the agent line most recently above it; the scan is one fold over the lines of a file.
+    A rule belongs to the agent line most recently above it; the scan is one fold over the lines of a file, which keeps a name, a count and a flag.
     """
     lines = F.filter(F.transform(F.split(F.col(text), r"\r?\n"), F.trim), lambda l: (l != "") & ~l.startswith("#"))
     agent = r"(?i)^user-agent:\s*(\S+)"
-    start = F.struct(F.lit("").alias("agent"), F.array().cast("array<string>").alias("rules"))
-    scan = F.aggregate(lines, start, lambda acc, l: F.when(
-        l.rlike(agent), F.struct(F.regexp_extract(l, agent, 1).alias("agent"), acc["rules"].alias("rules"))
-    ).when(acc["agent"] == "*", F.struct(acc["agent"].alias("agent"), F.array_append(acc["rules"], l).alias("rules"))
-           ).otherwise(acc))
-    rules = scan["rules"]
-    paths = F.transform(F.filter(rules, lambda r: r.rlike("(?i)^disallow:")),
-                        lambda r: F.regexp_replace(r, r"(?i)disallow:\s*", ""))
-    blocked = F.exists(paths, lambda p: (p == "/") | ((p != "") & p.rlike(pattern)))
+    state = lambda name, n, blocked: F.struct(name.alias("agent"), n.alias("n"), blocked.alias("blocked"))
+    path = lambda l: F.regexp_replace(l, r"(?i)disallow:\s*", "")
+    blocks = lambda l: l.rlike("(?i)^disallow:") & ((path(l) == "/") | ((path(l) != "") & path(l).rlike(pattern)))
+    scan = F.aggregate(lines, state(F.lit(""), F.lit(0), F.lit(False)), lambda acc, l: F.when(
+        l.rlike(agent), state(F.regexp_extract(l, agent, 1), acc["n"], acc["blocked"])
+    ).when(acc["agent"] == "*", state(acc["agent"], acc["n"] + 1, acc["blocked"] | blocks(l))).otherwise(acc))
     rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.size(rules).alias("n_directives"), (~blocked).alias("allows_jobs"))
+    return df.select(*rest, scan.alias("_scan")).select(*rest, F.col("_scan.n").alias("n_directives"), (~F.col("_scan.blocked")).alias("allows_jobs"))
 
 
 # ---------------------------------------------------------------- X5 segments, X6 span overlap
@@ -164,20 +161,27 @@ def segment(df: DataFrame, id: str, text: str) -> DataFrame:
     return df.select(id, text).mapInPandas(cut_batches, schema)
 
 
-def span_overlap(segs: DataFrame, quotes: DataFrame, id: str, quote: str) -> DataFrame:
+def _bins(lo: Column, hi: Column, width: int) -> Column:
+    """The stretches of `width` code points that a span touches, the one of its start at least."""
+    first = F.floor(lo / width)
+    return F.sequence(first, F.greatest(first, F.floor((hi - 1) / width)))
+
+
+def span_overlap(segs: DataFrame, quotes: DataFrame, id: str, quote: str, width: int = 2048) -> DataFrame:
     """Per quote the segment covering the largest share of its span; lowest segment number on ties.
 
-    quotes: (id, quote, q_start, q_end). The equi key bounds the range condition to one text.
+    quotes: (id, quote, q_start, q_end). Spans meet in stretches of `width` code points of a text, and a pair counts in the first stretch that both touch. So a text of any length is many
+    keys, and a quote is compared with the segments near it. A quote that no segment overlaps has a share of 0.
     """
-    s, q = segs.alias("s"), quotes.alias("q")
-    on = (F.col(f"s.{id}") == F.col(f"q.{id}")) & (F.col("s.start") < F.col("q.q_end")) & (F.col("s.end") > F.col("q.q_start"))
-    width = F.greatest(F.lit(1), F.col("q.q_end") - F.col("q.q_start"))
-    share = (F.least("s.end", "q.q_end") - F.greatest("s.start", "q.q_start")) / width
-    pairs = q.join(s, on, "left").select(f"q.{id}", f"q.{quote}", F.col("s.seg_no"),
-                                         F.coalesce(share, F.lit(0.0)).alias("share"))
-    best = F.max(F.struct("share", (-F.col("seg_no")).alias("neg")))
-    return pairs.groupBy(id, quote).agg(best.alias("_b")).select(
-        id, quote, (-F.col("_b.neg")).alias("seg_no"), F.col("_b.share").alias("share"))
+    s = segs.select(F.col(id).alias("_id"), "seg_no", "start", "end", F.explode(_bins(F.col("start"), F.col("end"), width)).alias("_bin"))
+    q = quotes.select(id, quote, "q_start", "q_end", F.explode(_bins(F.col("q_start"), F.col("q_end"), width)).alias("_qbin"))
+    first = F.floor(F.greatest("start", "q_start") / width)
+    on = (F.col(id) == F.col("_id")) & (F.col("_bin") == F.col("_qbin")) & (F.col("_bin") == first) & (F.col("start") < F.col("q_end")) & (F.col("end") > F.col("q_start"))
+    share = (F.least("end", "q_end") - F.greatest("start", "q_start")) / F.greatest(F.lit(1), F.col("q_end") - F.col("q_start"))
+    pairs = q.join(s, on).select(id, quote, share.alias("share"), (-F.col("seg_no")).alias("neg"))
+    none = quotes.select(id, quote, F.lit(0.0).alias("share"), F.lit(None).cast("int").alias("neg"))
+    best = pairs.unionByName(none).groupBy(id, quote).agg(F.max(F.struct("share", "neg")).alias("_b"))
+    return best.select(id, quote, (-F.col("_b.neg")).alias("seg_no"), F.col("_b.share").alias("share"))
 
 
 # ---------------------------------------------------------------- X7, X13 fields in bodies

@@ -153,7 +153,8 @@ def segment_coverage(segs: DataFrame, quotes: DataFrame, id: str, quote: str) ->
                      F.count_if(F.col("share") >= 0.6).alias("n_most"))
     words = segs.select(F.size(F.split(F.trim("text"), r"\s+")).alias("w")).agg(
         F.percentile("w", F.lit(0.5)).alias("words_median"), F.percentile("w", F.lit(0.95)).alias("words_p95"), F.max("w").alias("words_max"))
-    return cover.withColumns({c: words.select(c).scalar() for c in ("words_median", "words_p95", "words_max")})
+    rows = cover.unionByName(words, allowMissingColumns=True)  # two rows, each with nulls for what the other has
+    return rows.agg(*(F.max(c).alias(c) for c in rows.columns))
 
 
 def field_agreement(df: DataFrame, pairs, conf: str | None = None, sure: float = 0.9) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from attesta import config as cfg
 from attesta.functions.text import title_key
 from attesta.operators.skew import first_per_group, modal, rank_within, top_per_group
+from attesta.session import cut
 
 BUCKETS = cfg.FAMILY_NAMES + ["other", "unsure", "excluded", "not_labeled"]
 
@@ -17,9 +18,11 @@ def hiring_tally(df: DataFrame, by: str, buckets=None, window: int = cfg.HIRING_
     whole corpus, and per label source. Rows without the grouping key are out.
 
     df: output of `resolve_label` with last_seen (date). One grouped pass with conditional counts. newest: the newest date, where the caller has
-    it from a plainer table; else it is taken from `df`, whose plan then runs twice.
+    it from a plainer table; else the columns that count are materialised once, and it is taken from them.
     """
-    newest = df.agg(F.max("last_seen")).scalar() if newest is None else newest
+    if newest is None:
+        df = cut(df.select(by, "family", "is_digital", "is_bioprocess", "last_seen", "label_source"))
+        newest = df.agg(F.max("last_seen")).scalar()
     cutoff = F.date_sub(newest, window)
     recent = F.coalesce(F.col("last_seen") >= cutoff, F.lit(False))
     named = F.col("family").isin(cfg.FAMILY_NAMES if buckets is None else buckets)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
@@ -10,7 +12,8 @@ from attesta.operators import dedupe, mix, parse, resolve, rules, tallies, upser
 from attesta.plans import derive as dv
 from attesta.plans.base import query
 from attesta.plans.derive import with_
-from attesta.sources import exports, feeds, spine
+from attesta.session import scratch
+from attesta.sources import buckets, exports, feeds, spine
 
 FACTS_SQL = """facts AS (SELECT n_name AS account_id, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS period, o_orderpriority AS dim_key,
   o_orderdate FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
@@ -283,8 +286,11 @@ def fold_duplicates(t):
     return upsert.fold_duplicates(d).select("o_orderkey", "posting_id")
 
 
-@query("tier_upsert", """WITH r AS (SELECT user_id, event_id, value, list_position(['error', 'view', 'click', 'signup', 'purchase'], event_type) AS rank FROM events)
-SELECT user_id, event_id AS run_seq, round(value, 4) AS value FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank DESC, event_id DESC) = 1""")
+TIERED = """WITH r AS (SELECT user_id, event_id, value, list_position(['error', 'view', 'click', 'signup', 'purchase'], event_type) AS rank FROM events)
+SELECT user_id, event_id AS run_seq, round(value, 4) AS value FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank DESC, event_id DESC) = 1"""
+
+
+@query("tier_upsert", TIERED)
 def tier_upsert(t):
     tiers = F.create_map(*[F.lit(x) for kv in zip(["error", "view", "click", "signup", "purchase"], cfg.TIERS) for x in kv])
     d = t.events.select("user_id", "ts", F.col("event_id").alias("run_seq"), F.round("value", 4).alias("value"), tiers[F.col("event_type")].alias("extraction_tier"))
@@ -292,6 +298,17 @@ def tier_upsert(t):
     return upsert.tier_upsert(d.filter(first), d.filter(~first), "user_id").drop("extraction_tier", "ts")
 
 
+@query("tier_upsert_stored", TIERED)
+def tier_upsert_stored(t):
+    """U3 by parts: the same over a table in buckets, written a week at a time."""
+    tiers = F.create_map(*[F.lit(x) for kv in zip(["error", "view", "click", "signup", "purchase"], cfg.TIERS) for x in kv])
+    d = t.events.select("user_id", "ts", F.col("event_id").alias("run_seq"), F.round("value", 4).alias("value"), tiers[F.col("event_type")].alias("extraction_tier"))
+    path, kept = f"{scratch(t.spark)}/tables/{uuid.uuid4().hex}", d.drop("ts")
+    for part in (F.col("ts") < "2024-01-08", (F.col("ts") >= "2024-01-08") & (F.col("ts") < "2024-01-16"), F.col("ts") >= "2024-01-16"):
+        buckets.update(d.filter(part).drop("ts"), path, "user_id", kept.schema, lambda rows, new: upsert.tier_upsert(rows, new, "user_id"))
+    return buckets.read(t.spark, path, kept.schema).drop("extraction_tier")
+
+
 @query("append_quotes", """WITH r AS (SELECT event_id, user_id, event_type, 'claim ' || CAST(floor(value) AS BIGINT) AS txt, ts < TIMESTAMP '2024-01-10' AS old FROM events),
 st AS (SELECT * FROM r WHERE old QUALIFY row_number() OVER (PARTITION BY user_id, event_type, txt ORDER BY event_id) = 1),
 nw AS (SELECT * FROM r WHERE NOT old AND NOT EXISTS (SELECT 1 FROM st WHERE st.user_id = r.user_id AND st.event_type = r.event_type AND st.txt = r.txt)

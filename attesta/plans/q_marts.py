@@ -20,7 +20,7 @@ from attesta.plans.q_verdicts import (FINAL_SQL, FIT_SQL, NEWS_SQL, PROFILE_SQL,
                                       ranked_publications)
 from attesta.plans.q_text import GATE_SQL, VERIFIED_SQL, gate_bodies, gate_quotes
 from attesta.session import cut, scratch
-from attesta.sources import exports, tables
+from attesta.sources import exports, feeds, tables
 
 # ---------------------------------------------------------------- title labels, hiring
 LABELS_SQL = f"""labels_t AS (SELECT DISTINCT role_title AS title_key, {sql_list(cfg.FAMILY_NAMES + ['other', 'unsure'])}[1 + {sql_byte("role_title || '|f'")} % 9] AS f,
@@ -396,6 +396,26 @@ def table_round_trip(t):
     return back.select("signal_id", "account_id", "title", "site_id", F.size("named_people").alias("n_people"))
 
 
+@query("table_partial_update", """SELECT CAST(o_orderkey AS VARCHAR) AS posting_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'late' ELSE o_orderstatus END AS url, round(o_totalprice) AS body_chars FROM orders""")
+def table_partial_update(t):
+    """S4 by parts: a table in buckets, of which one order in each hundred and then all urgent ones are written again."""
+    path = f"{scratch(t.spark)}/tables/{uuid.uuid4().hex}"
+    d = t.orders.select(F.col("o_orderkey").cast("string").alias("posting_id"), F.col("o_orderstatus").alias("url"), F.round("o_totalprice").cast("int").alias("body_chars"), "o_orderpriority")
+    tables.save_changes(d.withColumn("url", F.lit("first")), path, "postings", "posting_id")
+    tables.save_changes(d.filter("o_orderpriority != '1-URGENT'"), path, "postings", "posting_id")
+    tables.save_changes(d.filter("o_orderpriority = '1-URGENT'").withColumn("url", F.lit("late")), path, "postings", "posting_id")
+    return tables.load_parts(t.spark, path, "postings").select("posting_id", "url", F.col("body_chars").cast("double").alias("body_chars"))
+
+
+@query("bodies_from_files", """SELECT s_name AS posting_id, s_name || chr(10) || 'from nation ' || s_nationkey || chr(10) AS text FROM supplier""")
+def bodies_from_files(t):
+    """A text file for each supplier, read as bodies."""
+    path = f"{scratch(t.spark)}/bodies/{uuid.uuid4().hex}"
+    lines = t.supplier.select(F.col("s_name").alias("posting_id"), F.concat(F.col("s_name"), F.lit("\n"), F.lit("from nation "), F.col("s_nationkey").cast("string")).alias("value"))
+    lines.repartition("posting_id").write.partitionBy("posting_id").text(path)
+    return feeds.read_bodies(t.spark, path)
+
+
 @query("run_ledger", """SELECT 'r1' AS run_id, count(*) AS urls_seen, count(*) FILTER (page_id % 3 = 0) AS new_urls FROM pages UNION ALL SELECT 'r2', NULL, NULL""")
 def run_ledger(t):
     """Counters taken while the pages are written, appended to the ledger and loaded."""

@@ -46,7 +46,7 @@ def mix_counts_stream(t):
     by = ["account_id", "period", "dim_key"]
     out, checkpoint = places(t)
     streams.mix_counts_stream(d, by, out, checkpoint)
-    return streams.mix_counts(t.spark, out, by)
+    return streams.mix_counts(d, out, by)
 
 
 @query("verify_stream", with_(GATE_SQL) + "SELECT posting_id, kind, match_method FROM gated")
@@ -62,4 +62,4 @@ def verify_stream(t):
 @query("dedupe_news_stream", "SELECT DISTINCT 'a' || (user_id % 20) AS account_id, sha1(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) AS item_id FROM events")
 def dedupe_news_stream(t):
     d = events(t).select("account_id", F.sha1(F.floor("value").cast("string")).alias("item_id"), F.col("seen_at").cast("timestamp").alias("published"))
-    return streams.run_available(streams.dedupe_news_stream(d), *places(t)).select("account_id", "item_id")
+    return streams.dedupe_news_stream(d, *places(t)).select("account_id", "item_id")

@@ -147,7 +147,8 @@ def read_enrichment(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """(posting_id, text) from one text file per posting."""
-    raw = spark.read.text(path, wholetext=True).withColumn("_f", F.input_file_name())
-    name = F.try_url_decode(F.regexp_extract("_f", r"([^/]+)\.txt$", 1))
+    """(posting_id, text) from one text file per posting: `<posting_id>.txt`, or a file in a folder `posting_id=<posting_id>`."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).withColumn("_f", F.input_file_name())
+    part = F.regexp_extract("_f", r"posting_id=([^/]+)/[^/]+$", 1)  # names of partitions are escaped once more
+    name = F.when(part != "", F.try_url_decode(F.try_url_decode(part))).otherwise(F.try_url_decode(F.regexp_extract("_f", r"([^/]+)\.txt$", 1)))
     return raw.select(name.alias("posting_id"), F.col("value").alias("text"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from attesta.operators.quality import guard_shrink
 from attesta.schemas import schema as schema_of
+from attesta.sources import buckets
 
 ACCRETING = {"postings", "quotes", "units", "edges"}
 
@@ -38,6 +39,27 @@ def save(df: DataFrame, path: str, name: str, previous: DataFrame | None = None,
     conform(df, schema_of(name)).write.mode("errorifexists").parquet(path)
 
 
+def save_changes(delta: DataFrame, path: str, name: str, key, merge=None, allow_shrink: bool = False) -> set[int]:
+    """S4 by parts: only the buckets (`sources.buckets`) of the delta's keys are written, all other files stay as they are; gives the touched buckets. By default a row of the delta replaces the row of its key.
+
+    merge(rows, delta) makes another rule of it, such as U3 or U9. An accreting table is checked against the same buckets of its last version before these count (V6).
+    """
+    schema, key = schema_of(name), [key] if isinstance(key, str) else list(key)
+    replace = lambda rows, d: rows.join(d.select(*key).distinct(), key, "left_anti").unionByName(d)
+
+    def merged(rows: DataFrame, d: DataFrame) -> DataFrame:
+        out = (merge or replace)(rows, d)
+        if name in ACCRETING and not allow_shrink:
+            guard_shrink(rows, out)
+        return out
+    return buckets.update(conform(delta, schema), path, key, schema, merged)
+
+
+def load_parts(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """S3: a table that `save_changes` keeps."""
+    return buckets.read(spark, path, schema_of(name))
+
+
 def from_text(c: str, kind: T.DataType) -> Column:
     """One CSV cell as a typed value: empty is null, both boolean spellings, pipe- or semicolon-joined lists."""
     v = F.when(F.trim(F.col(c)) != "", F.trim(F.col(c)))

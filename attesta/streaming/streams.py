@@ -1,21 +1,25 @@
 """Structured Streaming forms of the incremental operators.
 
-Sinks are Parquet files, whose commit log makes every run exactly once. Windows only widen and min, max and distinct are
-order-free, so late sightings are always accepted: no watermark drops them.
+Micro-batches land in logs (`streaming.log`), a folder each, which a retry replaces; no stream keeps state that grows. Windows only widen and min, max and distinct are
+order-free, so late rows are always accepted: no watermark drops them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta import config as cfg
+from attesta.functions.dates import quarter
 from attesta.operators.claims import verify_quotes
-from attesta.operators.upsert import accrete, per_run
+from attesta.operators.upsert import per_run
+from attesta.session import cut
+from attesta.sources.buckets import BUCKETS, latest, update
+from attesta.sources.buckets import read as read_buckets
+from attesta.streaming.log import BatchLog
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by=()) -> DataFrame:
@@ -34,48 +38,65 @@ def for_each_batch(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame
     query.awaitTermination()
 
 
-def accrete_stream(stream: DataFrame, key, out: str, checkpoint: str, run: str = "run_id", ts: str = "seen_at") -> DataFrame:
-    """Land one row per (key, run) and micro-batch in an append-only log, partitioned by run; then accrete the log.
+def _log(stream: DataFrame, out: str, columns: list, by: str | None = None) -> BatchLog:
+    return BatchLog(stream.sparkSession, out, T.StructType([c if isinstance(c, T.StructField) else stream.schema[c] for c in columns]), by)
 
-    The stream keeps no state. A call reads the new files alone; the log that is accreted has a row per key and run, not per sighting, and replays of a
-    run, late rows and repeated files leave it equal to `accrete` over all sightings. `accrete_into` takes a state further by the new part of the log.
-    """
-    key = [key] if isinstance(key, str) else list(key)
 
-    def land(batch: DataFrame, number: int) -> None:
-        # a folder per batch: a batch that is tried again replaces its own rows
-        per_run(batch, key, run, ts).write.mode("overwrite").partitionBy(run).parquet(f"{out}/batch={number}")
+def accrete_stream(stream: DataFrame, key, out: str, checkpoint: str, run: str = "run_id", ts: str = "seen_at", buckets: int = BUCKETS) -> DataFrame:
+    """Land one row per (key, run) and micro-batch in a log, partitioned by run, and take the accreted state further by what is new in it.
 
-    for_each_batch(stream.select(*key, run, ts), checkpoint, land)
-    landed = stream.sparkSession.read.option("basePath", out).parquet(out).withColumn(run, F.col(run).cast(stream.schema[run].dataType))
-    both = landed.select(*key, run, F.col("first_seen").alias(ts)).unionByName(landed.select(*key, run, F.col("last_seen").alias(ts)))
-    return accrete(both, key, run, ts)
+    The stream keeps no state. The state is a bucketed table whose version is the last batch it holds: a call reads the batches behind it, of the older ones only the partitions of the same runs, to count a
+    run of a key once, and of the state the buckets of the keys that were sighted. So replays of a run, late rows and repeated files leave it equal to `accrete` over all sightings.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    kind = stream.schema[ts].dataType
+    log = _log(stream, f"{out}/log", [*key, run, T.StructField("first_seen", kind), T.StructField("last_seen", kind)], run)
+    for_each_batch(stream.select(*key, run, ts), checkpoint, lambda batch, number: log.write(per_run(batch, key, run, ts), number))
+    return accrete_log(log, key, f"{out}/state", run, buckets)
+
+
+def accrete_log(log: BatchLog, key: list[str], state: str, run: str = "run_id", buckets: int = BUCKETS) -> DataFrame:
+    """The accreted state after what the log holds beyond its version; see `accrete_stream`."""
+    spark, mark, spans = log.spark, latest(log.spark, state), log.spans()
+    seen = _state_schema(log, key, run)
+    tail = [s for s in spans if s[1] > mark]
+    if tail:
+        new = log.read(tail).groupBy(*key, run).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+        old = log.read([s for s in spans if s[1] <= mark], log.values(tail)).select(*key, run, F.lit(True).alias("_old")).distinct()
+        delta = new.join(old, [*key, run], "left").groupBy(*key).agg(
+            F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.count_if(F.col("_old").isNull()).alias("seen_count"), F.max(run).alias("last_run_id"))
+        both = [F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("seen_count").alias("seen_count"), F.max("last_run_id").alias("last_run_id")]
+        update(cut(delta), state, key, seen, lambda rows, d: rows.unionByName(d).groupBy(*key).agg(*both), log.last(), buckets)
+        log.compact(lambda rows: rows.groupBy(*key, run).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")))
+    d = read_buckets(spark, state, seen)
+    return d.withColumn("period_first", quarter("first_seen")).withColumn("period_last", quarter("last_seen"))
+
+
+def _state_schema(log: BatchLog, key: list[str], run: str) -> T.StructType:
+    kinds = {f.name: f.dataType for f in log.schema}
+    return T.StructType([*(T.StructField(c, kinds[c]) for c in key), T.StructField("first_seen", kinds["first_seen"]), T.StructField("last_seen", kinds["last_seen"]),
+                         T.StructField("seen_count", T.LongType()), T.StructField("last_run_id", kinds[run])])
 
 
 def once_per_run(stream: DataFrame, key, out: str, checkpoint: str, run: str = "run_id") -> DataFrame:
     """The first sighting of each key in each run, appended to a log partitioned by run.
 
     A micro-batch drops its own repeats and what the partitions of its runs hold already, so nothing is kept on the stream and only the runs that
-    a batch touches are read.
+    a batch touches are read. The log is compacted as it grows.
     """
     key = [key] if isinstance(key, str) else list(key)
-    kinds = {c: stream.schema[c].dataType for c in (*key, run)}
-
-    def landed(spark: SparkSession, before: int | None = None) -> DataFrame:
-        try:
-            d = spark.read.option("basePath", out).parquet(out)
-        except AnalysisException:
-            return spark.createDataFrame([], T.StructType([T.StructField(c, k) for c, k in kinds.items()]))
-        return (d if before is None else d.filter(F.col("batch") < before)).select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+    log = _log(stream, out, [*key, run], run)
 
     def land(batch: DataFrame, number: int) -> None:
-        fresh = batch.select(*key, run).distinct()
-        runs = [r[0] for r in fresh.select(run).distinct().collect()]  # the runs of one micro-batch
-        old = landed(batch.sparkSession, number).filter(F.col(run).isin(runs))
-        fresh.join(old, [*key, run], "left_anti").write.mode("overwrite").partitionBy(run).parquet(f"{out}/batch={number}")
+        # landed twice: whole, which tells the runs by the names of its partitions, then without what older batches hold
+        log.write(batch.select(*key, run).distinct(), number)
+        older = [s for s in log.spans() if s[1] < number]
+        held = log.read(older, log.values([(number, number)]))
+        log.write(cut(log.read([(number, number)]).join(held, [*key, run], "left_anti")), number)
+        log.compact()
 
     for_each_batch(stream.select(*key, run), checkpoint, land)
-    return landed(stream.sparkSession)
+    return log.all()
 
 
 def verify_stream(stream: DataFrame, bodies: DataFrame, quote: str = "quote_text", body: str = "text", on: str = "posting_id") -> DataFrame:
@@ -100,22 +121,54 @@ def settle(landed: DataFrame, bodies: DataFrame) -> DataFrame:
 def mix_counts_stream(stream: DataFrame, by, out: str, checkpoint: str) -> None:
     """T4: the counts of each micro-batch per group, landed as they come; read them with `mix_counts`.
 
-    A batch is counted natively and no count is kept on the stream. Only counts are incremental; shares, medians and indices are finished in batch by `share_of_mix`.
+    A batch is counted natively and no count is kept on the stream. Only counts are incremental; shares, medians and indices are finished in batch by `share_of_mix`. Folders of old batches are merged, their counts summed.
     """
+    log = _log(stream, out, [*by, T.StructField("n", T.LongType())])
+
     def land(batch: DataFrame, number: int) -> None:
-        batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        log.write(batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), number)
+        log.compact(lambda rows: rows.groupBy(*by).agg(F.sum("n").alias("n")))
 
     for_each_batch(stream.select(*by), checkpoint, land)
 
 
-def mix_counts(spark: SparkSession, out: str, by) -> DataFrame:
+def mix_counts(stream: DataFrame, out: str, by) -> DataFrame:
     """T4: the counts now: those of all batches summed per group."""
-    return spark.read.option("basePath", out).parquet(out).groupBy(*by).agg(F.sum("n").alias("n"))
+    return _log(stream, out, [*by, T.StructField("n", T.LongType())]).all().groupBy(*by).agg(F.sum("n").alias("n"))
 
 
-def dedupe_news_stream(stream: DataFrame, ts: str = "published", days: int = cfg.NEWS_WINDOW_DAYS) -> DataFrame:
-    """T5: the first copy of each (account, item) within the news window; older keys leave the state."""
-    return stream.withWatermark(ts, f"{days} days").dropDuplicatesWithinWatermark(["account_id", "item_id"])
+def _firsts(batch: DataFrame, key: list[str], ts: str, days: int) -> DataFrame:
+    """The copies of a batch that open a window of `days`: the first of a key, then the first behind the window of the one before. A key is as many values as it has days."""
+    each = batch.groupBy(*key, F.to_date(ts).alias("_day")).agg(F.min(ts).alias(ts)).groupBy(*key).agg(F.array_sort(F.collect_list(ts)).alias("_at"))
+    none = F.array().cast(T.ArrayType(batch.schema[ts].dataType))
+    later = lambda kept, x: F.when((F.size(kept) == 0) | (x > F.element_at(kept, -1) + F.make_dt_interval(F.lit(days))), F.array_append(kept, x)).otherwise(kept)
+    return each.select(*key, F.explode(F.aggregate("_at", none, later)).alias(ts))
+
+
+def dedupe_news_stream(stream: DataFrame, out: str, checkpoint: str, ts: str = "published", days: int = cfg.NEWS_WINDOW_DAYS, key=("account_id", "item_id")) -> DataFrame:
+    """T5: the copies of each (account, item) that no landed copy within the news window precedes, in a log partitioned by month of publication.
+
+    The stream keeps no state and has no watermark, so a first copy counts however late it comes. A micro-batch looks for copies in the months that its window reaches, by the names of the log's folders.
+    A copy within `days` of a landed one, before or behind it, is dropped; of the copies of one batch the earliest opens the window. Rows without a time take no part.
+    """
+    key = list(key)
+    log = _log(stream, out, [*key, T.StructField(ts, stream.schema[ts].dataType), T.StructField("month", T.StringType())], "month")
+    month = lambda c: F.date_format(c, "yyyy-MM")
+
+    def land(batch: DataFrame, number: int) -> None:
+        fresh = cut(_firsts(batch, key, ts, days))
+        older = [s for s in log.spans() if s[1] < number]
+        reach = fresh.select(F.explode(F.array(F.min(ts) - F.make_dt_interval(F.lit(days)), F.max(ts) + F.make_dt_interval(F.lit(days)))).alias("t"))
+        low, high = (f"month={m}" for m in reach.agg(month(F.min("t")), month(F.max("t"))).first())
+        held = log.read(older, {n for n in log.values(older) if low <= n <= high}).select(*key, F.col(ts).alias("_ts"))
+        near = F.abs(F.unix_micros(ts) - F.unix_micros("_ts")) <= days * 86_400_000_000
+        same = [F.col(f"f.{c}").eqNullSafe(F.col(f"h.{c}")) for c in key]
+        kept = fresh.alias("f").join(held.alias("h"), [*same, near], "left_anti")
+        log.write(cut(kept.withColumn("month", month(ts))), number)
+        log.compact()
+
+    for_each_batch(stream.select(*key, ts), checkpoint, land)
+    return log.all().drop("month")
 
 
 def read_files(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
