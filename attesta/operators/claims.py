@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.text import normal_forms, page_form, team_slug, unescape
+from attesta.operators.grams import CHARS, runs
 from attesta.operators.rules import drop_boilerplate
 from attesta.session import cut
 
@@ -56,19 +57,11 @@ def quarantine(verified: DataFrame) -> DataFrame:
 
 
 #: Quotes are looked for by runs of WORDS neighbouring words, shorter ones by runs of CHARS characters, and those with fewer characters as they are.
-WORDS, CHARS = 3, 4
+WORDS = 3
 #: Of the anchors that most bodies hold, so many are dealt over several keys, one for each SALT_ROWS bodies.
 HOT, SALT_ROWS = 10_000, 100_000
 
 
-def _runs(df: DataFrame, id: str, parts: str, gram: int) -> DataFrame:
-    """(id, _k): hashes of the distinct runs of `gram` neighbouring parts; `gram` itself is part of the hash."""
-    n = F.size(parts) - (gram - 1)
-    shifted = F.arrays_zip(*[F.slice(parts, F.lit(i + 1), n).alias(f"w{i}") for i in range(gram)])
-    runs = F.transform(shifted, lambda r: F.xxhash64(F.lit(gram), *[r[f"w{i}"] for i in range(gram)]))
-    return df.filter(F.size(parts) >= gram).select(id, F.explode(F.array_distinct(runs)).alias("_k"))
-
-
 def _grams(df: DataFrame, id: str, text: str, kinds, inner: bool) -> DataFrame:
     """(id, _kind, _k): the runs of each kind that a text has: kind 0 of words, kind n of n characters. inner: words whose ends are inside the text only."""
     out = None
@@ -77,8 +70,8 @@ def _grams(df: DataFrame, id: str, text: str, kinds, inner: bool) -> DataFrame:
         parts = F.split(text, r"\s+") if kind == 0 else F.split(text, "")
         if inner and kind == 0:
             parts = F.when(F.size(parts) > 2, F.slice(parts, F.lit(2), F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
-        runs = _runs(df.select(id, parts.alias("_w")), id, "_w", kind or WORDS).select(id, F.lit(kind).alias("_kind"), "_k")
-        out = runs if out is None else out.unionByName(runs)
+        part = runs(df.select(id, parts.alias("_w")), id, "_w", kind or WORDS).select(id, F.lit(kind).alias("_kind"), "_k")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

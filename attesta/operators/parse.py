@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from attesta import config as cfg
 from attesta.functions.places import slug_to_key
 from attesta.functions.text import collapse
+from attesta.operators.grams import containments
 from attesta.operators.skew import first_per_group, top_per_group
 
 
@@ -256,17 +257,16 @@ def candidates(df: DataFrame, id: str, text: str) -> DataFrame:
 def suppress_nested(df: DataFrame, seg, phrase: str = "phrase", p: str = "p") -> DataFrame:
     """Of phrases nested in one another inside one segment keep the most probable, the longer on ties.
 
-    The anti join is keyed on the segment, whose phrase count the segmenter bounds; no pair is emitted.
+    Nested phrases are found by runs of characters that they share (`grams.containments`), not by comparing all phrases of a segment; of each phrase the strongest one nested with it decides.
     """
     seg = [seg] if isinstance(seg, str) else list(seg)
-    n = F.lower(collapse(phrase))
-    inner = df.withColumn("_n", n).alias("i")
-    outer = df.select(*seg, F.col(p).alias("_op"), n.alias("_on")).alias("o")
-    same = [F.col(f"i.{c}") == F.col(f"o.{c}") for c in seg]
-    nested = F.contains(F.col("o._on"), F.col("i._n")) | F.contains(F.col("i._n"), F.col("o._on"))
-    beats = (F.col("o._op") > F.col(f"i.{p}")) | (
-        (F.col("o._op") == F.col(f"i.{p}")) & (F.length("o._on") > F.length("i._n")))
-    return inner.join(outer, [*same, F.col("o._on") != F.col("i._n"), nested, beats], "left_anti").drop("_n")
+    d = df.withColumn("_n", F.lower(collapse(phrase)))
+    pairs = containments(d, seg, "_n")
+    both = pairs.select(*seg, F.col("_inner").alias("_n"), F.col("_outer").alias("_o")).unionByName(pairs.select(*seg, F.col("_outer").alias("_n"), F.col("_inner").alias("_o")))
+    strength = d.filter(F.col(p).isNotNull()).groupBy(*seg, F.col("_n").alias("_o")).agg(F.max(p).alias("_op"))
+    best = both.join(strength, [*seg, "_o"]).groupBy(*seg, "_n").agg(F.max(F.struct("_op", F.length("_o").alias("_ol"))).alias("_best"))
+    beaten = (F.col("_best._op") > F.col(p)) | ((F.col("_best._op") == F.col(p)) & (F.col("_best._ol") > F.length("_n")))
+    return d.join(best, [*seg, "_n"], "left").filter(~F.coalesce(beaten, F.lit(False))).select(*df.columns)
 
 
 # ---------------------------------------------------------------- X10, X11 people and lineage

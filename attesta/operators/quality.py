@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from attesta import config as cfg
 from attesta.functions.gates import gate_choice
 from attesta.operators.claims import GateFailed
+from attesta.operators.grams import containments
 from attesta.operators.parse import span_overlap
 from attesta.operators.skew import first_per_group
 
@@ -137,13 +138,13 @@ def reconcile(a: DataFrame, b: DataFrame, key, cols) -> DataFrame:
 
 
 def recall_containment(gold: DataFrame, pred: DataFrame, group: str, term: str) -> DataFrame:
-    """Adds found to each distinct gold term: an equal, containing or contained predicted term in the same group."""
-    g = gold.select(group, F.lower(F.trim(term)).alias(term)).filter(F.col(term) != "").distinct().alias("g")
-    p = pred.select(group, F.lower(F.trim(term)).alias("_p")).filter(F.col("_p") != "").distinct().alias("p")
-    touch = F.contains(F.col("p._p"), F.col(f"g.{term}")) | F.contains(F.col(f"g.{term}"), F.col("p._p"))
-    hit = g.join(p, (F.col(f"g.{group}") == F.col(f"p.{group}")) & touch, "left_semi").withColumn("found", F.lit(True))
-    return gold.select(group, F.lower(F.trim(term)).alias(term)).filter(F.col(term) != "").distinct().join(
-        hit, [group, term], "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    """Adds found to each distinct gold term: an equal, containing or contained predicted term in the same group. Terms meet by runs of characters that they share (`grams.containments`)."""
+    g, p = (d.select(group, F.lower(F.trim(term)).alias(term)).filter(F.col(term) != "").distinct() for d in (gold, pred))
+    pairs = containments(g.unionByName(p), [group], term)
+    near = pairs.select(group, F.col("_inner").alias(term), F.col("_outer").alias("_p")).unionByName(pairs.select(group, F.col("_outer").alias(term), F.col("_inner").alias("_p")))
+    near = near.unionByName(p.select(group, term, F.col(term).alias("_p")))
+    hit = near.join(p.withColumnRenamed(term, "_p"), [group, "_p"], "left_semi").select(group, term).distinct().withColumn("found", F.lit(True))
+    return g.join(hit, [group, term], "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def segment_coverage(segs: DataFrame, quotes: DataFrame, id: str, quote: str) -> DataFrame:
