@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.gates import fit_from_verdict
 from attesta.functions.text import norm, slug
-from attesta.operators.parse import in_blocks
+from attesta.sources.cells import read_cells
 
 #: Column titles and the names they get; a sheet with other titles gives its own map.
 COLUMNS = {"Account": "account", "Site": "site", "Pipeline": "pipeline", "City": "city", "Metro": "metro", "Functions": "functions", "Modality": "modality",
            "Verdict": "verdict_auto", "Manual verdict": "verdict_manual", "Manual reason": "verdict_reason", "Site head": "named_site_head", "Evidence": "evidence_titles", "Source": "source"}
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Spreadsheet exports as (file, row_no, cells), with as many cells as each row has. One task reads a file, as quoted cells may hold line ends."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        csv.field_size_limit(1 << 30)
-        for pdf in batches:
-            for file, text in zip(pdf["file"], pdf["value"]):
-                cells = ((file, i, [c.strip().replace("\ufeff", "") for c in row]) for i, row in enumerate(csv.reader(io.StringIO(text.lstrip("\ufeff"), newline=""))))
-                yield from in_blocks(cells, ["file", "row_no", "cells"])
-
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return raw.mapInPandas(rows, "file string, row_no long, cells array<string>")
-
-
 def parse_spine(rows: DataFrame, required=("Account", "Site"), appendix_prefixes=None, junk=None, header_rows: int = 6, columns=None) -> DataFrame:
     """The site rows of messy exports.
 
