@@ -40,14 +40,21 @@ def rollup(t):
     return mix.share_of_mix(facts(t), "account", "period", "family", burst=1.5)
 
 
-@query("share_of_mix", with_(FACTS_SQL, MIX_SQL) + """SELECT account_id, period, dim_key, n, denom, round(share, 6) AS share,
+SHARE_SQL = with_(FACTS_SQL, MIX_SQL) + """SELECT account_id, period, dim_key, n, denom, round(share, 6) AS share,
   round(alltime, 6) AS account_alltime_share, round(share / alltime, 6) AS self_index, round(pm, 6) AS peer_median_share, peer_n_accounts,
-  CASE WHEN pm > 0 THEN round(share / pm, 6) ELSE 0e0 END AS peer_index, bias_flag, bias_flag <> '' AS has_note FROM mix""")
-def share_of_mix(t):
-    d = rollup(t).withColumn("has_note", F.col("bias_note") != "").drop("bias_note")
+  CASE WHEN pm > 0 THEN round(share / pm, 6) ELSE 0e0 END AS peer_index, bias_flag, bias_flag <> '' AS has_note FROM mix"""
+
+
+def show_mix(d):
+    d = d.withColumn("has_note", F.col("bias_note") != "").drop("bias_note")
     return rounded(d, share=6, account_alltime_share=6, self_index=6, peer_median_share=6, peer_index=6)
 
 
+@query("share_of_mix", SHARE_SQL)
+def share_of_mix(t):
+    return show_mix(rollup(t))
+
+
 @query("hiring_mix_matrix", with_(FACTS_SQL, MIX_SQL) + """, last AS (SELECT account_id, period FROM (SELECT DISTINCT account_id, period FROM mix)
   QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY period DESC) <= 8),
 sums AS (SELECT account_id, dim_key, round(sum(share), 9) AS s FROM mix GROUP BY 1, 2),

@@ -10,9 +10,9 @@ from attesta.functions.dates import quarter
 from attesta.plans.base import query
 from attesta.plans.derive import with_
 from attesta.plans.q_text import GATE_SQL, gate_bodies, gate_quotes
-from attesta.plans.q_corpus import ACCRETED, FACTS_SQL, SIGHTINGS_SQL, show_accreted
+from attesta.plans.q_corpus import ACCRETED, FACTS_SQL, SHARE_SQL, SIGHTINGS_SQL, show_accreted, show_mix
 from attesta.session import scratch
-from attesta.streaming import streams
+from attesta.streaming import mixes, streams
 
 
 def places(t) -> tuple[str, str]:
@@ -49,6 +49,17 @@ def mix_counts_stream(t):
     return streams.mix_counts(d, out, by)
 
 
+@query("mix_shares_stream", SHARE_SQL)
+def mix_shares_stream(t):
+    """A1 from the state that a stream of orders leaves."""
+    orders = streams.read_files(t.spark, t.folder, "orders", t.orders.schema)
+    d = orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    d = d.select(F.col("n_name").alias("account"), quarter("o_orderdate").alias("period"), F.col("o_orderpriority").alias("family"))
+    out, checkpoint = places(t)
+    mixes.mix_shares_stream(d, "account", "period", "family", out, checkpoint)
+    return show_mix(mixes.mix_shares(t.spark, out, burst=1.5))
+
+
 @query("verify_stream", with_(GATE_SQL) + "SELECT posting_id, kind, match_method FROM gated")
 def verify_stream(t):
     """The quotes of the batch gate, as they land."""

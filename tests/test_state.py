@@ -10,9 +10,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.operators import claims, parse, quality, stories, upsert
+from attesta.operators import claims, mix, parse, quality, stories, upsert
 from attesta.sources import buckets, folders, tables
-from attesta.streaming import streams
+from attesta.streaming import mixes, streams
 from attesta.streaming.log import BatchLog
 
 
@@ -234,3 +234,29 @@ def test_stories_write_rows_in_proportion_to_words(spark):
     rounds: list[int] = []
     kept = stories.suppress_near_dups(df, "block", thr=0.5, rounds=rounds)
     assert rows(kept, "item_id") == [299] and len(rounds) <= 3
+
+
+# ---------------------------------------------------------------- shares that follow a stream
+def test_shares_follow_every_batch(spark, tmp_path):
+    rng, data, out = random.Random(9), [], str(tmp_path / "mix")
+    for b in range(3):
+        part = [(f"a{rng.randrange(5)}", rng.choice(("2024Q1", "2024Q2", None)), rng.choice(("x", "y", None))) for _ in range(60)]
+        data += part
+        counts = spark.createDataFrame(part, "account_id string, period string, dim_key string").filter("period is not null").fillna("unclassified", ["dim_key"]).groupBy("account_id", "period", "dim_key").agg(F.count("*").alias("n"))
+        for _ in range(1 + (b == 1)):  # a batch that is tried again
+            mixes.update_mix(counts, out, b, 8)
+        got = mixes.mix_shares(spark, out, 8)
+        want = mix.share_of_mix(spark.createDataFrame(data, "account_id string, period string, dim_key string"), "account_id", "period", "dim_key", 8)
+        shown = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in want.dtypes]
+        assert rows(got.select(want.columns).select(*shown), *want.columns) == rows(want.select(*shown), *want.columns)
+
+
+def test_a_stream_of_shares(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    schema = "acct string, q string, fam string"
+    for b in range(2):
+        spark.createDataFrame([(f"a{i % 3}", f"q{(i + b) % 2}", f"f{i % 4}") for i in range(40 + b)], schema).coalesce(1).write.mode("append").parquet(f"{src}/{b}")
+        mixes.mix_shares_stream(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src), "acct", "q", "fam", out, ck)
+        want = mix.share_of_mix(spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(src), "acct", "q", "fam")
+        got = mixes.mix_shares(spark, out).select("account_id", "period", "dim_key", "n", "denom", F.round("peer_index", 9))
+        assert rows(got, *got.columns) == rows(want.select("account_id", "period", "dim_key", "n", "denom", F.round("peer_index", 9)), *got.columns)
