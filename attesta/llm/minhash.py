@@ -26,8 +26,8 @@ COMMON, IDF = 500, 0.5
 #: in 80 % of the samples share a band in all but 1 of 28,000 cases.
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
-#: Rounds in which all documents of a bucket are compared with one of them.
-PIVOTS = 3
+#: Rounds in which all documents of a bucket are compared with one of them, and the pivots that a document keeps what it shares with.
+PIVOTS, NEAREST = 3, 4
 
 
 @lru_cache(1)
@@ -349,14 +349,27 @@ class Buckets:
         out.rounds = self.rounds
         return out, n
 
-    def rest(self) -> DataFrame:
-        """All pairs (a, b) of documents of a bucket, of different classes, that the bounds leave: those outside the largest class of a bucket against all."""
+    def rest(self, keys: DataFrame, known: DataFrame) -> DataFrame:
+        """All pairs (a, b) of documents of a bucket, of different classes, that the bounds leave: those outside the largest class of a bucket against all, each pair in the first of its common bands.
+
+        keys: doc, keys (of all its bands). known: doc, pivot, i (what they share, exactly): the nearest pivots of a document bound it in every bucket, whatever the pivots there.
+        """
         sizes = self.rows.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-        few = self.rows.join(largest, ["band", "key"]).filter("label != largest").drop("largest", "hit")
-        x, y = few.alias("x"), self.rows.drop("hit").alias("y")
-        on = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & self.possible("x", "y")
-        return x.join(y, on).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+        near = known.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "pivot")), False), 1, NEAREST).alias("near"))  # a pivot for each band and round at most
+        rows = self.rows.join(largest, ["band", "key"]).withColumn("few", F.col("label") != F.col("largest")).drop("largest", "hit").join(keys, "doc").join(near, "doc", "left")
+        x, y = rows.filter("few").alias("x"), rows.alias("y")
+
+        def by(a: Column, b: Column) -> Column:
+            return F.least(a["i"], b["i"]) + F.least(F.col("x.shared") - a["i"], F.col("y.shared") - b["i"])
+        both = F.least("x.shared", "y.shared")
+        most = F.aggregate(F.coalesce("x.near", F.array().cast(near.schema["near"].dataType)), both, lambda m, a: F.aggregate(
+            F.coalesce("y.near", F.array().cast(near.schema["near"].dataType)), m, lambda n, b: F.when(a["pivot"] == b["pivot"], F.least(n, by(a, b))).otherwise(n)))
+        able = most >= F.lit(self.threshold - 1e-9) * (F.col("x.total") + F.col("y.total") - most)
+        before = F.exists(F.sequence(F.lit(1), F.greatest(F.col("x.band"), F.lit(1))), lambda k: (k <= F.col("x.band")) & (F.element_at("x.keys", k) == F.element_at("y.keys", k)))
+        once = ~F.col("y.few") | (F.col("x.doc") < F.col("y.doc"))
+        on = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & self.possible("x", "y") & able & ~before
+        return x.join(y, on).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
 
 
 def relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -402,6 +415,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     links = docs.sparkSession.createDataFrame([], "a long, b long, sim double")
     labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
     sizes = bodies.select(F.col("doc_id").alias("doc"), "total", "shared")
+    known = bodies.limit(0).select(F.col("doc_id").alias("doc"), F.col("doc_id").alias("pivot"), F.col("total").alias("i"))
     left, n = Buckets(buckets.join(sizes, "doc").select("band", "key", "doc", F.col("doc").alias("label"), "total", "shared", F.lit(False).alias("hit")), threshold).open()
     for round_ in range(pivots + 1):
         if not n:
@@ -409,9 +423,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
         if round_ < pivots:
             met = stored(left.met())
             pairs = met.filter("able").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
+            known = known.unionByName(met.filter("doc = pivot").select("doc", "pivot", F.col("total").alias("i")).distinct())
         else:
-            pairs = left.rest()
+            pairs = left.rest(distinct.select(F.col("rep").alias("doc"), "keys"), known.distinct())
         sims, hits = compared(pairs)
+        if round_ < pivots:
+            both = sims.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), "sim").unionByName(sims.select(F.col("b").alias("doc"), F.col("a").alias("pivot"), "sim"))
+            totals = [sizes.select(F.col("doc").alias(c), F.col("total").alias(f"{c}_total")) for c in ("doc", "pivot")]
+            both = both.join(met.select("pivot").distinct(), "pivot", "left_semi").join(totals[0], "doc").join(totals[1], "pivot")
+            known = known.unionByName(both.select("doc", "pivot", (F.col("sim") / (1 + F.col("sim")) * (F.col("doc_total") + F.col("pivot_total"))).alias("i")))
         if hits:
             new = sims.filter(F.col("sim") >= threshold)
             links, labels = links.unionByName(new), merged(labels, new.select("a", "b"))

@@ -69,10 +69,12 @@ def _fixed() -> Ranks:
 
 
 def learn_words(docs: DataFrame, text_col: str = "text", most: int = RANKED) -> list[str]:
-    """The words of prose that most texts have, lowered, most frequent first: `most` of them at most, whatever the corpus. A word counts once a text, in partial sums before the shuffle."""
+    """The words of prose that most texts have, lowered, most frequent first: `most` of them at most, whatever the corpus, and only those that two texts and one in 20,000 have, so that few are compared
+    for the first places. A word counts once a text, in partial sums before the shuffle."""
+    least = max(2, docs.count() // 20_000)
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_PROSE), F.lit(0)))
     words = docs.select(A.quoted(text_col).cast("string").alias("text")).select(F.explode(found).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return [r["w"] for r in words.filter("n > 1").orderBy(F.desc("n"), "w").limit(most).collect()]
+    return [r["w"] for r in words.filter(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(most).collect()]
 
 
 def _per_char(value: str) -> float:
