@@ -98,7 +98,7 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or n is None else mask_names(t, n, whole_word, mask) for t, n in zip(texts, lists, strict=True)], dtype=object)
+        return pd.Series([t if t is None or n is None else mask_names(t, list(n), whole_word, mask) for t, n in zip(texts, lists, strict=True)], dtype=object)
     joined = d.join(listed, id, "left").withColumn("_done", masked("_base", "_names"))
     tidy = F.trim(F.regexp_replace("_done", r"\s{2,}", " "), F.lit(" -—")) if leak else F.col("_done")
     return joined.select(*df.columns, tidy.alias(f"{text}_scrubbed"), (F.col("_done") != F.col(text)).alias("changed"))
