@@ -27,7 +27,7 @@ COMMON, IDF = 500, 0.5
 SQUARES, SIDE = 2, 4
 SAMPLES = SQUARES * SIDE * SIDE
 #: Rounds in which all documents of a bucket are compared with one of them, and the pivots that a document keeps what it shares with.
-PIVOTS, NEAREST = 3, 4
+PIVOTS, NEAREST = 2, 4
 
 
 @lru_cache(1)
@@ -358,6 +358,7 @@ class Buckets:
         largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
         near = known.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "pivot")), False), 1, NEAREST).alias("near"))  # a pivot for each band and round at most
         rows = self.rows.join(largest, ["band", "key"]).withColumn("few", F.col("label") != F.col("largest")).drop("largest", "hit").join(keys, "doc").join(near, "doc", "left")
+        rows = stored(rows)  # both sides of the join
         x, y = rows.filter("few").alias("x"), rows.alias("y")
 
         def by(a: Column, b: Column) -> Column:
@@ -428,10 +429,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
             pairs = left.rest(distinct.select(F.col("rep").alias("doc"), "keys"), known.distinct())
         sims, hits = compared(pairs)
         if round_ < pivots:
-            both = sims.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), "sim").unionByName(sims.select(F.col("b").alias("doc"), F.col("a").alias("pivot"), "sim"))
-            totals = [sizes.select(F.col("doc").alias(c), F.col("total").alias(f"{c}_total")) for c in ("doc", "pivot")]
-            both = both.join(met.select("pivot").distinct(), "pivot", "left_semi").join(totals[0], "doc").join(totals[1], "pivot")
-            known = known.unionByName(both.select("doc", "pivot", (F.col("sim") / (1 + F.col("sim")) * (F.col("doc_total") + F.col("pivot_total"))).alias("i")))
+            with_pivot = met.filter("able").select("doc", "pivot", "total", "p_total").distinct().withColumns({"a": F.least("doc", "pivot"), "b": F.greatest("doc", "pivot")}).join(sims, ["a", "b"])
+            known = known.unionByName(with_pivot.select("doc", "pivot", (F.col("sim") / (1 + F.col("sim")) * (F.col("total") + F.col("p_total"))).alias("i")))
         if hits:
             new = sims.filter(F.col("sim") >= threshold)
             links, labels = links.unionByName(new), merged(labels, new.select("a", "b"))
