@@ -4,16 +4,33 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attesta import config as cfg
 from attesta.functions.text import word_set
 from attesta.operators.skew import top_per_group
-from attesta.session import cut
+from attesta.session import land
 
 #: Pairs that a round may form for each posting. Where whole buckets keep to that, all are compared at once; else so many of the newest of each bucket as keep to it, FEWEST at least.
 PAIRS_PER_POSTING, FEWEST = 32, 16
+#: Bits of the sketch of a word set.
+BITS = 1024
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _sketch(hashes: pd.Series) -> pd.Series:
+    """BITS bits of each word set, in longs: whether an odd number of its words falls on the bit. Two sets differ in as many words as bits, or more."""
+    odd = lambda h: np.bincount(np.asarray(h, np.int64) & (BITS - 1), minlength=BITS) & 1
+    return pd.Series([np.packbits(odd([] if h is None else h).astype(np.uint8)).view(np.int64) for h in hashes], dtype=object)
+
+
+def _far(a: str, b: str) -> Column:
+    """In how many bits two sketches differ."""
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
 
 
 def _wanted(part: float, n: Column) -> Column:
@@ -22,16 +39,16 @@ def _wanted(part: float, n: Column) -> Column:
 
 
 def postings(bags: DataFrame, id: str, newest: str, thr: float) -> DataFrame:
-    """Slim rows (block, word, id, newest, size, place): the places of an item's rarest words, for the words that another item of the block has.
+    """Slim rows (word of a block as one hash, id, newest, size, place): the places of an item's rarest words, for the words that another item of the block has.
 
     Words are ordered by their frequency in the block. Two items with a Jaccard of `thr` share a word among the first n - ceil(t n) + 1 of either, and among the first n - ceil(2 t n / (1 + t)) + 1
     of the smaller one (`_lead`). Words that one item alone has come first, so they are places that need no row.
     """
-    words = bags.select("_g", id, newest, "_n", F.explode("_h").alias("_word"))
-    shared = words.groupBy("_g", "_word").agg(F.count(F.lit(1)).alias("_f")).filter("_f > 1")
+    words = bags.select("_g", id, newest, "_n", F.explode("_h").alias("_word")).withColumn("_word", F.xxhash64("_g", "_word")).drop("_g")
+    shared = words.groupBy("_word").agg(F.count(F.lit(1)).alias("_f")).filter("_f > 1")
     own = Window.partitionBy(id)
     place = F.col("_n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("_f", "_word"))
-    rows = words.join(shared, ["_g", "_word"]).withColumn("_at", place.cast("int"))
+    rows = words.join(shared, "_word").withColumn("_at", place.cast("int"))
     rows = rows.filter(F.col("_at") <= F.col("_n") - _wanted(thr, F.col("_n")) + 1)
     return rows.withColumn("_lead", F.col("_at") <= F.col("_n") - _wanted(2 * thr / (1 + thr), F.col("_n")) + 1).drop("_f")
 
@@ -39,7 +56,7 @@ def postings(bags: DataFrame, id: str, newest: str, thr: float) -> DataFrame:
 def _pivots(open_: DataFrame) -> int | None:
     """How many items of each bucket the others are compared with in this round: None for all."""
     steps = [FEWEST * 4 ** k for k in range(12)]
-    sizes = open_.groupBy("_g", "_word").agg(F.count(F.lit(1)).alias("f"))
+    sizes = open_.groupBy("_word").agg(F.count(F.lit(1)).alias("f"))
     row = sizes.agg(F.sum("f").alias("rows"), F.sum(F.col("f") * F.col("f")).alias("all"), *(F.sum(F.col("f") * F.least("f", F.lit(s))).alias(f"s{s}") for s in steps)).first()
     bound = PAIRS_PER_POSTING * (row["rows"] or 0)
     if (row["all"] or 0) <= bound:
@@ -48,17 +65,19 @@ def _pivots(open_: DataFrame) -> int | None:
 
 
 def _links(open_: DataFrame, top: DataFrame, bags: DataFrame, whole_buckets: bool, block: list[str], id: str, newest: str, thr: float) -> DataFrame:
-    """(id, _p): items and newer ones like them, each pair once: candidates share a bucket, may be alike by their sizes and by what is left behind the word they share, and are compared by their words then."""
-    right = top.select("_g", "_word", *(F.col(c).alias(f"_p{c}") for c in (id, newest, "_n", "_at", "_lead")))
+    """(id, _p): items and newer ones like them, each pair once: candidates share a bucket, may be alike by their sizes and by what is left behind the word they share, and are compared by their words then, if their sketches do not tell them apart."""
+    right = top.select("_word", *(F.col(c).alias(f"_p{c}") for c in (id, newest, "_n", "_at", "_lead")))
     n, pn, at, pat = (F.col(c) for c in ("_n", "_p_n", "_at", "_p_at"))
     needed = _wanted(thr / (1 + thr), n + pn)
     newer = (F.col(f"_p{newest}") > F.col(newest)) | ((F.col(f"_p{newest}") == F.col(newest)) & (F.col(f"_p{id}") < F.col(id)))
     leads = ((n >= pn) & F.col("_p_lead")) | ((pn >= n) & F.col("_lead"))
     fits = (F.least(n, pn) >= F.lit(thr) * F.greatest(n, pn) - 1e-9) & (F.least(at, pat) + F.least(n - at, pn - pat) >= needed)
-    met = open_.join(right, ["_g", "_word"]).filter(newer & leads & fits)
+    met = open_.join(right, "_word").filter(newer & leads & fits)
     pairs = met.groupBy(id, F.col(f"_p{id}").alias("_p")).agg(F.count(F.lit(1)).alias("_c"), F.max(at).alias("_at"), F.max(pat).alias("_p_at"), F.first("_n").alias("_n"), F.first("_p_n").alias("_p_n"))
     if whole_buckets:  # all words that both lead with were counted, so no more is shared than those and what stands behind the last of them
         pairs = pairs.filter(F.col("_c") + F.least(n - at, pn - pat) >= needed)
+    sketches, near = bags.select(id, "_s"), _far("_s", "_ps") <= n + pn - 2 * needed
+    pairs = pairs.select(id, "_p", "_n", "_p_n").join(sketches.select(F.col(id).alias("_p"), F.col("_s").alias("_ps")), "_p").join(sketches, id).filter(near).select(id, "_p").distinct()
     own, other = bags.select(id, *block, F.col("_h").alias("_a")), bags.select(F.col(id).alias("_p"), *(F.col(c).alias(f"_b_{c}") for c in block), F.col("_h").alias("_b"))
     same = F.size(F.array_intersect("_a", "_b"))
     alike = same >= F.lit(thr) * (F.size("_a") + F.size("_b") - same) - 1e-12
@@ -71,13 +90,13 @@ def _decided(links: DataFrame, whole: DataFrame, id: str) -> tuple[DataFrame, Da
     """(stays, gone) among the items of links, as far as they can be decided: an item goes with a newer one that stays; it stays if it was compared with all it meets (`whole`) and all newer ones like it are gone."""
     nodes = links.select(id).unionByName(links.select(F.col("_p").alias(id))).distinct().join(whole.withColumn("_whole", F.lit(True)), id, "left")
     first = nodes.join(links.select(id).distinct().withColumn("_linked", F.lit(True)), id, "left")
-    state = cut(first.select(id, "_whole", F.when(F.col("_linked").isNull() & F.col("_whole"), "stays").alias("_is")))
+    state = land(first.select(id, "_whole", F.when(F.col("_linked").isNull() & F.col("_whole"), "stays").alias("_is")))
     open_before = None
     while True:
         known = state.select(F.col(id).alias("_p"), F.col("_is").alias("_p_is"))
         said = links.join(known, "_p").groupBy(id).agg(F.bool_or(F.coalesce(F.col("_p_is") == "stays", F.lit(False))).alias("_hit"), F.bool_and(F.coalesce(F.col("_p_is") == "gone", F.lit(False))).alias("_free"))
         told = F.when(F.col("_is").isNotNull(), F.col("_is")).when(F.col("_hit"), "gone").when(F.col("_free") & F.col("_whole"), "stays")
-        state = cut(state.join(said, id, "left").select(id, "_whole", told.alias("_is")))
+        state = land(state.join(said, id, "left").select(id, "_whole", told.alias("_is")))
         open_ = state.filter("_is is null").count()
         if open_ in (0, open_before):
             return state.filter("_is = 'stays'").select(id), state.filter("_is = 'gone'").select(id)
@@ -91,7 +110,7 @@ def suppress_near_dups(df: DataFrame, block, words: str | None = None, thr: floa
 
     The rule is greedy in time order, yet all blocks and most items are decided at once. Items with equal word sets collapse to their newest
     first. What is shuffled is slim: a row of numbers for each of an item's rarest words that another item has. Items meet in the buckets of such words; pairs that size or place rule out are not formed, and
-    the word sets of the others are fetched once for each pair. Where a bucket is so large that its pairs would be more than a few for each row, only its newest items are compared with
+    sketches of a fixed size tell most of the others apart, and word sets are fetched once for each pair that is left. Where a bucket is so large that its pairs would be more than a few for each row, only its newest items are compared with
     the others in a round: one that is among them in all its buckets and has no open newer match stays, one that matches an item that stays is dropped, then the next links are decided.
     So no bucket is cut, a group of near copies costs a few comparisons each, and rounds follow chains of matches, not the size of a block. Words are compared by 64-bit hashes. pivots: the newest of a
     bucket that a round takes, in place of its own choice. rounds: gets the number of open items of each round.
@@ -104,8 +123,8 @@ def suppress_near_dups(df: DataFrame, block, words: str | None = None, thr: floa
     # the newest row of each word set; rows without words stand for themselves
     alone = F.when(F.size("_w") == 0, F.col(id).cast("string")).otherwise(F.col("_sig"))
     bags = top_per_group(bags.withColumn("_sig", alone), [*block, "_sig"], order, 1)
-    bags = cut(bags.select(*block, id, newest, F.xxhash64(*block).alias("_g"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"), F.size("_w").alias("_n")))
-    open_ = cut(postings(bags.filter("_n > 0"), id, newest, thr))
+    bags = land(bags.select(*block, id, newest, F.xxhash64(*block).alias("_g"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"), F.size("_w").alias("_n")).withColumn("_s", _sketch("_h")))
+    open_ = land(postings(bags.filter("_n > 0"), id, newest, thr))
     stay = [bags.select(id).join(open_.select(id).distinct(), id, "left_anti")]
     if rounds is not None:
         rounds.append(bags.filter("_n > 0").count())
@@ -119,16 +138,16 @@ def suppress_near_dups(df: DataFrame, block, words: str | None = None, thr: floa
         if most is None:
             top, whole = open_, everyone
         else:
-            top = cut(top_per_group(open_, ["_g", "_word"], order, most))
+            top = land(top_per_group(open_, ["_word"], order, most))
             seen = open_.groupBy(id).agg(F.count(F.lit(1)).alias("_all")).join(top.groupBy(id).agg(F.count(F.lit(1)).alias("_in")), id)
             whole = seen.filter("_all = _in").select(id)  # all newer items of its buckets are pivots, and so is it
-        links, whole = cut(_links(open_, top, bags, most is None, block, id, newest, thr)), cut(whole)
+        links, whole = land(_links(open_, top, bags, most is None, block, id, newest, thr)), land(whole)
         met, gone = _decided(links, whole, id)
-        kept = cut(whole.join(links.select(id).unionByName(links.select(F.col("_p").alias(id))).distinct(), id, "left_anti").unionByName(met))
+        kept = land(whole.join(links.select(id).unionByName(links.select(F.col("_p").alias(id))).distinct(), id, "left_anti").unionByName(met))
         stay.append(kept)
         if most is None:
             break
-        open_ = cut(open_.join(kept, id, "left_anti").join(gone, id, "left_anti"))
+        open_ = land(open_.join(kept, id, "left_anti").join(gone, id, "left_anti"))
     ids = stay[0]
     for k in stay[1:]:
         ids = ids.unionByName(k)

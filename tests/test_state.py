@@ -236,6 +236,20 @@ def test_stories_write_rows_in_proportion_to_words(spark):
     assert rows(kept, "item_id") == [299] and len(rounds) <= 3
 
 
+def test_sketches_differ_no_more_than_word_sets(spark):
+    """A pair that is alike is never told apart, and unlike sets of a usual size are."""
+    rng = random.Random(6)
+    d = []
+    for i in range(60):
+        a = rng.sample(range(400), rng.randint(0, 150))
+        b = rng.sample(range(400), rng.randint(0, 150)) if i % 2 else a[:len(a) // 2] + [500 + i]
+        d.append(([hash((x, "w")) for x in a], [hash((x, "w")) for x in b]))
+    df = spark.createDataFrame(d, "a array<long>, b array<long>").withColumn("differ", F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a")))
+    far = df.select("a", "b", "differ", stories._sketch("a").alias("sa"), stories._sketch("b").alias("sb")).withColumn("far", stories._far("sa", "sb"))
+    got = far.select("differ", "far").collect()
+    assert all(r["far"] <= r["differ"] for r in got) and any(r["far"] > 100 for r in got) and any(r["differ"] < 10 for r in got)
+
+
 # ---------------------------------------------------------------- shares that follow a stream
 def test_shares_follow_every_batch(spark, tmp_path):
     rng, data, out = random.Random(9), [], str(tmp_path / "mix")
