@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attesta.session import land
+
 #: Texts are looked for by runs of so many characters, shorter ones as they are.
 CHARS = 4
+#: Texts of a group of at most so many rows are compared with one another in one row; larger groups meet by runs. NEAR large groups at most go to every task.
+FEW, NEAR = 64, 100_000
 
 
 def runs(df: DataFrame, id: str, parts: str, gram: int) -> DataFrame:
@@ -17,14 +21,32 @@ def runs(df: DataFrame, id: str, parts: str, gram: int) -> DataFrame:
     return df.filter(F.size(parts) >= gram).select(id, F.explode(F.array_distinct(keys)).alias("_k"))
 
 
-def containments(df: DataFrame, group: list[str], text: str) -> DataFrame:
+def containments(df: DataFrame, group: list[str], text: str, few: int = FEW) -> DataFrame:
     """(group, _inner, _outer): the pairs of different texts of a group of which the outer one contains the inner one.
 
-    Each text is looked for by its anchor: the run of its characters that fewest texts of its group have. Only texts with that run are compared, so pairs follow shared runs, not the square of a group. Null and empty texts and null groups take no part.
+    The texts of a group of at most `few` rows are gathered and compared at once, at most `few` comparisons a text. In a larger group each text is looked for by its anchor: the run of its characters that
+    fewest texts of its group have. Only texts with that run are compared, so pairs follow shared runs, not the square of a group. Null and empty texts and null groups take no part.
     """
     texts = df.select(*group, F.col(text).alias("_t")).filter(F.length("_t") > 0)
     for c in group:
         texts = texts.filter(F.col(c).isNotNull())
+    large = land(texts.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > few).select(*group))
+    n = large.count()
+    if not n:
+        return _compared(texts, group)
+    large = F.broadcast(large) if n <= NEAR else large
+    return _compared(texts.join(large, group, "left_anti"), group).unionByName(_anchored(texts.join(large, group, "left_semi"), group))
+
+
+def _compared(texts: DataFrame, group: list[str]) -> DataFrame:
+    """`containments` of small groups."""
+    sets = texts.groupBy(*group).agg(F.collect_set("_t").alias("_all"))
+    each = sets.select(*group, "_all", F.explode("_all").alias("_inner"))
+    return each.select(*group, "_inner", F.explode(F.filter("_all", lambda o: (o != F.col("_inner")) & F.contains(o, F.col("_inner")))).alias("_outer"))
+
+
+def _anchored(texts: DataFrame, group: list[str]) -> DataFrame:
+    """`containments` of groups of any size."""
     texts = texts.distinct().select(F.struct(*group, F.col("_t")).alias("_id"), F.split("_t", "").alias("_c"))
     kinds = range(1, CHARS + 1)
     own = None

@@ -13,6 +13,7 @@ from attesta.operators.claims import GateFailed
 from attesta.operators.grams import containments
 from attesta.operators.parse import span_overlap
 from attesta.operators.skew import first_per_group
+from attesta.session import land
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
@@ -139,12 +140,14 @@ def reconcile(a: DataFrame, b: DataFrame, key, cols) -> DataFrame:
 
 def recall_containment(gold: DataFrame, pred: DataFrame, group: str, term: str) -> DataFrame:
     """Adds found to each distinct gold term: an equal, containing or contained predicted term in the same group. Terms meet by runs of characters that they share (`grams.containments`)."""
-    g, p = (d.select(group, F.lower(F.trim(term)).alias(term)).filter(F.col(term) != "").distinct() for d in (gold, pred))
-    pairs = containments(g.unionByName(p), [group], term)
+    each = lambda d, said: d.select(group, F.lower(F.trim(term)).alias(term), F.lit(said).alias("_said")).filter(F.col(term) != "")
+    terms = land(each(gold, False).unionByName(each(pred, True)).groupBy(group, term).agg(F.bool_or("_said").alias("_said"), F.bool_or(~F.col("_said")).alias("_asked")))
+    pairs = containments(terms, [group], term)
     near = pairs.select(group, F.col("_inner").alias(term), F.col("_outer").alias("_p")).unionByName(pairs.select(group, F.col("_outer").alias(term), F.col("_inner").alias("_p")))
-    near = near.unionByName(p.select(group, term, F.col(term).alias("_p")))
-    hit = near.join(p.withColumnRenamed(term, "_p"), [group, "_p"], "left_semi").select(group, term).distinct().withColumn("found", F.lit(True))
-    return g.join(hit, [group, term], "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    said = terms.filter("_said").select(group, F.col(term).alias("_p"))
+    hit = near.join(said, [group, "_p"], "left_semi").select(group, term).distinct().withColumn("_near", F.lit(True))
+    same = F.col("_said") & F.col(group).isNotNull()
+    return terms.filter("_asked").join(hit, [group, term], "left").select(group, term, (same | F.coalesce("_near", F.lit(False))).alias("found"))
 
 
 def segment_coverage(segs: DataFrame, quotes: DataFrame, id: str, quote: str) -> DataFrame:

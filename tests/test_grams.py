@@ -49,3 +49,15 @@ def test_recall_by_containment(spark):
     clean = lambda rows: {(g, t.strip().lower()) for g, t in rows if t.strip()}
     want = sorted(((g, t, any(g is not None and g == h and (t in u or u in t) for h, u in clean(pred))) for g, t in clean(gold)), key=str)
     assert sorted((tuple(r) for r in found.collect()), key=str) == want
+
+
+def test_small_groups_are_compared_without_runs(spark, monkeypatch):
+    """Small and large groups give the same pairs, and groups of a few texts make no runs."""
+    rows = texts(3, 400) + [(f"g{i}", t) for i in range(20) for t in ("ring", "hot ring", "hot", "ring")]
+    df = spark.createDataFrame(rows, "g string, t string")
+    own = {r for r in rows if r[0] is not None and r[1]}
+    want = sorted((g, a, b) for g, a in own for h, b in own if g == h and a != b and a in b)
+    for few in (1, 4, 1000):
+        assert sorted(tuple(r) for r in grams.containments(df, ["g"], "t", few=few).collect()) == want
+    monkeypatch.setattr(grams, "runs", None)
+    assert grams.containments(df.filter("g like 'g%'"), ["g"], "t").count() == 40
