@@ -412,7 +412,9 @@ def bodies_from_files(t):
     """A text file for each supplier, read as bodies."""
     path = f"{scratch(t.spark)}/bodies/{uuid.uuid4().hex}"
     lines = t.supplier.select(F.col("s_name").alias("posting_id"), F.concat(F.col("s_name"), F.lit("\n"), F.lit("from nation "), F.col("s_nationkey").cast("string")).alias("value"))
-    lines.repartition("posting_id").write.partitionBy("posting_id").text(path)
+    # a number of tasks of its own, as small rows make many files; each task moves its files itself, so the driver does not rename them one by one
+    tasks = 4 * t.spark.sparkContext.defaultParallelism
+    lines.repartition(tasks, "posting_id").write.partitionBy("posting_id").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     return feeds.read_bodies(t.spark, path)
 
 
