@@ -10,7 +10,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.operators import claims, mix, parse, quality, stories, upsert
+from attesta.operators import claims, mix, org, parse, quality, stories, upsert
 from attesta.sources import buckets, folders, tables
 from attesta.streaming import mixes, streams
 from attesta.streaming.log import BatchLog
@@ -274,3 +274,24 @@ def test_a_stream_of_shares(spark, tmp_path):
         want = mix.share_of_mix(spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(src), "acct", "q", "fam")
         got = mixes.mix_shares(spark, out).select("account_id", "period", "dim_key", "n", "denom", F.round("peer_index", 9))
         assert rows(got, *got.columns) == rows(want.select("account_id", "period", "dim_key", "n", "denom", F.round("peer_index", 9)), *got.columns)
+
+
+# ---------------------------------------------------------------- shuffles of the org layer
+def test_claims_are_shuffled_by_posting_once(spark):
+    """Extracts, postings and quotes are dealt by posting; what follows until an edge or the values of a unit shuffles no claim again."""
+    extracts = spark.createDataFrame([("p1", "a", "Data Team", "data", "D", "Ops", ["Lab"], "tier3_live_body", "Ulm", None, None, ["w"]), ("p2", "a", "Data Team", "data", None, None, None, "x", None, None, None, None)],
+                                     "posting_id string, account_id string, team_name string, team_slug string, team_acronym string, parent_org string, supports_teams array<string>, extraction_tier string, site_stated string, hiring_manager string, tech_stack array<string>, vocabulary array<string>")
+    postings = spark.createDataFrame([("p1", "s1"), ("p2", "s1")], "posting_id string, site_id string").withColumns({"job_family": F.lit(None).cast("string"), "seniority_rank": F.lit(2), "posted_date": F.lit(None).cast("date"), "first_seen": F.lit("2026-01-01").cast("date")})
+    quotes = spark.createDataFrame([("p1", "team_name", "data", "q1"), ("p1", "team_name", "data", "q2"), ("p1", "parent_org", "ops", "q3"), ("p1", "supports_team", "lab", "q4"), ("p1", "vocabulary", "", "q5"), ("p1", "team_name", "data", "q2")],
+                                   "posting_id string, claim_type string, subject_slug string, quote_id string").withColumn("verbatim_verified", F.lit(True))
+    edges, units = org.assemble_edges(org.gated_edges(extracts, postings, quotes)), org.assemble_units(extracts, postings, quotes)
+    got = {(r["edge_type"], r["dst_unit_id"] or r["dst_site_id"]): (r["n_postings"], r["n_quotes"]) for r in edges.collect()}
+    assert got == {("reports_to", "a--ou-ops"): (1, 1), ("supports", "a--ou-lab"): (1, 1), ("located_at", "s1"): (2, 2)}
+    assert [(r["n_postings"], r["n_quotes"], r["unit_id"]) for r in units.collect()] == [(2, 2, "a--ou-data")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (org.assemble_edges(org.gated_edges(extracts, postings, quotes)), org.unit_values(extracts, postings, quotes))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert exchanges == [4, 4]
