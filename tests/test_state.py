@@ -10,7 +10,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.operators import claims, mix, org, parse, quality, stories, upsert
+from attesta.operators import claims, mix, org, parse, quality, scrub, stories, upsert
 from attesta.sources import buckets, folders, tables
 from attesta.streaming import mixes, streams
 from attesta.streaming.log import BatchLog
@@ -295,3 +295,33 @@ def test_claims_are_shuffled_by_posting_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert exchanges == [4, 4]
+
+
+# ---------------------------------------------------------------- phrases and names
+def test_phrases_look_at_a_token_once(monkeypatch):
+    """Slices take what is known of their tokens and gaps; only letters that fold into ASCII ones need a look at whole slices."""
+    looked = []
+
+    class Shape:
+        def search(self, s):
+            looked.append(s)
+            return shape.search(s)
+    shape = parse._SHAPE
+    monkeypatch.setattr(parse, "_SHAPE", Shape())
+    assert parse.phrases("mass spectro-metry, Cell omics") == ["mass spectro-metry", "spectro-metry", "Cell", "Cell omics", "omics"]
+    assert not any(" " in s.strip(" ,5") for s in looked)
+    assert "cell omicſ" in parse.phrases("cell omicſ x")
+
+
+def test_a_small_roster_goes_to_the_texts(spark):
+    """The pairs of tokens of the texts are not shuffled."""
+    df = spark.createDataFrame([(1, "Ann Lee met Jo Ann Lee and Ann Leely"), (2, "none")], "id int, text string")
+    names = spark.createDataFrame([("Ann  Lee",), ("Jo Ann Lee",)], "name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = scrub.scrub(df, "id", "text", names)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(out, "text_scrubbed", "changed") == [("[person] met [person] and Ann Leely", True), ("none", False)] and "hashpartitioning(_key" not in plan
