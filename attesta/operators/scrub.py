@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from attesta import config as cfg
 from attesta.functions.text import collapse
+from attesta.session import land
 
+#: Names that are sent to every task at most.
+NEAR = 100_000
 
 _GAPS, _PIECES = re.compile(r"[^\S ]|\s{2}"), re.compile(r"\s+|\S+")
 
@@ -81,7 +84,7 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
     """Adds {text}_scrubbed and changed.
 
     Names of the roster are replaced longest first, as whole words or anywhere; `leak` words are removed
-    before. Candidates come from an equi join on adjacent token pairs, so neither side is broadcast and the roster is dealt by its first tokens; the names found in a
+    before. Candidates come from an equi join on adjacent token pairs, before any shuffle where the roster has NEAR names at most; a larger one is dealt by its first tokens. The names found in a
     text are looked for in one pass over it, however many they are. Runs of white space count as one space, in names and in texts.
     """
     names = names.select(collapse("name").alias("name")).filter("name != ''").distinct()
@@ -94,7 +97,8 @@ def scrub(df: DataFrame, id: str, text: str, names: DataFrame, whole_word: bool
     keyed = F.flatten(F.transform(pairs, lambda p: _edges(p["a"], p["b"], whole_word)))
     keys = near.select(id, F.explode(F.array_distinct(keyed)).alias("_key"))
     roster = names.select("name", _name_key(whole_word).alias("_key"))
-    listed = keys.join(roster, "_key").groupBy(id).agg(F.collect_set("name").alias("_names"))
+    roster = land(roster)  # a roster that fits goes to the texts, so that pairs that no name has are not shuffled
+    listed = keys.join(F.broadcast(roster) if roster.count() <= NEAR else roster, "_key").groupBy(id).agg(F.collect_set("name").alias("_names"))
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series, lists: pd.Series) -> pd.Series:
