@@ -82,3 +82,14 @@ def test_bodies_and_export(spark, tmp_path):
     index = spark.createDataFrame([("a", "p1", 5), ("a", "p2", 9), ("b", "p3", 1)], "shown_account string, posting_id string, score int")
     exports.write_jobs_index(index, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 3
+
+
+def test_bodies_are_written_by_many_tasks(spark, tmp_path):
+    """Small rows that make many files are not left to one task."""
+    import re
+
+    import __spark_entry__ as entry
+    spark.range(40).selectExpr("id AS s_suppkey", "concat('Supplier ', id) AS s_name", "cast(id % 5 AS int) AS s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    out = entry.queries()["bodies_from_files"](spark, str(tmp_path))
+    assert len({re.search(r"/part-(\d+)", f)[1] for f in out.inputFiles()}) > 1
+    assert {tuple(r) for r in out.collect()} == {(f"Supplier {i}", f"Supplier {i}\nfrom nation {i % 5}\n") for i in range(40)}
