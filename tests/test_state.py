@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import claims, mix, org, parse, quality, scrub, stories, upsert
+from attesta.plans import QUERIES, q_marts
+from attesta.session import land, land_by
 from attesta.sources import buckets, folders, tables
 from attesta.streaming import mixes, streams
 from attesta.streaming.log import BatchLog
@@ -297,6 +299,49 @@ def test_claims_are_shuffled_by_posting_once(spark):
     assert exchanges == [4, 4]
 
 
+def test_landed_buckets_are_joined_without_a_shuffle(spark):
+    df = spark.range(700).select(F.concat(F.lit("p"), (F.col("id") % 600).cast("string")).alias("posting_id"), "id").unionByName(spark.createDataFrame([(None, -1)], "posting_id string, id long"))
+    d = land_by(df, "posting_id", 700)
+    assert rows(d, "posting_id", "id") == rows(df, "posting_id", "id") and not spark.catalog.listTables()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = d.join(d.groupBy("posting_id").agg(F.count("*").alias("n")), "posting_id")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan
+    assert both.count() == 700 and both.filter("n = 2").count() == 200
+
+
+def test_labels_beyond_ascii_alone_are_folded(spark, monkeypatch):
+    """Postings with ASCII labels stay out of Python; the edges of both are the same as when each is folded."""
+    data = [("p1", "Opérations", ["Qualité", "Lab"], None), ("p2", "Operations Team", ["Lab", "", None], "Ulm"), ("p3", None, ["Zürich (EU)"], "Köln"), ("p3", "Ops", None, None), ("p4", None, None, None)]
+    extracts = spark.createDataFrame([(p, "a", "Data Team", "data", o, s, "x", g) for p, o, s, g in data], "posting_id string, account_id string, team_name string, team_slug string, parent_org string, supports_teams array<string>, extraction_tier string, site_stated string")
+    postings = spark.createDataFrame([(f"p{i}", "s1") for i in range(1, 5)], "posting_id string, site_id string").withColumns({"job_family": F.lit(None).cast("string"), "seniority_rank": F.lit(2), "posted_date": F.lit(None).cast("date"), "first_seen": F.lit("2026-01-01").cast("date")})
+    quotes = spark.createDataFrame([("p1", "parent_org", "operations"), ("p1", "supports_team", "qualite"), ("p1", "supports_team", "lab"), ("p2", "parent_org", "operations"), ("p2", "site_stated", "ulm"), ("p3", "supports_team", "zurich"), ("p3", "site_stated", "koln"), ("p3", "parent_org", "ops")],
+                                   "posting_id string, claim_type string, subject_slug string").withColumns({"verbatim_verified": F.lit(True), "quote_id": F.concat_ws("-", "posting_id", "claim_type", "subject_slug")})
+    got = org.gated_edges(extracts, postings, quotes)
+    reports, supports, located = (rows(got.filter(F.col("edge_type") == k), "posting_id", "dst_unit_id", "dst_label", "quote_id") for k in ("reports_to", "supports", "located_at"))
+    assert reports == [("p1", "a--ou-operations", "Opérations", "p1-parent_org-operations"), ("p2", "a--ou-operations", "Operations Team", "p2-parent_org-operations"), ("p3", "a--ou-ops", "Ops", "p3-parent_org-ops")]
+    assert supports == [("p1", "a--ou-lab", "Lab", "p1-supports_team-lab"), ("p1", "a--ou-qualite", "Qualité", "p1-supports_team-qualite"), ("p3", "a--ou-zurich", "Zürich (EU)", "p3-supports_team-zurich")]
+    assert sorted((p, q or "") for p, _, _, q in located) == [("p1", ""), ("p2", "p2-site_stated-ulm"), ("p3", ""), ("p3", "p3-site_stated-koln"), ("p4", "")]
+    monkeypatch.setattr(org, "afold", lambda c: F.raise_error(F.lit("folded")).cast("string"))
+    assert org.gated_edges(extracts.filter("posting_id in ('p2', 'p4')"), postings, quotes).count() == 3
+
+
+def test_guards_land_no_texts(spark, tmp_path, monkeypatch):
+    """The guards read outcomes; the texts of quotes are not stored for them."""
+    spark.createDataFrame([(i, f"The quick brown fox number {i} jumps over the lazy dog and runs on for a long while " * 3) for i in range(3)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(200).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 1, "N"), (1, 2, "A")], "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    stored = []
+    monkeypatch.setattr(q_marts, "land", lambda d: (stored.append(d.columns), land(d))[1])
+    got = {(r["guard"], r["input"]): (r["outcome"], r["n"]) for r in QUERIES["guards"](spark, str(tmp_path)).collect()}
+    assert stored == [["kind", "verbatim_verified"]] and got[("pass_rate", "exact quotes")] == ("passed", 3) and got[("pass_rate", "all quotes")][1] == 24
+    assert got[("edges", "all")] == ("refused", 2) and got[("edges", "quoted")] == ("passed", 1) and got[("shrink", "one in ten gone")] == ("refused", 200)
+
+
 # ---------------------------------------------------------------- phrases and names
 def test_phrases_look_at_a_token_once(monkeypatch):
     """Slices take what is known of their tokens and gaps; only letters that fold into ASCII ones need a look at whole slices."""
