@@ -292,6 +292,35 @@ def test_story_rounds_follow_chains_not_blocks(spark):
     assert taken[0] == taken[1] == 1
 
 
+@pytest.mark.parametrize("tile,thr", [(25, 0.25), (40, 0.5), (8192, 0.5)])
+def test_story_tiles_equal_greedy(spark, tile, thr):
+    """Blocks of one tile and of many, one without a name, sets of one word to hundreds, chains and groups of near copies."""
+    rnd = random.Random(tile)
+    vocab = [f"word{i}" for i in range(700)]
+    items, texts = [], []
+    for i in range(150):
+        words = set(rnd.sample(vocab[:15], rnd.randint(0, 6)) if i % 3 else rnd.sample(vocab, rnd.choice((40, 70, 300))))
+        if texts and rnd.random() < 0.4:
+            words = set(rnd.choice(texts))
+            words = set(rnd.sample(sorted(words), rnd.randint(len(words) // 2, len(words)))) | set(rnd.sample(vocab, rnd.randint(0, 3)))
+        texts.append(words)
+        items.append((i, rnd.choice(("hot", "hot", "hot", None)), rnd.randint(0, 30), words))
+    d = spark.createDataFrame([(i, b, w, " ".join(sorted(s))) for i, b, w, s in items], "item_id int, block string, published int, title string")
+    rounds: list[int] = []
+    got = stories.suppress_near_dups(d, "block", thr=thr, tile=tile, rounds=rounds)
+    none = [i for i, _, _, words in items if not words]
+    assert [r[0] for r in rows(got, "item_id")] == sorted(none + jaccard_greedy([x for x in items if x[3]], thr))
+    assert (len(rounds) == 1) == (tile == 8192)
+
+
+def test_story_tiles_write_no_row_for_each_word(spark, monkeypatch):
+    """Blocks of a usual size go without postings of words, and items without a time or an id are left alone."""
+    monkeypatch.setattr(stories, "postings", None)
+    d = spark.createDataFrame([(1, "b", 5, "alpha beta gamma"), (2, "b", 4, "alpha beta gamma delta"), (3, "b", None, "alpha beta gamma echo"), (4, "b", 1, None), (None, "b", 9, "alpha beta delta")],
+                              "item_id int, block string, published int, title string")
+    assert rows(stories.suppress_near_dups(d, "block", thr=0.5), "item_id") == [(1,), (3,), (4,)]
+
+
 # ---------------------------------------------------------------- nothing is cut
 def test_quotes_and_names_of_any_length(spark):
     q = spark.createDataFrame([("p", "team", "s", "x" * 80 + "one"), ("p", "team", "s", "x" * 80 + "two")], "posting_id string, claim_type string, subject_slug string, quote_text string")
