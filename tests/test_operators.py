@@ -389,6 +389,24 @@ def test_cycles_break_at_the_weakest_link(spark):
     assert rows(graph.ancestors(seed, kept), "unit_id") == [("a",), ("b",), ("c",), ("d",), ("e",), ("f",)]
 
 
+@pytest.mark.parametrize("long", [3, 40])
+def test_ancestors_of_short_and_long_chains(spark, monkeypatch, long):
+    """All ancestors, near and far; what groups reached is written for chains longer than the nearest ones only."""
+    up = {i: i - 1 for i in range(1, long)} | {100 + i: i % long for i in range(20)}
+    parents = spark.createDataFrame([(str(k), str(v)) for k, v in up.items()], "unit_id string, parent_id string")
+    seed = [("x", long - 1), ("x", 103), ("x", 103), ("y", 100), ("z", 999)]
+    want = set()
+    for site, unit in seed:
+        while unit is not None:
+            want.add((site, str(unit)))
+            unit = up.get(unit)
+    landed = []
+    monkeypatch.setattr(graph, "land", lambda d, land=graph.land: landed.append(d.columns) or land(d))
+    got = graph.ancestors(spark.createDataFrame([(s, str(u)) for s, u in seed], "site_id string, unit_id string"), parents)
+    assert rows(got, "site_id", "unit_id") == sorted(want)
+    assert any("site_id" in c for c in landed) == (long > graph.NEAREST)
+
+
 def test_places(spark):
     u = spark.createDataFrame([("a", "observed"), ("b", "named_not_mapped"), ("c", "observed"), ("d", "named_not_mapped")], "unit_id string, unit_kind string")
     p = spark.createDataFrame([("a", "b")], "unit_id string, parent_id string")
