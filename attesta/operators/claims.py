@@ -131,21 +131,27 @@ def backed(claims: DataFrame, quotes: DataFrame) -> DataFrame:
     """The claims backed by a verified quote of the same posting and type: same subject slug, or a quote naming the
     subject (three or more characters).
 
-    claims: (posting_id, claim_type, subject, …). An equi join on (posting, type) with the rest as residual.
+    claims: (posting_id, claim_type, subject, …).
     """
+    return with_backing(claims, quotes).filter("_kept").drop("_kept")
+
+
+def with_backing(claims: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The claims with `_kept`: whether they are backed, see `backed`. The verified quotes of a posting, which its text bounds, are gathered and joined by the posting alone, so frames that are dealt by it are not shuffled."""
     low = lambda c: F.lower(F.trim(unescape(c)))
-    c = claims.withColumn("_slug", team_slug("subject")).withColumn("_low", F.coalesce(low("subject"), F.lit(""))).alias("c")
-    v = quotes.filter("verbatim_verified").select("posting_id", "claim_type", team_slug("subject").alias("_qslug"),
-                                                  low("quote_text").alias("_qlow")).alias("v")
-    same = (F.col("c._slug") == F.col("v._qslug")) | (
-        (F.length("c._low") >= 3) & F.contains(F.col("v._qlow"), F.col("c._low")))
-    on = (F.col("c.posting_id") == F.col("v.posting_id")) & (F.col("c.claim_type") == F.col("v.claim_type")) & same
-    return c.join(v, on, "left_semi").drop("_slug", "_low")
+    v = quotes.filter("verbatim_verified").select("posting_id", "claim_type", team_slug("subject").alias("slug"), low("quote_text").alias("low"))
+    v = v.groupBy("posting_id").agg(F.collect_list(F.struct("claim_type", "slug", "low")).alias("_quotes"))
+    # slugs take a row through Python, which loses how it was dealt: after the join
+    c = claims.join(v, "posting_id", "left").withColumn("_slug", team_slug("subject")).withColumn("_low", F.coalesce(low("subject"), F.lit("")))
+    same = lambda q: (q["claim_type"] == F.col("claim_type")) & ((q["slug"] == F.col("_slug")) | ((F.length("_low") >= 3) & F.contains(q["low"], F.col("_low"))))
+    return c.withColumn("_kept", F.coalesce(F.exists("_quotes", same), F.lit(False))).select(*claims.columns, "_kept")
 
 
 SINGLE_CLAIMS = [("team_name", "team_name"), ("parent_org", "parent_org"), ("team_acronym", "team_acronym"),
                  ("hiring_manager", "hiring_manager"), ("reports_to_title", "reports_to"), ("site_stated", "site_stated")]
 
+CLAIM_TYPES = [*(kind for _, kind in SINGLE_CLAIMS), "supports_team", "tech"]
+
 
 def extract_claims(extracts: DataFrame) -> DataFrame:
     """One row per stated field of an extract: (posting_id, field, claim_type, subject)."""
@@ -162,9 +168,7 @@ def drop_unsupported(extracts: DataFrame, quotes: DataFrame, companies: DataFram
     An acronym also survives on its team name's evidence. A parent that is company boilerplate is dropped. Status is ok
     when a team, parent, tool or supported team is left.
     """
-    claims = extract_claims(extracts)
-    kept = backed(claims, quotes).select("posting_id", "field", "subject").distinct().withColumn("_kept", F.lit(True))
-    state = claims.join(kept, ["posting_id", "field", "subject"], "left").withColumn("_kept", F.coalesce("_kept", F.lit(False)))
+    state = with_backing(extract_claims(extracts), quotes.filter(F.col("claim_type").isin(*CLAIM_TYPES)))
     if companies is not None:
         parents = state.filter((F.col("field") == "parent_org") & F.col("_kept"))
         real = drop_boilerplate(parents, companies, "subject").select("posting_id", F.lit("parent_org").alias("field"),

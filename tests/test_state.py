@@ -370,3 +370,51 @@ def test_a_small_roster_goes_to_the_texts(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows(out, "text_scrubbed", "changed") == [("[person] met [person] and Ann Leely", True), ("none", False)] and "hashpartitioning(_key" not in plan
+
+
+# ---------------------------------------------------------------- lines dealt once
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """A few tables in the driver's form: 60 lines of 6 parts and 3 suppliers."""
+    folder = str(tmp_path_factory.mktemp("lines"))
+    day = datetime.datetime(1998, 3, 1)
+    made = {"nation": ([(0, "ACME", 0), (1, "BETA", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+            "supplier": ([(i, f"S{i}", i % 2, 10.0 * i) for i in range(3)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+            "part": ([(i, f"part {i}", f"Brand#{i % 3 + 1}", f"TYPE{i}", i * 4 % 9, 1.0) for i in range(6)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+            "lineitem": ([(i // 7, i % 6, i % 3, i % 7 + 1, float(i % 50), "NAR"[i % 3], "OF"[i // 2 % 2], day + datetime.timedelta(days=i)) for i in range(60)],
+                         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp")}
+    for name, (data, schema) in made.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name,n", [("org_overrides", None), ("drop_unsupported", 60)])
+def test_lines_are_joined_with_their_parts_once(spark, lines, name, n):
+    got = QUERIES[name](spark, lines)
+    assert "lineitem.parquet" not in got._jdf.queryExecution().toString()  # what it reads is landed
+    assert got.count() == (n or got.select("unit_id").distinct().count()) > 0
+
+
+def test_claims_that_are_dealt_meet_their_quotes_without_a_shuffle(spark):
+    df = spark.createDataFrame([(i, f"p{i}", "tech", f"Tool {i % 9}") for i in range(300)], "k int, posting_id string, claim_type string, subject string")
+    claims_ = land_by(df, "posting_id", 300)
+    quotes = spark.createDataFrame([(f"p{i}", "tech" if i % 3 else "team_name", f"tool {i % 9}", "", i % 2 == 0) for i in range(0, 300)], "posting_id string, claim_type string, subject string, quote_text string, verbatim_verified boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = claims.backed(claims_, quotes)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1  # of the quotes
+    assert sorted(r["k"] for r in got.collect()) == [i for i in range(300) if i % 3 and i % 2 == 0]
+
+
+def test_a_key_that_is_made_behind_the_shuffle_deals_like_itself(spark):
+    df = spark.range(500).withColumn("v", F.col("id") * 2)
+    made = F.concat(F.lit("p"), F.col("id").cast("string"))
+    d = land_by(df, "posting_id", 500, made)
+    assert sorted(d.columns) == ["id", "posting_id", "v"] and d.count() == 500
+    both = d.groupBy("posting_id").agg(F.count("*").alias("n")).join(d.select("posting_id", "v"), "posting_id")
+    assert both.filter("n = 1").count() == 500 and "Exchange hashpartitioning" not in both._jdf.queryExecution().executedPlan().toString()
+    assert d.filter("posting_id = 'p77'").select("v").first()[0] == 154
