@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta import config as cfg
@@ -127,23 +127,35 @@ def verify_excerpts(excerpts: DataFrame, pages: DataFrame, on: str = "url", exce
     return d.withColumn("excerpt_ok", F.coalesce(ok, F.lit(False))).drop("_u", "_p")
 
 
+def _low(c) -> Column:
+    return F.lower(F.trim(unescape(c)))
+
+
+def _backs(slug, low, quote_slug, quote_low) -> Column:
+    """Whether a quote has the subject slug of a claim, or names its subject (three or more characters)."""
+    return (slug == quote_slug) | ((F.length(low) >= 3) & F.contains(quote_low, low))
+
+
 def backed(claims: DataFrame, quotes: DataFrame) -> DataFrame:
     """The claims backed by a verified quote of the same posting and type: same subject slug, or a quote naming the
     subject (three or more characters).
 
-    claims: (posting_id, claim_type, subject, …).
+    claims: (posting_id, claim_type, subject, …). An equi join on (posting, type) with the rest as residual.
     """
-    return with_backing(claims, quotes).filter("_kept").drop("_kept")
+    c = claims.withColumn("_slug", team_slug("subject")).withColumn("_low", F.coalesce(_low("subject"), F.lit(""))).alias("c")
+    v = quotes.filter("verbatim_verified").select("posting_id", "claim_type", team_slug("subject").alias("_qslug"), _low("quote_text").alias("_qlow")).alias("v")
+    same = _backs(F.col("c._slug"), F.col("c._low"), F.col("v._qslug"), F.col("v._qlow"))
+    on = (F.col("c.posting_id") == F.col("v.posting_id")) & (F.col("c.claim_type") == F.col("v.claim_type")) & same
+    return c.join(v, on, "left_semi").drop("_slug", "_low")
 
 
 def with_backing(claims: DataFrame, quotes: DataFrame) -> DataFrame:
-    """The claims with `_kept`: whether they are backed, see `backed`. The verified quotes of a posting, which its text bounds, are gathered and joined by the posting alone, so frames that are dealt by it are not shuffled."""
-    low = lambda c: F.lower(F.trim(unescape(c)))
-    v = quotes.filter("verbatim_verified").select("posting_id", "claim_type", team_slug("subject").alias("slug"), low("quote_text").alias("low"))
+    """All claims, with `_kept`: whether they are `backed`. For quotes of real postings, which a posting's text bounds: those of a posting are gathered and joined by the posting alone, so claims that are dealt by it are not shuffled."""
+    v = quotes.filter("verbatim_verified").select("posting_id", "claim_type", team_slug("subject").alias("slug"), _low("quote_text").alias("low"))
     v = v.groupBy("posting_id").agg(F.collect_list(F.struct("claim_type", "slug", "low")).alias("_quotes"))
     # slugs take a row through Python, which loses how it was dealt: after the join
-    c = claims.join(v, "posting_id", "left").withColumn("_slug", team_slug("subject")).withColumn("_low", F.coalesce(low("subject"), F.lit("")))
-    same = lambda q: (q["claim_type"] == F.col("claim_type")) & ((q["slug"] == F.col("_slug")) | ((F.length("_low") >= 3) & F.contains(q["low"], F.col("_low"))))
+    c = claims.join(v, "posting_id", "left").withColumn("_slug", team_slug("subject")).withColumn("_low", F.coalesce(_low("subject"), F.lit("")))
+    same = lambda q: (q["claim_type"] == F.col("claim_type")) & _backs(F.col("_slug"), F.col("_low"), q["slug"], q["low"])
     return c.withColumn("_kept", F.coalesce(F.exists("_quotes", same), F.lit(False))).select(*claims.columns, "_kept")
 
 
